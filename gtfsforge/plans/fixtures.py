@@ -146,6 +146,17 @@ from {iff_stops}
     "iff_changes": """
 select distinct concat('s', cast(journeynumber % 10 + 2 as string)) as station, journeynumber as fromservice, journeynumber + 10 as toservice, journeynumber % 3 as possiblechange
 from {passes} where journeynumber % 5 <> 0
+""",
+    # operating days spread over 50 import versions that end in different years
+    "version_days": """
+select o_orderkey % 50 as version, cast(o_orderdate as date) as validdate from {orders}
+where year(o_orderdate) <= 1995 + (o_orderkey % 50) % 7
+""",
+    # import ledger: 60 versions, ten of which never got an operating day
+    "versions": """
+select distinct c_custkey % 60 as version, concat('OWN', cast((c_custkey % 60) % 3 as string)) as dataownercode,
+ concat('f', cast(c_custkey % 60 as string), '.zip') as filename, date '1995-01-01' as validfrom
+from {customer}
 """,
     # feed index
     "manifest": """
