@@ -16,6 +16,11 @@ from ..functions.cols import as_col
 DAY = 86400
 
 
+def _tc(c):
+    """try_cast to int: NULL instead of an error for text that is not a number."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("int")
+
+
 def to_seconds(text) -> Column:
     """``H:M[:S]`` (hours may exceed 23) -> seconds; NULL/blank -> NULL.
 
@@ -24,9 +29,9 @@ def to_seconds(text) -> Column:
     """
     t = F.trim(as_col(text))
     parts = F.split(t, ":")
-    h = F.try_cast(parts.getItem(0), "int")
-    m = F.try_cast(parts.getItem(1), "int")
-    s = F.when(F.size(parts) >= 3, F.try_cast(parts.getItem(2), "int")).otherwise(F.lit(0))
+    h = _tc(parts.getItem(0))
+    m = _tc(parts.getItem(1))
+    s = F.when(F.size(parts) >= 3, _tc(parts.getItem(2))).otherwise(F.lit(0))
     return F.when((t.isNull()) | (t == ""), F.lit(None).cast("int")).otherwise(h * 3600 + m * 60 + s)
 
 
@@ -34,7 +39,7 @@ def hhmm_to_seconds(text) -> Column:
     """IFF/PAS ``hhmm`` -> seconds (the reference's parse_time gives hh:mm:00)."""
     t = F.trim(as_col(text))
     return F.when((t.isNull()) | (t == ""), F.lit(None).cast("int")).otherwise(
-        F.try_cast(F.substring(t, 1, 2), "int") * 3600 + F.try_cast(F.substring(t, 3, 2), "int") * 60
+        _tc(F.substring(t, 1, 2)) * 3600 + _tc(F.substring(t, 3, 2)) * 60
     )
 
 

@@ -138,8 +138,8 @@ select distinct journeynumber as serviceid, case when journeynumber % 5 = 0 then
 """,
     # STATION
     "iff_stations": """
-select distinct station as shortname, concat('Station ', station) as name, cast(substring(station, 2, 3) as int) % 3 as trainchanges,
- 120 + 60 * (cast(substring(station, 2, 3) as int) % 4) as layovertime, 13000 + (cast(substring(station, 2, 3) as int) * 7919) % 265000 as x, 306000 + (cast(substring(station, 2, 3) as int) * 10007) % 310000 as y
+select distinct station as shortname, concat('Station ', station) as name, try_cast(substring(station, 2, 3) as int) % 3 as trainchanges,
+ 120 + 60 * (try_cast(substring(station, 2, 3) as int) % 4) as layovertime, 13000 + (try_cast(substring(station, 2, 3) as int) * 7919) % 265000 as x, 306000 + (try_cast(substring(station, 2, 3) as int) * 10007) % 310000 as y
 from {iff_stops}
 """,
     # CHANGES
