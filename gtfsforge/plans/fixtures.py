@@ -157,6 +157,32 @@ where year(o_orderdate) <= 1995 + (o_orderkey % 50) % 7
 select distinct c_custkey % 60 as version, concat('OWN', cast((c_custkey % 60) % 3 as string)) as dataownercode,
  concat('f', cast(c_custkey % 60 as string), '.zip') as filename, date '1995-01-01' as validfrom
 from {customer}
+""",
+    # PAS passes: company = owner, footnote = schedule code
+    "pas_pujopass": """
+select dataownercode as vervoerdercode, cast(lineplanningnumber as string) as lijnsysteemnr, 1 + lineplanningnumber % 2 as richting,
+ cast(journeynumber as string) as ritnummer, cast(schedulecode as string) as voetnoot, stoporder as stopsequentie,
+ concat('HA', cast(userstopcode as string)) as halteid, arr_s, dep_s
+from {passes}
+""",
+    # PAS journeys; modality Q has no route type
+    "pas_pujo": """
+select distinct case when lineplanningnumber % 5 = 0 then 'T' when lineplanningnumber % 5 = 1 then 'M' when lineplanningnumber % 5 = 2 then 'Q' else 'B' end as modaliteit,
+ dataownercode as vervoerdercode, cast(lineplanningnumber as string) as lijnsysteemnr, 1 + lineplanningnumber % 2 as richting,
+ cast(journeynumber as string) as ritnummer, cast(schedulecode as string) as voetnoot
+from {passes}
+""",
+    # PAS stops; some are depots
+    "pas_stops": """
+select distinct concat('HA', cast(userstopcode as string)) as halteid,
+ case when userstopcode % 50 = 7 then concat('Remise ', name) when userstopcode % 50 = 9 then concat(name, ' Garage') else name end as naam,
+ locationx_ew as x, locationy_ns as y
+from {stops}
+""",
+    # line-number lookup for every third line
+    "pas_lines": """
+select distinct cast(lineplanningnumber as string) as lijnsysteemnr, concat('L', cast(lineplanningnumber as string)) as linepublicnumber
+from {passes} where lineplanningnumber % 3 = 0
 """,
     # feed index
     "manifest": """
