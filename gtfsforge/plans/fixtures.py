@@ -45,11 +45,11 @@ from {passes} where stoporder < journeypatterncode
 """,
     # TIMDEMRNT x LINK; about two thirds of the links have 0 s
     "runtimes": """
-select l.version, l.dataownercode, l.lineplanningnumber, l.journeypatterncode, g.g as timedemandgroupcode, l.timinglinkorder,
- l.userstopcodebegin, l.userstopcodeend,
- case when (l.timinglinkorder + g.g + l.lineplanningnumber) % 3 = 0 then 60 + l.lineplanningnumber else 0 end as drivetime,
- (l.timinglinkorder % 2) * 15 as stopwaittime, 50 + (l.userstopcodebegin * 37) % 900 as distance
-from {links} l cross join (select 0 as g union all select 1 union all select 2 union all select 3) g
+select version, dataownercode, lineplanningnumber, journeypatterncode, g as timedemandgroupcode, timinglinkorder,
+ userstopcodebegin, userstopcodeend,
+ case when (timinglinkorder + g + lineplanningnumber) % 3 = 0 then 60 + lineplanningnumber else 0 end as drivetime,
+ (timinglinkorder % 2) * 15 as stopwaittime, 50 + (userstopcodebegin * 37) % 900 as distance
+from (select l.*, @EXPLODE(0, 1, 2, 3)@ as g from {links} l) x
 """,
     # PUJO-shaped
     "journeys": """
@@ -85,10 +85,10 @@ from {stops} where userstopareacode is not null
 """,
     # three shape points per link; the last two share a distance on every fourth link (rank ties)
     "pool": """
-select distinct l.version, l.dataownercode, l.userstopcodebegin, l.userstopcodeend, k.k as pointno,
- case when l.userstopcodebegin % 4 = 0 and k.k = 2 then 40 else k.k * 40 end as distancesincestartoflink,
- 13000 + (l.userstopcodebegin * 7919 + k.k * 150) % 265000 as locationx_ew, 306000 + (l.userstopcodebegin * 10007 + k.k * 90) % 310000 as locationy_ns
-from {links} l cross join (select 0 as k union all select 1 union all select 2) k
+select distinct version, dataownercode, userstopcodebegin, userstopcodeend, k as pointno,
+ case when userstopcodebegin % 4 = 0 and k = 2 then 40 else k * 40 end as distancesincestartoflink,
+ 13000 + (userstopcodebegin * 7919 + k * 150) % 265000 as locationx_ew, 306000 + (userstopcodebegin * 10007 + k * 90) % 310000 as locationy_ns
+from (select l.*, @EXPLODE(0, 1, 2)@ as k from {links} l) x
 """,
     # TIVE x PEGRVAL; thru falls back when NULL
     "services": """
@@ -197,6 +197,17 @@ from {customer} where c_custkey % 3 <> 0
 }
 
 
+def render(text: str, engine: str) -> str:
+    """``@EXPLODE(a, b)@`` -> one row per listed value, spelled per engine
+    (Spark ``explode(array(...))``, DuckDB ``unnest([...])``): a generator in
+    the select list instead of a join with a literal table."""
+    import re
+
+    if engine == "spark":
+        return re.sub(r"@EXPLODE\(([^)]*)\)@", r"explode(array(\1))", text)
+    return re.sub(r"@EXPLODE\(([^)]*)\)@", r"unnest([\1])", text)
+
+
 def _deps(text: str) -> list[str]:
     import re
 
@@ -227,7 +238,7 @@ def duckdb_with(names, body: str) -> str:
     ctes = []
     for n in order:
         text = ADAPTERS[n]
-        text = text.format(**{d: d for d in _deps(text)})
+        text = render(text, "duckdb").format(**{d: d for d in _deps(text)})
         ctes.append(f"{n} AS ({text.strip()})")
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -247,7 +258,7 @@ class Fixtures:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         else:
             text = ADAPTERS[name]
-            df = self.spark.sql(text, **{d: self.table(d) for d in _deps(text)})
+            df = self.spark.sql(render(text, "spark"), **{d: self.table(d) for d in _deps(text)})
         self._cache[name] = df
         return df
 
