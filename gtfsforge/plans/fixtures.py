@@ -244,13 +244,37 @@ def duckdb_with(names, body: str) -> str:
 
 
 class Fixtures:
-    """Lazily built adapter DataFrames over one scale-factor directory."""
+    """Adapter DataFrames over one scale-factor directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Each derived table is written once per session as Parquet below the
+    session's checkpoint directory (the shared folder named by
+    ``spark.checkpoint.dir`` on a cluster) and read back from there, the way
+    parsed feed tables are stored before the GTFS derivation runs.  Every
+    query then scans typed, column-pruned Parquet instead of re-deriving its
+    inputs from the driver tables in each branch of its plan.  Set
+    ``materialize=False`` to keep everything lazy.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
 
+    def _stored(self, name: str, build) -> DataFrame:
+        import hashlib
+
+        from ..session import scratch_path
+
+        tag = hashlib.sha1((self.sf_dir + "\0" + ADAPTERS[name]).encode()).hexdigest()[:16]
+        path = scratch_path(self.spark, f"fixtures/{name}-{tag}")
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hpath):
+            build().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
@@ -258,7 +282,11 @@ class Fixtures:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         else:
             text = ADAPTERS[name]
-            df = self.spark.sql(render(text, "spark"), **{d: self.table(d) for d in _deps(text)})
+
+            def build() -> DataFrame:
+                return self.spark.sql(render(text, "spark"), **{d: self.table(d) for d in _deps(text)})
+
+            df = self._stored(name, build) if self.materialize else build()
         self._cache[name] = df
         return df
 

@@ -175,14 +175,22 @@ def parse_timetable_sections(sections: DataFrame) -> dict[str, DataFrame]:
     platform line (``?``) belongs to the most recent stop.  A passing record
     (``;``) is a stop without times (§8-D2).  Zeros stay zeros (§8-D1).
     """
-    body = F.col("body")
-    entries = F.transform(body, lambda x, i: F.struct(
-        x.alias("line"),
-        F.size(F.filter(F.slice(body, 1, i + 1), _is_stop)).alias("idx"),
-        F.try_element_at(F.filter(F.slice(body, 1, i + 1), _is_stop), F.lit(-1)).alias("stop_line")))
+    # one left-to-right pass over the block: running stop index and the
+    # station of the most recent stop line
+    entry = "struct<line:string,idx:int,st:string>"
+    start = F.struct(F.array().cast(f"array<{entry}>").alias("out"), F.lit(0).alias("idx"),
+                     F.lit(None).cast("string").alias("st"))
+
+    def step(acc, x):
+        stop = _is_stop(x)
+        idx = acc["idx"] + F.when(stop, 1).otherwise(0)
+        st = F.when(stop, F.trim(F.get(F.split(F.substring(x, 2, 10 ** 6), ","), 0))).otherwise(acc["st"])
+        return F.struct(F.concat(acc["out"], F.array(F.struct(x.alias("line"), idx.alias("idx"), st.alias("st"))))
+                        .alias("out"), idx.alias("idx"), st.alias("st"))
+
+    entries = F.aggregate("body", start, step, lambda acc: acc["out"])
     e = sections.select(F.trim("head").try_cast("int").alias("serviceid"), F.explode(entries).alias("e")).select(
-        "serviceid", F.col("e.line").alias("line"), F.col("e.idx").alias("idx"),
-        F.trim(F.get(F.split(F.substring("e.stop_line", 2, 10 ** 6), ","), 0)).alias("stop_station"))
+        "serviceid", F.col("e.line").alias("line"), F.col("e.idx").alias("idx"), F.col("e.st").alias("stop_station"))
     tag = F.substring("line", 1, 1)
     p = fields(F.substring("line", 2, 10 ** 6))
     e = e.select("serviceid", "idx", "stop_station", tag.alias("tag"), p.alias("p"))
