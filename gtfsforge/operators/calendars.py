@@ -181,3 +181,41 @@ def gtfs_calendar_dates_footnotes(footnote: DataFrame, prefix: str = "NS:", exce
     """calendar_dates.txt of the rail / metro lineages (N-24, N-34)."""
     return footnote.select(F.concat(F.lit(prefix), as_text(key)).alias("service_id"),
                            gtfs_date(date_col).alias("date"), F.lit(exception_type).alias("exception_type"))
+
+
+# --------------------------------------------------------------------------
+# N-38 calendar.txt weekday flags (optional export)
+# --------------------------------------------------------------------------
+
+# ---- fixed values: Dutch day codes of the schedule-type rule ----
+DAY_CODES = ("MA", "DI", "WO", "DO", "VR", "ZA", "ZO")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+# ---- end of fixed values ----
+
+
+def weekday_flags(schedvers: DataFrame, rule: str = "range") -> DataFrame:
+    """calendar.txt rows per schedule version (N-38).
+
+    ``rule='description'``: the English day name occurs in the description;
+    ``'type_code'``: the schedule type is the day's Dutch code, or ``WE``
+    (working day) for Monday–Friday; ``'range'``: the weekday occurs in
+    [validfrom, validthru] (decided from the range length and the first
+    day's weekday, without expanding the range).
+    """
+    flags = []
+    for i, day in enumerate(WEEKDAYS):
+        if rule == "description":
+            f = F.instr(F.col("description"), day.capitalize()) > 0
+        elif rule == "type_code":
+            f = F.col("scheduletypecode") == DAY_CODES[i]
+            if i < 5:
+                f = f | (F.col("scheduletypecode") == "WE")
+        elif rule == "range":
+            n_days = F.datediff("validthru", "validfrom") + 1
+            offset = F.pmod(F.lit(i) - F.weekday("validfrom"), F.lit(7))
+            f = (n_days >= 7) | (offset < n_days)
+        else:
+            raise ValueError(f"unknown weekday rule {rule!r}")
+        flags.append(F.coalesce(f, F.lit(False)).cast("int").alias(day))
+    return schedvers.select(pipe_id(*SCHED).alias("service_id"), *flags,
+                            gtfs_date("validfrom").alias("start_date"), gtfs_date("validthru").alias("end_date"))

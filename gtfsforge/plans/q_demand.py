@@ -260,7 +260,24 @@ select service_id, {ymd('date')} as date, 1 as exception_type from (select * fro
 """)
 
 
+# ---- q_weekday_flags (N-38) ------------------------------------------------
+
+def q_weekday_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.weekday_flags(q_schedvers(spark, sf_dir), rule="range")
+
+
+_DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+SQL_WEEKDAY_FLAGS = duckdb_with(["services", "journeys"], f", {_SCHEDVERS_CTE.strip()}\nselect " + (
+    "cast(version as varchar) || '|' || dataownercode || '|' || organizationalunitcode || '|' || "
+    "cast(schedulecode as varchar) || '|' || scheduletypecode as service_id, "
+    + ", ".join(
+        f"cast(coalesce((validthru - validfrom + 1) >= 7 or (({i} - (isodow(validfrom) - 1)) % 7 + 7) % 7 < "
+        f"(validthru - validfrom + 1), false) as integer) as {d}" for i, d in enumerate(_DAYS))
+    + ", strftime(validfrom, '%Y%m%d') as start_date, strftime(validthru, '%Y%m%d') as end_date from sv"))
+
+
 QUERIES = {
+    "q_weekday_flags": (q_weekday_flags, SQL_WEEKDAY_FLAGS),
     "q_profiles": (q_profiles, SQL_PROFILES),
     "q_redistribute": (q_redistribute, None),
     "q_timdempass": (q_timdempass, None),
