@@ -15,11 +15,12 @@ stop.  Lookup constants are literal tables and are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cols import as_text, null_of, pipe_id
 from ..functions.first import first_per_key
+from ..functions.rank import grouped_rank
 from ..functions.geo import rd_lat, rd_lon
 from ..functions.times import format_clock, gtfs_date
 from . import mappings as M
@@ -382,7 +383,8 @@ def gtfs_shapes(
     numbers every point (ties broken by ``tiebreak``) and keeps the first
     point per (link order, distance, link validity).  ``pool`` either carries
     ``locationx_ew/locationy_ns`` itself or is joined to ``point``.  The
-    window is partitioned by pattern, bounded by that pattern's geometry.
+    numbering is a ``grouped_rank``: a pattern with a huge geometry is spread over
+    several tasks instead of one window partition.
     """
     j = jopatili.select(*PATTERN, "timinglinkorder", "userstopcodebegin", "userstopcodeend")
     pl = pool
@@ -399,13 +401,12 @@ def gtfs_shapes(
         s = s.filter(F.col("transporttype") == F.col("line_transporttype"))
     if exclude_train:
         s = s.join(train_lines(lines), on=["dataownercode", "lineplanningnumber"], how="left_anti")
-    w = Window.partitionBy(*PATTERN)
     if rank_mode == "rank":
-        s = s.withColumn("shape_pt_sequence", F.rank().over(w.orderBy("timinglinkorder", "distancesincestartoflink")))
+        s = grouped_rank(s, PATTERN, ["timinglinkorder", "distancesincestartoflink"], "shape_pt_sequence", "rank")
     else:
         ties = [c for c in tiebreak if c in s.columns] + ["locationx_ew", "locationy_ns"]
-        s = s.withColumn("shape_pt_sequence", F.row_number().over(
-            w.orderBy("timinglinkorder", "distancesincestartoflink", *ties)))
+        s = grouped_rank(s, PATTERN, ["timinglinkorder", "distancesincestartoflink", *ties], "shape_pt_sequence",
+                         "row_number")
         dedup = PATTERN + ["timinglinkorder", "distancesincestartoflink"]
         if "linkvalidfrom" in s.columns:
             dedup.append("linkvalidfrom")

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.rank import grouped_rank
+
 JOURNEY = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode",
            "lineplanningnumber", "journeynumber"]
 GROUP = ["version", "dataownercode", "lineplanningnumber", "journeypatterncode"]
@@ -62,14 +64,16 @@ def compress_journeys(pujopass: DataFrame) -> dict[str, DataFrame]:
     and ``timdemrnt``.  Codes are 0, 1, 2 … per (version, owner, line,
     pattern) in the order in which the profile first appears in journey-key
     order.  Grouping is on the profile array itself (exact, no hash
-    collisions); the code ranking runs over distinct profiles of one
-    pattern, never over journeys.
+    collisions); the code ranking runs over distinct profiles, never
+    over journeys, and is itself spread over tasks (``grouped_rank``).
     """
     jp = journey_profiles(pujopass)
     first_key = F.struct("organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber")
     profiles = jp.groupBy(*GROUP, "profile").agg(F.min(first_key).alias("first_key"))
-    w = Window.partitionBy(*GROUP).orderBy("first_key")
-    codes = profiles.withColumn("timedemandgroupcode", F.dense_rank().over(w) - 1).drop("first_key")
+    # first keys are distinct per profile, so the dense rank is a row number;
+    # grouped_rank spreads a pattern with very many profiles over many tasks
+    codes = grouped_rank(profiles, GROUP, ["first_key"], "code1", method="row_number") \
+        .withColumn("timedemandgroupcode", F.col("code1") - 1).drop("first_key", "code1")
     schedpujo = jp.join(codes, on=GROUP + ["profile"]).drop("profile")
     timdemgrp = codes.select(*GROUP, "timedemandgroupcode")
     timdemrnt = codes.select(*GROUP, "timedemandgroupcode", F.explode("profile").alias("r")).select(

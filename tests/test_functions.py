@@ -106,3 +106,23 @@ def test_unit_code_rule(spark):
     df = spark.createDataFrame([("HTM", "HTMbuzz-2024"), ("HTM", "htm-rail"), ("ARR", "x")], "o string, k string")
     got = [r[0] for r in df.select(increment.unit_code(F.col("o"), F.col("k"))).collect()]
     assert got == ["SGHB", "SGHR", "ARR"]
+
+
+def test_grouped_rank_matches_window_rank_on_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from gtfsforge.functions.rank import grouped_rank
+
+    # key 'hot' holds most rows and spans every range partition; ties included
+    rows = [("hot", i // 3, i) for i in range(3000)] + [("cold", i % 5, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, o int, u int")
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy("o")))
+    got = grouped_rank(df, ["k"], ["o"], "r", method="rank", partitions=8)
+    assert sorted(map(tuple, got.select("k", "o", "u", "r").collect())) == \
+        sorted(map(tuple, want.select("k", "o", "u", "r").collect()))
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("o", "u")))
+    got = grouped_rank(df, ["k"], ["o", "u"], "r", method="row_number", partitions=8)
+    assert sorted(map(tuple, got.select("k", "o", "u", "r").collect())) == \
+        sorted(map(tuple, want.select("k", "o", "u", "r").collect()))
+    pids = got.select("k").filter("k = 'hot'").count()
+    assert pids == 3000
