@@ -249,7 +249,37 @@ SQL_SHAPES_RANK = _shapes_sql("rank")
 SQL_SHAPES_SEQ = _shapes_sql("row_number")
 
 
+# ---- q_stops_latest (N-15, newest version first, then filter) ---------------
+
+def q_stops_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = kv1_tables(Fixtures(spark, sf_dir))
+    return G.gtfs_stops_kv1(t["usrstop"], t["usrstar"], t["point"], t["jopatili"], mode="latest_then_filter")
+
+
+SQL_STOPS_LATEST = SQL_STOPS.replace(
+    "row_number() over (partition by dataownercode, userstopcode order by version desc) as rn\n   from stops s where getin or getout) where rn = 1)",
+    "row_number() over (partition by dataownercode, userstopcode order by version desc) as rn\n   from stops s) where rn = 1 and (getin or getout))")
+
+
+# ---- q_routes_prefix (N-16, agency from the line-code prefix) --------------
+
+def q_routes_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = kv1_tables(Fixtures(spark, sf_dir))
+    return G.gtfs_routes_kv1(t["line"], t["jopatili"], agency_rule="prefix")
+
+
+SQL_ROUTES_PREFIX = SQL_ROUTES.replace(
+    "case when l.dataownercode = 'ARR' and cast(l.lineplanningnumber as varchar) like '150__' then 'WATERBUS' else l.dataownercode end as agency_id",
+    "case when substr(cast(l.lineplanningnumber as varchar), 1, 1) = 'U' then 'GVU' "
+    "when substr(cast(l.lineplanningnumber as varchar), 1, 1) in ('A', 'X') then 'BRENG' "
+    "when substr(cast(l.lineplanningnumber as varchar), 1, 1) = 'L' then 'HERMES' else l.dataownercode end as agency_id").replace(
+    "case when cast(l.linepublicnumber as varchar) <> l.linename then l.linename else null end as route_long_name",
+    "l.linename as route_long_name")
+
+
 QUERIES = {
+    "q_stops_latest": (q_stops_latest, SQL_STOPS_LATEST),
+    "q_routes_prefix": (q_routes_prefix, SQL_ROUTES_PREFIX),
     "q_stop_times": (q_stop_times, SQL_STOP_TIMES),
     "q_trips": (q_trips, SQL_TRIPS),
     "q_calendar_dates": (q_calendar_dates, SQL_CALENDAR_DATES),

@@ -97,7 +97,46 @@ select voetnoot || '|' || ritnummer as trip_id, {clock('coalesce(arr_s, dep_s)')
 """)
 
 
+# ---- q_pas_calendar_dates / q_pas_feed_info (N-34) -------------------------
+
+PAS_FIRST_DAY = "2024-01-01"
+
+
+def _voetnoot(fx: Fixtures) -> DataFrame:
+    from ..operators.calendars import bitmap_dates
+
+    b = fx.bitmaps.select(F.lpad(F.col("footnote").cast("string"), 5, "0").alias("voetnoot"), "bits")
+    return bitmap_dates(b, PAS_FIRST_DAY, key="voetnoot").withColumnRenamed("servicedate", "datum")
+
+
+def q_pas_calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.gtfs_calendar_dates_pas(_voetnoot(Fixtures(spark, sf_dir)))
+
+
+_VTN = f"""
+, vt as (select lpad(cast(footnote as varchar), 5, '0') as voetnoot, date '{PAS_FIRST_DAY}' + cast(i - 1 as integer) as datum
+   from bitmaps, generate_series(1, 14) as t(i) where substr(bits, cast(i as integer), 1) = '1')"""
+
+SQL_PAS_CALENDAR_DATES = duckdb_with(["bitmaps"], _VTN + """
+select voetnoot as service_id, strftime(datum, '%Y%m%d') as date, '1' as exception_type from vt
+""")
+
+
+def q_pas_feed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.gtfs_kv1 import gtfs_feed_info
+
+    return gtfs_feed_info(_voetnoot(Fixtures(spark, sf_dir)), "datum", feed_version="1")
+
+
+SQL_PAS_FEED_INFO = duckdb_with(["bitmaps"], _VTN + """
+select 'OVapi' as feed_publisher_name, 'http://ovapi.nl/' as feed_publisher_url, 'nl' as feed_lang,
+ strftime(min(datum), '%Y%m%d') as feed_start_date, strftime(max(datum), '%Y%m%d') as feed_end_date, '1' as feed_version from vt
+""")
+
+
 QUERIES = {
+    "q_pas_calendar_dates": (q_pas_calendar_dates, SQL_PAS_CALENDAR_DATES),
+    "q_pas_feed_info": (q_pas_feed_info, SQL_PAS_FEED_INFO),
     "q_midnight": (q_midnight, SQL_MIDNIGHT),
     "q_pas_stops": (q_pas_stops, SQL_PAS_STOPS),
     "q_pas_routes": (q_pas_routes, SQL_PAS_ROUTES),
