@@ -1,10 +1,14 @@
 """GTFS from KV1 validity + time-demand groups (L2: N-11, N-20 and L2 trips).
 
-A journey (pujo) is a departure time plus a time-demand group; the passes
-are recovered by joining the journey to the group's link offsets
-(timdempass, N-7).  The join is keyed by (pattern, group): a hot pattern is
-a skewed key on the journey side only, which AQE's skew-join splitting
-handles (the offsets side of one key is just that pattern's links).
+A journey (pujo) is a departure time plus a time-demand group.  Everything
+that depends only on the stop position — the stop, its offsets, its
+product formula, headsign and boarding flags — is resolved first on a
+per-(pattern, group) template built from pattern-level tables.  The
+journeys then meet the template in one join keyed by (pattern, group),
+which emits the pass rows: the journeys are shuffled once and the large
+output never is.  A hot pattern is a skewed key on the journey side only,
+which AQE's skew-join splitting handles (the template side of one key is
+just that pattern's stops).
 """
 
 from __future__ import annotations
@@ -29,33 +33,41 @@ def _first_links(jopatili: DataFrame) -> DataFrame:
         .withColumnRenamed("timinglinkorder", "first_tlo").withColumnRenamed("userstopcodebegin", "first_stop")
 
 
+def pass_template(pujo: DataFrame, jopatili: DataFrame, timdempass: DataFrame) -> DataFrame:
+    """The stops of every (pattern, time-demand group) that journeys use,
+    with offsets from the departure: stop 1 = begin of the first link at
+    offset 0; stop k+1 = end of the k-th link at its drive offset, left after
+    its wait.  Built from pattern-level tables only (no journey rows)."""
+    first = _first_links(jopatili)
+    groups = pujo.select(*DEMAND).distinct()
+    head = groups.join(first, on=PATTERN).select(
+        *DEMAND, F.lit(1).alias("stoporder"), F.col("first_stop").alias("userstopcode"),
+        F.lit(0).cast("long").alias("arr_off"), F.lit(0).cast("long").alias("dep_off"))
+    rest = timdempass.select(*DEMAND, "timinglinkorder", "userstopcodeend", "totaldrivetime", "stopwaittime") \
+        .join(first.select(*PATTERN, "first_tlo"), on=PATTERN).select(
+        *DEMAND, (F.col("timinglinkorder") - F.col("first_tlo") + 2).cast("int").alias("stoporder"),
+        F.col("userstopcodeend").alias("userstopcode"), F.col("totaldrivetime").cast("long").alias("arr_off"),
+        (F.col("totaldrivetime") + F.col("stopwaittime")).cast("long").alias("dep_off"))
+    return head.unionByName(rest)
+
+
 def expand_passes(pujo: DataFrame, jopatili: DataFrame, timdempass: DataFrame) -> DataFrame:
     """pujopass rows from journeys (N-11).
 
-    Stop 1 is the begin of the pattern's first link at the departure time;
-    the end of the k-th link (in link order) is stop k+1, reached at
-    departure + offset and left after its wait.  Later stops use the link's
-    *end* stop (§8-D11).
+    The per-(pattern, group) stop template is built first; the journeys then
+    meet it in a single join keyed by (pattern, group), which produces the
+    pass rows — the large output is never shuffled.  Later stops use the
+    link's *end* stop (§8-D11).
     """
-    first = _first_links(jopatili)
+    tmpl = pass_template(pujo, jopatili, timdempass)
     base = pujo.select(
         "version", "dataownercode", "organizationalunitcode", F.col("periodgroupcode").alias("schedulecode"),
         F.col("daytype").alias("scheduletypecode"), "lineplanningnumber", "journeynumber", "journeypatterncode",
         "timedemandgroupcode", "departure_s", "wheelchairaccessible", "dataownerisoperator")
-    head = base.join(first, on=PATTERN).select(
-        *[c for c in PUJO_OUT[:7]], F.lit(1).alias("stoporder"), "journeypatterncode",
-        F.col("first_stop").alias("userstopcode"), F.col("departure_s").alias("arr_s"),
-        F.col("departure_s").alias("dep_s"), "wheelchairaccessible", "dataownerisoperator")
-    offsets = timdempass.select(*DEMAND, "timinglinkorder", "userstopcodeend", "totaldrivetime", "stopwaittime") \
-        .join(first.select(*PATTERN, "first_tlo"), on=PATTERN)
-    rest = base.join(offsets, on=DEMAND).select(
-        *[c for c in PUJO_OUT[:7]],
-        (F.col("timinglinkorder") - F.col("first_tlo") + 2).cast("int").alias("stoporder"), "journeypatterncode",
-        F.col("userstopcodeend").alias("userstopcode"),
-        (F.col("departure_s") + F.col("totaldrivetime")).alias("arr_s"),
-        (F.col("departure_s") + F.col("totaldrivetime") + F.col("stopwaittime")).alias("dep_s"),
-        "wheelchairaccessible", "dataownerisoperator")
-    return head.unionByName(rest)
+    return base.join(tmpl, on=DEMAND).select(
+        *PUJO_OUT[:7], "stoporder", "journeypatterncode", "userstopcode",
+        (F.col("departure_s") + F.col("arr_off")).alias("arr_s"),
+        (F.col("departure_s") + F.col("dep_off")).alias("dep_s"), "wheelchairaccessible", "dataownerisoperator")
 
 
 def stop_links(jopatili: DataFrame, dest: DataFrame) -> DataFrame:
@@ -63,20 +75,23 @@ def stop_links(jopatili: DataFrame, dest: DataFrame) -> DataFrame:
     for the final stop), with its product formula and destination name."""
     links = jopatili.select(*PATTERN, "timinglinkorder", "userstopcodebegin", "userstopcodeend", "destcode",
                             "productformulatype")
-    first = _first_links(jopatili).select(*PATTERN, "first_tlo")
-    last = first_per_key(links, PATTERN, ["timinglinkorder"], ["timinglinkorder", "userstopcodeend", "destcode",
-                                                               "productformulatype"], descending=True)
-    begins = links.join(first, on=PATTERN).select(
+    # first and last link of every pattern in one aggregation
+    ends = links.groupBy(*PATTERN).agg(
+        F.min(F.struct("timinglinkorder", "destcode")).alias("f"),
+        F.max(F.struct("timinglinkorder", "userstopcodeend", "destcode", "productformulatype")).alias("l")) \
+        .select(*PATTERN, F.col("f.timinglinkorder").alias("first_tlo"), F.col("f.destcode").alias("trip_destcode"),
+                F.col("l.timinglinkorder").alias("last_tlo"), F.col("l.destcode").alias("last_destcode"),
+                F.col("l.productformulatype").alias("last_formula"))
+    begins = links.join(ends, on=PATTERN).select(
         *PATTERN, (F.col("timinglinkorder") - F.col("first_tlo") + 1).cast("int").alias("stoporder"),
-        F.col("timinglinkorder").alias("stop_sequence"), "destcode", "productformulatype", F.lit(False).alias("final"))
-    ends = last.join(first, on=PATTERN).select(
-        *PATTERN, (F.col("timinglinkorder") - F.col("first_tlo") + 2).cast("int").alias("stoporder"),
-        (F.col("timinglinkorder") + 1).alias("stop_sequence"), "destcode", "productformulatype",
-        F.lit(True).alias("final"))
-    trip = first_per_key(links, PATTERN, ["timinglinkorder"], ["destcode"]).withColumnRenamed("destcode", "trip_destcode")
+        F.col("timinglinkorder").alias("stop_sequence"), "destcode", "productformulatype", "trip_destcode",
+        F.lit(False).alias("final"))
+    finals = ends.select(
+        *PATTERN, (F.col("last_tlo") - F.col("first_tlo") + 2).cast("int").alias("stoporder"),
+        (F.col("last_tlo") + 1).alias("stop_sequence"), F.col("last_destcode").alias("destcode"),
+        F.col("last_formula").alias("productformulatype"), "trip_destcode", F.lit(True).alias("final"))
     names = dest.select("version", "dataownercode", "destcode", "destnamefull")
-    return begins.unionByName(ends).join(trip, on=PATTERN, how="left") \
-        .join(names, on=["version", "dataownercode", "destcode"], how="left")
+    return begins.unionByName(finals).join(names, on=["version", "dataownercode", "destcode"], how="left")
 
 
 def gtfs_stop_times_demand(
@@ -100,15 +115,21 @@ def gtfs_stop_times_demand(
     pj = pujo.filter(F.col("dataownerisoperator"))
     if exclude_lines is not None:
         pj = pj.join(exclude_lines.select("lineplanningnumber").distinct(), on="lineplanningnumber", how="left_anti")
-    passes = expand_passes(pj, jopatili, timdempass)
-    sl = stop_links(jopatili, dest)
+    # everything per stop position is resolved on the (pattern, group)
+    # template; the journeys join it once and emit the stop rows
     stops = usrstop
     if "userstoptype" in stops.columns:
         stops = stops.filter(F.col("userstoptype") == "PASSENGER")
     stops = stops.select("version", "dataownercode", "userstopcode", "getin", "getout")
-    j = passes.join(sl, on=PATTERN + ["stoporder"]).join(stops, on=["version", "dataownercode", "userstopcode"],
-                                                         how="left")
-    j = j.filter(F.col("final") | F.col("getin").isNotNull())
+    tmpl = pass_template(pj, jopatili, timdempass) \
+        .join(stop_links(jopatili, dest), on=PATTERN + ["stoporder"]) \
+        .join(stops, on=["version", "dataownercode", "userstopcode"], how="left") \
+        .filter(F.col("final") | F.col("getin").isNotNull())
+    j = pj.select("version", "dataownercode", "lineplanningnumber", "journeypatterncode", "timedemandgroupcode",
+                  F.col("periodgroupcode").alias("schedulecode"), F.col("daytype").alias("scheduletypecode"),
+                  "journeynumber", "departure_s").join(tmpl, on=DEMAND) \
+        .withColumn("arr_s", F.col("departure_s") + F.col("arr_off")) \
+        .withColumn("dep_s", F.col("departure_s") + F.col("dep_off"))
     on_demand = F.col("productformulatype").isin(*M.ON_DEMAND_FORMULAS)
 
     def pick(flag: str):

@@ -193,10 +193,10 @@ def gtfs_routes_iff_v1(transport: DataFrame, trnsmode: DataFrame, service: DataF
 
 
 def _end_stations(stop: DataFrame) -> DataFrame:
-    begin = first_per_key(stop, ["serviceid"], ["idx"], ["station"]).withColumnRenamed("station", "begin_station")
-    dest = first_per_key(stop, ["serviceid"], ["idx"], ["station"], descending=True) \
-        .withColumnRenamed("station", "dest_station")
-    return begin.join(dest, on="serviceid")
+    """First and last station of each service in one aggregation."""
+    e = stop.groupBy("serviceid").agg(F.min(F.struct("idx", "station")).alias("b"),
+                                      F.max(F.struct("idx", "station")).alias("d"))
+    return e.select("serviceid", F.col("b.station").alias("begin_station"), F.col("d.station").alias("dest_station"))
 
 
 def gtfs_routes_iff_v3(transport: DataFrame, trnsmode: DataFrame, service: DataFrame, company: DataFrame,

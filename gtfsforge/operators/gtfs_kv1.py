@@ -101,16 +101,17 @@ def pattern_info(jopatili: DataFrame, dest: DataFrame) -> DataFrame:
     """
     links = jopatili.select(*PATTERN, "timinglinkorder", "userstopcodebegin", "userstopcodeend", "destcode",
                             "productformulatype")
-    first = first_per_key(links, PATTERN, ["timinglinkorder"],
-                          ["timinglinkorder", "userstopcodebegin", "destcode"]) \
-        .withColumnRenamed("timinglinkorder", "first_tlo") \
-        .withColumnRenamed("userstopcodebegin", "first_stop") \
-        .withColumnRenamed("destcode", "trip_destcode")
-    last = first_per_key(links, PATTERN, ["timinglinkorder"], ["timinglinkorder", "userstopcodeend", "destcode"],
-                         descending=True)
-    formula = first_per_key(
-        links.filter(F.col("productformulatype").isNotNull() & (F.col("productformulatype") != M.IGNORED_FORMULA)),
-        PATTERN, ["timinglinkorder"], ["productformulatype"])
+    # first link, last link and first link with a usable formula: one aggregation
+    usable = F.col("productformulatype").isNotNull() & (F.col("productformulatype") != M.IGNORED_FORMULA)
+    ends = links.groupBy(*PATTERN).agg(
+        F.min(F.struct("timinglinkorder", "userstopcodebegin", "destcode")).alias("f"),
+        F.max(F.struct("timinglinkorder", "userstopcodeend", "destcode")).alias("l"),
+        F.min(F.when(usable, F.struct("timinglinkorder", "productformulatype"))).alias("pf"))
+    first = ends.select(*PATTERN, F.col("f.timinglinkorder").alias("first_tlo"),
+                        F.col("f.userstopcodebegin").alias("first_stop"), F.col("f.destcode").alias("trip_destcode"),
+                        F.col("pf.productformulatype").alias("productformulatype"))
+    last = ends.select(*PATTERN, F.col("l.timinglinkorder").alias("timinglinkorder"),
+                       F.col("l.userstopcodeend").alias("userstopcodeend"), F.col("l.destcode").alias("destcode"))
     stop_dest = links.select(*PATTERN, F.col("timinglinkorder").alias("stoporder"), "destcode").unionByName(
         last.select(*PATTERN, (F.col("timinglinkorder") + 1).alias("stoporder"), "destcode")).distinct()
     names = dest.select("version", "dataownercode", "destcode", "destnamefull")
@@ -125,7 +126,6 @@ def pattern_info(jopatili: DataFrame, dest: DataFrame) -> DataFrame:
     trip_names = names.withColumnRenamed("destcode", "trip_destcode").withColumnRenamed("destnamefull", "trip_headsign")
     return (
         first.join(trip_names, on=["version", "dataownercode", "trip_destcode"], how="left")
-        .join(formula, on=PATTERN, how="left")
         .join(differing, on=PATTERN, how="left")
     )
 
