@@ -41,6 +41,9 @@ def grouped_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     local = ranked = ranged.withColumn(
         "__lr", fn.over(Window.partitionBy(*keys, "__pid").orderBy(*[F.col(nm) for nm in names])))
     if checkpoint:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
         local = ranked.checkpoint(eager=True)
     counts = local.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
