@@ -142,6 +142,11 @@ def purge_expired(ledger: DataFrame, operday: DataFrame, as_of) -> DataFrame:
     return ref.withColumn("purged", flag)
 
 
+def any_purged(refreshed_ledger: DataFrame) -> DataFrame:
+    """One row: did the purge move any version to the tombstones? (E-12, ``bool_or``)."""
+    return refreshed_ledger.agg(F.coalesce(F.bool_or("purged"), F.lit(False)).alias("changed"))
+
+
 def cascade_live(df: DataFrame, live_ledger: DataFrame) -> DataFrame:
     """Drop rows of versions no longer in the ledger (K-6, B-6 cascade)."""
     return df.join(live_ledger.select("version").distinct(), on="version", how="left_semi")
@@ -149,7 +154,8 @@ def cascade_live(df: DataFrame, live_ledger: DataFrame) -> DataFrame:
 
 # ---- N-2, L-1, L-3, L-4 ----------------------------------------------------
 
-def plan_imports(index: DataFrame, ledger: DataFrame, force_baseline_keys: tuple[str, ...] = ()) -> DataFrame:
+def plan_imports(index: DataFrame, ledger: DataFrame, force_baseline_keys: tuple[str, ...] = (),
+                 publish_col: str | None = None) -> DataFrame:
     """Deliveries to import, in import order (N-2, L-1, L-4).
 
     Published index entries whose (key, owner version) is neither live nor
@@ -161,7 +167,8 @@ def plan_imports(index: DataFrame, ledger: DataFrame, force_baseline_keys: tuple
         idx = idx.withColumn("isbaseline", F.col("isbaseline") | F.col("feedkey").isin(*force_baseline_keys))
     seen = ledger.select("feedkey", "dataownerversion").distinct()
     todo = idx.filter(F.col("ispublished")).join(seen, on=["feedkey", "dataownerversion"], how="left_anti")
-    return todo.orderBy(F.col("isbaseline").desc(), F.col("idx"), F.col("publishorder"))
+    publish_col = publish_col or ("publishorder" if "publishorder" in index.columns else "publishdate")
+    return todo.orderBy(F.col("isbaseline").desc(), F.col("idx"), F.col(publish_col))
 
 
 def unpublished_keys(index: DataFrame) -> DataFrame:

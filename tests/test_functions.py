@@ -126,3 +126,35 @@ def test_grouped_rank_matches_window_rank_on_a_hot_key(spark):
         sorted(map(tuple, want.select("k", "o", "u", "r").collect()))
     pids = got.select("k").filter("k = 'hot'").count()
     assert pids == 3000
+
+
+def test_sql_functions(spark):
+    from gtfsforge.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    r = spark.sql("select toseconds('24:05:10') a, toseconds('7:05') b, add32time('23:58:00', 420) c, "
+                  "timediff('23:50', '24:10') d, clocktext(59) e").first()
+    assert (r.a, r.b, r.c, r.d, r.e) == (86710, 25500, "24:05:00", 1200, "00:00:59")
+
+
+def test_formula_fixes_pad_seconds_and_reassign(spark):
+    from gtfsforge.operators import gtfs_iff, gtfs_kv1
+
+    jt = spark.createDataFrame([("VTN", "buur", 7), ("VTN", None, 7), ("ARR", "Bubu", None), ("XYZ", "belb", 5)],
+                               "dataownercode string, deprecated string, productformulatype int")
+    got = sorted(((r[0], r[1] or "", r[2]) for r in gtfs_kv1.product_formula_fixes(jt).collect()))
+    assert got == [("ARR", "Bubu", 1), ("VTN", "", 7), ("VTN", "buur", 1), ("XYZ", "belb", 5)]
+    pp = spark.createDataFrame([("12:30", "12:31"), ("12:30:00", "12:31")],
+                               "targetarrivaltime string, targetdeparturetime string")
+    got = [tuple(r) for r in gtfs_kv1.pad_seconds_text(pp).collect()]
+    assert got == [("12:30:00", "12:31:00"), ("12:30:00", "12:31")]  # only the arrival's length is tested
+    svc = spark.createDataFrame([(1, 960), (2, 960), (3, 960), (4, 100)], "serviceid int, companynumber int")
+    tr = spark.createDataFrame([(1, "TGV"), (2, "THA"), (3, "IC"), (4, "TGV")], "serviceid int, transmode string")
+    got = dict(map(tuple, gtfs_iff.reassign_company(svc, tr).select("serviceid", "companynumber").collect()))
+    assert got == {1: 980, 2: 300, 3: 960, 4: 100}
+
+
+def test_purge_changed_flag(spark):
+    ledger = spark.createDataFrame([(1, False), (2, True)], "version int, purged boolean")
+    assert increment.any_purged(ledger).first()["changed"] is True
+    assert increment.any_purged(ledger.filter("version = 1")).first()["changed"] is False
