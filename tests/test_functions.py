@@ -158,3 +158,20 @@ def test_purge_changed_flag(spark):
     ledger = spark.createDataFrame([(1, False), (2, True)], "version int, purged boolean")
     assert increment.any_purged(ledger).first()["changed"] is True
     assert increment.any_purged(ledger.filter("version = 1")).first()["changed"] is False
+
+
+def test_iff_stop_outside_parts_keeps_a_row_per_footnote(spark):
+    from gtfsforge.operators import gtfs_iff
+
+    stop = spark.createDataFrame([(1, 1, "a", None, 600), (1, 2, "b", 700, 720), (1, 3, "c", 800, None)],
+                                 "serviceid int, idx int, station string, arr_s long, dep_s long")
+    service = spark.createDataFrame([(1, 100, 12, None, 1, 2, None)],
+                                    "serviceid int, companynumber int, servicenumber int, variant string, "
+                                    "firststop int, laststop int, servicename string")
+    validity = spark.createDataFrame([(1, 7, 0, 999), (1, 8, 0, 999)],
+                                     "serviceid int, footnote int, firststop int, laststop int")
+    attribute = spark.createDataFrame([], "serviceid int, code string, firststop int, laststop int")
+    platform = spark.createDataFrame([], "serviceid int, idx int, station string, arrival string, departure string")
+    rows = gtfs_iff.gtfs_stop_times_iff(stop, attribute, service, validity, platform).collect()
+    trips = sorted((r["trip_id"] or "-", r["stop_sequence"]) for r in rows)
+    assert trips == [("-", 1), ("-", 1), ("1|7|12", 1), ("1|7|12", 2), ("1|8|12", 1), ("1|8|12", 2)]
