@@ -51,8 +51,9 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
     """One row per violated rule with its count (N-39).
 
     Rules: stop_times key unique; stop_times -> trips, stop_times -> stops,
-    trips -> routes, trips -> calendar service ids; times never decrease
-    along a trip; stops inside ``bounds``.  Rules with 0 violations are not
+    trips -> routes, trips -> calendar service ids, routes -> agencies;
+    calendar dates unique per service; times never decrease along a trip;
+    stops inside ``bounds``.  Rules with 0 violations are not
     listed.
     """
     parts = []
@@ -79,6 +80,11 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
         if cal is not None:
             rule("trips_unknown_service",
                  trips.join(cal.select("service_id").distinct(), on="service_id", how="left_anti"))
+    agency = feed.get("agency")
+    if routes is not None and agency is not None:
+        rule("routes_unknown_agency", routes.join(agency.select("agency_id"), on="agency_id", how="left_anti"))
+    if cal is not None:
+        rule("calendar_dates_duplicate", check_primary_key(cal, ["service_id", "date"]))
     if stops is not None:
         lat_lo, lat_hi, lon_lo, lon_hi = bounds
         lat, lon = F.col("stop_lat").cast("double"), F.col("stop_lon").cast("double")

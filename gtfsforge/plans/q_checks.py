@@ -44,7 +44,7 @@ def q_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = {
         "stop_times": q_kv1.q_stop_times(spark, sf_dir), "trips": q_kv1.q_trips(spark, sf_dir),
         "stops": q_kv1.q_stops(spark, sf_dir), "routes": q_kv1.q_routes(spark, sf_dir),
-        "calendar_dates": q_kv1.q_calendar_dates(spark, sf_dir),
+        "calendar_dates": q_kv1.q_calendar_dates(spark, sf_dir), "agency": q_kv1.q_agency(spark, sf_dir),
     }
     return K.validate_gtfs(feed)
 
@@ -56,7 +56,7 @@ def _to_s(col: str) -> str:
 
 SQL_VALIDATE = f"""
 with st as ({q_kv1.SQL_STOP_TIMES}), tr as ({q_kv1.SQL_TRIPS}), sp as ({q_kv1.SQL_STOPS}),
-rt as ({q_kv1.SQL_ROUTES}), cd as ({q_kv1.SQL_CALENDAR_DATES}),
+rt as ({q_kv1.SQL_ROUTES}), cd as ({q_kv1.SQL_CALENDAR_DATES}), ag as ({q_kv1.SQL_AGENCY}),
 tm as (select trip_id, {_to_s('arrival_time')} as a, {_to_s('departure_time')} as d,
    lag({_to_s('departure_time')}) over (partition by trip_id order by stop_sequence) as prev_d from st),
 r as (
@@ -66,6 +66,8 @@ r as (
  union all select 'stop_times_unknown_stop', count(*) from st where stop_id not in (select stop_id from sp where stop_id is not null)
  union all select 'trips_unknown_route', count(*) from tr where route_id not in (select route_id from rt where route_id is not null)
  union all select 'trips_unknown_service', count(*) from tr where service_id not in (select service_id from cd where service_id is not null)
+ union all select 'routes_unknown_agency', count(*) from rt where agency_id not in (select agency_id from ag where agency_id is not null)
+ union all select 'calendar_dates_duplicate', count(*) from (select service_id, date from cd group by all having count(*) > 1)
  union all select 'stops_out_of_bounds', count(*) from sp where not (cast(stop_lat as double) between 50.5 and 53.8
    and cast(stop_lon as double) between 3.2 and 7.3))
 select rule, violations from r where violations > 0

@@ -78,8 +78,38 @@ def table_name(member: str) -> str:
     return base.rstrip("X").lower()
 
 
-def read_delivery(spark: SparkSession, files: dict[str, str], dialect: str = "standard",
-                  charset: str = "UTF-8") -> dict[str, DataFrame]:
-    """All tables of one delivery present in ``files`` (table -> path), in
-    load order; absent tables are skipped (A-5)."""
+def list_delivery(spark: SparkSession, path: str) -> dict[str, str]:
+    """table -> file path for an unpacked delivery folder (file names only
+    are listed on the driver; no data is read)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[str, str] = {}
+    for st in fs.listStatus(root):
+        if st.isFile():
+            name = st.getPath().getName()
+            t = table_name(name)
+            if t in schemas.KV1_TABLES:
+                out[t] = st.getPath().toString()
+    return out
+
+
+def delivery_owner(spark: SparkSession, operday_path: str) -> str | None:
+    """Data owner of a delivery: the owner column of its first OPERDAY row."""
+    r = read_kv1(spark, operday_path, "operday").select("dataownercode").first()
+    return None if r is None else r[0]
+
+
+def read_delivery(spark: SparkSession, files: dict[str, str] | str, dialect: str = "standard",
+                  charset: str | None = None) -> dict[str, DataFrame]:
+    """All tables of one delivery, in load order; absent tables are skipped
+    (A-5).  ``files`` is a folder or a table -> path map.  Without
+    ``charset`` the owner's charset is used (A-3)."""
+    from .charsets import charset_of_owner
+
+    if isinstance(files, str):
+        files = list_delivery(spark, files)
+    if charset is None:
+        owner = delivery_owner(spark, files["operday"]) if "operday" in files else None
+        charset = charset_of_owner(owner) if owner else "UTF-8"
     return {t: read_kv1(spark, files[t], t, dialect, charset) for t in schemas.IMPORT_ORDER if t in files}

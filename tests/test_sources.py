@@ -203,3 +203,14 @@ def test_sinks_write_header_even_when_empty(spark, tmp_path):
     assert back.columns == ["shape_id", "shape_pt_lat", "shape_pt_lon", "shape_pt_sequence"]
     got = [r["stop_sequence"] for r in spark.read.option("header", True).csv(out + "/stop_times").collect()]
     assert sorted(got) == ["1", "2"]
+
+
+def test_kv1_delivery_folder_with_owner_charset(spark, tmp_path):
+    d = tmp_path / "kv1"
+    d.mkdir()
+    (d / "OPERDAY.TMI").write_bytes("OPERDAY|1|I|QBUZZ|U1|S1|WE|2030-01-02|\r\n".encode("iso8859_15"))
+    (d / "DEST.TMI").write_bytes("DEST|1|I|QBUZZ|D1|Caf€|Caf€|||\r\n".encode("iso8859_15"))
+    (d / "README.txt").write_bytes(b"not a table")
+    t = kv1.read_delivery(spark, str(d))
+    assert set(t) == {"dest", "operday"}
+    assert t["dest"].first()["destnamefull"] == "Caf€"  # QBUZZ delivers ISO-8859-15
