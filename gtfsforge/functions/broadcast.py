@@ -1,0 +1,23 @@
+"""Broadcast behind a checked size bound.
+
+Literal lookup tables are broadcast directly (their size is fixed by
+construction).  Tables whose size is bounded by a domain rather than by
+construction — calendar days of an exception list, deliveries in a ledger,
+lines in a lookup file — are broadcast only after checking that they hold
+at most ``max_rows`` rows; beyond that the join is left to the planner and
+AQE (sort-merge, or a runtime broadcast when the measured size allows).
+The check reads at most ``max_rows + 1`` rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.broadcast import bounded_broadcast
 from ..functions.cols import as_text, null_of, pipe_id
 from ..functions.first import first_per_key
 from ..functions.rank import grouped_rank
@@ -53,9 +54,9 @@ def product_formula_fixes(jopatili: DataFrame, fixes: DataFrame | None = None) -
     """Set the product formula from deprecated codes per owner (N-36)."""
     if "deprecated" not in jopatili.columns:
         return jopatili
-    fixes = fixes if fixes is not None else M.formula_fixes(_spark(jopatili))
+    fixes = M.formula_fixes(_spark(jopatili)) if fixes is None else bounded_broadcast(fixes)
     cols = jopatili.columns
-    j = jopatili.join(F.broadcast(fixes), on=["dataownercode", "deprecated"], how="left")
+    j = jopatili.join(fixes, on=["dataownercode", "deprecated"], how="left")
     return j.withColumn(
         "productformulatype", F.coalesce(F.col("fixed_formula"), F.col("productformulatype"))
     ).select(*cols)
@@ -161,9 +162,9 @@ def gtfs_agency_kv1(in_use: DataFrame, agencies: DataFrame | None = None, owner_
 
     Owners without a known agency still get a row (name/url NULL).
     """
-    agencies = agencies if agencies is not None else M.kv1_agencies(in_use.sparkSession)
+    agencies = M.kv1_agencies(in_use.sparkSession) if agencies is None else bounded_broadcast(agencies)
     owners = in_use.select(F.col(owner_col).alias("agency_id")).distinct()
-    return owners.join(F.broadcast(agencies), on="agency_id", how="left").select(
+    return owners.join(agencies, on="agency_id", how="left").select(
         "agency_id", "agency_name", "agency_url",
         F.lit(M.AGENCY_TIMEZONE).alias("agency_timezone"), F.lit(M.AGENCY_LANG).alias("agency_lang"))
 
@@ -187,7 +188,7 @@ def gtfs_trips_kv1(
     p = p.filter(F.col("stoporder") == 1).join(train_lines(default_transport_type(line)),
                                                 on=["dataownercode", "lineplanningnumber"], how="left_anti")
     info = pattern_info(jopatili, dest).filter(F.col("trip_headsign").isNotNull())
-    bikes = bikes if bikes is not None else M.bikes_allowed(spark)
+    bikes = M.bikes_allowed(spark) if bikes is None else bounded_broadcast(bikes)
     wc = M.wheelchair(spark).withColumnRenamed("wheelchairaccessible", "wc_key")
     t = (
         p.join(jopa.select(*PATTERN, "direction"), on=PATTERN)
@@ -195,7 +196,7 @@ def gtfs_trips_kv1(
         .withColumn("wc_key", F.coalesce(F.col("wheelchairaccessible"), F.lit("UNKNOWN")))
         .join(wc, on="wc_key")
         .withColumn("line_text", as_text("lineplanningnumber"))
-        .join(F.broadcast(bikes.withColumnRenamed("lineplanningnumber", "line_text")),
+        .join(bikes.withColumnRenamed("lineplanningnumber", "line_text"),
               on=["dataownercode", "line_text"], how="left")
     )
     return t.select(

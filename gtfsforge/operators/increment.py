@@ -17,6 +17,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.broadcast import bounded_broadcast
+
 OPERDAY_KEYS = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode", "validdate"]
 POLICIES = ("clip_delta", "range_unit", "range", "same_day", "from_min", "append")
 
@@ -107,8 +109,9 @@ def merge_operday(
         b = base
         if policy == "range_unit":
             units = ledger.select("version", "unitcode")
-            sv = sv.join(F.broadcast(units), on="version").drop("version")
-            b = base.join(F.broadcast(units.withColumnRenamed("unitcode", "base_unit")), on="version", how="left")
+            units = bounded_broadcast(units)
+            sv = sv.join(units, on="version").drop("version")
+            b = base.join(units.withColumnRenamed("unitcode", "base_unit"), on="version", how="left")
             cond = (F.col("unitcode") == F.col("base_unit"))
         else:
             sv = sv.drop("version")
