@@ -26,25 +26,31 @@ def _n(c: str, width: int) -> Column:
     return F.lpad(F.col(c).cast("string"), width, "0")
 
 
+def _okey(kind: int, pos: Column | None = None) -> Column:
+    """Sort key of a line inside its block: record kind, then position."""
+    k = F.lit(kind).cast("long") * (1 << 40)
+    return k if pos is None else k + pos.cast("long")
+
+
 def _blocks(lines: DataFrame, key: str) -> DataFrame:
-    """(key, order struct, line) -> one record per key: head + lines in order."""
+    """(key, order key, line) -> one record per key: the lines in order."""
     return lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("o", "line"))).alias("ls")).select(
         F.col(key), F.transform("ls", lambda x: x["line"]).alias("body"))
 
 
 def iff_text_sections(fx: Fixtures) -> DataFrame:
     """Service blocks of an IFF timetable file, as (head, body) records."""
-    svc = fx.iff_services.select("serviceid", F.struct(F.lit(0), "firststop", "laststop", "servicenumber").alias("o"),
+    svc = fx.iff_services.select("serviceid", _okey(0).alias("o"),
                                  F.concat(F.lit("%"), F.col("companynumber").cast("string"), F.lit(","),
                                           _n("servicenumber", 5), F.lit(",      ,"), _n("firststop", 3), F.lit(","),
                                           _n("laststop", 3), F.lit(",")).alias("line"))
-    val = fx.iff_validity.select("serviceid", F.struct(F.lit(1), "firststop", "laststop", "footnote").alias("o"),
+    val = fx.iff_validity.select("serviceid", _okey(1).alias("o"),
                                  F.concat(F.lit("-"), _n("footnote", 5), F.lit(","), _n("firststop", 3), F.lit(","),
                                           _n("laststop", 3)).alias("line"))
-    tr = fx.iff_transport.select("serviceid", F.struct(F.lit(2), "firststop", "laststop", "transmode").alias("o"),
+    tr = fx.iff_transport.select("serviceid", _okey(2).alias("o"),
                                  F.concat(F.lit("&"), F.rpad("transmode", 4, " "), F.lit(","), _n("firststop", 3),
                                           F.lit(","), _n("laststop", 3)).alias("line"))
-    at = fx.iff_attributes.select("serviceid", F.struct(F.lit(3), "firststop", "laststop", "code").alias("o"),
+    at = fx.iff_attributes.select("serviceid", _okey(3).alias("o"),
                                   F.concat(F.lit("*"), F.rpad("code", 4, " "), F.lit(","), _n("firststop", 3),
                                            F.lit(","), _n("laststop", 3), F.lit(",00000")).alias("line"))
     st = fx.iff_stops
@@ -55,16 +61,14 @@ def iff_text_sections(fx: Fixtures) -> DataFrame:
                  .when(dep.isNull(), F.concat(F.lit("<"), stn, F.lit(","), _hhmm(arr)))
                  .when(_hhmm(arr) == _hhmm(dep), F.concat(F.lit("."), stn, F.lit(","), _hhmm(arr)))
                  .otherwise(F.concat(F.lit("+"), stn, F.lit(","), _hhmm(arr), F.lit(","), _hhmm(dep))))
-    stops = st.select("serviceid", F.struct(F.lit(4), "idx", F.lit(0), F.lit("")).alias("o"), stop_line.alias("line"))
+    stops = st.select("serviceid", _okey(4, F.col("idx") * 2).alias("o"), stop_line.alias("line"))
     plats = st.filter(F.col("departure").isNotNull()).select(
-        "serviceid", F.struct(F.lit(4), "idx", F.lit(1), F.lit("")).alias("o"),
+        "serviceid", _okey(4, F.col("idx") * 2 + 1).alias("o"),
         F.concat(F.lit("?"), F.rpad("arrival", 5, " "), F.lit(","), F.rpad("departure", 5, " "),
                  F.lit(",00007")).alias("line"))
-    fix = [svc, val, tr, at, stops, plats]
-    allx = fix[0].select("serviceid", F.col("o").cast("struct<a:int,b:int,c:int,d:string>").alias("o"), "line")
-    for d in fix[1:]:
-        allx = allx.unionByName(d.select("serviceid", F.col("o").cast("struct<a:int,b:int,c:int,d:string>").alias("o"),
-                                         "line"))
+    allx = svc
+    for d in (val, tr, at, stops, plats):
+        allx = allx.unionByName(d)
     b = _blocks(allx, "serviceid")
     return b.select(F.lpad(F.col("serviceid").cast("string"), 8, "0").alias("head"), "body")
 
@@ -90,25 +94,21 @@ select serviceid, cast(idx as integer) as idx, station, arrival, departure, 7 as
 def pas_text_sections(fx: Fixtures) -> DataFrame:
     keys = ["vervoerdercode", "lijnsysteemnr", "richting", "ritnummer", "voetnoot"]
     pp = fx.pas_pujopass
-    n = pp.groupBy(*keys).agg(F.max("stopsequentie").alias("n"))
     arr, dep = F.col("arr_s"), F.col("dep_s")
     h = F.col("halteid")
     line = (F.when(arr.isNull(), F.concat(F.lit(">"), h, F.lit(","), F.coalesce(_hhmm(dep), F.lit("")))
                    ).when(dep.isNull(), F.concat(F.lit("<"), h, F.lit(","), _hhmm(arr)))
             .when(_hhmm(arr) == _hhmm(dep), F.concat(F.lit("."), h, F.lit(","), _hhmm(arr)))
             .otherwise(F.concat(F.lit("+"), h, F.lit(","), _hhmm(arr), F.lit(","), _hhmm(dep))))
-    stops = pp.join(n, on=keys).select(F.concat_ws("|", *keys).alias("k"),
-                                       F.struct(F.lit(2), "stopsequentie").alias("o"), line.alias("line"))
+    stops = pp.select(F.concat_ws("|", *keys).alias("k"),
+                                       _okey(2, F.col("stopsequentie")).alias("o"), line.alias("line"))
     j = fx.pas_pujo
-    heads = j.select(F.concat_ws("|", *keys).alias("k"), F.struct(F.lit(0), F.lit(0)).alias("o"),
+    heads = j.select(F.concat_ws("|", *keys).alias("k"), _okey(0).alias("o"),
                      F.concat_ws(",", "modaliteit", "vervoerdercode", "lijnsysteemnr", F.col("richting").cast("string"),
                                  "ritnummer").alias("line"))
-    notes = j.select(F.concat_ws("|", *keys).alias("k"), F.struct(F.lit(1), F.lit(0)).alias("o"),
+    notes = j.select(F.concat_ws("|", *keys).alias("k"), _okey(1).alias("o"),
                      F.concat(F.lit("-"), F.col("voetnoot")).alias("line"))
-    cast = "struct<a:int,b:int>"
-    allx = heads.select("k", F.col("o").cast(cast).alias("o"), "line")
-    for d in (notes, stops):
-        allx = allx.unionByName(d.select("k", F.col("o").cast(cast).alias("o"), "line"))
+    allx = heads.unionByName(notes).unionByName(stops)
     return _blocks(allx, "k").select(F.col("body").alias("lines"))
 
 
