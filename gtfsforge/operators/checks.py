@@ -47,49 +47,82 @@ def check_not_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
         .withColumn("nulls", F.coalesce(F.col("nulls"), F.lit(0)).cast("long"))
 
 
+def _stack(counts: DataFrame, rules: list[str]) -> DataFrame:
+    spec = ", ".join(f"'{r}', `{r}`" for r in rules)
+    return counts.select(F.expr(f"stack({len(rules)}, {spec}) as (rule, violations)"))
+
+
 def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
     """One row per violated rule with its count (N-39).
 
-    Rules: stop_times key unique; stop_times -> trips, stop_times -> stops,
-    trips -> routes, trips -> calendar service ids, routes -> agencies;
-    calendar dates unique per service; times never decrease along a trip;
-    stops inside ``bounds``.  Rules with 0 violations are not
-    listed.
+    Rules: stop_times key unique (counted per duplicated key); stop_times ->
+    trips, stop_times -> stops, trips -> routes, trips -> calendar service
+    ids, routes -> agencies; calendar dates unique per service; times never
+    decrease along a trip; stops inside ``bounds``.  Rules with 0 violations
+    are not listed.
+
+    Each table is scanned once: all stop_times rules come from one pass
+    (two left joins to the id sets, one window partitioned by trip) and one
+    conditional aggregation; the trip rules likewise.
     """
     parts = []
     st, trips = feed.get("stop_times"), feed.get("trips")
     stops, routes, cal = feed.get("stops"), feed.get("routes"), feed.get("calendar_dates")
+    agency = feed.get("agency")
 
-    def rule(name: str, df: DataFrame) -> None:
-        parts.append(df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations"))
+    def ids(df: DataFrame, col: str, flag: str) -> DataFrame:
+        return df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn(flag, F.lit(True))
 
     if st is not None:
-        rule("stop_times_duplicate_key", check_primary_key(st, ["trip_id", "stop_sequence"]))
-        w = Window.partitionBy("trip_id").orderBy("stop_sequence")
-        t = st.select("trip_id", "stop_sequence", to_seconds("arrival_time").alias("a"),
+        t = st.select("trip_id", "stop_sequence", "stop_id", to_seconds("arrival_time").alias("a"),
                       to_seconds("departure_time").alias("d"))
-        t = t.withColumn("prev_d", F.lag("d").over(w))
-        rule("stop_times_time_decreases", t.filter((F.col("a") < F.col("prev_d")) | (F.col("d") < F.col("a"))))
+        rules = ["stop_times_duplicate_key", "stop_times_time_decreases"]
         if trips is not None:
-            rule("stop_times_unknown_trip", st.join(trips.select("trip_id"), on="trip_id", how="left_anti"))
+            t = t.join(ids(trips, "trip_id", "__trip"), on="trip_id", how="left")
+            rules.append("stop_times_unknown_trip")
         if stops is not None:
-            rule("stop_times_unknown_stop", st.join(stops.select("stop_id"), on="stop_id", how="left_anti"))
-    if trips is not None:
+            t = t.join(ids(stops, "stop_id", "__stop"), on="stop_id", how="left")
+            rules.append("stop_times_unknown_stop")
+        trip_w = Window.partitionBy("trip_id").orderBy("stop_sequence", "a", "d")
+        key_w = Window.partitionBy("trip_id", "stop_sequence")
+        t = t.withColumn("__prev", F.lag("d").over(trip_w)) \
+            .withColumn("__n", F.count(F.lit(1)).over(key_w)) \
+            .withColumn("__first", F.row_number().over(key_w.orderBy("a", "d", "stop_id")) == 1)
+        aggs = [F.sum(((F.col("__n") > 1) & F.col("__first")).cast("long")).alias(rules[0]),
+                F.sum(F.coalesce((F.col("a") < F.col("__prev")) | (F.col("d") < F.col("a")), F.lit(False))
+                      .cast("long")).alias(rules[1])]
+        if trips is not None:
+            aggs.append(F.sum(F.col("__trip").isNull().cast("long")).alias("stop_times_unknown_trip"))
+        if stops is not None:
+            aggs.append(F.sum(F.col("__stop").isNull().cast("long")).alias("stop_times_unknown_stop"))
+        parts.append(_stack(t.agg(*aggs), rules))
+    if trips is not None and (routes is not None or cal is not None):
+        t = trips.select("route_id", "service_id")
+        rules, aggs = [], []
         if routes is not None:
-            rule("trips_unknown_route", trips.join(routes.select("route_id"), on="route_id", how="left_anti"))
+            t = t.join(ids(routes, "route_id", "__route"), on="route_id", how="left")
+            rules.append("trips_unknown_route")
+            aggs.append(F.sum(F.col("__route").isNull().cast("long")).alias("trips_unknown_route"))
         if cal is not None:
-            rule("trips_unknown_service",
-                 trips.join(cal.select("service_id").distinct(), on="service_id", how="left_anti"))
-    agency = feed.get("agency")
+            t = t.join(ids(cal, "service_id", "__svc"), on="service_id", how="left")
+            rules.append("trips_unknown_service")
+            aggs.append(F.sum(F.col("__svc").isNull().cast("long")).alias("trips_unknown_service"))
+        parts.append(_stack(t.agg(*aggs), rules))
     if routes is not None and agency is not None:
-        rule("routes_unknown_agency", routes.join(agency.select("agency_id"), on="agency_id", how="left_anti"))
+        r = routes.select("agency_id").join(ids(agency, "agency_id", "__ag"), on="agency_id", how="left")
+        parts.append(_stack(r.agg(F.sum(F.col("__ag").isNull().cast("long")).alias("routes_unknown_agency")),
+                            ["routes_unknown_agency"]))
     if cal is not None:
-        rule("calendar_dates_duplicate", check_primary_key(cal, ["service_id", "date"]))
+        dup = check_primary_key(cal, ["service_id", "date"]).agg(F.count(F.lit(1)).alias("calendar_dates_duplicate"))
+        parts.append(_stack(dup, ["calendar_dates_duplicate"]))
     if stops is not None:
         lat_lo, lat_hi, lon_lo, lon_hi = bounds
         lat, lon = F.col("stop_lat").cast("double"), F.col("stop_lon").cast("double")
-        rule("stops_out_of_bounds", stops.filter(~(lat.between(lat_lo, lat_hi) & lon.between(lon_lo, lon_hi))))
+        # a stop without coordinates is not counted here (SQL three-valued logic)
+        bad = F.coalesce(~(lat.between(lat_lo, lat_hi) & lon.between(lon_lo, lon_hi)), F.lit(False))
+        parts.append(_stack(stops.agg(F.sum(bad.cast("long")).alias("stops_out_of_bounds")), ["stops_out_of_bounds"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.filter(F.col("violations") > 0)
+    return out.withColumn("violations", F.coalesce(F.col("violations"), F.lit(0)).cast("long")) \
+        .filter(F.col("violations") > 0)
