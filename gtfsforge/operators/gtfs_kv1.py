@@ -102,28 +102,29 @@ def pattern_info(jopatili: DataFrame, dest: DataFrame) -> DataFrame:
     """
     links = jopatili.select(*PATTERN, "timinglinkorder", "userstopcodebegin", "userstopcodeend", "destcode",
                             "productformulatype")
-    # first link, last link and first link with a usable formula: one aggregation
+    # first link, last link, first link with a usable formula and the
+    # destination of every stop position: one aggregation per pattern
     usable = F.col("productformulatype").isNotNull() & (F.col("productformulatype") != M.IGNORED_FORMULA)
     ends = links.groupBy(*PATTERN).agg(
         F.min(F.struct("timinglinkorder", "userstopcodebegin", "destcode")).alias("f"),
         F.max(F.struct("timinglinkorder", "userstopcodeend", "destcode")).alias("l"),
-        F.min(F.when(usable, F.struct("timinglinkorder", "productformulatype"))).alias("pf"))
+        F.min(F.when(usable, F.struct("timinglinkorder", "productformulatype"))).alias("pf"),
+        F.collect_list(F.struct(F.col("timinglinkorder").alias("stoporder"), "destcode")).alias("stops"))
     first = ends.select(*PATTERN, F.col("f.timinglinkorder").alias("first_tlo"),
                         F.col("f.userstopcodebegin").alias("first_stop"), F.col("f.destcode").alias("trip_destcode"),
                         F.col("pf.productformulatype").alias("productformulatype"))
-    last = ends.select(*PATTERN, F.col("l.timinglinkorder").alias("timinglinkorder"),
-                       F.col("l.userstopcodeend").alias("userstopcodeend"), F.col("l.destcode").alias("destcode"))
-    stop_dest = links.select(*PATTERN, F.col("timinglinkorder").alias("stoporder"), "destcode").unionByName(
-        last.select(*PATTERN, (F.col("timinglinkorder") + 1).alias("stoporder"), "destcode")).distinct()
+    # link begins at stoporder = timinglinkorder, plus the end of the last link
+    all_stops = F.concat("stops", F.array(F.struct((F.col("l.timinglinkorder") + 1).alias("stoporder"),
+                                                   F.col("l.destcode").alias("destcode"))))
+    other = ends.select(*PATTERN, F.explode(F.filter(all_stops, lambda x: x["destcode"] != F.col("f.destcode")))
+                        .alias("s")).select(*PATTERN, "s.stoporder", "s.destcode")
     names = dest.select("version", "dataownercode", "destcode", "destnamefull")
-    differing = (
-        stop_dest.join(first.select(*PATTERN, "trip_destcode"), on=PATTERN)
-        .filter(F.col("destcode") != F.col("trip_destcode"))
-        .join(names, on=["version", "dataownercode", "destcode"])
-        .groupBy(*PATTERN, "stoporder").agg(F.min("destnamefull").alias("name"))
-        .groupBy(*PATTERN)
-        .agg(F.map_from_entries(F.collect_list(F.struct("stoporder", "name"))).alias("headsigns"))
-    )
+    named = other.join(names, on=["version", "dataownercode", "destcode"]) \
+        .groupBy(*PATTERN).agg(F.array_sort(F.collect_list(F.struct("stoporder", F.col("destnamefull").alias("name"))))
+                               .alias("hs"))
+    # one entry per stop position (the smallest name if a position repeats)
+    dedup = F.filter("hs", lambda x, i: (i == 0) | (x["stoporder"] != F.get(F.col("hs"), i - 1)["stoporder"]))
+    differing = named.select(*PATTERN, F.map_from_entries(dedup).alias("headsigns"))
     trip_names = names.withColumnRenamed("destcode", "trip_destcode").withColumnRenamed("destnamefull", "trip_headsign")
     return (
         first.join(trip_names, on=["version", "dataownercode", "trip_destcode"], how="left")
