@@ -175,3 +175,13 @@ def test_iff_stop_outside_parts_keeps_a_row_per_footnote(spark):
     rows = gtfs_iff.gtfs_stop_times_iff(stop, attribute, service, validity, platform).collect()
     trips = sorted((r["trip_id"] or "-", r["stop_sequence"]) for r in rows)
     assert trips == [("-", 1), ("-", 1), ("1|7|12", 1), ("1|7|12", 2), ("1|8|12", 1), ("1|8|12", 2)]
+
+
+def test_bounded_broadcast_checks_the_size(spark):
+    from gtfsforge.functions.broadcast import bounded_broadcast
+
+    small = spark.range(10)
+    big = spark.range(1000)
+    plan_small = bounded_broadcast(small, max_rows=100)._jdf.queryExecution().analyzed().toString()
+    plan_big = bounded_broadcast(big, max_rows=100)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
