@@ -272,7 +272,15 @@ class Fixtures:
         hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
         fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(hpath):
-            build().write.mode("overwrite").parquet(path)
+            # write under a private name, then publish with an atomic rename:
+            # concurrent callers never see (or delete) a half-written table
+            import uuid
+
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+            build().write.mode("overwrite").parquet(tmp)
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            if not fs.exists(target):
+                fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target)
         return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
