@@ -327,21 +327,15 @@ def gtfs_stop_times_iff(stop: DataFrame, attribute: DataFrame, service: DataFram
     """
     attrs = attribute.select("serviceid", "code", F.explode(_idx_range("firststop", "laststop")).alias("idx")) \
         .groupBy("serviceid", "idx").agg(F.collect_set("code").alias("attrs"))
-    # validity is joined to the (small) service parts before they meet the
-    # stops, so every join of the stop table is keyed by (serviceid, idx) and
-    # the stop table is shuffled once for all of them
     parts = service.select("serviceid", "servicenumber", "variant",
                            F.explode(_idx_range("firststop", "laststop")).alias("idx"))
-    val = validity.select("serviceid", "footnote")
-    parts = parts.join(val, on="serviceid", how="left").withColumn("__part", F.lit(True))
     plat = platform.select("serviceid", "idx", "arrival", "departure")
+    # the (serviceid, idx) joins share one partitioning of the stop table;
+    # validity joins by service, which also feeds the per-trip window
     j = stop.join(attrs, on=["serviceid", "idx"], how="left") \
         .join(parts, on=["serviceid", "idx"], how="left") \
-        .join(plat, on=["serviceid", "idx"], how="left")
-    # stops outside every service part still get one row per footnote, as
-    # with the reference's join order (their trip id is NULL)
-    uncovered = j.filter(F.col("__part").isNull()).drop("footnote").join(val, on="serviceid", how="left")
-    j = j.filter(F.col("__part").isNotNull()).unionByName(uncovered).drop("__part")
+        .join(plat, on=["serviceid", "idx"], how="left") \
+        .join(validity.select("serviceid", "footnote"), on="serviceid", how="left")
     num = trip_number(service)
     trip_id = F.concat(as_text("serviceid"), F.lit("|"), as_text("footnote"), F.lit("|"), as_text(num))
     j = j.withColumn("trip_id", trip_id).withColumn("trip_num", num)
