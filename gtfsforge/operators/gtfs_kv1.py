@@ -144,10 +144,11 @@ def gtfs_calendar_dates(operday: DataFrame) -> DataFrame:
     )
 
 
-def gtfs_feed_info(df: DataFrame, start_col: str, end_col: str | None = None, feed_version: str = "1") -> DataFrame:
-    """Publisher constants + min(start)/max(end) date (N-13); one row."""
+def gtfs_feed_info(df: DataFrame, start_col: str, end_col: str | None = None, feed_version: str = "1",
+                   publisher: tuple[str, str, str] | None = None) -> DataFrame:
+    """Publisher (name, url, language) + min(start)/max(end) date (N-13); one row."""
     end_col = end_col or start_col
-    name, url, lang = M.FEED_PUBLISHER
+    name, url, lang = publisher or M.FEED_PUBLISHER
     return df.agg(F.min(start_col).alias("s"), F.max(end_col).alias("e")).select(
         F.lit(name).alias("feed_publisher_name"),
         F.lit(url).alias("feed_publisher_url"),

@@ -55,7 +55,9 @@ KV1_AGENCIES = [
 ]
 AGENCY_TIMEZONE = "Europe/Amsterdam"
 AGENCY_LANG = "nl"
-FEED_PUBLISHER = ("OVapi", "http://ovapi.nl/", "nl")
+# feed_info publisher (name, url, language): a deployment setting, passed by the
+# caller of gtfs_feed_info; this neutral default is used when none is given
+FEED_PUBLISHER = ("feed publisher", "http://example.org/", "nl")
 # IFF company number -> agency url
 COMPANY_URLS = [
     (22, "http://www.gvb.nl"), (911, "http://www.keolis.de"), (500, "http://www.arriva.nl"),

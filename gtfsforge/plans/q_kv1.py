@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gtfs_kv1 as G
+from ..operators.mappings import FEED_PUBLISHER as _PUB
 from .fixtures import Fixtures, duckdb_with
 from .sqltext import JOURNEY, PATTERN, SCHED, clock, lat, lon, on, pipe, ymd
 
@@ -128,7 +129,7 @@ def q_feed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_FEED_INFO = duckdb_with(["operday"], f"""
-select 'OVapi' as feed_publisher_name, 'http://ovapi.nl/' as feed_publisher_url, 'nl' as feed_lang,
+select '{_PUB[0]}' as feed_publisher_name, '{_PUB[1]}' as feed_publisher_url, '{_PUB[2]}' as feed_lang,
  {ymd('min(validdate)')} as feed_start_date, {ymd('max(validdate)')} as feed_end_date, '{FEED_VERSION}' as feed_version
 from operday
 """)
