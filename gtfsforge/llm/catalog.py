@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash_near_dedup
+from . import bpe, packing, quality_rules, simhash_near_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Where SQL cannot express an operator the SQL is None and tests hold it against brute force.
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op3_simhash_near_dedup": (simhash_near_dedup.op3_simhash_near_dedup, None),
+    "op7_token_counts": (token_counts.op7_token_counts, None),
+    "op8_bpe": (bpe.op8_bpe, None),
+    "op9_quality_rules": (quality_rules.op9_quality_rules, None),
+    "op10_packing": (packing.op10_packing, None),
 }
