@@ -16,18 +16,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def list_blocks(postings: DataFrame, key: str, member: str, block: int) -> DataFrame:
-    """``postings`` with ``bi``, ``bj`` (block pair, bi <= bj) and ``own`` (the row's block),
-    sorted by (key, bi, bj) within partitions that hold whole groups."""
-    sizes = postings.groupBy(key).agg(F.count(F.lit(1)).alias("n_list")).where("n_list > 1")
+def list_blocks(postings: DataFrame, keys: list[str], member: str, block: int) -> DataFrame:
+    """The rows of lists (equal ``keys``, no nulls) of two members or more, with ``bi``, ``bj``
+    (block pair, bi <= bj) and ``own`` (the row's block); a row of a list of n blocks comes n times."""
+    sizes = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_list")).where("n_list > 1")
     n_blocks = F.ceil(F.col("n_list") / F.lit(block)).cast("int")
-    dealt = postings.join(sizes, key).withColumn("n_blocks", n_blocks) \
+    return postings.join(sizes, keys).withColumn("n_blocks", n_blocks) \
         .withColumn("own", F.pmod(F.xxhash64(member), F.col("n_blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))) \
         .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other")) \
         .drop("other", "n_list", "n_blocks")
-    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, key, "bi", "bj").sortWithinPartitions(key, "bi", "bj")
+
+
+def together(dealt: DataFrame, keys: list[str]) -> DataFrame:
+    """Whole block pairs in one partition, in order of (keys, bi, bj)."""
+    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, *keys, "bi", "bj").sortWithinPartitions(*keys, "bi", "bj")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str], at_once: int = 8192) -> Iterator[tuple[pa.Table, np.ndarray]]:

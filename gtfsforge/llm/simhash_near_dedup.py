@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import forest, list_blocks, pairs_within, runs
+from .blocks import forest, list_blocks, pairs_within, runs, together
 from .components import components
 from .frames import append_columns, ensure_importable, stored
 
@@ -146,7 +146,7 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK)
                 yield pa.RecordBatch.from_arrays([pa.array(signed[node]), pa.array(signed[low])], names=["u", "v"])
 
     ensure_importable(fps.sparkSession)
-    return list_blocks(postings(fps), "key", "fp", block).mapInArrow(run, "u long, v long").where("u != v").distinct()
+    return together(list_blocks(postings(fps), ["key"], "fp", block), ["key"]).mapInArrow(run, "u long, v long").where("u != v").distinct()
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
