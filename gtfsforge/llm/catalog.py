@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_near_dedup, packing, quality_rules, simhash_near_dedup, token_counts
+from . import bpe, embedding_near_dedup, packing, quality_rules, simhash_near_dedup, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Where SQL cannot express an operator the SQL is None and tests hold it against brute force.
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_embedding_near_dedup": (embedding_near_dedup.op1_embedding_near_dedup, embedding_near_dedup.ORACLE),
+    "op2_substring_dedup": (substring_dedup.op2_substring_dedup, substring_dedup.ORACLE),
     "op3_simhash_near_dedup": (simhash_near_dedup.op3_simhash_near_dedup, None),
     "op7_token_counts": (token_counts.op7_token_counts, None),
     "op8_bpe": (bpe.op8_bpe, None),
