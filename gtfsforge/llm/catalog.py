@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_near_dedup, html_extraction, packing, quality_rules, simhash_near_dedup, substring_dedup, token_counts, url_filter
+from . import bpe, embedding_near_dedup, html_extraction, packing, quality_classifier, quality_rules, simhash_near_dedup, substring_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_embedding_near_dedup": (embedding_near_dedup.op1_embedding_near_dedup, embedding_near_dedup.ORACLE),
     "op2_substring_dedup": (substring_dedup.op2_substring_dedup, substring_dedup.ORACLE),
     "op3_simhash_near_dedup": (simhash_near_dedup.op3_simhash_near_dedup, None),
+    "op4_quality_classifier": (quality_classifier.op4_quality_classifier, None),
     "op5_url_filter": (url_filter.op5_url_filter, url_filter.ORACLE),
     "op6_html_extraction": (html_extraction.op6_html_extraction, None),
     "op7_token_counts": (token_counts.op7_token_counts, None),

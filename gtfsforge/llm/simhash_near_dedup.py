@@ -174,11 +174,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                   max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group; one of several rows
-    with that id, and none of a group without any id."""
-    groups = simhash_groups(docs, id_col, text, shingle, max_distance)
+    """The rows of ``docs`` whose id is the smallest of its group, one for each such id.
+    Rows with a null id cannot be chosen by it; they all stay."""
+    own = F.col(f"`{id_col}`")
+    named = docs.where(own.isNotNull())
+    groups = simhash_groups(named, id_col, text, shingle, max_distance)
     kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`") == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    return named.join(kept, own == F.col("__kept"), "left_semi").dropDuplicates([id_col]).unionAll(docs.where(own.isNull()))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
