@@ -141,6 +141,7 @@ def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
         for table, starts in runs(batches, keys):
             rep, weight = table.column("rep").to_numpy(), table.column("weight").to_numpy()
             home, own = table.column("home").to_numpy(), table.column("own").to_numpy()
+            within = table.column("bi").to_numpy() == table.column("bj").to_numpy()  # a block against itself
             tab, bucket, dims = (table.column(c).to_numpy() for c in ("tab", "bucket", "dim"))
             links = np.zeros(len(rep), np.int64)
             a_all, b_all = [], []
@@ -149,7 +150,7 @@ def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
                 x = np.zeros((len(rep), d))
                 x[rows] = unit(_matrix(table.take(pa.array(rows)).column("embedding")))
                 groups = [(s, e) for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()) if dims[s] == d]
-                for a, b in _candidates(groups, home, own, x, threshold):
+                for a, b in _candidates(groups, home, own, within, x, threshold):
                     who, back = np.unique(np.concatenate((a, b)), return_inverse=True)
                     code = buckets(x[who])
                     mine = _first_meeting(code[back[:len(a)]], code[back[len(a):]], tab[a], bucket[a])
@@ -168,7 +169,7 @@ def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long, n long")
 
 
-def _candidates(groups: list, home: np.ndarray, own: np.ndarray, x: np.ndarray, threshold: float) -> Iterator[tuple]:
+def _candidates(groups: list, home: np.ndarray, own: np.ndarray, within: np.ndarray, x: np.ndarray, threshold: float) -> Iterator[tuple]:
     """Verified row pairs (a, b), each once: small groups all at a time, long ones by themselves."""
     small = [(s, e) for s, e in groups if e - s <= 32]
     if small:
@@ -177,7 +178,7 @@ def _candidates(groups: list, home: np.ndarray, own: np.ndarray, x: np.ndarray,
         found = []
         for i, j in pairs_within(cut):
             i, j = rows[i], rows[j]
-            ok = (home[i] | home[j]) & ((own[i] != own[j]) | _one_block(i, own, groups))
+            ok = (home[i] | home[j]) & (within[i] | (own[i] != own[j]))
             i, j = i[ok], j[ok]
             hit = (x[i] * x[j]).sum(axis=1) >= threshold
             found.append((i[hit], j[hit]))
@@ -187,9 +188,9 @@ def _candidates(groups: list, home: np.ndarray, own: np.ndarray, x: np.ndarray,
     for s, e in groups:
         if e - s <= 32:
             continue
-        mine = own[s:e] == own[s:e].min()
+        mine = own[s:e] == own[s]
         left = s + np.flatnonzero(mine)
-        right = left if mine.all() else s + np.flatnonzero(~mine)
+        right = left if within[s] else s + np.flatnonzero(~mine)
         for at in range(0, len(left), 256):
             part = left[at:at + 256]
             a, b = np.nonzero(x[part] @ x[right].T >= threshold)
@@ -201,14 +202,6 @@ def _candidates(groups: list, home: np.ndarray, own: np.ndarray, x: np.ndarray,
                 yield a[ok], b[ok]
 
 
-def _one_block(i: np.ndarray, own: np.ndarray, groups: list) -> np.ndarray:
-    """Whether the group of row ``i`` is a block against itself (else only unequal blocks are compared)."""
-    plain = np.zeros(len(own), bool)
-    for s, e in groups:
-        plain[s:e] = (own[s:e] == own[s]).all()
-    return plain[i]
-
-
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
                     threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept) per input row.

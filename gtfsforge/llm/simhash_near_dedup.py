@@ -121,6 +121,7 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK)
         for table, starts in runs(batches, ["key", "bi", "bj"]):
             signed = table.column("fp").to_numpy()
             fp, own = signed.view(np.uint64), table.column("own").to_numpy()
+            within = table.column("bi").to_numpy() == table.column("bj").to_numpy()  # a block against itself
             size = np.diff(starts)
             a, b = [], []
             small = size <= 32
@@ -134,8 +135,8 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK)
                     a.append(i[hit])
                     b.append(j[hit])
             for s, e in np.column_stack((starts[:-1], starts[1:]))[~small].tolist():
-                left = np.arange(s, e) if (own[s:e] == own[s]).all() else s + np.flatnonzero(own[s:e] == own[s])
-                right = left if len(left) == e - s else s + np.flatnonzero(own[s:e] != own[s])
+                left = s + np.flatnonzero(own[s:e] == own[s])
+                right = left if within[s] else s + np.flatnonzero(own[s:e] != own[s])
                 for i in left.tolist():
                     rest = right[right > i] if right is left else right
                     hit = rest[_linked(fp[i], fp[rest], least, max_distance)]
