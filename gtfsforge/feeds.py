@@ -12,6 +12,7 @@ instead of recomputing them.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,8 @@ from .sinks import empty_table
 
 def _store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several outputs read, and read it back."""
-    path = scratch_path(df.sparkSession, f"feeds/{name}-{id(df):x}")
-    df.write.mode("overwrite").parquet(path)
+    path = scratch_path(df.sparkSession, f"feeds/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

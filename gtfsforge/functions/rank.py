@@ -48,5 +48,9 @@ def grouped_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     counts = local.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    return local.join(offsets, on=[*keys, "__pid"]).withColumn(out, (F.col("__off") + F.col("__lr")).cast("int")) \
-        .drop("__pid", "__lr", "__off", *names)
+    off = offsets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__pid").alias("__p"), "__off")
+    same = F.col("__pid") == F.col("__p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))  # a NULL key is a group like any other
+    return local.join(off, same).withColumn(out, (F.col("__off") + F.col("__lr")).cast("int")) \
+        .drop("__pid", "__lr", "__off", "__p", *[f"__k{i}" for i in range(len(keys))], *names)

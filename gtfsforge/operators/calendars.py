@@ -14,7 +14,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcast
 from ..functions.cols import as_text, pipe_id
 from ..functions.first import first_per_key
 from ..functions.times import gtfs_date, weekday_mon1, weekday_sun1
@@ -115,8 +114,8 @@ def calendar_with_exceptions(
     4. distinct union.
 
     ``excopday`` (excopdate date, daytypeason string) is reduced to distinct
-    (date, first digit) pairs — bounded by the calendar — and broadcast
-    after a size check (``bounded_broadcast``), as is the import ledger.
+    (date, first digit) pairs; how it and the import ledger are joined is
+    left to the planner's byte thresholds.
     ``exclude_units`` drops units listed there (the variant feed).
     """
     yesterday = F.date_sub(_as_date(as_of), 1)
@@ -134,15 +133,15 @@ def calendar_with_exceptions(
         .select("version", "dataownercode", "timetableversioncode", "pj_unit", "periodgroupcode", "specificdaycode",
                 "daytype", F.col("pv_from").alias("d_from"), F.coalesce("tv_thru", "pv_thru").alias("d_thru"))
     ver = version.select("version", F.col("validfrom").alias("v_from"), F.col("validthru").alias("v_thru"))
-    svc = svc.join(bounded_broadcast(ver), on="version")
+    svc = svc.join(ver, on="version")
     # clip the range to what can survive the filters before expanding it
     # (greatest/least skip NULLs; a NULL bound means "no date", as in SQL)
     bounds_known = F.col("v_from").isNotNull() & F.col("v_thru").isNotNull() & F.col("d_from").isNotNull()
     lo = F.when(bounds_known, F.greatest("d_from", "v_from", yesterday))
     hi = F.when(bounds_known & F.col("d_thru").isNotNull(), F.least("d_thru", "v_thru"))
     dated = svc.select("*", F.explode(date_range(lo, hi)).alias("date"))
-    exc = bounded_broadcast(excopday.select(F.col("excopdate").cast("date").alias("date"),
-                                            F.substring(as_text("daytypeason"), 1, 1).alias("ason")).distinct())
+    exc = excopday.select(F.col("excopdate").cast("date").alias("date"),
+                          F.substring(as_text("daytypeason"), 1, 1).alias("ason")).distinct()
     wd = weekday_mon1("date").cast("string")
     sid_cols = ["version", "dataownercode", "timetableversioncode", "pj_unit", "periodgroupcode", "specificdaycode",
                 "daytype"]

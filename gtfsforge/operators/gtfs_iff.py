@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcast
 from ..functions.cols import as_text, null_of, pipe_id
 from ..functions.first import first_per_key, nulls_last
 from ..functions.geo import rd_to_wgs84
@@ -107,7 +106,7 @@ def open_single_transport(transport: DataFrame) -> DataFrame:
 def gtfs_agency_iff(company: DataFrame, service: DataFrame, urls: DataFrame | None = None,
                     upper_code: bool = False) -> DataFrame:
     """agency.txt: companies that run a service, with their URL (N-14)."""
-    urls = M.company_urls(company.sparkSession) if urls is None else bounded_broadcast(urls)
+    urls = M.company_urls(company.sparkSession) if urls is None else urls
     used = service.select(F.col("companynumber").alias("company")).distinct()
     c = company.join(used, on="company", how="left_semi").join(urls, on="company", how="left")
     agency_id = F.upper(F.col("code")) if upper_code else F.col("company")

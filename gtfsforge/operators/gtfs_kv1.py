@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcast
 from ..functions.cols import as_text, null_of, pipe_id
 from ..functions.first import first_per_key
 from ..functions.rank import grouped_rank
@@ -54,7 +53,7 @@ def product_formula_fixes(jopatili: DataFrame, fixes: DataFrame | None = None) -
     """Set the product formula from deprecated codes per owner (N-36)."""
     if "deprecated" not in jopatili.columns:
         return jopatili
-    fixes = M.formula_fixes(_spark(jopatili)) if fixes is None else bounded_broadcast(fixes)
+    fixes = M.formula_fixes(_spark(jopatili)) if fixes is None else fixes
     cols = jopatili.columns
     j = jopatili.join(fixes, on=["dataownercode", "deprecated"], how="left")
     return j.withColumn(
@@ -164,7 +163,7 @@ def gtfs_agency_kv1(in_use: DataFrame, agencies: DataFrame | None = None, owner_
 
     Owners without a known agency still get a row (name/url NULL).
     """
-    agencies = M.kv1_agencies(in_use.sparkSession) if agencies is None else bounded_broadcast(agencies)
+    agencies = M.kv1_agencies(in_use.sparkSession) if agencies is None else agencies
     owners = in_use.select(F.col(owner_col).alias("agency_id")).distinct()
     return owners.join(agencies, on="agency_id", how="left").select(
         "agency_id", "agency_name", "agency_url",
@@ -190,7 +189,7 @@ def gtfs_trips_kv1(
     p = p.filter(F.col("stoporder") == 1).join(train_lines(default_transport_type(line)),
                                                 on=["dataownercode", "lineplanningnumber"], how="left_anti")
     info = pattern_info(jopatili, dest).filter(F.col("trip_headsign").isNotNull())
-    bikes = M.bikes_allowed(spark) if bikes is None else bounded_broadcast(bikes)
+    bikes = M.bikes_allowed(spark) if bikes is None else bikes
     wc = M.wheelchair(spark).withColumnRenamed("wheelchairaccessible", "wc_key")
     t = (
         p.join(jopa.select(*PATTERN, "direction"), on=PATTERN)

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcast
 from ..functions.cols import as_text, null_of, pipe_id
 from ..functions.first import first_per_key
 from ..functions.geo import rd_lat, rd_lon
@@ -108,8 +107,7 @@ def gtfs_routes_pas(pujo: DataFrame, linepublicnumber: DataFrame | None = None)
     j = pujo.select("lijnsysteemnr", "vervoerdercode", "modaliteit").distinct() \
         .join(M.pas_route_types(spark), on="modaliteit")
     if linepublicnumber is not None:
-        j = j.join(bounded_broadcast(linepublicnumber.select("lijnsysteemnr", "linepublicnumber")),
-                   on="lijnsysteemnr", how="left")
+        j = j.join(linepublicnumber.select("lijnsysteemnr", "linepublicnumber"), on="lijnsysteemnr", how="left")
     else:
         j = j.withColumn("linepublicnumber", null_of("string"))
     j = first_per_key(j, ["lijnsysteemnr"], ["vervoerdercode", "route_type"],

@@ -12,15 +12,21 @@ by the size of one delivery's calendar, not by its rows.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcast
+from ..functions.rank import grouped_rank
+from .calendars import date_range
 
 OPERDAY_KEYS = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode", "validdate"]
-POLICIES = ("clip_delta", "range_unit", "range", "same_day", "from_min", "append")
+POLICIES = ("range_unit", "range", "same_day", "from_min", "append", "clip_delta", "clip_full")
+
+# ---- fixed values: owners with a merge rule of their own ----
+CLIP_OWNERS = ("SYNTUS",)
+UNIT_RANGE_OWNERS = ("HTM",)
+DELTA_RANGE_OWNERS = ("GVB",)
+APPEND_OWNERS = ("QBUZZ",)
+# ---- end of fixed values ----
 
 
 def _date(v) -> Column:
@@ -75,6 +81,38 @@ def ledger_row(spark, version: int, meta: DataFrame, key: str, dataownerversion:
 
 # ---- N-4 -------------------------------------------------------------------
 
+def merge_policy(owner: str, delta: bool) -> str:
+    """The merge policy of an owner's delivery (§2.1).
+
+    ``delta``: the delivery adds to a baseline; else it replaces it from its
+    first day on.  Clipping owners continue with the policy of their mode.
+    """
+    if owner in UNIT_RANGE_OWNERS:
+        return "range_unit"
+    if owner in APPEND_OWNERS:
+        return "append"
+    if not delta:
+        return "clip_full" if owner in CLIP_OWNERS else "from_min"
+    if owner in DELTA_RANGE_OWNERS:
+        return "range"
+    return "clip_delta" if owner in CLIP_OWNERS else "same_day"
+
+
+def clip_to_schedules(delta: DataFrame, schedvers: DataFrame) -> DataFrame:
+    """Delta days without those before their schedule's validfrom (matched on the
+    full schedule key, owner included: one schedule, one validfrom)."""
+    sk = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode"]
+    sv = schedvers.select(*sk, F.col("validfrom").alias("sv_from"))
+    return delta.join(sv, on=sk, how="left") \
+        .filter(~F.coalesce(F.col("validdate") < F.col("sv_from"), F.lit(False))).drop("sv_from")
+
+
+def _schedule_days(schedvers: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct (keys, validdate) inside the schedules' [validfrom, validthru]; a NULL end has no day."""
+    spans = schedvers.groupBy(*keys, "validfrom").agg(F.max("validthru").alias("validthru"))
+    return spans.select(*keys, F.explode(date_range("validfrom", "validthru")).alias("validdate")).distinct()
+
+
 def merge_operday(
     base: DataFrame,
     delta: DataFrame,
@@ -84,46 +122,32 @@ def merge_operday(
 ) -> DataFrame:
     """New operday = base days the policy keeps + the delta days (§2.1).
 
-    * ``clip_delta``: drop delta days before their schedule's validfrom, then ``same_day``.
+    * ``clip_delta``, ``clip_full``: drop delta days before their schedule's
+      validfrom, then ``same_day`` or ``from_min``.
     * ``range_unit``: drop base days inside a delta schedule's [validfrom, validthru]
       of the same unit and owner whose import has the delta's unit code.
     * ``range``: the same without the unit-code condition.
     * ``same_day``: drop base days on a date the delta has for the same unit and owner.
     * ``from_min``: drop base days from the delta's first day of that unit and owner on.
     * ``append``: keep everything.
-    A NULL validthru matches nothing (``between`` is unknown), as in SQL.
+    A NULL validthru matches nothing (``between`` is unknown), as in SQL.  Ranges
+    are expanded to their distinct days (bounded by one delivery's calendar), so
+    every rule is an equi-join on unit, owner and date.
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown merge policy {policy!r}")
     unit = ["organizationalunitcode", "dataownercode"]
-    if policy == "clip_delta":
-        # matched on the full schedule key (owner included: one schedule, one validfrom)
-        sk = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode"]
-        sv = delta_schedvers.select(*sk, F.col("validfrom").alias("sv_from"))
-        delta = delta.join(sv, on=sk, how="left") \
-            .filter(~F.coalesce(F.col("validdate") < F.col("sv_from"), F.lit(False))).drop("sv_from")
-        policy = "same_day"
-    if policy in ("range", "range_unit"):
-        sv = delta_schedvers.select("version", *unit, F.col("validfrom").alias("sv_from"),
-                                    F.col("validthru").alias("sv_thru"))
-        b = base
-        if policy == "range_unit":
-            units = ledger.select("version", "unitcode")
-            units = bounded_broadcast(units)
-            sv = sv.join(units, on="version").drop("version")
-            b = base.join(units.withColumnRenamed("unitcode", "base_unit"), on="version", how="left")
-            cond = (F.col("unitcode") == F.col("base_unit"))
-        else:
-            sv = sv.drop("version")
-            cond = F.lit(True)
-        sv = sv.distinct().withColumnRenamed("organizationalunitcode", "sv_unit").withColumnRenamed(
-            "dataownercode", "sv_owner")
-        hit = (F.col("organizationalunitcode") == F.col("sv_unit")) & (F.col("dataownercode") == F.col("sv_owner")) \
-            & F.col("validdate").between(F.col("sv_from"), F.col("sv_thru")) & cond
-        kept = b.join(sv, hit, "left_anti").select(*base.columns)
+    if policy in ("clip_delta", "clip_full"):
+        delta = clip_to_schedules(delta, delta_schedvers)
+        policy = "same_day" if policy == "clip_delta" else "from_min"
+    if policy == "range_unit":
+        units = ledger.select("version", "unitcode").distinct()
+        days = _schedule_days(delta_schedvers.join(units, on="version"), [*unit, "unitcode"])
+        kept = base.join(units, on="version", how="left").join(days, on=[*unit, "unitcode", "validdate"], how="left_anti")
+    elif policy == "range":
+        kept = base.join(_schedule_days(delta_schedvers, unit), on=[*unit, "validdate"], how="left_anti")
     elif policy == "same_day":
-        days = delta.select(*unit, "validdate").distinct()
-        kept = base.join(days, on=unit + ["validdate"], how="left_anti")
+        kept = base.join(delta.select(*unit, "validdate").distinct(), on=[*unit, "validdate"], how="left_anti")
     elif policy == "from_min":
         first = delta.groupBy(*unit).agg(F.min("validdate").alias("first_day"))
         kept = base.join(first, on=unit, how="left").filter(
@@ -171,7 +195,13 @@ def plan_imports(index: DataFrame, ledger: DataFrame, force_baseline_keys: tuple
     seen = ledger.select("feedkey", "dataownerversion").distinct()
     todo = idx.filter(F.col("ispublished")).join(seen, on=["feedkey", "dataownerversion"], how="left_anti")
     publish_col = publish_col or ("publishorder" if "publishorder" in index.columns else "publishdate")
-    return todo.orderBy(F.col("isbaseline").desc(), F.col("idx"), F.col(publish_col))
+    return todo.orderBy(F.col("isbaseline").desc(), F.col("idx"), F.col(publish_col), F.col("feedkey"))
+
+
+def import_positions(plan: DataFrame, publish_col: str = "publishorder") -> DataFrame:
+    """The plan with ``position`` (int, from 1), numbered by ranges of the order."""
+    order = [~F.col("isbaseline"), F.col("idx"), F.col(publish_col), F.col("feedkey")]
+    return grouped_rank(plan.withColumn("__all", F.lit(0)), ["__all"], order, "position", "row_number").drop("__all")
 
 
 def unpublished_keys(index: DataFrame) -> DataFrame:
@@ -189,7 +219,3 @@ def manifest_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     j = new.join(o, on="feedkey", how="left")
     return j.filter(F.col("old_version").isNull() | (F.col("dataownerversion") > F.col("old_version"))) \
         .drop("old_version")
-
-
-def today() -> _dt.date:
-    return _dt.date.today()

@@ -74,7 +74,11 @@ def compress_journeys(pujopass: DataFrame) -> dict[str, DataFrame]:
     # grouped_rank spreads a pattern with very many profiles over many tasks
     codes = grouped_rank(profiles, GROUP, ["first_key"], "code1", method="row_number") \
         .withColumn("timedemandgroupcode", F.col("code1") - 1).drop("first_key", "code1")
-    schedpujo = jp.join(codes, on=GROUP + ["profile"]).drop("profile")
+    coded = codes.select(*[F.col(k).alias(f"__{k}") for k in GROUP], F.col("profile").alias("__profile"), "timedemandgroupcode")
+    same = F.col("profile") == F.col("__profile")
+    for k in GROUP:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))  # a NULL key part is a value like any other
+    schedpujo = jp.join(coded, same).drop("profile", "__profile", *[f"__{k}" for k in GROUP])
     timdemgrp = codes.select(*GROUP, "timedemandgroupcode")
     timdemrnt = codes.select(*GROUP, "timedemandgroupcode", F.explode("profile").alias("r")).select(
         *GROUP, "timedemandgroupcode", "r.*")

@@ -1,28 +1,27 @@
 """GTFS sinks (A-16, A-17).
 
-Each GTFS table is written as CSV with a header.  Large tables (stop_times,
-shapes, trips) are range-partitioned and sorted within partitions on their
-GTFS order, so the part files concatenate to a sorted table without a
-single-task global sort; small tables get one part.  Parquet output keeps
-types for downstream Spark jobs.
+Each GTFS table is written as CSV with a header.  Every table is
+range-partitioned and sorted within partitions on its GTFS order, so the
+part files concatenate to a sorted table without a single-task global sort
+(adaptive execution merges the partitions of a small table).  Parquet output
+keeps types for downstream Spark jobs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-LARGE = {"stop_times": ("trip_id", "stop_sequence"), "shapes": ("shape_id", "shape_pt_sequence"),
-         "trips": ("trip_id",), "calendar_dates": ("service_id", "date")}
+ORDER = {"stop_times": ("trip_id", "stop_sequence"), "shapes": ("shape_id", "shape_pt_sequence"),
+         "trips": ("trip_id",), "calendar_dates": ("service_id", "date"), "stops": ("stop_id",), "routes": ("route_id",),
+         "transfers": ("from_stop_id", "to_stop_id", "from_trip_id", "to_trip_id"), "agency": ("agency_id",)}
 
 
 def write_table(df: DataFrame, path: str, name: str, fmt: str = "csv", partitions: int | None = None) -> None:
-    order = LARGE.get(name)
+    order = [c for c in ORDER.get(name, ()) if c in df.columns]
     out = df
     if order:
-        n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        out = df.repartitionByRange(int(n), *order).sortWithinPartitions(*order)
-    else:
-        out = df.coalesce(1)
+        out = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+        out = out.sortWithinPartitions(*order)
     w = out.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(f"{path.rstrip('/')}/{name}")

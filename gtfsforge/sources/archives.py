@@ -10,6 +10,7 @@ archive being read is in memory, and output is streamed in bounded batches.
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 
 import pandas as pd
@@ -32,6 +33,25 @@ def _members(zf: zipfile.ZipFile, prefix: str = ""):
             yield prefix + name, zf.read(name)
 
 
+#: A field that a quote opens and that does not end on this line.
+_OPEN = re.compile(r'(?:^|\|)"(?:[^"]|"")*$')
+
+
+def split_lines(data: bytes):
+    """Lines of a table file as Latin-1 text, cut at LF or CR LF only (other
+    control bytes are text) and not inside a quoted field."""
+    held = None
+    for line in data.decode("latin-1").split("\n"):
+        whole = line if held is None else held + "\n" + line
+        if '"' in whole and _OPEN.search(whole):
+            held = whole
+            continue
+        held = None
+        yield whole.removesuffix("\r")
+    if held is not None:  # a quote that nothing closes: the lines as they are
+        yield from (x.removesuffix("\r") for x in held.split("\n"))
+
+
 def _explode(batches):
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
@@ -39,7 +59,7 @@ def _explode(batches):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for member, data in _members(zf):
                     table = table_name(member.rsplit("!", 1)[-1])
-                    for line in data.decode("latin-1").splitlines():
+                    for line in split_lines(data):
                         if line:
                             out.append((path, member, table, line))
                         if len(out) >= BATCH:

@@ -41,12 +41,13 @@ def translation(charset: str) -> tuple[str, str]:
 
 
 def decode_latin1_text(col: Column, charset: str) -> Column:
-    """Text that was read as Latin-1 -> text in ``charset``."""
+    """Text that was read as Latin-1 -> text in ``charset``; NULL where the bytes are malformed."""
     codec = ALIASES.get(charset.lower(), charset.lower())
     if codec == "latin-1":
         return col
     if codec == "utf-8":
-        return F.decode(F.encode(col, LATIN1), "UTF-8")
+        # bytes that are no UTF-8 give NULL, not an error
+        return F.try_validate_utf8(F.encode(col, LATIN1).cast("string"))
     src, dst = translation(charset)
     return F.translate(col, src, dst) if src else col
 

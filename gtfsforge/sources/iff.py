@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import hhmm_to_seconds, parse_ddmmyyyy
-from .text import SECTION, field, fields, int_field, read_records, section_lines
+from .text import CRLF, SECTION, after_tag, field, fields, int_field, read_records, section_lines
 
 CHARSET = "cp1252"
 STOP_TAGS = (">", ".", ";", "+", "<")
@@ -37,7 +37,7 @@ def _lines(spark: SparkSession, base: str, name: str, charset: str) -> DataFrame
 # --------------------------------------------------------------------------
 
 def parse_delivery_line(text: Column) -> list[Column]:
-    p = fields(F.substring(text, 2, 10 ** 6))
+    p = fields(after_tag(text))
     return [int_field(p, 0).alias("companynumber"), parse_ddmmyyyy(field(p, 1)).alias("firstday"),
             parse_ddmmyyyy(field(p, 2)).alias("lastday"), int_field(p, 3).alias("versionnumber"),
             field(p, 4).alias("description")]
@@ -126,13 +126,13 @@ def _sections(spark, base, name, charset) -> DataFrame:
     lines = F.filter(section_lines(F.col("text")), lambda x: ~x.startswith("@"))
     lines = F.transform(lines, lambda x: F.regexp_replace(x, "^#", ""))
     return r.select(lines.alias("lines")).filter(F.size("lines") > 0).select(
-        F.element_at("lines", 1).alias("head"), F.slice("lines", 2, 10 ** 6).alias("body"))
+        F.element_at("lines", 1).alias("head"), F.slice("lines", 2, F.size("lines")).alias("body"))
 
 
 def read_timezones(spark, base, charset=CHARSET) -> DataFrame:
     s = _sections(spark, base, "timezone", charset)
     e = s.select(F.trim("head").try_cast("int").alias("tznumber"), F.explode("body").alias("l"))
-    p = fields(F.substring("l", 2, 10 ** 6))
+    p = fields(after_tag(F.col("l")))
     sign = F.when(F.col("l").startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     return e.select("tznumber", (sign * int_field(p, 0)).alias("difference"),
                     parse_ddmmyyyy(field(p, 1)).alias("firstday"), parse_ddmmyyyy(field(p, 2)).alias("lastday"))
@@ -143,7 +143,7 @@ def read_attribute_questions(spark, base, charset=CHARSET) -> DataFrame:
     h = fields(F.col("head"))
     e = s.select(field(h, 0).alias("code"), (field(h, 1) == "1").alias("inclusive"), field(h, 2).alias("question"),
                  F.explode(F.filter("body", lambda x: x.startswith("-"))).alias("l"))
-    return e.select("code", "inclusive", "question", F.trim(F.substring("l", 2, 10 ** 6)).alias("transattr"))
+    return e.select("code", "inclusive", "question", F.trim(after_tag(F.col("l"))).alias("transattr"))
 
 
 def read_footnote_bitmaps(spark, base, charset=CHARSET) -> DataFrame:
@@ -155,7 +155,7 @@ def read_changes(spark, base, charset=CHARSET) -> DataFrame:
     """Change records per station, one list per station (§8-D3)."""
     s = _sections(spark, base, "changes", charset)
     e = s.select(F.trim("head").alias("station"), F.explode("body").alias("l"))
-    p = fields(F.substring("l", 2, 10 ** 6))
+    p = fields(after_tag(F.col("l")))
     return e.select("station", int_field(p, 0).alias("fromservice"), int_field(p, 1).alias("toservice"),
                     int_field(p, 2).alias("possiblechange"))
 
@@ -164,35 +164,24 @@ def read_changes(spark, base, charset=CHARSET) -> DataFrame:
 # timetable (A-9)
 # --------------------------------------------------------------------------
 
-def _is_stop(x: Column) -> Column:
-    return F.substring(x, 1, 1).isin(*STOP_TAGS)
-
-
 def parse_timetable_sections(sections: DataFrame) -> dict[str, DataFrame]:
     """Six tables from service blocks (``head`` = service id, ``body`` = lines).
 
     The stop index of a line is the number of stop records up to it; a
     platform line (``?``) belongs to the most recent stop.  A passing record
     (``;``) is a stop without times (§8-D2).  Zeros stay zeros (§8-D1).
+
+    A block is cut before each stop line, so the n-th cut is the n-th stop with
+    the lines that follow it (cut 0: the lines before the first stop); every
+    character of the block is looked at once.
     """
-    # one left-to-right pass over the block: running stop index and the
-    # station of the most recent stop line
-    entry = "struct<line:string,idx:int,st:string>"
-    start = F.struct(F.array().cast(f"array<{entry}>").alias("out"), F.lit(0).alias("idx"),
-                     F.lit(None).cast("string").alias("st"))
-
-    def step(acc, x):
-        stop = _is_stop(x)
-        idx = acc["idx"] + F.when(stop, 1).otherwise(0)
-        st = F.when(stop, F.trim(F.get(F.split(F.substring(x, 2, 10 ** 6), ","), 0))).otherwise(acc["st"])
-        return F.struct(F.concat(acc["out"], F.array(F.struct(x.alias("line"), idx.alias("idx"), st.alias("st"))))
-                        .alias("out"), idx.alias("idx"), st.alias("st"))
-
-    entries = F.aggregate("body", start, step, lambda acc: acc["out"])
-    e = sections.select(F.trim("head").try_cast("int").alias("serviceid"), F.explode(entries).alias("e")).select(
-        "serviceid", F.col("e.line").alias("line"), F.col("e.idx").alias("idx"), F.col("e.st").alias("stop_station"))
+    cuts = F.split(F.concat(F.lit(CRLF), F.array_join("body", CRLF)), CRLF + "(?=[" + "".join(STOP_TAGS) + "])")
+    e = sections.select(F.trim("head").try_cast("int").alias("serviceid"), F.posexplode(cuts).alias("idx", "cut"))
+    station = F.trim(F.get(F.split(after_tag(F.get(F.split("cut", CRLF), F.lit(0))), ","), 0))
+    e = e.select("serviceid", "idx", F.when(F.col("idx") > 0, station).alias("stop_station"), F.explode(F.split("cut", CRLF)).alias("line")) \
+        .filter(F.length("line") > 0)
     tag = F.substring("line", 1, 1)
-    p = fields(F.substring("line", 2, 10 ** 6))
+    p = fields(after_tag(F.col("line")))
     e = e.select("serviceid", "idx", "stop_station", tag.alias("tag"), p.alias("p"))
     P = F.col("p")
     out = {

@@ -50,6 +50,16 @@ def parse_fields(raw: DataFrame, table: str, dialect: str = "standard", charset:
     return df
 
 
+def count_undecodable(raw: DataFrame, table: str, dialect: str = "standard", charset: str = "UTF-8") -> DataFrame:
+    """(table, column, n): values of the raw table whose bytes are malformed in
+    ``charset``; they are NULL in the parsed table."""
+    names = [n for n, _ in schemas.columns(table, dialect)]
+    bad = [F.count_if(F.col(n).isNotNull() & decode_latin1_text(F.col(n), charset).isNull()).alias(n) for n in names]
+    one = raw.agg(*bad)
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n in names])
+    return one.select(F.lit(table).alias("table"), F.explode(pairs).alias("c")).select("table", "c.column", "c.n").where("n > 0")
+
+
 def read_kv1(spark: SparkSession, path: str, table: str, dialect: str = "standard",
              charset: str = "UTF-8") -> DataFrame:
     """One KV1 table from pipe-delimited file(s) at ``path`` (file, dir or glob)."""
@@ -63,10 +73,13 @@ def parse_lines(lines: DataFrame, table: str, dialect: str = "standard", charset
                 value_col: str = "line") -> DataFrame:
     """KV1 table from a DataFrame of text lines (as produced by
     :func:`sources.archives.expand_archives`), parsed with ``from_csv``."""
-    schema = _raw_schema(table, dialect)
-    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    parsed = lines.select(F.from_csv(F.col(value_col), ddl, {"sep": "|", "quote": '"'}).alias("r")).select("r.*")
-    return parse_fields(parsed, table, dialect, charset)
+    return parse_fields(raw_lines(lines, table, dialect, value_col), table, dialect, charset)
+
+
+def raw_lines(lines: DataFrame, table: str, dialect: str = "standard", value_col: str = "line") -> DataFrame:
+    """The fields of text lines as strings, not yet decoded or cast."""
+    ddl = ", ".join(f"`{f.name}` string" for f in _raw_schema(table, dialect).fields)
+    return lines.select(F.from_csv(F.col(value_col), ddl, {"sep": "|", "quote": '"', "multiLine": "true"}).alias("r")).select("r.*")
 
 
 def table_name(member: str) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.times import hhmm_to_seconds, parse_ddmmyyyy
 from ..operators.calendars import bitmap_dates
 from ..operators.gtfs_pas import normalise_midnight
-from .text import SECTION, field, fields, int_field, read_records, section_lines
+from .text import SECTION, after_tag, field, fields, int_field, read_records, section_lines
 
 CHARSET = "cp1252"
 FORMAT_TAG = "RETPAS1"
@@ -45,18 +45,18 @@ def parse_journey_sections(sections: DataFrame) -> dict[str, DataFrame]:
     interleaved).
     """
     lines = F.col("lines")
-    head = fields(F.substring(F.element_at(lines, 1), 1, 10 ** 6))
+    head = fields(F.element_at(lines, 1))
     note = F.try_element_at(F.filter(lines, lambda x: x.startswith("-")), F.lit(1))
     j = sections.select(
         field(head, 0).alias("modaliteit"), field(head, 1).alias("vervoerdercode"), field(head, 2).alias("lijnsysteemnr"),
         int_field(head, 3).alias("richting"), field(head, 4).alias("ritnummer"),
-        F.trim(F.substring(note, 2, 10 ** 6)).alias("voetnoot"),
+        F.trim(after_tag(note)).alias("voetnoot"),
         F.filter(lines, lambda x: F.substring(x, 1, 1).isin(*STOP_TAGS)).alias("stops"))
     pujo = j.select("modaliteit", "vervoerdercode", "lijnsysteemnr", "richting", "ritnummer", "voetnoot")
     e = j.select("vervoerdercode", "lijnsysteemnr", "richting", "ritnummer", "voetnoot",
                  F.posexplode("stops").alias("pos", "l"))
     t = F.substring("l", 1, 1)
-    p = fields(F.substring("l", 2, 10 ** 6))
+    p = fields(after_tag(F.col("l")))
     arr = F.when(t.isin(".", "+", "<"), hhmm_to_seconds(field(p, 1)))
     dep = F.when(t.isin(">", "."), hhmm_to_seconds(field(p, 1))).when(t == "+", hhmm_to_seconds(field(p, 2)))
     passes = e.select("vervoerdercode", "lijnsysteemnr", "richting", "ritnummer", "voetnoot",
@@ -74,10 +74,10 @@ def read_journeys(spark: SparkSession, path: str, charset: str = CHARSET) -> dic
         .filter(F.size("lines") > 0)
     out = parse_journey_sections(secs)
     period = r.select(F.explode(preamble).alias("l")).filter(F.col("l").startswith("&")).select(
-        parse_ddmmyyyy(F.split(F.substring("l", 2, 100), "-").getItem(0)).alias("validfrom"),
-        parse_ddmmyyyy(F.split(F.substring("l", 2, 100), "-").getItem(1)).alias("validthru"))
+        parse_ddmmyyyy(F.split(after_tag(F.col("l")), "-").getItem(0)).alias("validfrom"),
+        parse_ddmmyyyy(F.split(after_tag(F.col("l")), "-").getItem(1)).alias("validthru"))
     fmt = r.select(F.explode(preamble).alias("l")).filter(F.col("l").startswith("!")).select(
-        (F.substring("l", 2, 100) == FORMAT_TAG).alias("format_ok"))
+        (after_tag(F.col("l")) == FORMAT_TAG).alias("format_ok"))
     out.update({"period": period, "format": fmt})
     return out
 
@@ -85,7 +85,7 @@ def read_journeys(spark: SparkSession, path: str, charset: str = CHARSET) -> dic
 def read_footnotes(spark: SparkSession, path: str, first_day, charset: str = CHARSET) -> DataFrame:
     """VTN file -> voetnoot(voetnoot, datum) from ``first_day`` (A-11, J-3)."""
     r = read_records(spark, path, charset).filter(F.col("text").startswith("@"))
-    p = fields(F.substring("text", 2, 10 ** 6))
+    p = fields(after_tag(F.col("text")))
     bits = r.select(field(p, 0).alias("voetnoot"), field(p, 1).alias("bits"))
     return bitmap_dates(bits, first_day, key="voetnoot").withColumnRenamed("servicedate", "datum")
 

@@ -32,6 +32,11 @@ def fields(text: Column, sep: str = ",") -> Column:
     return F.split(text, sep, -1)
 
 
+def after_tag(line: Column) -> Column:
+    """The line without its first character (the record tag), to its end."""
+    return F.substr(line, F.lit(2))
+
+
 def field(parts: Column, i: int) -> Column:
     """i-th field (0-based), trimmed; empty -> NULL; missing -> NULL."""
     v = F.trim(F.get(parts, i))

@@ -2,22 +2,24 @@
 
 A Structured Streaming query watches the landing folder for zip deliveries
 (``binaryFile`` source, one delivery per micro-batch in arrival order) and
-merges each one in ``foreachBatch``:
+merges each one in ``foreachBatch``; :func:`sweep_folder` imports a folder in
+order of file names and :func:`sync_index` follows a feed index.  One delivery:
 
-1. skip it when its (file, owner version) is already in the ledger or the
-   tombstones (idempotent replays after a failure, L-1);
-2. expand the archive into table lines and parse the tables (A-4, A-1);
+1. skip it when its (file, owner version) is already in the ledger;
+2. expand the archive into table lines, written to a staging folder, and parse
+   the tables in the owner's charset (A-4, A-1, A-3);
 3. metadata (owner, first/last operating day, N-1); an expired delivery
    only gets a ledger row, which the purge then tombstones;
-4. stamp a new version id (N-3), append every table under
-   ``tables/<table>/version=<v>`` and write the merged operating days as a
-   new snapshot ``operday/snapshot=<v>`` (never over the snapshot being
-   read, N-4);
-5. refresh and purge the ledger (N-8).
-
-The stream's checkpoint gives exactly-once file tracking; the ledger gives
-idempotence of the merge itself.  ``availableNow`` processes the backlog and
-stops, which is the batch mode of the reference's folder sweep.
+4. stamp a new version id (N-3), compress journeys if asked (N-5), write every
+   table to ``tables/<table>/version=<v>`` and the merged operating days to
+   ``operday/snapshot=<v>``, by the policy of owner and mode (N-4);
+5. refresh and purge the ledger (N-8) and commit it as ``ledger/snapshot=<v>``;
+6. delete what no live version needs any more (K-6).
+
+Everything before step 5 overwrites folders named by the version, and the
+version comes from the last committed ledger, so a job that fails half way is
+simply run again.  A snapshot counts once its ``_SUCCESS`` marker exists; the
+operating days belong to the newest committed ledger.
 """
 
 from __future__ import annotations
@@ -28,88 +30,186 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import increment as I
+from ..operators import profiles
 from ..sources import kv1, schemas
-from ..sources.archives import _explode, SCHEMA as LINES_SCHEMA
+from ..sources.archives import SCHEMA as LINES_SCHEMA
+from ..sources.archives import _explode
+from ..sources.charsets import charset_of_owner
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 LEDGER_SCHEMA = ("version int, dataownercode string, validfrom date, validthru date, filename string, "
                  "dataownerversion int, unitcode string, purged boolean")
+OPERDAY_SCHEMA = ("version int, dataownercode string, organizationalunitcode string, schedulecode string, "
+                  "scheduletypecode string, validdate date")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder (names only; no data is read)."""
+    p, fs = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _numbered(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The complete ``key=<n>`` folders below ``path``, ascending."""
+    found = []
+    for name in _children(spark, path):
+        if name.startswith(key + "=") and "_SUCCESS" in _children(spark, f"{path}/{name}"):
+            found.append(int(name.split("=", 1)[1]))
+    return sorted(found)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def read_ledger(spark: SparkSession, store: str) -> DataFrame:
-    path = f"{store}/ledger"
-    if not _exists(spark, path):
+    """The newest committed ledger."""
+    done = _numbered(spark, f"{store}/ledger", "snapshot")
+    if not done:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{store}/ledger/snapshot={done[-1]}")
+
+
+def _operday(spark: SparkSession, store: str) -> DataFrame | None:
+    done = _numbered(spark, f"{store}/ledger", "snapshot")
+    known = [n for n in _numbered(spark, f"{store}/operday", "snapshot") if done and n <= done[-1]]
+    return spark.read.schema(OPERDAY_SCHEMA).parquet(f"{store}/operday/snapshot={known[-1]}") if known else None
 
 
 def current_operday(spark: SparkSession, store: str) -> DataFrame | None:
-    path = f"{store}/operday"
-    if not _exists(spark, path):
-        return None
-    od = spark.read.parquet(path)
-    top = od.agg(F.max("snapshot")).first()[0]
-    return od.filter(F.col("snapshot") == top).drop("snapshot")
+    """Operating days of the live versions, as of the newest committed ledger."""
+    od = _operday(spark, store)
+    return None if od is None else I.cascade_live(od, read_ledger(spark, store).filter(~F.col("purged"))).select(*I.OPERDAY_KEYS)
+
+
+def _commit_ledger(spark: SparkSession, store: str, ledger: DataFrame, operday: DataFrame | None, as_of, number: int) -> None:
+    """Refresh validthru and purge flags (a purged version stays purged) and publish the snapshot."""
+    if operday is None:
+        fresh = ledger.withColumn("purged", F.lit(True))
+    else:
+        fresh = I.purge_expired(ledger.withColumnRenamed("purged", "was"), operday, as_of) \
+            .withColumn("purged", F.col("purged") | F.col("was"))
+    fresh.select(*[c.split()[0] for c in LEDGER_SCHEMA.split(", ")]).write.mode("overwrite") \
+        .parquet(f"{store}/ledger/snapshot={number}")
+
+
+def sweep_dead(spark: SparkSession, store: str) -> list[str]:
+    """Delete the table folders of versions that are no longer live and the snapshots
+    before the current ones (K-6); returns what went.  Safe to repeat."""
+    live = {r["version"] for r in read_ledger(spark, store).filter(~F.col("purged")).select("version").collect()}
+    gone = []
+    for table in _children(spark, f"{store}/tables"):
+        for name in _children(spark, f"{store}/tables/{table}"):
+            if name.startswith("version=") and int(name.split("=", 1)[1]) not in live:
+                gone.append(f"{store}/tables/{table}/{name}")
+    ledgers = _numbered(spark, f"{store}/ledger", "snapshot")
+    gone += [f"{store}/ledger/snapshot={n}" for n in ledgers[:-1]]
+    days = [n for n in _numbered(spark, f"{store}/operday", "snapshot") if ledgers and n <= ledgers[-1]]
+    gone += [f"{store}/operday/snapshot={n}" for n in days[:-1]]
+    for path in gone:
+        _remove(spark, path)
+    return gone
+
+
+def withdraw(spark: SparkSession, store: str, keys: DataFrame, as_of: _dt.date | None = None) -> bool:
+    """Drop the imports whose file is in ``keys`` (one column): their ledger rows, and with
+    them their tables and operating days (L-4, K-6).  False when there are none."""
+    ledger = read_ledger(spark, store)
+    left = ledger.join(keys.select(F.col(keys.columns[0]).alias("filename")).distinct(), "filename", "left_anti")
+    if left.count() == ledger.count():
+        return False
+    number = _numbered(spark, f"{store}/ledger", "snapshot")[-1] + 1
+    left.select(*ledger.columns).write.mode("overwrite").parquet(f"{store}/ledger/snapshot={number}")
+    sweep_dead(spark, store)
+    return True
 
 
 def merge_delivery(spark: SparkSession, archive: DataFrame, store: str, name: str, dataownerversion: int = 1,
-                   policy: str = "same_day", dialect: str = "standard", charset: str = "UTF-8",
-                   as_of: _dt.date | None = None) -> bool:
+                   policy: str | None = None, dialect: str = "standard", charset: str | None = None,
+                   as_of: _dt.date | None = None, delta: bool = True, compress: bool = False) -> bool:
     """Merge one delivery (a one-row binaryFile DataFrame).  Returns False
-    when it was imported before."""
+    when it was imported before.  Without ``policy`` the owner and ``delta``
+    (adds to a baseline, or replaces it) choose it; without ``charset`` the owner does."""
     as_of = as_of or _dt.date.today()
     ledger = read_ledger(spark, store)
     seen = ledger.filter((F.col("filename") == name) & (F.col("dataownerversion") == dataownerversion)).limit(1)
     if seen.count():
         return False
-    lines = archive.mapInPandas(_explode, LINES_SCHEMA).persist()
-    present = {r["table"] for r in lines.select("table").distinct().collect()}
-    tables = {t: kv1.parse_lines(lines.filter(F.col("table") == t), t, dialect, charset)
-              for t in schemas.IMPORT_ORDER if t in present}
-    if "operday" not in tables:
-        lines.unpersist()
+    done = _numbered(spark, f"{store}/ledger", "snapshot")
+    version = max(I.next_version(ledger), done[-1] + 1 if done else 1)
+    staging = f"{store}/staging/version={version}"
+    archive.mapInPandas(_explode, LINES_SCHEMA).write.mode("overwrite").partitionBy("table").parquet(staging)
+    present = {n.split("=", 1)[1] for n in _children(spark, staging) if n.startswith("table=")}
+    if "operday" not in present:
         raise ValueError(f"delivery {name} has no OPERDAY table")
+
+    def lines(t: str) -> DataFrame:
+        return spark.read.schema("archive string, member string, line string").parquet(f"{staging}/table={t}")
+
+    if charset is None:
+        first = kv1.parse_lines(lines("operday"), "operday", dialect).select("dataownercode").first()
+        charset = charset_of_owner(first[0]) if first else "UTF-8"
+    tables = {t: kv1.parse_lines(lines(t), t, dialect, charset) for t in schemas.IMPORT_ORDER if t in present}
     meta = I.feed_metadata(tables["operday"])
-    version = I.next_version(ledger)
+    owner = meta.select("dataownercode").first()
+    policy = policy or I.merge_policy(owner[0] if owner else "", delta)
     row = I.ledger_row(spark, version, meta, name, dataownerversion).withColumn("purged", F.lit(False))
+    new_ledger = ledger.unionByName(row.select(*ledger.columns))
+    base = current_operday(spark, store)
+    operday = _operday(spark, store)
     expired = meta.filter(F.col("valid_thru") >= F.date_sub(F.lit(str(as_of)).cast("date"), 1)).limit(1).count() == 0
     if not expired:
         stamped = I.stamp_version(tables, version)
+        if compress and "pujopass" in stamped:
+            stamped |= profiles.compress_journeys(stamped["pujopass"])
         for t, df in stamped.items():
             if t != "operday":
-                df.write.mode("append").parquet(f"{store}/tables/{t}/version={version}")
-        base = current_operday(spark, store)
-        delta = stamped["operday"].select(*I.OPERDAY_KEYS)
-        if base is None:
-            merged = delta
-        else:
-            sv = stamped["schedvers"] if policy in ("clip_delta", "range", "range_unit") else None
-            led = ledger.unionByName(row.select(*ledger.columns)) if policy == "range_unit" else None
-            merged = I.merge_operday(base.select(*I.OPERDAY_KEYS), delta, policy, sv, led)
-        merged.write.mode("overwrite").parquet(f"{store}/operday/snapshot={version}")
-    # ledger: append, then refresh validthru / purge flags from the current operating days
-    new_ledger = ledger.unionByName(row.select(*ledger.columns))
-    od = current_operday(spark, store)
-    if od is not None:
-        refreshed = I.purge_expired(new_ledger.drop("purged"), od, as_of).select(*ledger.columns)
-    else:
-        refreshed = new_ledger.withColumn("purged", F.lit(True))
-    tmp = f"{store}/ledger-{version}"
-    refreshed.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(f"{store}/ledger")
-    lines.unpersist()
+                df.write.mode("overwrite").parquet(f"{store}/tables/{t}/version={version}")
+        days = stamped["operday"].select(*I.OPERDAY_KEYS)
+        if base is not None:
+            days = I.merge_operday(base, days, policy, stamped.get("schedvers"), new_ledger)
+        elif policy.startswith("clip"):
+            days = I.clip_to_schedules(days, stamped["schedvers"])
+        days.write.mode("overwrite").parquet(f"{store}/operday/snapshot={version}")
+        operday = spark.read.schema(OPERDAY_SCHEMA).parquet(f"{store}/operday/snapshot={version}")
+    _commit_ledger(spark, store, new_ledger, operday, as_of, version)
+    _remove(spark, staging)
+    sweep_dead(spark, store)
     return True
 
 
-def start_landing_import(spark: SparkSession, landing: str, store: str, checkpoint: str, policy: str = "same_day",
-                         dialect: str = "standard", charset: str = "UTF-8", as_of: _dt.date | None = None,
-                         available_now: bool = True):
+def sweep_folder(spark: SparkSession, folder: str, store: str, **options) -> list[str]:
+    """Import every zip delivery of a folder in order of file names (G-4); the names imported."""
+    names = sorted(n for n in _children(spark, folder) if n.lower().endswith(".zip"))
+    read = spark.read.format("binaryFile")
+    return [n for n in names if merge_delivery(spark, read.load(f"{folder}/{n}"), store, n, **options)]
+
+
+def sync_index(spark: SparkSession, index: DataFrame, folder: str, store: str, force_baseline_keys: tuple[str, ...] = (),
+               **options) -> list[str]:
+    """Follow a feed index (N-2, L-1, L-4): withdraw what is no longer published, then import
+    what is published and new from ``folder``, in import order; baselines replace, others add.
+    The index is one row per delivery.  Returns the keys imported."""
+    withdraw(spark, store, I.unpublished_keys(index), options.get("as_of"))
+    ledger = read_ledger(spark, store).select(F.col("filename").alias("feedkey"), "dataownerversion")
+    plan = I.plan_imports(index, ledger, force_baseline_keys)
+    done = []
+    for r in plan.select("feedkey", "filename", "dataownerversion", "isbaseline").toLocalIterator():
+        archive = spark.read.format("binaryFile").load(f"{folder}/{r['filename']}")
+        if merge_delivery(spark, archive, store, r["feedkey"], int(r["dataownerversion"]), delta=not r["isbaseline"], **options):
+            done.append(r["feedkey"])
+    return done
+
+
+def start_landing_import(spark: SparkSession, landing: str, store: str, checkpoint: str, policy: str | None = None,
+                         dialect: str = "standard", charset: str | None = None, as_of: _dt.date | None = None,
+                         available_now: bool = True, delta: bool = True, compress: bool = False):
     """Start the streaming import; returns the StreamingQuery."""
     stream = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
               .option("pathGlobFilter", "*.zip").option("maxFilesPerTrigger", 1).load(landing))
@@ -119,7 +219,7 @@ def start_landing_import(spark: SparkSession, landing: str, store: str, checkpoi
         for r in batch.select("path").orderBy("path").collect():
             name = r["path"].rsplit("/", 1)[-1]
             merge_delivery(spark, batch.filter(F.col("path") == r["path"]), store, name, policy=policy,
-                           dialect=dialect, charset=charset, as_of=as_of)
+                           dialect=dialect, charset=charset, as_of=as_of, delta=delta, compress=compress)
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -177,11 +177,29 @@ def test_iff_stop_outside_parts_keeps_a_row_per_footnote(spark):
     assert trips == [("-", 1), ("-", 1), ("1|7|12", 1), ("1|7|12", 2), ("1|8|12", 1), ("1|8|12", 2)]
 
 
-def test_bounded_broadcast_checks_the_size(spark):
-    from gtfsforge.functions.broadcast import bounded_broadcast
-
-    small = spark.range(10)
-    big = spark.range(1000)
-    plan_small = bounded_broadcast(small, max_rows=100)._jdf.queryExecution().analyzed().toString()
-    plan_big = bounded_broadcast(big, max_rows=100)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
+def test_no_fixed_ends_and_no_scratch_folder_on_a_cluster():
+    import pathlib
+
+    from gtfsforge import session
+
+    code = "".join(p.read_text() for p in pathlib.Path(session.__file__).parent.rglob("*.py"))
+    assert "10 ** 6" not in code and "coalesce(1)" not in code
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())

@@ -214,3 +214,25 @@ def test_kv1_delivery_folder_with_owner_charset(spark, tmp_path):
     t = kv1.read_delivery(spark, str(d))
     assert set(t) == {"dest", "operday"}
     assert t["dest"].first()["destnamefull"] == "Caf€"  # QBUZZ delivers ISO-8859-15
+
+
+def test_archive_lines_are_cut_at_line_ends_only(spark):
+    from gtfsforge.sources.archives import split_lines
+
+    odd = "".join(chr(c) for c in (0x85, 0x0B, 0x0C, 0x1C, 0x1D, 0x1E))
+    text = ["DEST|1|Århus", f"DEST|2|a{odd}b", 'DEST|3|"two\nlines"|x', 'DEST|4|"quoted ""here"""', 'DEST|5|say "hi', "DEST|6|end"]
+    data = "\r\n".join(text).encode("utf-8")
+    got = [x.encode("latin-1").decode("utf-8") for x in split_lines(data)]
+    assert got == text
+    assert list(split_lines(b'a|"open\r\nb\nc')) == ['a|"open', "b", "c"]
+
+
+def test_a_malformed_byte_is_null_and_counted(spark):
+    from gtfsforge.sources import kv1
+
+    good, bad = "DEST|1|I|ARR|D1|Århus|Å|||", b"DEST|1|I|ARR|D2|\xff\xfe|ok|||"
+    df = spark.createDataFrame([(good.encode().decode("latin-1"),), (bad.decode("latin-1"),)], "line string")
+    rows = {r["destcode"]: r["destnamefull"] for r in kv1.parse_lines(df, "dest").collect()}
+    assert rows == {"D1": "Århus", "D2": None}
+    raw = kv1.raw_lines(df, "dest")
+    assert [tuple(r) for r in kv1.count_undecodable(raw, "dest").collect()] == [("dest", "destnamefull", 1)]

@@ -41,3 +41,69 @@ def test_landing_import_merges_and_is_idempotent(spark, tmp_path):
     assert landing.read_ledger(spark, str(store)).count() == 2
     tables = spark.read.parquet(str(store / "tables" / "pujopass"))
     assert tables.select(F.countDistinct("version")).first()[0] == 2
+
+
+def _archive(spark, path):
+    return spark.read.format("binaryFile").load(str(path))
+
+
+def _operday(spark, store):
+    return sorted((r["version"], str(r["validdate"])) for r in landing.current_operday(spark, str(store)).collect())
+
+
+def test_a_job_that_fails_before_the_ledger_is_simply_run_again(spark, tmp_path, monkeypatch):
+    store = tmp_path / "store"
+    _delivery(tmp_path / "a1.zip", 1, ["2030-01-01", "2030-01-02"], "S1")
+    _delivery(tmp_path / "a2.zip", 1, ["2030-01-02", "2030-01-03"], "S2")
+    as_of = dt.date(2029, 12, 1)
+    assert landing.merge_delivery(spark, _archive(spark, tmp_path / "a1.zip"), str(store), "a1.zip", as_of=as_of)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing, "_commit_ledger", broken)
+        try:
+            landing.merge_delivery(spark, _archive(spark, tmp_path / "a2.zip"), str(store), "a2.zip", as_of=as_of)
+            raise AssertionError("should have failed")
+        except RuntimeError:
+            pass
+    assert _operday(spark, store) == [(1, "2030-01-01"), (1, "2030-01-02")]
+    assert landing.merge_delivery(spark, _archive(spark, tmp_path / "a2.zip"), str(store), "a2.zip", as_of=as_of)
+    assert _operday(spark, store) == [(1, "2030-01-01"), (2, "2030-01-02"), (2, "2030-01-03")]
+    passes = spark.read.parquet(str(store / "tables" / "pujopass"))
+    assert sorted(r["version"] for r in passes.select("version").collect()) == [1, 2]
+    # one ledger and one operday snapshot are left
+    assert len(list((store / "ledger").glob("snapshot=*"))) == len(list((store / "operday").glob("snapshot=*"))) == 1
+
+
+def test_index_sync_withdraws_imports_in_order_and_cascades(spark, tmp_path):
+    store, folder = tmp_path / "store", tmp_path / "files"
+    folder.mkdir()
+    _delivery(folder / "base.zip", 1, ["2030-01-01", "2030-01-02", "2030-01-03"], "S1")
+    _delivery(folder / "add.zip", 1, ["2030-01-02"], "S2")
+    _delivery(folder / "old.zip", 1, ["2020-01-02"], "S3")
+    cols = "feedkey string, filename string, dataownerversion int, ispublished boolean, isbaseline boolean, idx int, publishorder int"
+    rows = [("k2", "add.zip", 1, True, False, 1, 2), ("k1", "base.zip", 1, True, True, 1, 1), ("k3", "old.zip", 1, True, False, 2, 3)]
+    as_of = dt.date(2029, 12, 1)
+    done = landing.sync_index(spark, spark.createDataFrame(rows, cols), str(folder), str(store), as_of=as_of, compress=True)
+    assert done == ["k1", "k2", "k3"]
+    assert _operday(spark, store) == [(1, "2030-01-01"), (1, "2030-01-03"), (2, "2030-01-02")]
+    assert {p.name for p in (store / "tables").iterdir()} >= {"pujopass", "timdemgrp", "timdemrnt", "schedpujo"}
+    assert landing.sync_index(spark, spark.createDataFrame(rows, cols), str(folder), str(store), as_of=as_of) == []
+    rows[0] = (*rows[0][:3], False, *rows[0][4:])
+    assert landing.sync_index(spark, spark.createDataFrame(rows, cols), str(folder), str(store), as_of=as_of) == []
+    assert _operday(spark, store) == [(1, "2030-01-01"), (1, "2030-01-03")]
+    assert [p.name for p in (store / "tables" / "pujopass").glob("version=*")] == ["version=1"]
+
+
+def test_sweep_by_name_reads_the_owners_charset(spark, tmp_path):
+    folder, store = tmp_path / "files", tmp_path / "store"
+    folder.mkdir()
+    for name, owner, town in (("b.zip", "EBS", "Köln €".encode("iso8859-15")), ("a.zip", "ARR", "Århus".encode())):
+        with zipfile.ZipFile(folder / name, "w") as z:
+            z.writestr("OPERDAY.TMI", f"OPERDAY|1|I|{owner}|U1|S|WE|2030-01-01|\r\n")
+            z.writestr("DEST.TMI", f"DEST|1|I|{owner}|D1|".encode() + town + b"|" + town + b"|||\r\n")
+    assert landing.sweep_folder(spark, str(folder), str(store), as_of=dt.date(2029, 12, 1)) == ["a.zip", "b.zip"]
+    got = {r["dataownercode"]: r["destnamefull"] for r in spark.read.parquet(str(store / "tables" / "dest")).collect()}
+    assert got == {"EBS": "Köln €", "ARR": "Århus"}
