@@ -65,18 +65,66 @@ from ranked r join codes c on {on('r', 'c', PATTERN)} and r.profile = c.profile
 """)
 
 
-# ---- q_redistribute (N-6): fold, rows-only (brute force in tests/) ---------
+# ---- q_redistribute (N-6), q_timdempass (N-6 + N-7) -------------------------
+
+def stop_links(fx: Fixtures) -> DataFrame:
+    """LINK: each stop pair two or three times, at growing distances; some pairs are missing."""
+    pairs = fx.runtimes.filter(F.col("userstopcodebegin") % 11 != 0).select("version", "userstopcodebegin", "userstopcodeend", "distance").distinct()
+    return pairs.withColumn("k", F.explode(F.sequence(F.lit(0), 1 + (F.col("userstopcodebegin") % 2).cast("int")))) \
+        .select("version", "userstopcodebegin", "userstopcodeend", (F.col("distance") + F.col("k") * 25).alias("distance"))
 
-def q_redistribute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.redistribute_drive_time(runtimes(Fixtures(spark, sf_dir)))
 
+def q_redistribute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    return P.redistribute_drive_time(runtimes(fx).drop("distance"), stop_links(fx))
 
-# ---- q_timdempass (N-6 + N-7): rows-only -----------------------------------
 
 def q_timdempass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.pass_offsets(P.redistribute_drive_time(runtimes(Fixtures(spark, sf_dir))))
 
 
+def _settled_sql(source: str, body: str) -> str:
+    """Run times redistributed stretch by stretch: each step of the recursion finds the next
+    stretch of a pattern (``a`` to ``z``) at or after ``since`` and writes its new times."""
+    text = duckdb_with(["runtimes"], f"""
+, rt as ({source}),
+pattern as (select {', '.join(DEMAND)}, list(cast(drivetime as bigint) order by timinglinkorder) as t,
+   list(cast(distance as bigint) order by timinglinkorder) as d from rt group by all),
+step as (
+ select {', '.join(DEMAND)}, 0 as k, 1 as since, t, d from pattern
+ union all
+ select {', '.join(DEMAND)}, k + 1, case when z = len(t) then z + 1 else z end,
+  list_concat(list_concat(t[1:a - 1], early), list_concat([total - coalesce(list_sum(early), 0)], t[z + 1:len(t)])), d
+ from (select *, list_transform(range(a, z), lambda i: case when share(i, t, d, a, z) = 0 then 4 else share(i, t, d, a, z) end) as early,
+        list_sum(t[a:z]) as total
+  from (select *, coalesce(list_min(list_filter(range(a + 1, len(t) + 1), lambda j: t[j] <> 0)), len(t)) as z
+   from (select *, list_min(list_filter(range(since, len(t) + 1), lambda i: t[i] = 0 or (i < len(t) and t[i + 1] = 0))) as a
+    from step where since <= len(t)) where a is not null))),
+settled as (select {', '.join(DEMAND)}, arg_max(t, k) as t from step group by all),
+nth as (select {', '.join(DEMAND)}, unnest(t) as totaldrivetime, unnest(range(1, len(t) + 1)) as pos from settled),
+link_pos as (select *, row_number() over (partition by {', '.join(DEMAND)} order by timinglinkorder) as pos from rt),
+red as (select {', '.join('l.' + c for c in DEMAND)}, l.timinglinkorder, l.userstopcodebegin, l.userstopcodeend,
+   cast(n.totaldrivetime as bigint) as totaldrivetime, cast(l.stopwaittime as bigint) as stopwaittime, cast(l.distance as bigint) as distance
+   from link_pos l join nth n on {on('l', 'n', DEMAND)} and l.pos = n.pos)
+{body}
+""").replace("WITH ", "WITH RECURSIVE ", 1)
+    import re
+
+    share = r"(case when list_sum(d[\4:\5]) > 0 then (list_sum(t[\4:\5]) * d[\1]) // list_sum(d[\4:\5]) else list_sum(t[\4:\5]) // (\5 - \4 + 1) end)"
+    return re.sub(r"share\((\w), (\w), (\w), (\w), (\w)\)", share, text)
+
+
+SQL_REDISTRIBUTE = _settled_sql("""select r.* exclude (distance), x.distance from runtimes r join (
+   select version, userstopcodebegin, userstopcodeend, min(distance) as distance from runtimes where userstopcodebegin % 11 <> 0 group by all) x
+   on x.version = r.version and x.userstopcodebegin = r.userstopcodebegin and x.userstopcodeend = r.userstopcodeend""", "select * from red")
+
+SQL_TIMDEMPASS = _settled_sql("select * from runtimes", f"""
+select {', '.join(DEMAND)}, timinglinkorder, userstopcodebegin, userstopcodeend,
+ cast(sum(totaldrivetime + stopwaittime) over (partition by {', '.join(DEMAND)} order by timinglinkorder) - stopwaittime as bigint) as totaldrivetime,
+ stopwaittime from red
+""")
+
+
 # ---- q_offsets (N-7) --------------------------------------------------------
 
 def q_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,8 +327,8 @@ SQL_WEEKDAY_FLAGS = duckdb_with(["services", "journeys"], f", {_SCHEDVERS_CTE.st
 QUERIES = {
     "q_weekday_flags": (q_weekday_flags, SQL_WEEKDAY_FLAGS),
     "q_profiles": (q_profiles, SQL_PROFILES),
-    "q_redistribute": (q_redistribute, None),
-    "q_timdempass": (q_timdempass, None),
+    "q_redistribute": (q_redistribute, SQL_REDISTRIBUTE),
+    "q_timdempass": (q_timdempass, SQL_TIMDEMPASS),
     "q_offsets": (q_offsets, SQL_OFFSETS),
     "q_expand_passes": (q_expand_passes, SQL_EXPAND_PASSES),
     "q_stop_times_demand": (q_stop_times_demand, SQL_STOP_TIMES_DEMAND),

@@ -42,14 +42,16 @@ def _merge_sql(policy: str) -> str:
                 "and dd.dataownercode = b.dataownercode and dd.validdate = b.validdate)")
     delta_src = "delta"
     extra = ""
-    if policy == "clip_delta":
+    from_min = ("not coalesce(b.validdate >= (select min(d.validdate) from {src} d where d.organizationalunitcode = "
+                "b.organizationalunitcode and d.dataownercode = b.dataownercode), false)")
+    if policy in ("clip_delta", "clip_full"):
         extra = f""",
 dc as (select d.* from delta d left join sv on sv.version = d.version and sv.organizationalunitcode = d.organizationalunitcode
    and sv.dataownercode = d.dataownercode
    and sv.schedulecode = d.schedulecode and sv.scheduletypecode = d.scheduletypecode
    where not coalesce(d.validdate < sv.validfrom, false))"""
         delta_src = "dc"
-        keep = same_day
+        keep = same_day if policy == "clip_delta" else from_min.format(src="dc")
     elif policy == "range":
         keep = ("not exists (select 1 from sv where sv.organizationalunitcode = b.organizationalunitcode "
                 "and sv.dataownercode = b.dataownercode and b.validdate between sv.validfrom and sv.validthru)")
@@ -61,8 +63,7 @@ dc as (select d.* from delta d left join sv on sv.version = d.version and sv.org
     elif policy == "same_day":
         keep = same_day
     elif policy == "from_min":
-        keep = ("not coalesce(b.validdate >= (select min(d.validdate) from delta d where d.organizationalunitcode = "
-                "b.organizationalunitcode and d.dataownercode = b.dataownercode), false)")
+        keep = from_min.format(src="delta")
     else:
         keep = "true"
     return duckdb_with(["operday"], f"""{_MERGE_CTES}{extra},
@@ -103,16 +104,42 @@ from versions v left join last l on l.version = v.version
 def q_plan_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     ledger = I.drop_unpublished(fx.ledger, fx.manifest)
-    return I.plan_imports(fx.manifest, ledger)
+    return I.import_positions(I.plan_imports(fx.manifest, ledger))
 
 
 SQL_PLAN_IMPORTS = duckdb_with(["manifest", "ledger"], """
 , live as (select * from ledger l where not exists (select 1 from manifest m where m.feedkey = l.feedkey and not m.ispublished))
-select m.* from manifest m
+select m.*, cast(row_number() over (order by m.isbaseline desc, m.idx, m.publishorder, m.feedkey) as integer) as position from manifest m
 where m.ispublished and not exists (select 1 from live l where l.feedkey = m.feedkey and l.dataownerversion = m.dataownerversion)
 """)
 
 
+# ---- q_stamp_version, q_cascade (N-3, K-5, K-6) -----------------------------
+
+def q_stamp_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    stamped = I.stamp_version({"operday": fx.operday.select(*_OD)}, I.next_version(fx.versions))
+    return stamped["operday"]
+
+
+SQL_STAMP_VERSION = duckdb_with(["operday", "versions"], f"""
+select cast((select max(version) + 1 from versions) as integer) as version, {', '.join(_OD[1:])} from operday
+""")
+
+
+def q_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    ledger = I.purge_expired(fx.versions, fx.version_days, PURGE_AS_OF)
+    return I.cascade_live(fx.version_days, ledger.filter(~F.col("purged"))).select("version", "validdate")
+
+
+SQL_CASCADE = duckdb_with(["versions", "version_days"], f"""
+, alive as (select version from version_days group by version having max(validdate) >= date '{PURGE_AS_OF}' - interval 1 day)
+select d.version, d.validdate from version_days d join alive a on a.version = d.version
+where d.version in (select version from versions)
+""")
+
+
 # ---- q_manifest_diff (L-3) --------------------------------------------------
 
 def q_manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +170,8 @@ QUERIES = {f"q_merge_{p}": (_merge_query(p), _merge_sql(p)) for p in I.POLICIES}
 QUERIES.update({
     "q_purge": (q_purge, SQL_PURGE),
     "q_plan_imports": (q_plan_imports, SQL_PLAN_IMPORTS),
+    "q_stamp_version": (q_stamp_version, SQL_STAMP_VERSION),
+    "q_cascade": (q_cascade, SQL_CASCADE),
     "q_manifest_diff": (q_manifest_diff, SQL_MANIFEST_DIFF),
     "q_feed_metadata": (q_feed_metadata, SQL_FEED_METADATA),
 })

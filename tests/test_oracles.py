@@ -20,8 +20,7 @@ def duck():
 def test_every_query_is_registered_with_a_callable():
     assert len(QUERIES) >= 50
     assert set(SQL) <= set(QUERIES)
-    # only the iterative fold has no SQL oracle (checked by brute force in test_profiles)
-    assert set(QUERIES) - set(SQL) == {"q_redistribute", "q_timdempass"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

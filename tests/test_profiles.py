@@ -11,37 +11,30 @@ from gtfsforge.plans.fixtures import Fixtures
 from conftest import SF_SMALL
 
 
-def fold_runs(links):
-    """Sequential redistribution of one group's links, stated directly.
+def _shares(times, distances):
+    """A stretch's whole time by distance: floors (4 for a floor of 0), the rest on the last link."""
+    total, length, n = sum(times), sum(distances), len(times)
+    floors = [total * d // length if length else total // n for d in distances[:-1]]
+    floors = [f or 4 for f in floors]
+    return [*floors, total - sum(floors)]
 
-    links: list of dicts with t (run time), d (distance), ordered by link order.
+
+def settled(times, distances):
+    """Run times of one pattern after redistribution.
+
+    A stretch begins at the first link without time, or before one, and ends with
+    the next link that has time (or the last one).  Its last link, with its new time,
+    is the first link of what remains.
     """
-    t = [x["t"] for x in links]
-    d = [x["d"] for x in links]
-    buf = []
-
-    def spread(run):
-        total = sum(t[k] for k in run)
-        dist = sum(d[k] for k in run)
-        alloc = []
-        for k in run:
-            a = (total * d[k]) // dist if dist > 0 else total // len(run)
-            alloc.append(a if a != 0 else 4)
-        for k, a in zip(run, alloc):
-            t[k] = a
-        t[run[-1]] += total - sum(alloc)
-
-    n = len(links)
-    for i in range(n):
-        if buf and t[i] != 0:
-            buf.append(i)
-            spread(buf)
-            buf = []
-        if t[i] == 0 or (i + 1 < n and t[i + 1] == 0):
-            buf.append(i)
-    if buf:
-        spread(buf)
-    return t
+    opens = [i for i, t in enumerate(times) if 0 in times[i:i + 2]]
+    if not opens:
+        return times
+    first = opens[0]
+    last = min([j for j in range(first + 1, len(times)) if times[j]], default=len(times) - 1)
+    new = _shares(times[first:last + 1], distances[first:last + 1])
+    if last == len(times) - 1:
+        return times[:first] + new
+    return times[:first] + new[:-1] + settled(new[-1:] + times[last + 1:], distances[last:])
 
 
 def _groups(rows, keys):
@@ -59,7 +52,7 @@ def test_redistribute_matches_fold(spark):
     expected = {}
     for g, rows in _groups(src, keys):
         rows = list(rows)
-        new = fold_runs([{"t": r["totaldrivetime"], "d": r["distance"]} for r in rows])
+        new = settled([r["totaldrivetime"] for r in rows], [r["distance"] for r in rows])
         for r, v in zip(rows, new):
             expected[g + (r["timinglinkorder"],)] = v
     assert got == expected
@@ -81,7 +74,7 @@ def test_redistribute_random_groups(spark):
     rows = [dict(zip(cols, x)) for x in data]
     for g, grp in _groups(rows, ["journeypatterncode"]):
         grp = list(grp)
-        new = fold_runs([{"t": r["totaldrivetime"], "d": r["distance"]} for r in grp])
+        new = settled([r["totaldrivetime"] for r in grp], [r["distance"] for r in grp])
         for r, v in zip(grp, new):
             assert got[(g[0], r["timinglinkorder"])] == v
 
