@@ -79,7 +79,9 @@ def build_iff(t: dict[str, DataFrame], first_day, version: int = 3, positioned:
               feed_version: str = "1") -> dict[str, DataFrame]:
     """Rail feeds (L3) from ``sources.iff.read_iff`` tables."""
     spark = t["stop"].sparkSession
-    service = I.reassign_company(t["service"], t["transport"]) if version == 3 else t["service"]
+    if version == 3:
+        t = I.prepare_v3(t)
+    service = t["service"]
     footnotes = C.bitmap_dates(t["footnote_bits"], first_day)
     out = {
         "agency": I.gtfs_agency_iff(t["company"], service, upper_code=version == 3),

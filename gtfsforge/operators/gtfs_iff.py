@@ -33,6 +33,8 @@ BUS_LIKE_MODES = ("NSS", "NSB", "B", "BNS", "X", "U", "Y")
 BUS_LIKE_MODES_V3 = ("NSS", "NSB", "B", "NSM", "NST", "BNS", "X", "U", "Y")
 STATION_OVERRIDES = [("aixtgv", 5.317222, 43.455), ("mannhe", 8.469858, 49.479633), ("magdeb", 11.627778, 52.130556)]
 REASSIGN_960 = [("TGV", 980), ("THA", 300), ("ES", 999)]
+EXTRA_COMPANIES = [(999, "EUROSTAR", "Eurostar")]
+MODE_NAME_FIXES = [("stoptrein", "Stoptrein")]
 V3_ROUTE_TYPES = [
     (("ES", "HSI", "HSN", "THA", "ICE", "TGV"), 101), (("INT", "IC", "EC"), 102), (("EN", "CNL"), 105),
     (("S", "ST"), 103), (("SPR",), 109),
@@ -75,16 +77,34 @@ def _served_stations(station: DataFrame, stop: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def reassign_company(service: DataFrame, transport: DataFrame, rules=REASSIGN_960, from_company: int = 960) -> DataFrame:
-    """International trains of company 960 go to the operator of their mode (N-28)."""
+    """International trains of company 960 go to the operator of their mode (N-28);
+    of several modes the first rule decides."""
     spark = service.sparkSession
-    r = F.broadcast(spark.createDataFrame(rules, "transmode string, new_company int"))
-    hit = transport.join(r, on="transmode").groupBy("serviceid").agg(F.min("new_company").alias("new_company"))
+    r = F.broadcast(spark.createDataFrame([(*x, k) for k, x in enumerate(rules)], "transmode string, new_company int, rule int"))
+    hit = transport.join(r, on="transmode").groupBy("serviceid").agg(F.min_by("new_company", "rule").alias("new_company"))
     return service.join(hit, on="serviceid", how="left").withColumn(
         "companynumber",
         F.when((F.col("companynumber") == from_company) & F.col("new_company").isNotNull(), F.col("new_company"))
         .otherwise(F.col("companynumber"))).drop("new_company")
 
 
+def number_from_variant(service: DataFrame) -> DataFrame:
+    """A service without number takes its variant as number."""
+    return service.withColumn("servicenumber", trip_number(service))
+
+
+def prepare_v3(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as all outputs of rail v3 read them (N-28): the Eurostar company,
+    reassigned international trains, numbers from variants, the mode name fixed."""
+    company = tables["company"]
+    known = [F.col(c) for c in ("company", "code", "name")]
+    extra = company.sparkSession.createDataFrame(EXTRA_COMPANIES, "company int, code string, name string")
+    company = company.select(*known).unionByName(extra.join(company.select("company"), "company", "left_anti").select(*known))
+    return {**tables, "company": company,
+            "service": number_from_variant(reassign_company(tables["service"], tables["transport"])),
+            "trnsmode": tables["trnsmode"].replace(dict(MODE_NAME_FIXES), subset=["description"])}
+
+
 def fill_service_number(service: DataFrame) -> DataFrame:
     """K-1: a service without number and variant gets number 0."""
     return service.withColumn("servicenumber", F.when(
@@ -203,8 +223,7 @@ def gtfs_routes_iff_v3(transport: DataFrame, trnsmode: DataFrame, service: DataF
                        stop: DataFrame, station: DataFrame) -> DataFrame:
     """routes.txt v3 (N-27): trains per company x mode x block of 100
     numbers; bus-like modes per unordered pair of end stations."""
-    svc = service.withColumn("servicenumber", F.when(F.col("servicenumber").isNull() & F.col("variant").isNotNull(),
-                                                     _tc("variant")).otherwise(F.col("servicenumber")))
+    svc = number_from_variant(service)
     ends = _end_stations(stop)
     names = station.select("shortname", "name")
     j = (transport.select("serviceid", "transmode")
@@ -259,8 +278,7 @@ def _service_trips(service: DataFrame, validity: DataFrame, transport: DataFrame
     t = transport.select("serviceid", "transmode", F.col("firststop").alias("t_first"), F.col("laststop").alias("t_last"))
     j = s.join(v, on="serviceid").filter(
         ((F.col("v_last") == F.col("laststop")) & (F.col("v_first") == F.col("firststop"))) | (F.col("v_last") == 999))
-    j = j.join(t, on="serviceid").filter((F.col("t_first") == F.col("firststop")) | (F.col("t_last") == 999))
-    return j.filter(F.col("footnote").isNotNull())
+    return j.join(t, on="serviceid").filter((F.col("t_first") == F.col("firststop")) | (F.col("t_last") == 999))
 
 
 def gtfs_trips_iff(service: DataFrame, validity: DataFrame, transport: DataFrame, attribute: DataFrame,
@@ -272,9 +290,11 @@ def gtfs_trips_iff(service: DataFrame, validity: DataFrame, transport: DataFrame
     bus-like modes get the end-station route and direction from the end
     stations' order; the short name is the variant where it differs.
     """
-    svc = fill_service_number(service)
+    svc = fill_service_number(number_from_variant(service) if version == 3 else service)
     tr = open_single_transport(transport)
     j = _service_trips(svc, validity, tr)
+    if version == 1:
+        j = j.filter(F.col("footnote").isNotNull())
     names = station.select(F.col("shortname").alias("dest_station"), F.col("name").alias("trip_headsign"))
     last_stop = stop.select("serviceid", F.col("idx").alias("laststop"), F.col("station").alias("dest_station"))
     j = j.join(last_stop, on=["serviceid", "laststop"]).join(names, on="dest_station")

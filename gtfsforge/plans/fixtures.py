@@ -108,29 +108,42 @@ from {orders} where o_custkey % 7 = 0 and o_orderdate >= date '1998-01-01' and o
     "bitmaps": """
 select p_partkey as footnote, lpad(bin((p_partkey * 7919) % 16384), 14, '0') as bits from {part}
 """,
-    # TIMETABLE_STOP + TIMETABLE_PLATFORM; services k and k+10 share stations; trips without platform every 9th
+    # TIMETABLE_STOP + TIMETABLE_PLATFORM; services k and k+10 share stations (one has fixed coordinates); trips without platform every 9th
     "iff_stops": """
-select journeynumber as serviceid, stoporder as idx, concat('s', cast(journeynumber % 10 + stoporder as string)) as station, arr_s, dep_s,
+select journeynumber as serviceid, stoporder as idx,
+ case when journeynumber % 10 + stoporder = 7 then 'mannhe' else concat('s', cast(journeynumber % 10 + stoporder as string)) end as station, arr_s, dep_s,
  case when journeynumber % 9 = 0 then null else concat(cast(journeynumber % 6 as string), 'a') end as departure,
  case when journeynumber % 9 = 0 then null when journeynumber % 4 = 0 then concat(cast(journeynumber % 6 as string), 'b') else concat(cast(journeynumber % 6 as string), 'a') end as arrival
 from {passes}
 """,
-    # TIMETABLE_SERVICE; longer services change number at their second stop
+    # TIMETABLE_SERVICE; longer services change number at their second stop; some have a variant, a name, or no number; company 960 runs some modes
     "iff_services": """
-select distinct journeynumber as serviceid, 100 + lineplanningnumber % 4 as companynumber, journeynumber % 3000 as servicenumber, 1 as firststop,
+select distinct journeynumber as serviceid, case when lineplanningnumber % 4 = 3 or lineplanningnumber % 20 = 0 then 960 else 100 + lineplanningnumber % 4 end as companynumber,
+ case when journeynumber % 13 = 0 then null else journeynumber % 3000 end as servicenumber,
+ case when journeynumber % 26 = 0 then cast(1000 + journeynumber % 700 as string) when journeynumber % 17 = 0 then cast(journeynumber % 3000 + 1 as string) else null end as variant,
+ case when journeynumber % 19 = 0 then concat('Express ', cast(lineplanningnumber as string)) else null end as servicename, 1 as firststop,
  case when journeypatterncode >= 4 then 2 else journeypatterncode end as laststop from {passes}
 union all
-select distinct journeynumber, 100 + lineplanningnumber % 4, journeynumber % 3000 + 5000, 2, journeypatterncode from {passes} where journeypatterncode >= 4
+select distinct journeynumber, case when lineplanningnumber % 4 = 3 or lineplanningnumber % 20 = 0 then 960 else 100 + lineplanningnumber % 4 end, journeynumber % 3000 + 5000,
+ cast(null as string), cast(null as string), 2, journeypatterncode from {passes} where journeypatterncode >= 4
 """,
+    # every sixth service is valid part by part (some parts not at all); some footnotes are missing
     "iff_validity": """
-select distinct journeynumber as serviceid, journeynumber % 200 as footnote, 0 as firststop, 999 as laststop from {passes}
+select distinct journeynumber as serviceid, case when journeynumber % 31 = 0 then null else journeynumber % 200 end as footnote, 0 as firststop, 999 as laststop
+from {passes} where journeynumber % 6 <> 0
+union all
+select distinct journeynumber, case when journeynumber % 31 = 0 then null else journeynumber % 200 end, 1, case when journeypatterncode >= 4 then 2 else journeypatterncode end
+from {passes} where journeynumber % 6 = 0
+union all
+select distinct journeynumber, journeynumber % 200 + 200, 2, journeypatterncode from {passes} where journeynumber % 12 = 0 and journeypatterncode >= 4
 """,
-    # some services have two modes
+    # some services have two modes, which may both move them to another company
     "iff_transport": """
-select distinct journeynumber as serviceid, case when lineplanningnumber % 4 = 0 then 'IC' when lineplanningnumber % 4 = 1 then 'SPR' when lineplanningnumber % 4 = 2 then 'NSB' else 'TGV' end as transmode,
+select distinct journeynumber as serviceid, case when lineplanningnumber % 4 = 0 then 'IC' when lineplanningnumber % 4 = 1 then 'SPR' when lineplanningnumber % 4 = 2 then 'NSB'
+  when lineplanningnumber % 3 = 0 then 'TGV' when lineplanningnumber % 3 = 1 then 'THA' else 'ES' end as transmode,
  1 as firststop, journeypatterncode as laststop from {passes}
 union all
-select distinct journeynumber, 'ICE', 2, journeypatterncode from {passes} where journeypatterncode >= 4 and journeynumber % 8 = 0
+select distinct journeynumber, case when lineplanningnumber % 4 = 3 then 'TGV' else 'ICE' end, 2, journeypatterncode from {passes} where journeypatterncode >= 4 and journeynumber % 8 < 2
 """,
     "iff_attributes": """
 select distinct journeynumber as serviceid, case when journeynumber % 5 = 0 then 'NIIN' when journeynumber % 5 = 1 then 'RESV' when journeynumber % 5 = 2 then 'IRES' else 'NUIT' end as code,
@@ -138,14 +151,14 @@ select distinct journeynumber as serviceid, case when journeynumber % 5 = 0 then
 """,
     # STATION
     "iff_stations": """
-select distinct station as shortname, concat('Station ', station) as name, try_cast(substring(station, 2, 3) as int) % 3 as trainchanges,
- 120 + 60 * (try_cast(substring(station, 2, 3) as int) % 4) as layovertime, 13000 + (try_cast(substring(station, 2, 3) as int) * 7919) % 265000 as x, 306000 + (try_cast(substring(station, 2, 3) as int) * 10007) % 310000 as y
-from {iff_stops}
+select station as shortname, concat('Station ', station) as name, n % 3 as trainchanges, 120 + 60 * (n % 4) as layovertime,
+ 13000 + (n * 7919) % 265000 as x, 306000 + (n * 10007) % 310000 as y, case when n % 5 = 0 then 1 else 0 end as timezone
+from (select distinct station, coalesce(try_cast(substring(station, 2, 3) as int), 7) as n from {iff_stops}) x
 """,
-    # CHANGES
+    # CHANGES; kind 3 is unknown
     "iff_changes": """
-select distinct concat('s', cast(journeynumber % 10 + 2 as string)) as station, journeynumber as fromservice, journeynumber + 10 as toservice, journeynumber % 3 as possiblechange
-from {passes} where journeynumber % 5 <> 0
+select distinct case when journeynumber % 10 = 5 then 'mannhe' else concat('s', cast(journeynumber % 10 + 2 as string)) end as station, journeynumber as fromservice, journeynumber + 10 as toservice, journeynumber % 4 as possiblechange
+from {passes}
 """,
     # operating days spread over 50 import versions that end in different years
     "version_days": """

@@ -203,3 +203,37 @@ def test_no_fixed_ends_and_no_scratch_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_rail_v3_numbers_and_companies_agree_between_trips_and_routes(spark):
+    from gtfsforge.operators import gtfs_iff as G
+
+    def frame(rows, ddl):
+        return spark.createDataFrame(rows, ddl)
+
+    t = G.prepare_v3({
+        "service": frame([(1, 960, None, "1234", 1, 2, None), (2, 960, 70, None, 1, 2, None), (3, 960, 80, None, 1, 2, None)],
+                         "serviceid int, companynumber int, servicenumber int, variant string, firststop int, laststop int, servicename string"),
+        "transport": frame([(1, "IC", 1, 2), (2, "ES", 1, 2), (3, "THA", 1, 2), (3, "TGV", 1, 2)], "serviceid int, transmode string, firststop int, laststop int"),
+        "company": frame([(960, "int", "International"), (980, "sncf", "SNCF")], "company int, code string, name string"),
+        "trnsmode": frame([("IC", "Intercity"), ("ES", "Eurostar"), ("TGV", "stoptrein"), ("THA", "Thalys")], "code string, description string")})
+    assert {r["serviceid"]: (r["companynumber"], r["servicenumber"]) for r in t["service"].collect()} == {1: (960, 1234), 2: (999, 70), 3: (980, 80)}
+    assert {r["company"] for r in t["company"].collect()} == {960, 980, 999}
+    stop = frame([(s, i, n, 0, 0) for s in (1, 2, 3) for i, n in ((1, "a"), (2, "b"))], "serviceid int, idx int, station string, arr_s int, dep_s int")
+    station = frame([("a", "A"), ("b", "B")], "shortname string, name string")
+    validity = frame([(1, 7, 1, 2), (2, None, 0, 999), (3, 8, 0, 999)], "serviceid int, footnote int, firststop int, laststop int")
+    attribute = frame([], "serviceid int, code string, firststop int, laststop int")
+    trips = G.gtfs_trips_iff(t["service"], validity, t["transport"], attribute, stop, station, version=3)
+    routes = G.gtfs_routes_iff_v3(t["transport"], t["trnsmode"], t["service"], t["company"], stop, station)
+    assert trips.join(routes, "route_id", "left_anti").count() == 0
+    got = {(r["route_id"], r["trip_short_name"]) for r in trips.collect()}
+    assert ("960-IC-1200", 1234) in got and ("999-ES-0", 70) in got
+    assert {r["route_short_name"] for r in routes.filter("route_id = '980-TGV-0'").collect()} == {"Stoptrein"}
+
+
+def test_every_rail_v3_trip_has_its_route(spark):
+    from conftest import SF_SMALL
+    from gtfsforge.plans import q_iff
+
+    trips, routes = q_iff.q_iff_trips_v3(spark, SF_SMALL), q_iff.q_iff_routes_v3(spark, SF_SMALL)
+    assert trips.join(routes, "route_id", "left_anti").count() == 0
