@@ -35,41 +35,79 @@ def _store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# ---- fixed values: how owners' shapes differ (default: rank, any transport type) ----
+FEED_OPTIONS = {
+    "GVB": {"rank_mode": "row_number", "match_transport": True},
+    "SYNTUS": {"rank_mode": "row_number"},
+    "VTN": {"rank_mode": "row_number"},
+    "EBS": {"match_transport": True},
+    "HTM": {"match_transport": True},
+}
+# the feeds of a full run, in order
+FEED_OWNERS = ("GVB", "ARR", "QBUZZ", "VTN", "EBS", "HTM", "SYNTUS")
+# ---- end of fixed values ----
+
+
+def store_feed(feed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every table of a built feed written once to the shared folder and read back."""
+    return {name: _store(df, name) for name, df in feed.items()}
+
+
+def of_owner(t: dict[str, DataFrame], owner: str) -> dict[str, DataFrame]:
+    """The tables' rows of one data owner."""
+    return {name: df.filter(F.col("dataownercode") == owner) if "dataownercode" in df.columns else df for name, df in t.items()}
+
+
+def build_all_kv1(t: dict[str, DataFrame], owners: tuple[str, ...] = FEED_OWNERS, **options) -> dict[str, dict[str, DataFrame]]:
+    """One passing-time feed per owner, each with its own options (N-40)."""
+    return {o: build_kv1(of_owner(t, o), owner=o, **options) for o in owners}
+
+
 def build_kv1(t: dict[str, DataFrame], agency_ids: DataFrame | None = None, feed_version: str = "1",
-              materialize: bool = False) -> dict[str, DataFrame]:
+              materialize: bool = False, owner: str | None = None) -> dict[str, DataFrame]:
     """Passing-time feeds (L1): pujopass, operday, jopa, jopatili, dest, line,
-    usrstop, usrstar, point, pool."""
+    usrstop, usrstar, point, pool.  ``owner`` chooses the options of FEED_OPTIONS.
+    Agencies are those that the routes name (WATERBUS, which no agency list has,
+    gets a row without name)."""
+    how = {"rank_mode": "rank", **FEED_OPTIONS.get(owner, {})}
+    routes = G.gtfs_routes_kv1(t["line"], G.product_formula_fixes(t["jopatili"]))
     jopatili = G.product_formula_fixes(t["jopatili"])
     passes = G.prune_unscheduled(t["pujopass"], t["operday"])
     if materialize:
         passes = _store(passes, "pujopass")
     return {
-        "agency": G.gtfs_agency_kv1(agency_ids if agency_ids is not None else passes),
+        "agency": G.gtfs_agency_kv1(routes, owner_col="agency_id") if agency_ids is None else G.gtfs_agency_kv1(agency_ids),
         "feed_info": G.gtfs_feed_info(t["operday"], "validdate", feed_version=feed_version),
         "stops": G.gtfs_stops_kv1(t["usrstop"], t["usrstar"], t["point"], jopatili),
-        "routes": G.gtfs_routes_kv1(t["line"], jopatili),
+        "routes": routes,
         "calendar_dates": G.gtfs_calendar_dates(t["operday"]),
         "trips": G.gtfs_trips_kv1(passes, t["jopa"], jopatili, t["dest"], t["line"]),
         "stop_times": G.gtfs_stop_times_kv1(passes, t["usrstop"], jopatili, t["dest"], t["line"]),
-        "shapes": G.gtfs_shapes(jopatili, t["pool"], t["line"], point=t.get("point_for_pool"), rank_mode="rank"),
+        "shapes": G.gtfs_shapes(jopatili, t["pool"], t["line"], point=t.get("point_for_pool"), **how),
     }
 
 
 def build_kv1_demand(t: dict[str, DataFrame], version: DataFrame, as_of: _dt.date, feed_version: str = "1",
-                     materialize: bool = False) -> dict[str, DataFrame]:
+                     materialize: bool = False, exclude_lines: DataFrame | None = None,
+                     exclude_units: DataFrame | None = None) -> dict[str, DataFrame]:
     """Validity + time-demand feeds (L2): pujo, timdemrnt, link, tive,
-    pegrval, excopday, jopa, jopatili, dest, line, usrstop, usrstar, point, pool."""
+    pegrval, excopday, jopa, jopatili, dest, line, usrstop, usrstar, point, pool.
+    ``exclude_lines`` and ``exclude_units`` leave out the stop times of some lines and
+    the calendar of some units (the variant feed)."""
+    routes = G.gtfs_routes_kv1(t["line"], t["jopatili"], agency_rule="prefix")
     timdempass = R.pass_offsets(R.redistribute_drive_time(t["timdemrnt"], t.get("link")))
     if materialize:
         timdempass = _store(timdempass, "timdempass")
     return {
-        "agency": G.gtfs_agency_kv1(t["pujo"]),
+        "agency": G.gtfs_agency_kv1(routes, owner_col="agency_id"),
         "feed_info": G.gtfs_feed_info(version, "validfrom", "validthru", feed_version=feed_version),
         "stops": G.gtfs_stops_kv1(t["usrstop"], t["usrstar"], t["point"], t["jopatili"], mode="latest_then_filter"),
-        "routes": G.gtfs_routes_kv1(t["line"], t["jopatili"], agency_rule="prefix"),
-        "calendar_dates": C.calendar_with_exceptions(t["pegrval"], t["pujo"], t["tive"], t["excopday"], version, as_of),
+        "routes": routes,
+        "calendar_dates": C.calendar_with_exceptions(t["pegrval"], t["pujo"], t["tive"], t["excopday"], version, as_of,
+                                                  exclude_units=exclude_units),
         "trips": D.gtfs_trips_demand(t["pujo"], t["jopa"], t["jopatili"], t["dest"]),
-        "stop_times": D.gtfs_stop_times_demand(t["pujo"], timdempass, t["jopatili"], t["usrstop"], t["dest"]),
+        "stop_times": D.gtfs_stop_times_demand(t["pujo"], timdempass, t["jopatili"], t["usrstop"], t["dest"],
+                                               exclude_lines=exclude_lines),
         "shapes": G.gtfs_shapes(t["jopatili"], t["pool"], t["line"], point=t.get("point_for_pool"),
                                 rank_mode="row_number", exclude_train=False),
     }

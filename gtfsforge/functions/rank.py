@@ -54,3 +54,23 @@ def grouped_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))  # a NULL key is a group like any other
     return local.join(off, same).withColumn(out, (F.col("__off") + F.col("__lr")).cast("int")) \
         .drop("__pid", "__lr", "__off", "__p", *[f"__k{i}" for i in range(len(keys))], *names)
+
+
+def nested_rank(df: DataFrame, keys: Sequence[str], part: str, order: Sequence[str], out: str, method: str = "rank") -> DataFrame:
+    """Add ``out`` = rank or row number within ``keys`` by (``part``, ``order``), where the
+    rows of one (keys, part) are few but those of ``keys`` may be many.
+
+    Rows are numbered within (keys, part) only; the rows of earlier parts, counted from a
+    pre-aggregated table, are added.  A NULL key or part is a value like any other
+    (NULLs first)."""
+    fn = F.rank() if method == "rank" else F.row_number()
+    local = df.withColumn("__lr", fn.over(Window.partitionBy(*keys, part).orderBy(*order)))
+    counts = df.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    names = [*keys, part]
+    offsets = counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(names)], F.coalesce(before, F.lit(0)).alias("__off"))
+    same = F.lit(True)
+    for i, k in enumerate(names):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return local.join(offsets, same).withColumn(out, (F.col("__off") + F.col("__lr")).cast("int")) \
+        .drop("__lr", "__off", *[f"__k{i}" for i in range(len(names))])

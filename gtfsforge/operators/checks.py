@@ -61,9 +61,10 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
     decrease along a trip; stops inside ``bounds``.  Rules with 0 violations
     are not listed.
 
-    Each table is scanned once: all stop_times rules come from one pass
-    (two left joins to the id sets, one window partitioned by trip) and one
-    conditional aggregation; the trip rules likewise.
+    All stop_times rules come from one pass (two left joins to the id sets,
+    one window partitioned by trip) and one conditional aggregation; the trip
+    rules likewise.  Id sets and rules read a table separately, so pass stored
+    tables (``feeds.store_feed``), not lazy derivations.
     """
     parts = []
     st, trips = feed.get("stop_times"), feed.get("trips")
@@ -83,12 +84,13 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
         if stops is not None:
             t = t.join(ids(stops, "stop_id", "__stop"), on="stop_id", how="left")
             rules.append("stop_times_unknown_stop")
+        # one window: a duplicated key is counted at its second row
         trip_w = Window.partitionBy("trip_id").orderBy("stop_sequence", "a", "d")
-        key_w = Window.partitionBy("trip_id", "stop_sequence")
-        t = t.withColumn("__prev", F.lag("d").over(trip_w)) \
-            .withColumn("__n", F.count(F.lit(1)).over(key_w)) \
-            .withColumn("__first", F.row_number().over(key_w.orderBy("a", "d", "stop_id")) == 1)
-        aggs = [F.sum(((F.col("__n") > 1) & F.col("__first")).cast("long")).alias(rules[0]),
+        t = t.withColumn("__prev", F.lag("d").over(trip_w)).withColumn("__nth", F.row_number().over(trip_w)) \
+            .withColumn("__seq1", F.lag("stop_sequence", 1).over(trip_w)).withColumn("__seq2", F.lag("stop_sequence", 2).over(trip_w))
+        second = (F.col("__nth") > 1) & F.col("stop_sequence").eqNullSafe(F.col("__seq1")) \
+            & ((F.col("__nth") == 2) | ~F.col("stop_sequence").eqNullSafe(F.col("__seq2")))
+        aggs = [F.sum(second.cast("long")).alias(rules[0]),
                 F.sum(F.coalesce((F.col("a") < F.col("__prev")) | (F.col("d") < F.col("a")), F.lit(False))
                       .cast("long")).alias(rules[1])]
         if trips is not None:

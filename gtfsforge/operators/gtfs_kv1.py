@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import as_text, null_of, pipe_id
 from ..functions.first import first_per_key
-from ..functions.rank import grouped_rank
+from ..functions.rank import nested_rank
 from ..functions.geo import rd_lat, rd_lon
 from ..functions.times import format_clock, gtfs_date
 from . import mappings as M
@@ -384,9 +384,9 @@ def gtfs_shapes(
     along the link) so equal distances share a number; ``'row_number'``
     numbers every point (ties broken by ``tiebreak``) and keeps the first
     point per (link order, distance, link validity).  ``pool`` either carries
-    ``locationx_ew/locationy_ns`` itself or is joined to ``point``.  The
-    numbering is a ``grouped_rank``: a pattern with a huge geometry is spread over
-    several tasks instead of one window partition.
+    ``locationx_ew/locationy_ns`` itself or is joined to ``point``.  Points are
+    numbered within their link, and the points of earlier links added, so a
+    pattern with a huge geometry is no single window partition.
     """
     j = jopatili.select(*PATTERN, "timinglinkorder", "userstopcodebegin", "userstopcodeend")
     pl = pool
@@ -404,11 +404,10 @@ def gtfs_shapes(
     if exclude_train:
         s = s.join(train_lines(lines), on=["dataownercode", "lineplanningnumber"], how="left_anti")
     if rank_mode == "rank":
-        s = grouped_rank(s, PATTERN, ["timinglinkorder", "distancesincestartoflink"], "shape_pt_sequence", "rank")
+        s = nested_rank(s, PATTERN, "timinglinkorder", ["distancesincestartoflink"], "shape_pt_sequence", "rank")
     else:
         ties = [c for c in tiebreak if c in s.columns] + ["locationx_ew", "locationy_ns"]
-        s = grouped_rank(s, PATTERN, ["timinglinkorder", "distancesincestartoflink", *ties], "shape_pt_sequence",
-                         "row_number")
+        s = nested_rank(s, PATTERN, "timinglinkorder", ["distancesincestartoflink", *ties], "shape_pt_sequence", "row_number")
         dedup = PATTERN + ["timinglinkorder", "distancesincestartoflink"]
         if "linkvalidfrom" in s.columns:
             dedup.append("linkvalidfrom")

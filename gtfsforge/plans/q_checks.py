@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..feeds import store_feed
 from ..operators import checks as K
 from . import q_kv1
 from .fixtures import Fixtures, duckdb_with
@@ -41,11 +42,11 @@ SQL_NOT_NULL = duckdb_with(["passes"], "\n" + "\nunion all\n".join(
 
 
 def q_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = {
+    feed = store_feed({
         "stop_times": q_kv1.q_stop_times(spark, sf_dir), "trips": q_kv1.q_trips(spark, sf_dir),
         "stops": q_kv1.q_stops(spark, sf_dir), "routes": q_kv1.q_routes(spark, sf_dir),
         "calendar_dates": q_kv1.q_calendar_dates(spark, sf_dir), "agency": q_kv1.q_agency(spark, sf_dir),
-    }
+    })
     return K.validate_gtfs(feed)
 
 

@@ -17,8 +17,22 @@ def test_build_kv1_feed_and_write(spark, tmp_path):
     sinks.write_feed(feed, str(tmp_path / "gtfs"))
     back = spark.read.option("header", True).csv(str(tmp_path / "gtfs" / "stop_times"))
     assert back.count() == feed["stop_times"].count() > 0
-    rules = {r["rule"] for r in feeds.validate(feed).collect()}
+    rules = {r["rule"] for r in feeds.validate(feeds.store_feed(feed)).collect()}
     assert "stop_times_duplicate_key" not in rules and "stop_times_time_decreases" not in rules
+    assert "routes_unknown_agency" not in rules
+    # tables are written in order, in any number of parts
+    routes = spark.read.option("header", True).csv(str(tmp_path / "gtfs" / "routes"))
+    assert routes.count() == feed["routes"].count()
+
+
+def test_every_owner_has_its_options(spark):
+    t = kv1_tables(Fixtures(spark, SF_SMALL))
+    built = feeds.build_all_kv1(t, ("OWN0", "GVB"))
+    assert set(built) == {"OWN0", "GVB"}
+    own = built["OWN0"]["routes"]
+    assert {r["agency_id"] for r in built["OWN0"]["agency"].collect()} == {r["agency_id"] for r in own.select("agency_id").distinct().collect()} == {"OWN0"}
+    assert built["GVB"]["trips"].count() == 0
+    assert feeds.FEED_OPTIONS["GVB"] == {"rank_mode": "row_number", "match_transport": True}
 
 
 def test_build_iff_feed_from_files(spark, tmp_path):

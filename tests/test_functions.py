@@ -236,4 +236,6 @@ def test_every_rail_v3_trip_has_its_route(spark):
     from gtfsforge.plans import q_iff
 
     trips, routes = q_iff.q_iff_trips_v3(spark, SF_SMALL), q_iff.q_iff_routes_v3(spark, SF_SMALL)
+    # a bus route is named by its service's end stations, a bus trip by its part's (as in the source)
+    trips = trips.filter("route_id not like '%-NSB-%'")
     assert trips.join(routes, "route_id", "left_anti").count() == 0
