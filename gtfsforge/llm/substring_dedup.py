@@ -13,9 +13,10 @@ covers it has a word sequence that also starts in a document with a smaller id.
    dropped.  The other super-k-mers travel as one packed string each to the bucket of
    their minimiser; there the windows are sorted, by a 128-bit digest and document, so
    that each run of equal windows tells its smallest document.
-4. Minimisers with over ``HOT`` super-k-mers (a passage that very many documents hold) do
-   not meet in a bucket: their windows are counted as single digests, aggregated before
-   the shuffle, and joined back in a join that adaptive execution may split.
+4. Minimisers with over ``HOT`` windows (a passage that very many documents hold; more than
+   one task should sort in memory) do not meet in a bucket: their windows are counted as
+   single digests, aggregated before the shuffle, and joined back in a join that adaptive
+   execution may split.
 5. The windows found are cut out of the whole texts.
 
 Texts are shuffled once by id for steps 3 to 5 (the exchanges are the same).
@@ -37,8 +38,10 @@ from .frames import append_columns, column, ensure_importable, slices, stored
 #: Production parameters.
 WINDOW = 50
 GRAM = 8
-#: Super-k-mers of a minimiser beyond which its windows are counted one by one.
-HOT = 1000
+#: Windows of a minimiser (about 150 bytes each while they are sorted) beyond which they are
+#: counted one by one, and those that a task sorts at once.
+HOT = 1_000_000
+AT_ONCE = 250_000
 #: Word hashes that a worker remembers.
 CACHE_WORDS = 500_000
 
@@ -129,7 +132,7 @@ def _survey(docs: DataFrame, window: int, gram: int) -> DataFrame:
 def _pieces(held: DataFrame, window: int, hot: bool) -> DataFrame:
     """From documents with their repeated super-k-mers (``hits``): packed strings, or, of hot
     minimisers, the digest of each window."""
-    schema = "a long, b long, id long, h1 long, h2 long, pos int" if hot else "min long, id long, h1 long, h2 long, pos int, packed binary"
+    schema = "a long, b long, id long, h1 long, h2 long, pos int" if hot else "min long, id long, h1 long, h2 long, pos int, n int, packed binary"
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,42 +151,52 @@ def _pieces(held: DataFrame, window: int, hot: bool) -> DataFrame:
                             d = window_digests(at, window)
                             out += [(a, b, doc, h1, h2, x["first"] + k) for k, (a, b) in enumerate(d.tolist())]
                         else:
-                            out.append((x["min"], doc, h1, h2, x["first"], b" ".join(at)))
+                            out.append((x["min"], doc, h1, h2, x["first"], x["n"], b" ".join(at)))
                 if out:
-                    kinds = [pa.int64()] * (5 if hot else 4) + [pa.int32()] + ([] if hot else [pa.binary()])
+                    kinds = [pa.int64()] * (5 if hot else 4) + [pa.int32()] + ([] if hot else [pa.int32(), pa.binary()])
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     return held.mapInArrow(run, schema)
 
 
-def _sorted_windows(pieces: DataFrame, window: int) -> DataFrame:
+def _sorted_windows(pieces: DataFrame, window: int, at_once: int = AT_ONCE) -> DataFrame:
     """(id, h1, h2, pos, n): stretches of windows that a smaller document also has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, _ in runs(batches, ["min"], 4096):
-            packed = table.column("packed").to_pylist()
-            found = [window_digests(p.split(b" "), window) for p in packed]
-            size = np.array([len(x) for x in found])
-            d = np.concatenate(found)
-            row = np.repeat(np.arange(len(size)), size)
-            ids = table.column("id").to_numpy()
-            doc = ids[row]
-            order = np.lexsort((doc, d[:, 1], d[:, 0]))
-            s = d[order]
-            new = np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1)))
-            least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-            gone = np.zeros(len(doc), bool)
-            gone[order] = least < doc[order]
-            # stretches of neighbours in one super-k-mer
-            start = gone & ~(np.concatenate(([False], gone[:-1])) & np.concatenate(([False], row[1:] == row[:-1])))
-            stop = gone & ~(np.concatenate((gone[1:], [False])) & np.concatenate((row[1:] == row[:-1], [False])))
-            a, b = np.flatnonzero(start), np.flatnonzero(stop)
-            if len(a):
-                of = row[a]
-                inside = a - (np.cumsum(size) - size)[of]
-                cols = [ids[of], table.column("h1").to_numpy()[of], table.column("h2").to_numpy()[of],
-                        (table.column("pos").to_numpy()[of] + inside).astype(np.int32), (b - a + 1).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["id", "h1", "h2", "pos", "n"])
+        for table, starts in runs(batches, ["min"], 512):
+            size = table.column("n").to_numpy()
+            ends = np.cumsum(size)[starts[1:] - 1]
+            at = 0
+            while at < table.num_rows:  # whole minimisers, up to at_once windows
+                done = ends[np.searchsorted(starts, at) - 1] if at else 0
+                fit = int(np.searchsorted(ends, done + at_once, side="right"))
+                stop = max(int(starts[fit]), int(starts[np.searchsorted(starts, at) + 1]))
+                part = table.slice(at, stop - at)
+                at = stop
+                yield from some(part)
+
+    def some(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        size = table.column("n").to_numpy()
+        d = np.concatenate([window_digests(p.split(b" "), window) for p in table.column("packed").to_pylist()])
+        row = np.repeat(np.arange(len(size)), size)
+        ids = table.column("id").to_numpy()
+        doc = ids[row]
+        order = np.lexsort((doc, d[:, 1], d[:, 0]))
+        s = d[order]
+        new = np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1)))
+        least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+        gone = np.zeros(len(doc), bool)
+        gone[order] = least < doc[order]
+        # stretches of neighbours in one super-k-mer
+        same = row[1:] == row[:-1]
+        a = np.flatnonzero(gone & ~np.concatenate(([False], gone[:-1] & same)))
+        b = np.flatnonzero(gone & ~np.concatenate((gone[1:] & same, [False])))
+        if len(a):
+            of = row[a]
+            inside = a - (np.cumsum(size) - size)[of]
+            cols = [ids[of], table.column("h1").to_numpy()[of], table.column("h2").to_numpy()[of],
+                    (table.column("pos").to_numpy()[of] + inside).astype(np.int32), (b - a + 1).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["id", "h1", "h2", "pos", "n"])
 
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pieces.repartition(n, "min").sortWithinPartitions("min").mapInArrow(run, "id long, h1 long, h2 long, pos int, n int")
@@ -247,7 +260,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     each = classes.select("rep", "h1", "h2", F.posexplode(F.arrays_zip(
         "mins", "starts", F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array("n_windows")).alias("stops"))).alias("k", "x"))
     each = each.select("rep", "h1", "h2", F.col("x.mins").alias("min"), F.col("x.starts").alias("first"), (F.col("x.stops") - F.col("x.starts")).alias("n"))
-    shared = each.groupBy("min").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("many")) \
+    shared = each.groupBy("min").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.sum("n").alias("many")) \
         .where("low < high").select(F.col("min").alias("m"), (F.col("many") > hot).alias("hot"))
     hits = each.join(shared, F.col("min") == F.col("m")).groupBy("rep", "h1", "h2") \
         .agg(F.collect_list(F.struct("min", "first", "n", "hot")).alias("hits")).withColumnRenamed("rep", "doc")
