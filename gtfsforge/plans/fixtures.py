@@ -18,8 +18,8 @@ BASE_TABLES = ("lineitem", "orders", "part", "customer")
 ADAPTERS: dict[str, str] = {
     # PUJOPASS-shaped; a journey = one order; first arrival and last departure NULL
     "passes": """
-select version, concat('OWN', cast(line % 3 as string)) as dataownercode, concat('U', cast(line % 2 as string)) as organizationalunitcode,
- journeynumber % 25 as schedulecode, 'WE' as scheduletypecode, line as lineplanningnumber, journeynumber, stoporder,
+select version, case line % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode, concat('U', cast(line % 2 as string)) as organizationalunitcode,
+ journeynumber % 25 as schedulecode, 'WE' as scheduletypecode, case when line % 3 = 0 and line between 18 and 27 then 15000 + line else line end as lineplanningnumber, journeynumber, stoporder,
  n_stops as journeypatterncode, line * 100 + stoporder as userstopcode,
  case when stoporder = 1 then null else start_s + (stoporder - 1) * step_s end as arr_s,
  case when stoporder = n_stops then null else start_s + (stoporder - 1) * step_s + (stoporder % 2) * 15 end as dep_s,
@@ -31,7 +31,7 @@ from (select l_orderkey as journeynumber, l_orderkey % 40 as line, case when l_o
 """,
     # OPERDAY: five of 25 schedule codes have no day (exercises pruning)
     "operday": """
-select distinct case when o_orderkey % 80 < 40 then 1 else 2 end as version, concat('OWN', cast((o_orderkey % 40) % 3 as string)) as dataownercode,
+select distinct case when o_orderkey % 80 < 40 then 1 else 2 end as version, case (o_orderkey % 40) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
  concat('U', cast((o_orderkey % 40) % 2 as string)) as organizationalunitcode, o_orderkey % 25 as schedulecode, 'WE' as scheduletypecode,
  cast(o_orderdate as date) as validdate
 from {orders} where o_orderkey % 25 < 20
@@ -40,20 +40,20 @@ from {orders} where o_orderkey % 25 < 20
     "links": """
 select distinct version, dataownercode, lineplanningnumber, journeypatterncode, stoporder as timinglinkorder,
  userstopcode as userstopcodebegin, userstopcode + 1 as userstopcodeend, lineplanningnumber * 10 + case when stoporder > 3 then 1 else 0 end as destcode,
- case when lineplanningnumber % 9 = 0 then 2 when lineplanningnumber % 4 = 0 then 18 when lineplanningnumber % 5 = 0 then null else 1 end as productformulatype
+ case when lineplanningnumber % 9 = 0 then 2 when lineplanningnumber % 4 = 0 then 18 when lineplanningnumber % 5 = 0 then null else 1 end as productformulatype, case when lineplanningnumber % 7 = 1 then 'SGHB' else 'SGHR' end as confinrelcode
 from {passes} where stoporder < journeypatterncode
 """,
     # TIMDEMRNT x LINK; about two thirds of the links have 0 s
     "runtimes": """
 select version, dataownercode, lineplanningnumber, journeypatterncode, g as timedemandgroupcode, timinglinkorder,
  userstopcodebegin, userstopcodeend,
- case when (timinglinkorder + g + lineplanningnumber) % 3 = 0 then 60 + lineplanningnumber else 0 end as drivetime,
+ case when (timinglinkorder + g + lineplanningnumber) % 3 = 0 then 60 + lineplanningnumber % 100 else 0 end as drivetime,
  (timinglinkorder % 2) * 15 as stopwaittime, 50 + (userstopcodebegin * 37) % 900 as distance
 from (select l.*, @EXPLODE(0, 1, 2, 3)@ as g from {links} l) x
 """,
     # PUJO-shaped
     "journeys": """
-select distinct version, dataownercode, organizationalunitcode, journeynumber % 3 as timetableversioncode, journeynumber % 5 as periodgroupcode,
+select distinct version, dataownercode, organizationalunitcode, journeynumber % 3 + 3 * cast(floor(journeynumber / 20000) as int) as timetableversioncode, journeynumber % 5 as periodgroupcode,
  1 as specificdaycode, case when journeynumber % 3 = 0 then '12345' when journeynumber % 3 = 1 then '67' else '1234567' end as daytype,
  lineplanningnumber, journeynumber, journeynumber % 4 as timedemandgroupcode, journeypatterncode,
  (journeynumber % 1440) * 60 as departure_s, coalesce(wheelchairaccessible, 'UNKNOWN') as wheelchairaccessible, journeynumber % 11 <> 0 as dataownerisoperator
@@ -92,17 +92,17 @@ from (select l.*, @EXPLODE(0, 1, 2)@ as k from {links} l) x
 """,
     # TIVE x PEGRVAL; thru falls back when NULL
     "services": """
-select case when o_orderkey % 80 < 40 then 1 else 2 end as version, concat('OWN', cast((o_orderkey % 40) % 3 as string)) as dataownercode,
- concat('U', cast((o_orderkey % 40) % 2 as string)) as organizationalunitcode, o_orderkey % 3 as timetableversioncode, o_orderkey % 5 as periodgroupcode, 1 as specificdaycode,
+select case when o_orderkey % 80 < 40 then 1 else 2 end as version, case (o_orderkey % 40) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
+ concat('U', cast((o_orderkey % 40) % 2 as string)) as organizationalunitcode, o_orderkey % 3 + 3 * cast(floor(o_orderkey / 20000) as int) as timetableversioncode, o_orderkey % 5 as periodgroupcode, 1 as specificdaycode,
  cast(min(o_orderdate) as date) as tv_from, case when o_orderkey % 5 < 2 then null else cast(max(o_orderdate) as date) end as tv_thru,
  date '1998-01-15' as pv_from, date '1998-03-15' as pv_thru
-from {orders} where o_orderdate >= date '1998-01-01' and o_orderdate < date '1998-04-01'
-group by case when o_orderkey % 80 < 40 then 1 else 2 end, (o_orderkey % 40) % 3, (o_orderkey % 40) % 2, o_orderkey % 3, o_orderkey % 5
+from {orders}
+group by case when o_orderkey % 80 < 40 then 1 else 2 end, (o_orderkey % 40) % 3, (o_orderkey % 40) % 2, o_orderkey % 3 + 3 * cast(floor(o_orderkey / 20000) as int), o_orderkey % 5
 """,
     # EXCOPDAY; digit of the day whose timetable applies (1 = Monday)
     "exceptions": """
-select distinct cast(o_orderdate as date) as excopdate, cast(1 + day(o_orderdate) % 7 as string) as daytypeason
-from {orders} where o_custkey % 7 = 0 and o_orderdate >= date '1998-01-01' and o_orderdate < date '1998-04-01'
+select distinct d as excopdate, cast(1 + day(d) % 7 as string) as daytypeason
+from (select cast(o_orderdate as date) - cast(day(o_orderdate) % 5 as int) as d from {orders}) x
 """,
     # FOOTNOTE / VOETNOOT before expansion
     "bitmaps": """
@@ -160,14 +160,13 @@ from (select distinct station, coalesce(try_cast(substring(station, 2, 3) as int
 select distinct case when journeynumber % 10 = 5 then 'mannhe' else concat('s', cast(journeynumber % 10 + 2 as string)) end as station, journeynumber as fromservice, journeynumber + 10 as toservice, journeynumber % 4 as possiblechange
 from {passes}
 """,
-    # operating days spread over 50 import versions that end in different years
+    # operating days of 50 import versions, shifted so that they end in different years
     "version_days": """
-select o_orderkey % 50 as version, cast(o_orderdate as date) as validdate from {orders}
-where year(o_orderdate) <= 1995 + (o_orderkey % 50) % 7
+select o_orderkey % 50 as version, cast(o_orderdate as date) - cast(365 * ((o_orderkey % 50) % 7) as int) as validdate from {orders}
 """,
     # import ledger: 60 versions, ten of which never got an operating day
     "versions": """
-select distinct c_custkey % 60 as version, concat('OWN', cast((c_custkey % 60) % 3 as string)) as dataownercode,
+select distinct c_custkey % 60 as version, case (c_custkey % 60) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
  concat('f', cast(c_custkey % 60 as string), '.zip') as filename, date '1995-01-01' as validfrom
 from {customer}
 """,

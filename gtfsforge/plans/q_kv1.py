@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import format_clock
 from ..operators import gtfs_kv1 as G
 from ..operators.mappings import FEED_PUBLISHER as _PUB
 from .fixtures import Fixtures, duckdb_with
@@ -91,15 +92,16 @@ def q_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_TRIPS = _with(
     ["passes", "links", "operday", "destinations", "lines"], _pattern_ctes(), f"""
-, wc(k, wheelchair_accessible) as (values ('UNKNOWN', 0), ('ACCESSIBLE', 1), ('NOTACCESSIBLE', 2))
+, wc(k, wheelchair_accessible) as (values ('UNKNOWN', 0), ('ACCESSIBLE', 1), ('NOTACCESSIBLE', 2)),
+bike(owner, line) as (values ('ARR', '15021'), ('ARR', '15024'), ('GVB', '26'))
 select {pipe('dataownercode', 'lineplanningnumber', prefix='p.')} as route_id,
  {pipe(*SCHED, prefix='p.')} as service_id,
  {pipe(*JOURNEY, prefix='p.')} as trip_id,
  p.journeynumber as trip_short_name, d.destnamefull as trip_headsign,
  cast(l.direction as integer) - 1 as direction_id,
  {pipe(*PATTERN, prefix='p.')} as shape_id,
- wc.wheelchair_accessible, cast(null as integer) as trip_bikes_allowed
-from p
+ wc.wheelchair_accessible, case when bike.line is not null then 2 end as trip_bikes_allowed
+from p left join bike on bike.owner = p.dataownercode and bike.line = cast(p.lineplanningnumber as varchar)
 join (select distinct version, dataownercode, lineplanningnumber, direction from lines) l
   on l.version = p.version and l.dataownercode = p.dataownercode and l.lineplanningnumber = p.lineplanningnumber
 join (select distinct {', '.join(PATTERN)} from links) jp on {on('jp', 'p', PATTERN)}
@@ -139,14 +141,27 @@ def q_agency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.gtfs_agency_kv1(Fixtures(spark, sf_dir).passes)
 
 
-SQL_AGENCY = duckdb_with(["passes"], """
+# ---- fixed values: agencies that the fixtures' owners and lines can name ----
+_AGENCY_VALUES = ("('ARR', 'Arriva', 'http://www.arriva.nl/'), ('GVB', 'GVB', 'http://www.gvb.nl/'), ('HTM', 'HTM', 'http://www.htm.nl/'), "
+                  "('HTMBUZZ', 'HTMbuzz', 'http://www.htm.nl/'), ('GVU', 'GVU', 'http://www.gvu.nl/'), "
+                  "('BRENG', 'Breng', 'http://www.breng.nl/'), ('HERMES', 'Hermes', 'http://www.hermes.nl/')")
+# ---- end of fixed values ----
+
+SQL_AGENCY = duckdb_with(["passes"], f"""
 select o.agency_id, a.agency_name, a.agency_url, 'Europe/Amsterdam' as agency_timezone, 'nl' as agency_lang
 from (select distinct dataownercode as agency_id from passes) o
-left join (values ('ARR', 'Arriva', 'http://www.arriva.nl/'), ('CXX', 'Connexxion', 'http://www.connexxion.nl/'))
-  a(agency_id, agency_name, agency_url) on a.agency_id = o.agency_id
+left join (values {_AGENCY_VALUES}) a(agency_id, agency_name, agency_url) on a.agency_id = o.agency_id
 """)
 
 
+def q_agency_of_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agencies of the routes in use, with the number of routes that each has (no route is left over)."""
+    t = kv1_tables(Fixtures(spark, sf_dir))
+    routes = G.gtfs_routes_kv1(t["line"], t["jopatili"])
+    n = routes.groupBy("agency_id").agg(F.count(F.lit(1)).alias("n_routes"))
+    return n.join(G.gtfs_agency_kv1(routes, owner_col="agency_id"), "agency_id", "left").select("agency_id", "agency_name", "n_routes")
+
+
 # ---- q_stops (N-15) ---------------------------------------------------------
 
 def q_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +207,9 @@ pfm(productformulatype, localized_route_type) as (values {_formula_values()}),
 pf as (select x.*, pfm.localized_route_type from (select distinct version, dataownercode, lineplanningnumber, productformulatype from links) x
    left join pfm on pfm.productformulatype = x.productformulatype),
 j as (select {pipe('dataownercode', 'lineplanningnumber', prefix='l.')} as route_id,
-   case when l.dataownercode = 'ARR' and cast(l.lineplanningnumber as varchar) like '150__' then 'WATERBUS' else l.dataownercode end as agency_id,
+   case when l.dataownercode = 'ARR' and cast(l.lineplanningnumber as varchar) like '150__' then 'WATERBUS'
+        when l.dataownercode = 'HTM' and l.lineplanningnumber in (select lineplanningnumber from links where confinrelcode = 'SGHB') then 'HTMBUZZ'
+        else l.dataownercode end as agency_id,
    cast(l.linepublicnumber as varchar) as route_short_name,
    case when cast(l.linepublicnumber as varchar) <> l.linename then l.linename else null end as route_long_name,
    rt.route_type, pf.localized_route_type,
@@ -204,6 +221,12 @@ select route_id, agency_id, route_short_name, route_long_name, route_type, local
 """).replace(",\n, ln", ",\nln")
 
 
+SQL_AGENCY_OF_ROUTES = f"""
+select r.agency_id, a.agency_name, count(*) as n_routes from ({SQL_ROUTES}) r
+left join (values {_AGENCY_VALUES}) a(agency_id, agency_name, agency_url) on a.agency_id = r.agency_id group by all
+"""
+
+
 # ---- q_shapes_rank / q_shapes_seq (N-21) ------------------------------------
 
 def q_shapes_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,18 +287,63 @@ SQL_STOPS_LATEST = SQL_STOPS.replace(
 
 # ---- q_routes_prefix (N-16, agency from the line-code prefix) --------------
 
+def _lettered(df: DataFrame) -> DataFrame:
+    """Line codes as text, most with a leading letter (as the L2 feed has them)."""
+    n = F.col("lineplanningnumber")
+    letter = F.element_at(F.array(*map(F.lit, "UAXL")), (n % 4 + 1).cast("int"))
+    return df.withColumn("lineplanningnumber", F.concat(F.when(n % 5 != 0, letter).otherwise(F.lit("")), n.cast("string")))
+
+
 def q_routes_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = kv1_tables(Fixtures(spark, sf_dir))
-    return G.gtfs_routes_kv1(t["line"], t["jopatili"], agency_rule="prefix")
+    return G.gtfs_routes_kv1(_lettered(t["line"]), _lettered(t["jopatili"]), agency_rule="prefix")
+
+
+SQL_ROUTES_PREFIX = duckdb_with(["lines", "links"], f"""
+, code as (select distinct lineplanningnumber as n, case when n % 5 <> 0 then substr('UAXL', cast(n % 4 + 1 as integer), 1) else '' end as letter from lines),
+newest as (select dataownercode, lineplanningnumber, arg_max(l, version) as l from (select dataownercode, lineplanningnumber, version, lines as l from lines) x
+   where coalesce(l.transporttype, 'BUS') <> 'TRAIN' group by all),
+formula as (select version, dataownercode, lineplanningnumber, min(productformulatype) as f from links group by all)
+select dataownercode || '|' || letter || cast(lineplanningnumber as varchar) as route_id,
+ coalesce(map {{'U': 'GVU', 'A': 'BRENG', 'X': 'BRENG', 'L': 'HERMES'}}[letter], dataownercode) as agency_id, l.linepublicnumber as route_short_name,
+ l.linename as route_long_name, map {{'TRAM': 0, 'METRO': 1, 'BUS': 3, 'BOAT': 4}}[coalesce(l.transporttype, 'BUS')] as route_type, name as localized_route_type
+from newest join code on n = lineplanningnumber join formula using (dataownercode, lineplanningnumber)
+left join (values {_formula_values()}) pf(f, name) using (f) where formula.version = l.version
+""")
+
 
+# ---- q_formula_fixes (N-36), q_pad_seconds (N-37) ---------------------------
 
-SQL_ROUTES_PREFIX = SQL_ROUTES.replace(
-    "case when l.dataownercode = 'ARR' and cast(l.lineplanningnumber as varchar) like '150__' then 'WATERBUS' else l.dataownercode end as agency_id",
-    "case when substr(cast(l.lineplanningnumber as varchar), 1, 1) = 'U' then 'GVU' "
-    "when substr(cast(l.lineplanningnumber as varchar), 1, 1) in ('A', 'X') then 'BRENG' "
-    "when substr(cast(l.lineplanningnumber as varchar), 1, 1) = 'L' then 'HERMES' else l.dataownercode end as agency_id").replace(
-    "case when cast(l.linepublicnumber as varchar) <> l.linename then l.linename else null end as route_long_name",
-    "l.linename as route_long_name")
+def q_formula_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = Fixtures(spark, sf_dir).links
+    code = F.when(F.col("timinglinkorder") % 2 == 0, F.lit("Bubu")).when(F.col("timinglinkorder") % 3 == 0, F.lit("belb"))
+    fixed = G.product_formula_fixes(links.withColumn("deprecated", code))
+    return fixed.select(*G.PATTERN, "timinglinkorder", "productformulatype")
+
+
+SQL_FORMULA_FIXES = duckdb_with(["links"], f"""
+select {', '.join(PATTERN)}, timinglinkorder, case when dataownercode = 'ARR' and timinglinkorder % 2 = 0 then 1 else productformulatype end as productformulatype
+from links
+""")
+
+
+def q_pad_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Fixtures(spark, sf_dir).passes.filter(F.col("arr_s").isNotNull() & F.col("dep_s").isNotNull())
+    long = F.col("journeynumber") % 3 == 0
+
+    def text(c: str):
+        full = format_clock(F.col(c))
+        return F.when(long, full).otherwise(F.substring(full, 1, 5))
+
+    t = p.select("journeynumber", "stoporder", text("arr_s").alias("targetarrivaltime"), text("dep_s").alias("targetdeparturetime"))
+    return G.pad_seconds_text(t)
+
+
+SQL_PAD_SECONDS = duckdb_with(["passes"], f"""
+, t as (select journeynumber, stoporder, {clock('arr_s')} as a, {clock('dep_s')} as d from passes where arr_s is not null and dep_s is not null)
+select journeynumber, stoporder, if(journeynumber % 3 = 0, a, a[1:5] || ':00') as targetarrivaltime, if(journeynumber % 3 = 0, d, d[1:5] || ':00') as targetdeparturetime
+from t
+""")
 
 
 QUERIES = {
@@ -286,6 +354,9 @@ QUERIES = {
     "q_calendar_dates": (q_calendar_dates, SQL_CALENDAR_DATES),
     "q_feed_info": (q_feed_info, SQL_FEED_INFO),
     "q_agency": (q_agency, SQL_AGENCY),
+    "q_agency_of_routes": (q_agency_of_routes, SQL_AGENCY_OF_ROUTES),
+    "q_formula_fixes": (q_formula_fixes, SQL_FORMULA_FIXES),
+    "q_pad_seconds": (q_pad_seconds, SQL_PAD_SECONDS),
     "q_stops": (q_stops, SQL_STOPS),
     "q_routes": (q_routes, SQL_ROUTES),
     "q_shapes_rank": (q_shapes_rank, SQL_SHAPES_RANK),

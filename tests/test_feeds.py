@@ -27,11 +27,11 @@ def test_build_kv1_feed_and_write(spark, tmp_path):
 
 def test_every_owner_has_its_options(spark):
     t = kv1_tables(Fixtures(spark, SF_SMALL))
-    built = feeds.build_all_kv1(t, ("OWN0", "GVB"))
-    assert set(built) == {"OWN0", "GVB"}
-    own = built["OWN0"]["routes"]
-    assert {r["agency_id"] for r in built["OWN0"]["agency"].collect()} == {r["agency_id"] for r in own.select("agency_id").distinct().collect()} == {"OWN0"}
-    assert built["GVB"]["trips"].count() == 0
+    built = feeds.build_all_kv1(t, ("ARR", "SYNTUS"))
+    assert set(built) == {"ARR", "SYNTUS"}
+    own = built["ARR"]["routes"]
+    assert {r["agency_id"] for r in built["ARR"]["agency"].collect()} == {r["agency_id"] for r in own.select("agency_id").distinct().collect()} == {"ARR", "WATERBUS"}
+    assert built["SYNTUS"]["trips"].count() == 0
     assert feeds.FEED_OPTIONS["GVB"] == {"rank_mode": "row_number", "match_transport": True}
 
 
