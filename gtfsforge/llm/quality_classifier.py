@@ -7,7 +7,9 @@
    which tasks end.  Tasks send at most ``ROWS`` partial vectors, summed by row.
 2. A row's word vector is its mean context, less the corpus mean, at length 1.
 3. A document pools its words' vectors: their mean, their spread, and the mean product
-   of neighbours, dimension by dimension.
+   of neighbours, dimension by dimension.  A pool of n words tells n / (n + ``SHRINK``) of
+   its distance from the average document; the rest is shrunk away, so that a few words
+   don't decide.
 4. A two-layer network (numpy) learns the labels of a bounded sample of labelled
    documents (``SAMPLE``, the first by a hash of the id); rows whose crc32(id) mod 5 is 0
    are never learned.  A part of the sample is set aside to choose the epoch and to fit a
@@ -35,6 +37,7 @@ ROWS = 8192
 DIM = 64
 NONZERO = 4
 REACH = 2
+SHRINK = 30
 HIDDEN = 32
 EPOCHS = 60
 SEED = 7
@@ -42,7 +45,7 @@ SEED = 7
 SAMPLE = 12_000
 #: A score from here on predicts label 1.
 THRESHOLD = 0.3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 #: Words pooled at once.
 CHUNK = 1 << 16
 
@@ -118,10 +121,10 @@ def word_vectors(sums: np.ndarray) -> np.ndarray:
 
 
 def pooled(vectors: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The 3 x DIM features of one document; zeros for one without words."""
+    """The 3 x DIM features of one document and the weight of its pool; zeros for one without words."""
     n = len(rows)
     if not n:
-        return np.zeros(3 * DIM)
+        return np.zeros(3 * DIM + 1)
     s, q, p = np.zeros(DIM), np.zeros(DIM), np.zeros(DIM)
     for k in range(0, n, CHUNK):
         v = vectors[rows[k:k + CHUNK + 1]]  # one more, for the last neighbour
@@ -130,7 +133,7 @@ def pooled(vectors: np.ndarray, rows: np.ndarray) -> np.ndarray:
         q += np.einsum("ij,ij->j", own, own)
         p += np.einsum("ij,ij->j", v[:-1], v[1:])
     mean = s / n
-    return np.concatenate((mean, np.sqrt(np.maximum(q / n - mean * mean, 0)), p / max(1, n - 1)))
+    return np.concatenate((mean, np.sqrt(np.maximum(q / n - mean * mean, 0)), p / max(1, n - 1), [n / (n + SHRINK)]))
 
 
 class Network(NamedTuple):
@@ -143,12 +146,17 @@ class Network(NamedTuple):
     temperature: float
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh(((x - self.mean) / self.scale) @ self.w1 + self.b1) @ self.w2 + self.b2
+        return np.tanh(_shrunk(x, self.mean, self.scale) @ self.w1 + self.b1) @ self.w2 + self.b2
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return _sigmoid(self.logits(x) / self.temperature)
 
 
+def _shrunk(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised features times their pool's weight, the last column."""
+    return (x[:, :-1] - mean) / scale * x[:, -1:]
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
@@ -158,15 +166,17 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(x: np.ndarray, y: np.ndarray) -> Network:
-    """Adam on the cross entropy; the epoch and the temperature by a fifth set aside.  With
+    """x: features, the last column their weight; y: labels.  Adam on the cross entropy; the epoch and the temperature by a fifth set aside.  With
     labels of one kind only (or none) every score is that label (or 0.5)."""
-    n, d = x.shape
+    n, d = x.shape[0], x.shape[1] - 1
     if len(set(y.tolist())) < 2:
         b = 0.0 if not n else 20.0 if y[0] else -20.0
         return Network(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros(1), b, 1.0)
     rng = np.random.default_rng(SEED)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    z = (x - mean) / scale
+    seen = x[:, -1] > 0.5  # the average of documents that are long enough to tell
+    seen = seen if seen.any() else np.ones(n, bool)
+    mean, scale = x[seen, :-1].mean(axis=0), x[seen, :-1].std(axis=0) + 1e-6
+    z = _shrunk(x, mean, scale)
     order = rng.permutation(n)
     aside, rest = order[:n // 5], order[n // 5:]
     if len(set(y[aside].tolist())) < 2:
@@ -232,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     learned = append_columns(texts, [T.StructField("x", T.BinaryType())], "body", make).drop("body") \
         .orderBy(by, "id", "x").limit(sample).collect()
     learned = list({r.id: r for r in learned}.values())
-    x = np.stack([np.frombuffer(r.x, "<f4") for r in learned]).astype(float) if learned else np.zeros((0, 3 * DIM))
+    x = np.stack([np.frombuffer(r.x, "<f4") for r in learned]).astype(float) if learned else np.zeros((0, 3 * DIM + 1))
     return Model(vectors, train(x, np.array([r.y for r in learned], float)))
 
 

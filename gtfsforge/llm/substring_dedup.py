@@ -43,7 +43,7 @@ GRAM = 8
 HOT = 1_000_000
 AT_ONCE = 250_000
 #: Word hashes that a worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 

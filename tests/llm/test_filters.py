@@ -86,7 +86,7 @@ def test_pooling_does_not_depend_on_chunks(monkeypatch):
     monkeypatch.setattr(qc, "CHUNK", 7)
     assert np.allclose(whole, qc.pooled(v, rows), atol=1e-5)
     x = v[rows].astype(float)
-    assert np.allclose(whole, np.concatenate((x.mean(0), x.std(0), (x[1:] * x[:-1]).mean(0))), atol=1e-4)
+    assert np.allclose(whole, np.concatenate((x.mean(0), x.std(0), (x[1:] * x[:-1]).mean(0), [1000 / (1000 + qc.SHRINK)])), atol=1e-4)
     assert not qc.pooled(v, rows[:0]).any()
 
 
@@ -95,10 +95,14 @@ def test_network_learns_and_is_calibrated():
     x = rng.standard_normal((4000, 12))
     p = 1 / (1 + np.exp(-3 * x[:, 0] * x[:, 1]))
     y = (rng.random(4000) < p).astype(float)
+    x = np.column_stack((x, np.ones(4000)))
     net = qc.train(x[:3000], y[:3000])
     s = net.scores(x[3000:])
     assert abs(s.mean() - y[3000:].mean()) < 0.05
     assert np.abs(s - p[3000:]).mean() < 0.12
+    # without weight a document gets the same score, whatever its features
+    x[:, -1] = 0
+    assert np.ptp(net.scores(x)) == 0
     assert (qc.train(x[:5], np.ones(5)).scores(x) > 0.99).all()
     assert (qc.train(x[:0], y[:0]).scores(x) == 0.5).all()
 
