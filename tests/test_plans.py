@@ -30,3 +30,40 @@ def test_scans_are_pruned(spark):
 def test_constant_lookups_are_broadcast(spark):
     plan = _plan(E.queries()["q_trips"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_range_merges_are_equi_joins(spark):
+    """Schedule ranges are expanded to days: no residual date condition, no nested loop."""
+    for name in ("q_merge_range", "q_merge_range_unit"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        anti = [line for line in plan.splitlines() if "LeftAnti" in line]
+        assert anti and all("validdate" in line for line in anti), name
+        assert not any(">=" in line or "<=" in line for line in anti), name
+
+
+def test_shapes_plan_without_running_a_job(spark):
+    from gtfsforge.operators import gtfs_kv1 as G
+    from gtfsforge.plans.fixtures import Fixtures
+    from gtfsforge.plans.q_kv1 import kv1_tables
+
+    t = kv1_tables(Fixtures(spark, SF_SMALL))
+    t["pool"].count()
+    sc = spark.sparkContext
+    sc.setJobGroup("shapes", "plan only")
+    try:
+        plan = _plan(G.gtfs_shapes(t["jopatili"], t["pool"], t["line"]))
+        assert not sc.statusTracker().getJobIdsForGroup("shapes")
+    finally:
+        sc.setJobGroup("", "")
+    # points are numbered within a link, never within a whole pattern
+    points = [line for line in plan.splitlines() if "Window [rank" in line]
+    assert points and all(line.count("timinglinkorder") >= 1 for line in points)
+
+
+def test_a_stored_feed_is_validated_from_its_files(spark):
+    from gtfsforge import feeds
+    from gtfsforge.operators import checks
+
+    feed = {"stop_times": E.queries()["q_stop_times"](spark, SF_SMALL), "trips": E.queries()["q_trips"](spark, SF_SMALL)}
+    plan = _plan(checks.validate_gtfs(feeds.store_feed(feed)))
+    assert plan.count("Window [") == plan.count("Window [lag") and "fixtures" not in plan
