@@ -47,9 +47,10 @@ NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "sidebars aside widgets footer header masthead toolbar pagination pager share sharing social related recommended recommendations "
-    "comment comments commentlist disqus replies reply respond search complementary contentinfo".split())
+    "comment comments commentlist discussion disqus replies reply respond search complementary contentinfo "
+    "crumbs topbar teaser teasers side legal disclaimer copyright".split())
 #: Names that a part of the article may bear too: they count outside article and main only.
-OUTER = frozenset(["header", "masthead", "banner", "share", "search", "menu"])
+OUTER = frozenset("header masthead banner share search menu side legal disclaimer copyright teaser".split())
 #: Containers that are article text whatever they are called.
 ROOTS = frozenset(["html", "body", "article", "main"])
 _WORDS = re.compile(r"[a-z]+")
