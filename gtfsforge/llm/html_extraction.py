@@ -7,9 +7,10 @@ whose class, id or role names a notice, an advert, comments or a menu is not rea
 Every line has a ratio of text to tags: its characters over its tags, links' text not
 counted.  The ratios are smoothed with a Gaussian kernel over neighbouring lines and
 clustered by a threshold, their standard deviation within the page: lines at or over it
-form the content regions.  A region takes in the rest of its article: the element
-(article, main, or else the smallest container) that holds most of the content lines'
-text gives all its lines, so that short paragraphs and headings between content stay.
+form the content regions.  The regions take in the rest of their article: the smallest
+element (article or main, or else any container, at last the page) that holds all content
+lines gives all its lines, so that short paragraphs and headings around and between the
+regions stay and no content line is lost.
 """
 
 from __future__ import annotations
@@ -27,8 +28,6 @@ from .frames import append_columns
 #: Smoothing radius in lines and the kernel's standard deviation.
 RADIUS = 2
 SIGMA = 1.0
-#: A region's container must hold this share of the characters of all content lines.
-MOST = 0.6
 
 #: Elements whose text is never article text.
 DROPPED = frozenset("head title script style noscript template nav footer aside form button select textarea "
@@ -157,7 +156,6 @@ def blocks_of(html: str) -> list[str]:
     lines = parser.lines
     if not lines:
         return []
-    size = np.array([len(text) for text, *_ in lines], float)
     ratio = np.array([max(0, len(text) - linked) / max(1, tags) for text, linked, tags, _ in lines])
     smoothed = smooth(ratio)
     content = np.flatnonzero((smoothed >= smoothed.std()) & (ratio > 0))
@@ -165,16 +163,11 @@ def blocks_of(html: str) -> list[str]:
         content = np.flatnonzero(ratio > 0)
     if not len(content):
         return []
-    # the article around the regions: the innermost container with most of the content
-    share: dict[tuple, float] = {}
-    for k in content:
-        for node in lines[k][3]:
-            share[node] = share.get(node, 0.0) + size[k]
-    total = size[content].sum()
-    named = [n for n in share if n[0] in ("article", "main") and share[n] >= MOST * total]
-    wide = named or [n for n in share if share[n] >= MOST * total and n[0] not in ("p", "li", "td", "th", "tr", "blockquote", "pre")]
+    # the article around the regions: the innermost container of all content lines
+    around = set(lines[content[0]][3]).intersection(*(lines[k][3] for k in content))
+    wide = [n for n in around if n[0] in ("article", "main")] or [n for n in around if n[0] not in ("p", "li", "td", "th", "tr", "blockquote", "pre")]
     if not wide:
-        return [lines[k][0] for k in range(content[0], content[-1] + 1)]
+        return [text for text, *_ in lines]
     root = max(wide, key=lambda n: n[1])
     return [text for text, _, _, path in lines if root in path]
 

@@ -186,6 +186,28 @@ def test_article_text(body):
     assert html.blocks_of(PAGE % body) == WANT
 
 
+LONG = [f"Part {k} says quite a few things, " + "and it goes on for a while so that it counts as text " * n for k, n in enumerate((6, 20, 5))]
+ITEMS = "".join(f"<li>{LONG[0].strip()} {k}</li>" for k in range(5))
+
+
+@pytest.mark.parametrize("body", [
+    f"<div id='post'><p>{LONG[0]}</p><ul>{ITEMS}</ul><p>{LONG[2]}</p></div>",
+    f"<div id='post'><p>{LONG[0]}</p><ol>{ITEMS}</ol></div>",
+    f"<div id='post'><p>{LONG[0]}</p><table><tr><td>{LONG[1]}</td><td>{LONG[1]}</td></tr></table><p>{LONG[2]}</p></div>",
+    f"<section><h2>One</h2><p>{LONG[0]}</p></section><section><h2>Two</h2><p>{LONG[1]}</p></section>",
+    f"<article><h2>One</h2><p>{LONG[0]}</p></article><article><h2>Two</h2><p>{LONG[1]}</p></article>",
+    f"<main><article><p>{LONG[0]}</p></article><h2>Between</h2><article><p>{LONG[1]}</p></article></main>",
+    f"<div><p>{LONG[0]}</p></div><article><p>{LONG[1]}</p></article>",
+    f"<dl><dt>Term</dt><dd>{LONG[1]}</dd></dl><div><div><p>{LONG[2]}</p></div><p>End.</p></div>",
+])
+def test_uneven_containers_lose_nothing(body):
+    import re
+
+    want = [" ".join(x.split()) for x in re.split(r"<[^>]*>", body) if x.strip()]
+    assert html.blocks_of(PAGE % f"<nav>{MENU}</nav>{body}<footer>Legal text that nobody reads at all</footer>") == want
+    assert html.blocks_of(body) == want  # without a body around it
+
+
 def test_extraction_columns(spark):
     page = PAGE % f"<article>{BODY}</article>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "u", ""), (None, "u", "<p"), (4, "u", "plain words only"), (5, "u", "<nav>a</nav>")]
