@@ -3,7 +3,8 @@
 The standard library's parser streams through a page once.  Its events cut the page into
 lines, one per block of text; what stands in elements that never hold article text
 (menus, headers, footers, sidebars, forms, scripts, styles and the like) or in containers
-whose class, id or role names a notice, an advert, comments or a menu is not read.
+whose class, id or role names a notice, an advert, comments or a menu is not read, unless
+such a name belongs to the layout around the article (``_wrappers``).
 Every line has a ratio of text to tags: its characters over its tags, links' text not
 counted.  The ratios are smoothed with a Gaussian kernel over neighbouring lines and
 clustered by a threshold, their standard deviation within the page: lines at or over it
@@ -16,6 +17,7 @@ regions stay and no content line is lost.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -41,7 +43,7 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 #: Elements that an opening block of the same kind closes (their end tags may be left out).
 CLOSES = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
           "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
-#: Words in a class, an id or a role that name a container as no article text.
+#: First or last words of a name in a class, an id or a role that make a container no article text.
 NOT_TEXT = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar "
@@ -50,8 +52,14 @@ NOT_TEXT = frozenset(
     "crumbs topbar teaser teasers side legal disclaimer copyright".split())
 #: Names that a part of the article may bear too: they count outside article and main only.
 OUTER = frozenset("header masthead banner share search menu side legal disclaimer copyright teaser".split())
+#: Names of what may be longer than the article: readers' comments, adverts, notices.
+APART = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "comment comments commentlist discussion disqus replies reply respond".split())
 #: Containers that are article text whatever they are called.
 ROOTS = frozenset(["html", "body", "article", "main"])
+#: Other elements than BLOCK whose names count.
+INLINE = frozenset(["span", "a", "ins", "b", "i", "em", "strong"])
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\s ]+")
 
@@ -59,10 +67,14 @@ _SPACE = re.compile(r"[\s ]+")
 class _Lines(HTMLParser):
     """Lines (text, link characters, tags, containers) of one page."""
 
-    def __init__(self):
+    def __init__(self, wrappers: frozenset = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.wrappers = wrappers  # numbers of elements that are read in spite of their names
+        self.named: dict[int, set] = {}  # elements with such names: the words that begin a name
+        self.held: Counter = Counter()  # characters outside links by (named elements around them, how many of these are around an article)
+        self.cards: set[int] = set()  # articles with names that begin with such a word
         self.lines: list[tuple[str, int, int, tuple]] = []
-        self.stack: list[tuple[str, int, bool]] = []  # element, number, dropped from here on
+        self.stack: list[tuple[str, int, int]] = []  # element, number, from here on: 0 read, 1 dropped by a name, 2 dropped
         self.number = 0
         self.parts: list[str] = []
         self.linked = self.tags = self.links = 0
@@ -76,24 +88,28 @@ class _Lines(HTMLParser):
         self.parts, self.linked = [], 0
 
     def _inside(self) -> bool:
-        return bool(self.stack) and self.stack[-1][2]
+        return bool(self.stack) and self.stack[-1][2] > 0
 
     def _in_article(self) -> bool:
         return any(x[0] in ("article", "main") for x in self.stack)
 
-    def _named_away(self, tag: str, attrs: list) -> bool:
-        if tag in ROOTS or tag not in BLOCK and tag not in ("span", "a", "ins", "b", "i", "em", "strong"):
-            return False
-        for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name in ("class", "id", "role") and value:
-                called = NOT_TEXT.intersection(_WORDS.findall(value.lower()))
-                if called and not (called <= OUTER and self._in_article()):
-                    return True
-            if name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
-        return False
+    def _hidden(self, tag: str, attrs: list) -> bool:
+        return tag not in ROOTS and (tag in BLOCK or tag in INLINE) and any(
+            name == "hidden" or name == "aria-hidden" and value == "true"
+            or name == "style" and value and "display:none" in value.replace(" ", "").lower() for name, value in attrs)
+
+    def _called(self, tag: str, attrs: list) -> tuple[set, set]:
+        """The words of NOT_TEXT that begin or end a name of the element, and those that begin one."""
+        ends, first = set(), set()
+        if tag in BLOCK or tag in INLINE:
+            for name, value in attrs:
+                if name in ("class", "id", "role") and value:
+                    names = [w for w in map(_WORDS.findall, value.lower().split()) if w]
+                    called = NOT_TEXT.intersection(x for w in names for x in (w[0], w[-1]))
+                    if called and not (called <= OUTER and self._in_article()):
+                        ends |= called
+                        first |= NOT_TEXT.intersection(w[0] for w in names)
+        return ends, first
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -113,8 +129,19 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         page_header = tag == "header" and not self._in_article()
-        away = self._inside() or tag in DROPPED or page_header or self._named_away(tag, attrs)
         self.number += 1
+        away = self.stack[-1][2] if self.stack else 0
+        if tag in DROPPED or page_header or self._hidden(tag, attrs):
+            away = 2
+        elif attrs and away < 2:
+            ends, first = self._called(tag, attrs)
+            if tag in ROOTS:
+                if tag == "article" and first:
+                    self.cards.add(self.number)
+            elif ends:
+                self.named[self.number] = first
+                if self.number not in self.wrappers:
+                    away = 1
         self.stack.append((tag, self.number, away))
         self.links += tag == "a"
 
@@ -134,26 +161,67 @@ class _Lines(HTMLParser):
             if name in BLOCK and tag not in BLOCK:
                 return  # an inline end tag does not close the block around it
 
+    def _weigh(self, size: int) -> None:
+        around, article = [], None
+        for tag, n, _ in self.stack:
+            if n in self.named:
+                around.append(n)
+            elif article is None and (tag == "main" or tag == "article" and n not in self.cards):
+                article = len(around)
+        self.held[tuple(around), article] += size
+
     def handle_data(self, data: str) -> None:
+        if not self.links and not data.isspace() and (not self.stack or self.stack[-1][2] < 2):
+            self._weigh(len(data.strip()))
         if not self._inside():
             self.parts.append(data)
             if self.links:
                 self.linked += len(data.strip())
 
 
+def _wrappers(named: dict[int, set], held: Counter) -> frozenset:
+    """The named containers that are layout around the article.
+
+    One that holds an article or main is, if its name only ends with such a word
+    (with-sidebar); if it begins with one (related-posts), only on a page that has no
+    article outside of such containers.  Without articles to go by, and for names that only
+    end so, one with over half of the page's text outside links is; one called after
+    comments, adverts or notices must have all of it."""
+    around = [path[:k] for path, k in held if k is not None]  # named elements around each article
+    free = {n for path in around for n in path if not named[n]}
+    while around and not any(free.issuperset(path) for path in around):
+        free |= {next(n for n in path if n not in free) for path in around}
+    size = Counter()
+    for (path, _), n in held.items():
+        for x in path:
+            size[x] += n
+    total = sum(held.values())
+    for n, first in named.items():
+        if size[n] and not (first and around):
+            if size[n] == total if first & APART else 2 * size[n] > total:
+                free.add(n)
+    return frozenset(free)
+
+
 def smooth(x: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian smoothing; at the ends the kernel's remaining part is normalised."""
     k = np.exp(-np.arange(-radius, radius + 1) ** 2 / (2 * sigma * sigma))
     return np.convolve(x, k, "full")[radius:radius + len(x)] / np.convolve(np.ones(len(x)), k, "full")[radius:radius + len(x)]
 
 
-def blocks_of(html: str) -> list[str]:
-    """The text blocks of a page's main text, in page order."""
-    parser = _Lines()
+def _read(html: str, wrappers: frozenset = frozenset()) -> _Lines:
+    parser = _Lines(wrappers)
     parser.feed(html)
     parser.close()
     parser._flush()
-    lines = parser.lines
+    return parser
+
+
+def blocks_of(html: str) -> list[str]:
+    """The text blocks of a page's main text, in page order."""
+    parser = _read(html)
+    wrappers = _wrappers(parser.named, parser.held) if parser.named else None
+    lines = _read(html, wrappers).lines if wrappers else parser.lines
     if not lines:
         return []
     ratio = np.array([max(0, len(text) - linked) / max(1, tags) for text, linked, tags, _ in lines])

@@ -208,6 +208,32 @@ def test_uneven_containers_lose_nothing(body):
     assert html.blocks_of(body) == want  # without a body around it
 
 
+SIDE = f"<div class='sidebar'><p>{P1}</p></div>"
+
+
+@pytest.mark.parametrize("body", [
+    f"<div class='content with-sidebar'><article>{BODY}</article>{SIDE}</div>",
+    f"<div class='has-sidebar'><main>{BODY}</main></div><div id='footer'>x</div>",
+    f"<div id='search-results'><article>{BODY}</article></div>",
+    f"<div class='wrapper header-fixed'><article>{BODY}</article></div>",
+    f"<div class='header-fixed'><div id='nav-page'><article>{BODY}</article></div><section class='related-posts'><article class='related'>{P1}</article></section></div>",
+    f"<div class='has-sidebar'><div class='post'>{BODY}</div></div>{SIDE}",
+    f"<div id='header'><div class='post'>{BODY}</div>",
+    f"<div class='page-side-by-side'>{BODY}</div>",
+    f"<div class='no-sidebar'><article class='has-comments'>{BODY}</article></div><section class='related'><article class='card'>{P1}</article></section>",
+    f"<div class='with-comments'><article>{BODY}</article></div><ol class='comment-list'><li><article class='comment-body'>{P1 * 9}</article></li></ol>",
+    f"<div class='post'>{BODY}</div><div id='comments'><p>{P1 * 9}</p></div>",
+    f"<article>{BODY}</article><div class='ad'>{P1 * 9}</div>{SIDE * 9}",
+])
+def test_layout_classes_lose_nothing(body):
+    assert html.blocks_of(PAGE % body) == WANT
+
+
+def test_articles_in_several_wrappers():
+    body = f"<div class='header-fixed'><article><p>{LONG[1]}</p></article></div><div class='search-results'><article><p>{LONG[0]}</p></article></div>"
+    assert html.blocks_of(PAGE % body) == [LONG[1].strip(), LONG[0].strip()]
+
+
 def test_extraction_columns(spark):
     page = PAGE % f"<article>{BODY}</article>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "u", ""), (None, "u", "<p"), (4, "u", "plain words only"), (5, "u", "<nav>a</nav>")]
