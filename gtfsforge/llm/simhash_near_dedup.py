@@ -150,6 +150,15 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, block: int = BLOCK)
     return together(list_blocks(postings(fps), ["key"], "fp", block), ["key"]).mapInArrow(run, "u long, v long").where("u != v").distinct()
 
 
+def _members(marked: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, low, c) of the distinct fingerprints: the least ``first`` of their rows in
+    ``marked`` (first, fp), and their component."""
+    found = stored(marked.groupBy("fp").agg(F.min("first").alias("low")), "fingerprints")
+    comp = components(links(found.select("fp"), max_distance))
+    comp = found.join(comp, found.fp == comp.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("c"))
+    return stored(comp, "members")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                    max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(id, fp, component_id) per input row.
@@ -161,27 +170,29 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     repeated rows each get a row; an empty table gives an empty table; other columns
     are ignored, whatever their names.
     """
-    marked = fingerprints(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("body")), "body", shingle)
-    marked = stored(marked.select("id", "fp"), "simhash")
-    classes = marked.groupBy("fp").agg(F.min("id").alias("low"))
-    found = stored(classes, "fingerprints")
-    comp = components(links(found.select("fp"), max_distance))
-    comp = found.join(comp, found.fp == comp.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("c"))
-    comp = stored(comp, "members")
+    marked = fingerprints(docs.select(F.col(f"`{id_col}`").alias("first"), F.col(f"`{text}`").alias("body")), "body", shingle)
+    marked = stored(marked.select("first", "fp"), "simhash")
+    comp = _members(marked, max_distance)
     least = comp.groupBy("c").agg(F.min("low").alias("component_id"))
     of = comp.join(least, "c").select(F.col("fp").alias("f"), "component_id")
-    return marked.join(of, F.col("fp") == F.col("f")).select(F.col("id").alias(id_col), "fp", "component_id")
+    return marked.join(of, F.col("fp") == F.col("f")).select(F.col("first").alias(id_col), "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                   max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, one for each such id.
-    Rows with a null id cannot be chosen by it; they all stay."""
-    own = F.col(f"`{id_col}`")
-    named = docs.where(own.isNotNull())
-    groups = simhash_groups(named, id_col, text, shingle, max_distance)
-    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    return named.join(kept, own == F.col("__kept"), "left_semi").dropDuplicates([id_col]).unionAll(docs.where(own.isNull()))
+    """One row of ``docs`` for each group: the first by id (nulls last), fingerprint, text
+    digest and the digest of the whole row.  Rows that share an id but not the text belong
+    to the groups of their texts; of rows equal in all columns one stays."""
+    body = F.col(f"`{text}`")
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() != text.lower()]
+    digest = F.md5(F.coalesce(body, F.lit("")).cast("binary"))
+    whole = F.md5(F.concat(digest, F.to_json(F.struct(body.isNull().alias("none"), F.struct(*others).alias("row")))).cast("binary"))
+    marked = fingerprints(docs.select(F.col(f"`{id_col}`").alias("id"), body.alias("body"), digest.alias("digest"), whole.alias("whole")), "body", shingle)
+    marked = stored(marked.select(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "digest", "whole").alias("first"), "fp"), "simhash")
+    kept = _members(marked, max_distance).groupBy("c").agg(F.min("low").alias("low")).select(F.col("low.whole").alias("__kept"))
+    # equal rows collapse before the exchange, so that no row, however often repeated, fills a task
+    rows = docs.withColumn("__whole", whole).dropDuplicates(["__whole"])
+    return rows.join(kept, F.col("__whole") == F.col("__kept"), "left_semi").drop("__whole")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

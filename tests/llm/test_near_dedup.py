@@ -85,6 +85,25 @@ def test_one_document_of_each_group_stays(docs_of):
     assert sim.one_per_group(docs_of([])).count() == 0
 
 
+def test_one_row_of_each_group_stays_with_shared_and_null_ids(docs_of):
+    rng = np.random.default_rng(10)
+    a, b, c, d, e = (prose(rng, 200) for _ in range(5))
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, d), (2, d), *[(None, e)] * 40, (None, a), (None, d), (4, ""), (None, None), (None, " ")]
+    assert len({brute_fingerprint(t) for t in (a, b, c, d, e)}) == 5
+    want = sorted([(1, a), (1, b), (3, c), (2, d), (None, e), (4, "")], key=str)
+    for k in (1, 7):
+        out = sim.one_per_group(docs_of(rows).repartition(k))
+        assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == want
+        assert out.columns == docs_of(rows).columns
+
+
+def test_one_of_rows_that_differ_in_other_columns_is_always_the_same(docs_of):
+    rows = docs_of([(1, "a b c d e")] * 2 + [(None, "other words in this text")] * 2)
+    rows = rows.drop("source").crossJoin(rows.sparkSession.createDataFrame([(f"s{k}",) for k in range(9)], "source string"))
+    got = [sorted((str(r.doc_id), r.source) for r in sim.one_per_group(rows.repartition(k)).collect()) for k in (1, 5, 8)]
+    assert len(got[0]) == 2 and got[0] == got[1] == got[2]
+
+
 def _brute_vectors(rows, threshold=0.98):
     def unit(v):
         if v is None or not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):
