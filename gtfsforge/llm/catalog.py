@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_near_dedup, html_extraction, packing, quality_classifier, quality_rules, simhash_near_dedup, substring_dedup, token_counts, url_filter
+from . import bpe, centroid_clustering, embedding_near_dedup, html_extraction, packing, quality_classifier, quality_rules, simhash_near_dedup, substring_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,4 +22,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_bpe": (bpe.op8_bpe, None),
     "op9_quality_rules": (quality_rules.op9_quality_rules, None),
     "op10_packing": (packing.op10_packing, None),
+    "op11_centroid_clustering": (centroid_clustering.op11_centroid_clustering, centroid_clustering.ORACLE),
 }
