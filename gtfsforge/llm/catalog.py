@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, centroid_clustering, conversation_trie, embedding_near_dedup, html_extraction, packing, quality_classifier, quality_rules, simhash_near_dedup, substring_dedup, token_counts, url_filter
+from . import bpe, centroid_clustering, conversation_trie, embedding_near_dedup, html_extraction, packing, quality_classifier, quality_rules, simhash_near_dedup, source_mixing, substring_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,4 +24,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op10_packing": (packing.op10_packing, None),
     "op11_centroid_clustering": (centroid_clustering.op11_centroid_clustering, centroid_clustering.ORACLE),
     "op12_conversation_trie": (conversation_trie.op12_conversation_trie, conversation_trie.ORACLE),
+    "op13_source_mixing": (source_mixing.op13_source_mixing, None),
 }
