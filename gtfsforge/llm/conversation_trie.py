@@ -180,7 +180,7 @@ def list_rank(arcs: DataFrame, per_task: int = PER_TASK, last: int = LAST) -> Da
         if not rounds:
             dealt = left.repartitionByRange(parts, "x")
         elif n <= last:
-            dealt = left.coalesce(1)
+            dealt = left.repartition(1)
         else:
             drew = [F.xxhash64(F.lit(len(rounds)), c).bitwiseAND(F.lit(1)) == 1 for c in ("x", "succ")]
             dealt = left.repartition(parts, F.when(~drew[0] & F.coalesce(drew[1], F.lit(False)), F.col("succ")).otherwise(F.col("x")))
