@@ -117,33 +117,16 @@ def build_iff(t: dict[str, DataFrame], first_day, version: int = 3, positioned:
               feed_version: str = "1") -> dict[str, DataFrame]:
     """Rail feeds (L3) from ``sources.iff.read_iff`` tables."""
     spark = t["stop"].sparkSession
-    if version == 3:
-        t = I.prepare_v3(t)
-    service = t["service"]
-    footnotes = C.bitmap_dates(t["footnote_bits"], first_day)
-    out = {
-        "agency": I.gtfs_agency_iff(t["company"], service, upper_code=version == 3),
+    prepared = I.prepare(t, version)
+    return {
+        "agency": I.gtfs_agency_iff(prepared["company"], prepared["service"], version=version),
         "feed_info": G.gtfs_feed_info(t["delivery"], "firstday", "lastday", feed_version=feed_version),
-        "calendar_dates": C.gtfs_calendar_dates_footnotes(footnotes),
+        "calendar_dates": C.gtfs_calendar_dates_footnotes(C.bitmap_dates(t["footnote_bits"], first_day)),
         "stops": I.gtfs_stops_iff(t["station"], t["stop"], t["platform"], positioned, version=version),
-        "trips": I.gtfs_trips_iff(service, t["validity"], t["transport"], t["attribute"], t["stop"], t["station"],
-                                  version=version),
-        "stop_times": I.gtfs_stop_times_iff(t["stop"], t["attribute"], service, t["validity"], t["platform"]),
+        **I.exports(t, version),
         "shapes": empty_table(spark, "shape_id string, shape_pt_lat double, shape_pt_lon double, "
                                      "shape_pt_sequence int"),
     }
-    args = (t["changes"], t["platform"], t["stop"], t["station"], service, t["validity"], t["attribute"])
-    if version == 3:
-        out["routes"] = I.gtfs_routes_iff_v3(t["transport"], t["trnsmode"], service, t["company"], t["stop"],
-                                             t["station"])
-        plat = I.platform_transfers(t["station"], t["platform"], 3).select(
-            "from_stop_id", "to_stop_id", F.lit(None).cast("string").alias("from_trip_id"),
-            F.lit(None).cast("string").alias("to_trip_id"), "transfer_type", "min_transfer_time")
-        out["transfers"] = plat.unionByName(I.connections_v3(*args)).distinct()
-    else:
-        out["routes"] = I.gtfs_routes_iff_v1(t["transport"], t["trnsmode"], service)
-        out["transfers"] = I.gtfs_transfers_iff_v1(*args)
-    return out
 
 
 def build_pas(t: dict[str, DataFrame], linepublicnumber: DataFrame | None = None,

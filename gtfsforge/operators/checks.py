@@ -128,3 +128,24 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
         out = out.unionByName(p)
     return out.withColumn("violations", F.coalesce(F.col("violations"), F.lit(0)).cast("long")) \
         .filter(F.col("violations") > 0)
+
+
+def feed_orphans(feed: dict[str, DataFrame]) -> DataFrame:
+    """(rule, violations) of a feed whose trips, stop times and transfers must name each other; every
+    rule is listed, also with 0.  Transfers between platforms (type 2) name no trips."""
+    trips, st, routes, transfers = feed["trips"], feed["stop_times"], feed["routes"], feed["transfers"]
+    named = trips.filter(F.col("trip_id").isNotNull())
+    rules = {
+        "trips_without_id": trips.filter(F.col("trip_id").isNull()),
+        "trips_without_route": trips.join(routes.select("route_id"), on="route_id", how="left_anti"),
+        "trips_without_stop_times": named.join(st.select("trip_id"), on="trip_id", how="left_anti"),
+        "stop_times_without_trip_id": st.filter(F.col("trip_id").isNull()),
+    }
+    if "from_trip_id" in transfers.columns:
+        rules["transfers_without_trip_id"] = transfers.filter(
+            (F.col("transfer_type") != 2) & (F.col("from_trip_id").isNull() | F.col("to_trip_id").isNull()))
+    out = None
+    for rule, rows in rules.items():
+        part = rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(rule).alias("rule"), "violations")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -31,6 +31,8 @@ from . import mappings as M
 # ---- fixed values (must equal the reference's rail mode lists) ----
 BUS_LIKE_MODES = ("NSS", "NSB", "B", "BNS", "X", "U", "Y")
 BUS_LIKE_MODES_V3 = ("NSS", "NSB", "B", "NSM", "NST", "BNS", "X", "U", "Y")
+BIKE_MODES = {1: ("HSN", "HSI"), 3: ("HSN", "HSI", "NSS", "NSB", "B", "NST")}
+BIKE_ATTRIBUTES = {1: ("NIIN", "GEFI"), 3: ("GEFI",)}
 STATION_OVERRIDES = [("aixtgv", 5.317222, 43.455), ("mannhe", 8.469858, 49.479633), ("magdeb", 11.627778, 52.130556)]
 REASSIGN_960 = [("TGV", 980), ("THA", 300), ("ES", 999)]
 EXTRA_COMPANIES = [(999, "EUROSTAR", "Eurostar")]
@@ -52,10 +54,6 @@ def _idx_range(first: str, last: str) -> Column:
     return F.when(f <= la, F.sequence(f, la)).otherwise(F.array().cast("array<int>"))
 
 
-def trip_number(service: DataFrame) -> Column:
-    return F.coalesce(F.col("servicenumber"), _tc(F.col("variant")))
-
-
 def station_points(station: DataFrame, overrides=STATION_OVERRIDES) -> DataFrame:
     """station + lon/lat (RD transform, literal overrides win) (I-30, I-32)."""
     spark = station.sparkSession
@@ -88,27 +86,10 @@ def reassign_company(service: DataFrame, transport: DataFrame, rules=REASSIGN_96
         .otherwise(F.col("companynumber"))).drop("new_company")
 
 
-def number_from_variant(service: DataFrame) -> DataFrame:
-    """A service without number takes its variant as number."""
-    return service.withColumn("servicenumber", trip_number(service))
-
-
-def prepare_v3(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The tables as all outputs of rail v3 read them (N-28): the Eurostar company,
-    reassigned international trains, numbers from variants, the mode name fixed."""
-    company = tables["company"]
-    known = [F.col(c) for c in ("company", "code", "name")]
-    extra = company.sparkSession.createDataFrame(EXTRA_COMPANIES, "company int, code string, name string")
-    company = company.select(*known).unionByName(extra.join(company.select("company"), "company", "left_anti").select(*known))
-    return {**tables, "company": company,
-            "service": number_from_variant(reassign_company(tables["service"], tables["transport"])),
-            "trnsmode": tables["trnsmode"].replace(dict(MODE_NAME_FIXES), subset=["description"])}
-
-
-def fill_service_number(service: DataFrame) -> DataFrame:
-    """K-1: a service without number and variant gets number 0."""
-    return service.withColumn("servicenumber", F.when(
-        F.col("servicenumber").isNull() & F.col("variant").isNull(), F.lit(0)).otherwise(F.col("servicenumber")))
+def with_numbers(service: DataFrame) -> DataFrame:
+    """K-1: a service without number takes its variant as number, one without either 0 (so
+    does one whose variant is no number): every export names its trips by this number."""
+    return service.withColumn("servicenumber", F.coalesce("servicenumber", _tc("variant"), F.lit(0)))
 
 
 def open_single_transport(transport: DataFrame) -> DataFrame:
@@ -119,17 +100,33 @@ def open_single_transport(transport: DataFrame) -> DataFrame:
         "laststop", F.when(F.col("multi").isNull(), F.lit(999)).otherwise(F.col("laststop"))).drop("multi")
 
 
+def prepare(tables: dict[str, DataFrame], version: int = 1) -> dict[str, DataFrame]:
+    """The tables as all exports of one rail feed read them, changed once for all of them: numbers
+    (K-1) and single modes (K-2); in v3 also the Eurostar company, reassigned international
+    trains (N-28) and the mode name fixed.  Every export below takes prepared tables."""
+    out = dict(tables)
+    if version == 3:
+        company = tables["company"]
+        known = [F.col(c) for c in ("company", "code", "name")]
+        extra = company.sparkSession.createDataFrame(EXTRA_COMPANIES, "company int, code string, name string")
+        out["company"] = company.select(*known).unionByName(extra.join(company.select("company"), "company", "left_anti").select(*known))
+        out["service"] = reassign_company(tables["service"], tables["transport"])
+        out["trnsmode"] = tables["trnsmode"].replace(dict(MODE_NAME_FIXES), subset=["description"])
+    out["service"] = with_numbers(out["service"])
+    out["transport"] = open_single_transport(tables["transport"])
+    return out
+
+
 # --------------------------------------------------------------------------
 # N-24 calendar_dates, N-14 agency
 # --------------------------------------------------------------------------
 
-def gtfs_agency_iff(company: DataFrame, service: DataFrame, urls: DataFrame | None = None,
-                    upper_code: bool = False) -> DataFrame:
-    """agency.txt: companies that run a service, with their URL (N-14)."""
-    urls = M.company_urls(company.sparkSession) if urls is None else urls
+def gtfs_agency_iff(company: DataFrame, service: DataFrame, urls: DataFrame | None = None, version: int = 1) -> DataFrame:
+    """agency.txt: companies that run a service, with their URL (N-14); v3 names them by code."""
+    urls = M.company_urls(company.sparkSession, version) if urls is None else urls
     used = service.select(F.col("companynumber").alias("company")).distinct()
     c = company.join(used, on="company", how="left_semi").join(urls, on="company", how="left")
-    agency_id = F.upper(F.col("code")) if upper_code else F.col("company")
+    agency_id = F.upper(F.col("code")) if version == 3 else F.col("company")
     return c.select(agency_id.alias("agency_id"), F.col("name").alias("agency_name"), "agency_url",
                     F.lit(M.AGENCY_TIMEZONE).alias("agency_timezone"), F.lit(M.AGENCY_LANG).alias("agency_lang"))
 
@@ -212,44 +209,50 @@ def gtfs_routes_iff_v1(transport: DataFrame, trnsmode: DataFrame, service: DataF
         F.col("description").alias("route_long_name"), route_type_v1(F.col("transmode")).alias("route_type"))
 
 
-def _end_stations(stop: DataFrame) -> DataFrame:
-    """First and last station of each service in one aggregation."""
-    e = stop.groupBy("serviceid").agg(F.min(F.struct("idx", "station")).alias("b"),
-                                      F.max(F.struct("idx", "station")).alias("d"))
-    return e.select("serviceid", F.col("b.station").alias("begin_station"), F.col("d.station").alias("dest_station"))
+def _stations_of(stop: DataFrame) -> DataFrame:
+    """Per service its first and last station, and all of them by index (as many as one train calls at)."""
+    e = stop.groupBy("serviceid").agg(F.min(F.struct("idx", "station")).alias("b"), F.max(F.struct("idx", "station")).alias("d"),
+                                      F.collect_list(F.struct("idx", "station")).alias("calls"))
+    return e.select("serviceid", F.col("b.station").alias("begin_station"), F.col("d.station").alias("dest_station"), "calls")
+
+
+def _station_at(idx: str) -> Column:
+    return F.get(F.filter("calls", lambda c: c["idx"] == F.col(idx)), F.lit(0))["station"]
+
+
+def _covers() -> Column:
+    """A transport row (t_first, t_last) that holds for a service part."""
+    return (F.col("t_first") == F.col("firststop")) | (F.col("t_last") == 999)
 
 
 def gtfs_routes_iff_v3(transport: DataFrame, trnsmode: DataFrame, service: DataFrame, company: DataFrame,
                        stop: DataFrame, station: DataFrame) -> DataFrame:
     """routes.txt v3 (N-27): trains per company x mode x block of 100
-    numbers; bus-like modes per unordered pair of end stations."""
-    svc = number_from_variant(service)
-    ends = _end_stations(stop)
-    names = station.select("shortname", "name")
-    j = (transport.select("serviceid", "transmode")
+    numbers; bus-like modes per unordered pair of the end stations of a service part, as the
+    trips name them."""
+    j = (transport.select("serviceid", "transmode", F.col("firststop").alias("t_first"), F.col("laststop").alias("t_last"))
          .join(trnsmode.select(F.col("code").alias("transmode"), "description"), on="transmode")
-         .join(svc.select("serviceid", "companynumber", "servicenumber", "servicename", "laststop"), on="serviceid")
+         .join(service.select("serviceid", "companynumber", "servicenumber", "servicename", "firststop", "laststop"), on="serviceid")
          .join(company.select(F.col("company").alias("companynumber"), "code"), on="companynumber")
-         .join(ends, on="serviceid")
-         .join(names.withColumnRenamed("shortname", "begin_station").withColumnRenamed("name", "begin_name"),
-               on="begin_station")
-         .join(names.withColumnRenamed("shortname", "dest_station").withColumnRenamed("name", "dest_name"),
-               on="dest_station"))
+         .join(_stations_of(stop), on="serviceid"))
+    names = station.select("shortname", "name")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.join(names.toDF("begin_station", "begin_name"), on="begin_station").join(names.toDF("dest_station", "dest_name"), on="dest_station")
+
     block = (F.floor(F.col("servicenumber") / 100) * 100).cast("long")
     mode = F.col("transmode")
-    rt = F.when(mode.isin(*BUS_LIKE_MODES), F.lit(3)).when(mode == "NSM", F.lit(1)).when(mode == "NST", F.lit(0))
+    rt = F.when(mode == "NSM", F.lit(1)).when(mode == "NST", F.lit(0))
     for modes, code in V3_ROUTE_TYPES:
         rt = rt.when(mode.isin(*modes), F.lit(code))
-    rt = rt.otherwise(F.lit(2))
-    trains = j.filter(~mode.isin(*BUS_LIKE_MODES_V3)).select(
+    ends = F.concat(F.col("begin_name"), F.lit(" <-> "), F.col("dest_name"))
+    trains = named(j.filter(~mode.isin(*BUS_LIKE_MODES_V3))).select(
         "transmode", "companynumber", block.alias("block"), "servicenumber", "laststop",
-        F.concat(as_text("companynumber"), F.lit("-"), mode, F.lit("-"), as_text(F.coalesce(block, F.lit(0)))).alias("route_id"),
+        F.concat(as_text("companynumber"), F.lit("-"), mode, F.lit("-"), as_text(block)).alias("route_id"),
         F.upper("code").alias("agency_id"), F.col("description").alias("route_short_name"),
-        F.when(F.col("servicename").isNotNull(),
-               F.concat(F.col("servicename"), F.lit(" "), F.col("begin_name"), F.lit(" <-> "), F.col("dest_name")))
-        .otherwise(F.concat(F.col("begin_name"), F.lit(" <-> "), F.col("dest_name"), F.lit(" "), mode,
-                            as_text(block))).alias("route_long_name"),
-        rt.alias("route_type"))
+        F.when(F.col("servicename").isNotNull(), F.concat(F.col("servicename"), F.lit(" "), ends))
+        .otherwise(F.concat(ends, F.lit(" "), mode, as_text(block))).alias("route_long_name"),
+        rt.otherwise(F.lit(2)).alias("route_type"))
     # per (mode, company, block): odd numbers first, then the longest service
     # (largest laststop), then the smallest number as the final tiebreak
     out_cols = ["route_id", "agency_id", "route_short_name", "route_long_name", "route_type"]
@@ -257,12 +260,13 @@ def gtfs_routes_iff_v3(transport: DataFrame, trnsmode: DataFrame, service: DataF
                            [(F.col("servicenumber") % 2 == 0), -F.col("laststop"), F.col("servicenumber"),
                             F.col("route_long_name")], out_cols)
     lo, hi = F.least("begin_station", "dest_station"), F.greatest("begin_station", "dest_station")
-    buses = j.filter(mode.isin(*BUS_LIKE_MODES_V3)).select(
+    parts = j.filter(mode.isin(*BUS_LIKE_MODES_V3) & _covers()) \
+        .withColumn("begin_station", _station_at("firststop")).withColumn("dest_station", _station_at("laststop"))
+    buses = named(parts).select(
         "transmode", "companynumber", lo.alias("lo"), hi.alias("hi"),
         F.concat(as_text("companynumber"), F.lit("-"), mode, F.lit("-"), lo, F.lit("-"), hi).alias("route_id"),
         F.upper("code").alias("agency_id"), F.col("description").alias("route_short_name"),
-        F.concat(F.col("begin_name"), F.lit(" <-> "), F.col("dest_name")).alias("route_long_name"),
-        F.when(mode.isin(*BUS_LIKE_MODES_V3), F.lit(3)).alias("route_type"))
+        ends.alias("route_long_name"), F.lit(3).alias("route_type"))
     buses = first_per_key(buses, ["transmode", "companynumber", "lo", "hi"], [F.col("route_long_name")], out_cols)
     return trains.select(*out_cols).unionByName(buses.select(*out_cols)).distinct()
 
@@ -278,7 +282,7 @@ def _service_trips(service: DataFrame, validity: DataFrame, transport: DataFrame
     t = transport.select("serviceid", "transmode", F.col("firststop").alias("t_first"), F.col("laststop").alias("t_last"))
     j = s.join(v, on="serviceid").filter(
         ((F.col("v_last") == F.col("laststop")) & (F.col("v_first") == F.col("firststop"))) | (F.col("v_last") == 999))
-    return j.join(t, on="serviceid").filter((F.col("t_first") == F.col("firststop")) | (F.col("t_last") == 999))
+    return j.join(t, on="serviceid").filter(_covers())
 
 
 def gtfs_trips_iff(service: DataFrame, validity: DataFrame, transport: DataFrame, attribute: DataFrame,
@@ -290,21 +294,17 @@ def gtfs_trips_iff(service: DataFrame, validity: DataFrame, transport: DataFrame
     bus-like modes get the end-station route and direction from the end
     stations' order; the short name is the variant where it differs.
     """
-    svc = fill_service_number(number_from_variant(service) if version == 3 else service)
-    tr = open_single_transport(transport)
-    j = _service_trips(svc, validity, tr)
+    j = _service_trips(service, validity, transport)
     if version == 1:
         j = j.filter(F.col("footnote").isNotNull())
     names = station.select(F.col("shortname").alias("dest_station"), F.col("name").alias("trip_headsign"))
     last_stop = stop.select("serviceid", F.col("idx").alias("laststop"), F.col("station").alias("dest_station"))
     j = j.join(last_stop, on=["serviceid", "laststop"]).join(names, on="dest_station")
-    num = trip_number(svc)
-    bike_attrs = ("NIIN", "GEFI") if version == 1 else ("GEFI",)
-    bikes = attribute.filter(F.col("code").isin(*bike_attrs)).select("serviceid").distinct() \
+    num = F.col("servicenumber")
+    bikes = attribute.filter(F.col("code").isin(*BIKE_ATTRIBUTES[version])).select("serviceid").distinct() \
         .withColumn("bike_attr", F.lit(True))
     j = j.join(bikes, on="serviceid", how="left")
-    bike_modes = ("HSN", "HSI") if version == 1 else ("HSN", "HSI", "NSS", "NSB", "B", "NST")
-    bikes_allowed = F.when(F.col("transmode").isin(*bike_modes), F.lit(1)).when(
+    bikes_allowed = F.when(F.col("transmode").isin(*BIKE_MODES[version]), F.lit(1)).when(
         F.col("bike_attr").isNotNull(), F.lit(1)).otherwise(F.lit(2))
     trip_id = F.concat(as_text("serviceid"), F.lit("|"), as_text("footnote"), F.lit("|"), as_text(num))
     if version == 1:
@@ -316,9 +316,9 @@ def gtfs_trips_iff(service: DataFrame, validity: DataFrame, transport: DataFrame
             F.col("serviceid").alias("block_id"), bikes_allowed.alias("trip_bikes_allowed"))
     first_stop = stop.select("serviceid", F.col("idx").alias("firststop"), F.col("station").alias("begin_station"))
     j = j.join(first_stop, on=["serviceid", "firststop"])
-    bus = F.col("transmode").isin("NSS", "NSB", "B", "NSM", "NST")
+    bus = F.col("transmode").isin(*BUS_LIKE_MODES_V3)
     lo, hi = F.least("begin_station", "dest_station"), F.greatest("begin_station", "dest_station")
-    block = F.coalesce((F.floor(F.col("servicenumber") / 100) * 100).cast("long"), F.lit(0))
+    block = (F.floor(num / 100) * 100).cast("long")
     route = F.when(bus, F.concat(as_text("companynumber"), F.lit("-"), F.col("transmode"), F.lit("-"), lo, F.lit("-"), hi)) \
         .otherwise(F.concat(as_text("companynumber"), F.lit("-"), F.col("transmode"), F.lit("-"), as_text(block)))
     variant_num = _tc(F.col("variant"))
@@ -326,7 +326,7 @@ def gtfs_trips_iff(service: DataFrame, validity: DataFrame, transport: DataFrame
         route.alias("route_id"), F.concat(F.lit("NS:"), as_text("footnote")).alias("service_id"),
         trip_id.alias("trip_id"), F.col("trip_headsign"),
         F.when(bus, (F.col("begin_station") > F.col("dest_station")).cast("int")).otherwise(num % 2).alias("direction_id"),
-        F.when(F.col("servicenumber") != variant_num, variant_num).otherwise(F.col("servicenumber")).alias("trip_short_name"),
+        F.when(num != variant_num, variant_num).otherwise(num).alias("trip_short_name"),
         F.col("serviceid").alias("block_id"), bikes_allowed.alias("trip_bikes_allowed"))
 
 
@@ -346,7 +346,7 @@ def gtfs_stop_times_iff(stop: DataFrame, attribute: DataFrame, service: DataFram
     """
     attrs = attribute.select("serviceid", "code", F.explode(_idx_range("firststop", "laststop")).alias("idx")) \
         .groupBy("serviceid", "idx").agg(F.collect_set("code").alias("attrs"))
-    parts = service.select("serviceid", "servicenumber", "variant",
+    parts = service.select("serviceid", "servicenumber",
                            F.explode(_idx_range("firststop", "laststop")).alias("idx"))
     plat = platform.select("serviceid", "idx", "arrival", "departure")
     # the (serviceid, idx) joins share one partitioning of the stop table;
@@ -355,10 +355,8 @@ def gtfs_stop_times_iff(stop: DataFrame, attribute: DataFrame, service: DataFram
         .join(parts, on=["serviceid", "idx"], how="left") \
         .join(plat, on=["serviceid", "idx"], how="left") \
         .join(validity.select("serviceid", "footnote"), on="serviceid", how="left")
-    num = trip_number(service)
-    trip_id = F.concat(as_text("serviceid"), F.lit("|"), as_text("footnote"), F.lit("|"), as_text(num))
-    j = j.withColumn("trip_id", trip_id).withColumn("trip_num", num)
-    w = Window.partitionBy("serviceid", "footnote", "trip_num").orderBy("idx")
+    j = j.withColumn("trip_id", pipe_id("serviceid", "footnote", "servicenumber"))
+    w = Window.partitionBy("serviceid", "footnote", "servicenumber").orderBy("idx")
     j = j.withColumn("stop_sequence", F.row_number().over(w))
     a = F.coalesce(F.col("attrs"), F.array().cast("array<string>"))
 
@@ -411,37 +409,32 @@ def platform_transfers(station: DataFrame, platform: DataFrame, version: int = 1
     return pairs
 
 
-def _connection_rows(changes, platform, stop, station, service, validity, attribute, kinds) -> DataFrame:
-    """The change records joined to both services' platform and stop rows (D-17)."""
+def _calls(platform, stop, station, service, validity, attribute) -> DataFrame:
+    """(serviceid, station, call): where trains call at a named platform of a known station, per service
+    part and footnote; services with attribute NIIN are left out."""
     niin = attribute.filter(F.col("code") == "NIIN").select("serviceid").distinct()
+    known = station.select(F.col("shortname").alias("station")).distinct()
+    part = service.select("serviceid", F.col("firststop").alias("p_first"), F.col("laststop").alias("p_last"), "servicenumber")
+    j = platform.select("serviceid", "idx", "station", "arrival", "departure") \
+        .join(stop.select("serviceid", "idx", "station", "arr_s", "dep_s"), on=["serviceid", "idx", "station"]) \
+        .join(known, on="station", how="left_semi").join(niin, on="serviceid", how="left_anti") \
+        .join(part, on="serviceid").filter(F.col("idx").between(F.col("p_first"), F.col("p_last"))) \
+        .join(validity.select("serviceid", "footnote"), on="serviceid")
+    return j.select("serviceid", "station", F.struct("arrival", "departure", "arr_s", "dep_s", pipe_id("serviceid", "footnote", "servicenumber").alias("trip_id")).alias("call"))
+
+
+def _connection_rows(changes, platform, stop, station, service, validity, attribute, kinds) -> DataFrame:
+    """The change records with the calls of both services (D-17): columns a and d.  Both sides
+    read the same calls, as one struct, so that Spark shuffles them once."""
+    calls = _calls(platform, stop, station, service, validity, attribute)
     c = changes.filter(F.col("possiblechange").isin(*kinds)) if kinds else changes
-    c = c.join(niin.withColumnRenamed("serviceid", "fromservice"), on="fromservice", how="left_anti") \
-        .join(niin.withColumnRenamed("serviceid", "toservice"), on="toservice", how="left_anti") \
-        .filter(F.col("fromservice") != F.col("toservice"))
-    known = station.select(F.col("shortname").alias("station"))
-    st = stop.select("serviceid", "idx", "station", "arr_s", "dep_s").join(known, on="station", how="left_semi")
-    a = platform.select(F.col("serviceid").alias("fromservice"), F.col("idx").alias("a_idx"), "station",
-                        F.col("arrival").alias("a_arrival"), F.col("departure").alias("a_departure")) \
-        .join(st.select(F.col("serviceid").alias("fromservice"), F.col("idx").alias("a_idx"), "station",
-                        F.col("arr_s").alias("at_arr"), F.col("dep_s").alias("at_dep")),
-              on=["fromservice", "a_idx", "station"])
-    d = platform.select(F.col("serviceid").alias("toservice"), F.col("idx").alias("d_idx"), "station",
-                        F.col("departure").alias("d_departure")) \
-        .join(st.select(F.col("serviceid").alias("toservice"), F.col("idx").alias("d_idx"), "station",
-                        F.col("dep_s").alias("dt_dep")), on=["toservice", "d_idx", "station"])
-    j = c.join(a, on=["fromservice", "station"]).join(d, on=["toservice", "station"]) \
-        .filter(F.col("a_arrival") != F.col("d_departure"))
-    fs = service.select(F.col("serviceid").alias("fromservice"), F.col("firststop").alias("fs_first"),
-                        F.col("laststop").alias("fs_last"), F.col("servicenumber").alias("fs_num"),
-                        F.col("variant").alias("fs_var"))
-    ts = service.select(F.col("serviceid").alias("toservice"), F.col("firststop").alias("ts_first"),
-                        F.col("laststop").alias("ts_last"), F.col("servicenumber").alias("ts_num"),
-                        F.col("variant").alias("ts_var"))
-    j = j.join(fs, on="fromservice").filter(F.col("a_idx").between(F.col("fs_first"), F.col("fs_last"))) \
-        .join(ts, on="toservice").filter(F.col("d_idx").between(F.col("ts_first"), F.col("ts_last")))
-    fv = validity.select(F.col("serviceid").alias("fromservice"), F.col("footnote").alias("f_footnote"))
-    tv = validity.select(F.col("serviceid").alias("toservice"), F.col("footnote").alias("t_footnote"))
-    return j.join(fv, on="fromservice").join(tv, on="toservice")
+    c = c.filter(F.col("fromservice") != F.col("toservice"))
+    return c.join(calls.toDF("fromservice", "station", "a"), on=["fromservice", "station"]) \
+        .join(calls.toDF("toservice", "station", "d"), on=["toservice", "station"]).filter(F.col("a.arrival") != F.col("d.departure"))
+
+
+def _stop_at(call: str) -> Column:
+    return F.concat(F.col("station"), F.lit("|"), F.col(f"{call}.departure"))
 
 
 def connections_v1(changes, platform, stop, station, service, validity, attribute) -> DataFrame:
@@ -449,12 +442,9 @@ def connections_v1(changes, platform, stop, station, service, validity, attribut
     departure - arrival - 30 s, the smallest per stop pair.  Times compare as
     seconds (§8-D21)."""
     j = _connection_rows(changes, platform, stop, station, service, validity, attribute, (1, 2)) \
-        .filter(F.col("dt_dep") > F.col("at_dep"))
-    rows = j.select(
-        F.concat(F.col("station"), F.lit("|"), F.col("a_departure")).alias("from_stop_id"),
-        F.concat(F.col("station"), F.lit("|"), F.col("d_departure")).alias("to_stop_id"),
-        F.lit(2).alias("transfer_type"),
-        (F.col("dt_dep") - F.col("at_arr") - 30).alias("min_transfer_time"))
+        .filter(F.col("d.dep_s") > F.col("a.dep_s"))
+    rows = j.select(_stop_at("a").alias("from_stop_id"), _stop_at("d").alias("to_stop_id"), F.lit(2).alias("transfer_type"),
+                    (F.col("d.dep_s") - F.col("a.arr_s") - 30).alias("min_transfer_time"))
     return first_per_key(rows, ["from_stop_id", "to_stop_id"], [nulls_last("min_transfer_time")],
                          ["transfer_type", "min_transfer_time"])
 
@@ -462,15 +452,11 @@ def connections_v1(changes, platform, stop, station, service, validity, attribut
 def connections_v3(changes, platform, stop, station, service, validity, attribute) -> DataFrame:
     """Trip-to-trip transfers (N-33): change kind 0/1/2 -> type 3/0/1, else 99."""
     j = _connection_rows(changes, platform, stop, station, service, validity, attribute, None) \
-        .filter(F.col("dt_dep") > F.col("at_arr"))
-    fnum = F.coalesce(F.col("fs_num"), _tc(F.col("fs_var")))
-    tnum = F.coalesce(F.col("ts_num"), _tc(F.col("ts_var")))
+        .filter(F.col("d.dep_s") > F.col("a.arr_s"))
     kind = F.col("possiblechange")
     return j.select(
-        F.concat(F.col("station"), F.lit("|"), F.col("a_departure")).alias("from_stop_id"),
-        F.concat(F.col("station"), F.lit("|"), F.col("d_departure")).alias("to_stop_id"),
-        pipe_id("fromservice", "f_footnote", fnum).alias("from_trip_id"),
-        pipe_id("toservice", "t_footnote", tnum).alias("to_trip_id"),
+        _stop_at("a").alias("from_stop_id"), _stop_at("d").alias("to_stop_id"),
+        F.col("a.trip_id").alias("from_trip_id"), F.col("d.trip_id").alias("to_trip_id"),
         F.when(kind == 0, F.lit(3)).when(kind == 1, F.lit(0)).when(kind == 2, F.lit(1)).otherwise(F.lit(99))
         .alias("transfer_type"),
         null_of("int").alias("min_transfer_time")).distinct()
@@ -483,3 +469,22 @@ def gtfs_transfers_iff_v1(changes, platform, stop, station, service, validity, a
         connections_v1(changes, platform, stop, station, service, validity, attribute))
     return first_per_key(both, ["from_stop_id", "to_stop_id"], [nulls_last("min_transfer_time")],
                          ["transfer_type", "min_transfer_time"])
+
+
+def exports(tables: dict[str, DataFrame], version: int = 1) -> dict[str, DataFrame]:
+    """routes, trips, stop_times and transfers of one rail feed, all from the same prepared tables."""
+    t = prepare(tables, version)
+    args = (t["changes"], t["platform"], t["stop"], t["station"], t["service"], t["validity"], t["attribute"])
+    out = {
+        "trips": gtfs_trips_iff(t["service"], t["validity"], t["transport"], t["attribute"], t["stop"], t["station"], version=version),
+        "stop_times": gtfs_stop_times_iff(t["stop"], t["attribute"], t["service"], t["validity"], t["platform"]),
+    }
+    if version == 3:
+        out["routes"] = gtfs_routes_iff_v3(t["transport"], t["trnsmode"], t["service"], t["company"], t["stop"], t["station"])
+        walks = platform_transfers(t["station"], t["platform"], 3).select(
+            "from_stop_id", "to_stop_id", null_of("string").alias("from_trip_id"), null_of("string").alias("to_trip_id"), "transfer_type", "min_transfer_time")
+        out["transfers"] = walks.unionByName(connections_v3(*args)).distinct()
+    else:
+        out["routes"] = gtfs_routes_iff_v1(t["transport"], t["trnsmode"], t["service"])
+        out["transfers"] = gtfs_transfers_iff_v1(*args)
+    return out

@@ -70,6 +70,8 @@ COMPANY_URLS = [
     (300, "http://www.thalys.nl"), (501, "http://www.breng.nl"), (52, "http://www.breng.nl"),
     (54, "http://www.valleilijn.nl"),
 ]
+# rail v3 differs in these
+COMPANY_URLS_V3 = [(25, "http://www.ns.nl"), (999, "http://www.eurostar.com")]
 # PAS modality -> GTFS route type
 PAS_ROUTE_TYPES = [("T", 0), ("M", 1), ("B", 3), ("H", 3), ("F", 4)]
 # ---- end of fixed values ----
@@ -100,8 +102,9 @@ def kv1_agencies(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.createDataFrame(KV1_AGENCIES, "agency_id string, agency_name string, agency_url string"))
 
 
-def company_urls(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(COMPANY_URLS, "company int, agency_url string"))
+def company_urls(spark: SparkSession, version: int = 1) -> DataFrame:
+    urls = dict(COMPANY_URLS) | (dict(COMPANY_URLS_V3) if version == 3 else {})
+    return F.broadcast(spark.createDataFrame(list(urls.items()), "company int, agency_url string"))
 
 
 def pas_route_types(spark: SparkSession) -> DataFrame:

@@ -139,7 +139,8 @@ select distinct journeynumber, journeynumber % 200 + 200, 2, journeypatterncode
 """,
     # some services have two modes, which may both move them to another company
     "iff_transport": """
-select distinct journeynumber as serviceid, case when lineplanningnumber % 4 = 0 then 'IC' when lineplanningnumber % 4 = 1 then 'SPR' when lineplanningnumber % 4 = 2 then 'NSB'
+select distinct journeynumber as serviceid, case when lineplanningnumber % 4 = 0 then 'IC' when lineplanningnumber % 4 = 1 then 'SPR' when lineplanningnumber % 20 = 2 then 'NSB' when lineplanningnumber % 20 = 6 then 'BNS' when lineplanningnumber % 20 = 10 then 'X'
+  when lineplanningnumber % 20 = 14 then 'U' when lineplanningnumber % 20 = 18 then 'Y'
   when lineplanningnumber % 3 = 0 then 'TGV' when lineplanningnumber % 3 = 1 then 'THA' else 'ES' end as transmode,
  1 as firststop, journeypatterncode as laststop from {passes}
 union all

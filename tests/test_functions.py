@@ -211,12 +211,12 @@ def test_rail_v3_numbers_and_companies_agree_between_trips_and_routes(spark):
     def frame(rows, ddl):
         return spark.createDataFrame(rows, ddl)
 
-    t = G.prepare_v3({
+    t = G.prepare({
         "service": frame([(1, 960, None, "1234", 1, 2, None), (2, 960, 70, None, 1, 2, None), (3, 960, 80, None, 1, 2, None)],
                          "serviceid int, companynumber int, servicenumber int, variant string, firststop int, laststop int, servicename string"),
         "transport": frame([(1, "IC", 1, 2), (2, "ES", 1, 2), (3, "THA", 1, 2), (3, "TGV", 1, 2)], "serviceid int, transmode string, firststop int, laststop int"),
         "company": frame([(960, "int", "International"), (980, "sncf", "SNCF")], "company int, code string, name string"),
-        "trnsmode": frame([("IC", "Intercity"), ("ES", "Eurostar"), ("TGV", "stoptrein"), ("THA", "Thalys")], "code string, description string")})
+        "trnsmode": frame([("IC", "Intercity"), ("ES", "Eurostar"), ("TGV", "stoptrein"), ("THA", "Thalys")], "code string, description string")}, version=3)
     assert {r["serviceid"]: (r["companynumber"], r["servicenumber"]) for r in t["service"].collect()} == {1: (960, 1234), 2: (999, 70), 3: (980, 80)}
     assert {r["company"] for r in t["company"].collect()} == {960, 980, 999}
     stop = frame([(s, i, n, 0, 0) for s in (1, 2, 3) for i, n in ((1, "a"), (2, "b"))], "serviceid int, idx int, station string, arr_s int, dep_s int")
@@ -236,6 +236,7 @@ def test_every_rail_v3_trip_has_its_route(spark):
     from gtfsforge.plans import q_iff
 
     trips, routes = q_iff.q_iff_trips_v3(spark, SF_SMALL), q_iff.q_iff_routes_v3(spark, SF_SMALL)
-    # a bus route is named by its service's end stations, a bus trip by its part's (as in the source)
-    trips = trips.filter("route_id not like '%-NSB-%'")
     assert trips.join(routes, "route_id", "left_anti").count() == 0
+    assert {r["m"] for r in trips.selectExpr("split(route_id, '-')[1] as m").distinct().collect()} >= {"NSB", "BNS", "X", "U", "Y"}
+    for query in (q_iff.q_iff_orphans_v1, q_iff.q_iff_orphans_v3):
+        assert {r["violations"] for r in query(spark, SF_SMALL).collect()} == {0}
