@@ -61,7 +61,7 @@ def numbered_turns(conversations: DataFrame, conv: str = "conv_id", turn: str =
     rows = conversations.select(col["c"].cast("long").alias("c"), col["turn"].alias("turn"),
                                 F.md5(F.concat(F.md5(role_), text_)).alias("dig"), F.regexp_count(text_, F.lit(WORD)).cast("long").alias("words")) \
         .where("c is not null")
-    return grouped_rank(rows, ["c"], ["turn", "dig"], "pos", "row_number").select("c", "pos", "dig", "words")
+    return grouped_rank(stored(rows, "rows"), ["c"], ["turn", "dig"], "pos", "row_number").select("c", "pos", "dig", "words")
 
 
 def rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
