@@ -12,9 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+from ..sources import archives
 from ..sources import iff as IFF
+from ..sources import kv1 as KV1
 from ..sources import pas as PAS
 from .fixtures import Fixtures, duckdb_with
+from .sqltext import clock
 
 
 def _hhmm(s: Column) -> Column:
@@ -122,8 +126,95 @@ select vervoerdercode, lijnsysteemnr, richting, ritnummer, voetnoot, cast(stopse
 """)
 
 
+# ---- q_kv1_parse, q_kv1_parse_stops (A-1, A-2, A-3, A-4) -----------------------
+
+def _clock(col: str) -> Column:
+    """hh:mm:ss, empty where there is none."""
+    s = F.col(col)
+    two = [F.lpad(F.floor(x).cast("string"), 2, "0") for x in (s / 3600, s % 3600 / 60, s % 60)]
+    return F.coalesce(F.concat(two[0], F.lit(":"), two[1], F.lit(":"), two[2]), F.lit(""))
+
+
+def _pass_lines(fx: Fixtures) -> DataFrame:
+    text = F.concat_ws("|", F.lit("PUJOPASS"), F.col("version").cast("string"), F.lit("I"), "dataownercode", "organizationalunitcode", F.col("schedulecode").cast("string"),
+                       "scheduletypecode", F.col("lineplanningnumber").cast("string"), F.col("journeynumber").cast("string"), F.col("stoporder").cast("string"),
+                       F.col("journeypatterncode").cast("string"), F.col("userstopcode").cast("string"), _clock("arr_s"), _clock("dep_s"),
+                       F.coalesce("wheelchairaccessible", F.lit("")), F.lit(""))
+    return fx.passes.select(F.pmod("journeynumber", F.lit(7)).alias("delivery"), F.lit("PUJOPASSX.csv").alias("member"), text.alias("line"))
+
+
+def _stop_lines(fx: Fixtures) -> DataFrame:
+    """Names with separators, quotes and line ends inside quoted fields."""
+    name = F.concat(F.lit('"'), F.col("name"), F.lit(' | ""Ænd""\n of '), F.col("dataownercode"), F.lit('"'))
+    area = F.coalesce(F.col("userstopareacode").cast("string"), F.lit(""))
+    text = F.concat_ws("|", F.lit("USRSTOP"), F.col("version").cast("string"), F.lit("I"), "dataownercode", F.col("userstopcode").cast("string"), F.lit(""),
+                       F.col("getin").cast("string"), F.col("getout").cast("string"), F.lit(""), name, F.lit("Town"), area, F.lit("-"), F.lit(""), F.lit(""), F.lit("30"), F.lit(""), F.lit(""), F.lit("PASSENGER"))
+    return fx.stops.select(F.pmod("userstopcode", F.lit(7)).alias("delivery"), F.lit("USRSTOPX.csv").alias("member"), text.alias("line"))
+
+
+def _zipped(batches):
+    """One archive per delivery: its members in an archive ``Csv.zip``, each after a header line."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    rows = pa.Table.from_batches(batches).sort_by([("delivery", "ascending"), ("member", "ascending")]).to_pydict()
+    files: dict = {}
+    for delivery, member, line in zip(rows["delivery"], rows["member"], rows["line"]):
+        files.setdefault(delivery, {}).setdefault(member, [f"{member[:-5]}|Version_Number|Implicit"]).append(line)
+    for delivery, members in files.items():
+        inner, outer = io.BytesIO(), io.BytesIO()
+        with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
+            for member, lines in members.items():
+                z.writestr(f"Csv/{member}", "\r\n".join(lines).encode("utf-8"))
+        with zipfile.ZipFile(outer, "w") as z:
+            z.writestr("Csv.zip", inner.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array([f"delivery{delivery}.zip"]), pa.array([outer.getvalue()], pa.binary())], names=["path", "content"])
+
+
+def kv1_archives(lines: DataFrame, per_archive: int = 100_000) -> DataFrame:
+    """(path, content): deliveries as zip archives, as many as it takes to hold ``per_archive`` lines each."""
+    ship_package(lines.sparkSession)
+    n = max(1, lines.count() // per_archive)
+    keyed = lines.withColumn("delivery", F.concat_ws("-", F.col("delivery").cast("string"), F.pmod(F.xxhash64("line"), F.lit(n)).cast("string")))
+    return keyed.repartition("delivery").mapInArrow(_zipped, "path string, content binary")
+
+
+def _parsed(spark: SparkSession, sf_dir: str, lines, table: str) -> DataFrame:
+    found = archives.expand(kv1_archives(lines(Fixtures(spark, sf_dir))))
+    return KV1.parse_lines(found.filter(F.col("table") == table), table)
+
+
+def q_kv1_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passing times through zipped deliveries and back."""
+    return _parsed(spark, sf_dir, _pass_lines, "pujopass").select(
+        "version", "dataownercode", "organizationalunitcode", "schedulecode", "lineplanningnumber", "journeynumber", "stoporder", "userstopcode",
+        "targetarrivaltime", "targetdeparturetime", "arr_s", "dep_s", "wheelchairaccessible")
+
+
+SQL_KV1_PARSE = duckdb_with(["passes"], f"""
+select version, dataownercode, organizationalunitcode, cast(schedulecode as varchar) as schedulecode, cast(lineplanningnumber as varchar) as lineplanningnumber, journeynumber, stoporder,
+ cast(userstopcode as varchar) as userstopcode, {clock('arr_s')} as targetarrivaltime, {clock('dep_s')} as targetdeparturetime, arr_s, dep_s, wheelchairaccessible
+from passes
+""")
+
+
+def q_kv1_parse_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir, _stop_lines, "usrstop").select("version", "dataownercode", "userstopcode", "getin", "getout", "name", "userstopareacode", "minimalstoptime", "userstoptype")
+
+
+SQL_KV1_PARSE_STOPS = duckdb_with(["stops"], """
+select version, dataownercode, cast(userstopcode as varchar) as userstopcode, getin, getout, name || ' | "Ænd"' || chr(10) || ' of ' || dataownercode as name,
+ cast(userstopareacode as varchar) as userstopareacode, 30 as minimalstoptime, 'PASSENGER' as userstoptype
+from stops
+""")
+
+
 QUERIES = {
     "q_iff_parse": (q_iff_parse, SQL_IFF_PARSE),
     "q_iff_parse_platforms": (q_iff_parse_platforms, SQL_IFF_PARSE_PLATFORMS),
     "q_pas_parse": (q_pas_parse, SQL_PAS_PARSE),
+    "q_kv1_parse": (q_kv1_parse, SQL_KV1_PARSE),
+    "q_kv1_parse_stops": (q_kv1_parse_stops, SQL_KV1_PARSE_STOPS),
 }

@@ -60,3 +60,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the session's checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where only the driver's path names it; on a
+    cluster the package is shipped with the job (``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])

@@ -61,9 +61,11 @@ def count_undecodable(raw: DataFrame, table: str, dialect: str = "standard", cha
 
 
 def read_kv1(spark: SparkSession, path: str, table: str, dialect: str = "standard",
-             charset: str = "UTF-8") -> DataFrame:
-    """One KV1 table from pipe-delimited file(s) at ``path`` (file, dir or glob)."""
-    raw = (spark.read.schema(_raw_schema(table, dialect)).option("sep", "|").option("quote", '"')
+             charset: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """One KV1 table from pipe-delimited file(s) at ``path`` (file, dir or glob).  A quote inside a quoted
+    field is doubled.  With ``multi_line`` quoted fields may hold line ends; a file is
+    then read by one task."""
+    raw = (spark.read.schema(_raw_schema(table, dialect)).option("sep", "|").option("quote", '"').option("escape", '"').option("multiLine", multi_line)
            .option("encoding", LATIN1).option("mode", "PERMISSIVE").option("nullValue", "")
            .csv(path))
     return parse_fields(raw, table, dialect, charset)
@@ -79,7 +81,7 @@ def parse_lines(lines: DataFrame, table: str, dialect: str = "standard", charset
 def raw_lines(lines: DataFrame, table: str, dialect: str = "standard", value_col: str = "line") -> DataFrame:
     """The fields of text lines as strings, not yet decoded or cast."""
     ddl = ", ".join(f"`{f.name}` string" for f in _raw_schema(table, dialect).fields)
-    return lines.select(F.from_csv(F.col(value_col), ddl, {"sep": "|", "quote": '"', "multiLine": "true"}).alias("r")).select("r.*")
+    return lines.select(F.from_csv(F.col(value_col), ddl, {"sep": "|", "quote": '"', "escape": '"', "multiLine": "true"}).alias("r")).select("r.*")
 
 
 def table_name(member: str) -> str:

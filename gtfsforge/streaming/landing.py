@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from ..operators import increment as I
 from ..operators import profiles
 from ..sources import kv1, schemas
-from ..sources.archives import SCHEMA as LINES_SCHEMA
-from ..sources.archives import _explode
+from ..sources.archives import expand
 from ..sources.charsets import charset_of_owner
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -144,7 +143,7 @@ def merge_delivery(spark: SparkSession, archive: DataFrame, store: str, name: st
     done = _numbered(spark, f"{store}/ledger", "snapshot")
     version = max(I.next_version(ledger), done[-1] + 1 if done else 1)
     staging = f"{store}/staging/version={version}"
-    archive.mapInPandas(_explode, LINES_SCHEMA).write.mode("overwrite").partitionBy("table").parquet(staging)
+    expand(archive).write.mode("overwrite").partitionBy("table").parquet(staging)
     present = {n.split("=", 1)[1] for n in _children(spark, staging) if n.startswith("table=")}
     if "operday" not in present:
         raise ValueError(f"delivery {name} has no OPERDAY table")

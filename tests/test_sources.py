@@ -225,6 +225,54 @@ def test_archive_lines_are_cut_at_line_ends_only(spark):
     got = [x.encode("latin-1").decode("utf-8") for x in split_lines(data)]
     assert got == text
     assert list(split_lines(b'a|"open\r\nb\nc')) == ['a|"open', "b", "c"]
+    for size in (1, 2, 5, 1000):  # parts of any length give the same lines
+        parts = [data[i:i + size] for i in range(0, len(data), size)]
+        assert [x.encode("latin-1").decode("utf-8") for x in split_lines(parts)] == text
+    # a quote that is not closed soon is text, and later quotes count again
+    late = b'a|"open\n' + b"b\n" * 20 + b'c|"two\nlines"\n'
+    assert list(split_lines(late, field=30))[-2:] == ['c|"two\nlines"', ""]
+
+
+def test_an_unclosed_quote_costs_linear_time():
+    import time
+
+    from gtfsforge.sources.archives import split_lines
+
+    def seconds(n):
+        t = time.perf_counter()
+        assert sum(1 for _ in split_lines(b'x|"open\n' + b'PUJOPASS|1|""|x\n' * n)) == n + 2
+        return time.perf_counter() - t
+
+    seconds(1000)
+    assert seconds(1_000_000) < 20 * max(0.02, seconds(100_000))
+
+
+def test_members_and_stretches_have_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    """A member is read by one task, its lines by many; a long one is cut at line ends only."""
+    text = "".join(f'DEST|3|I|ARR|D{k}|"Name {k}\nsecond"|x|||\r\n' for k in range(60_000))
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("DEST.TMI", text)
+        z.writestr("empty.TMI", "")
+        z.writestr(zipfile.ZipInfo("LINE.TMI"), "LINE|3|I|ARR|1|1|n|||BUS\n" * 3)  # stored, not deflated
+    lines = archives.expand_archives(spark, str(tmp_path))
+    got = lines.withColumn("task", F.spark_partition_id())
+    assert got.where("table = 'dest'").count() == 60_000 and got.where("table = 'line'").count() == 3
+    stretches = list(archives._stretches(iter(archives_slices(tmp_path / "big.zip"))))
+    assert sum(b.column(2)[0].as_py() == "dest" for b in stretches) >= 2
+    names = {r["destnamefull"] for r in kv1.parse_lines(lines.where("table = 'dest'"), "dest").where("destcode in ('D0', 'D59999')").collect()}
+    assert names == {"Name 0\nsecond", "Name 59999\nsecond"}
+
+
+def archives_slices(path):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([str(path)]), pa.array([path.read_bytes()], pa.binary())], names=["path", "content"])
+    return archives._list(iter([batch]))
+
+
+def test_quotes_inside_quoted_fields(spark, tmp_path):
+    (tmp_path / "DEST.TMI").write_bytes(b'DEST|3|I|ARR|D1|"say ""hi"" | there"|x|||\n')
+    assert kv1.read_kv1(spark, str(tmp_path / "DEST.TMI"), "dest").first()["destnamefull"] == 'say "hi" | there'
 
 
 def test_a_malformed_byte_is_null_and_counted(spark):
