@@ -160,6 +160,34 @@ from (select distinct station, coalesce(try_cast(substring(station, 2, 3) as int
     "iff_changes": """
 select distinct case when journeynumber % 10 = 5 then 'mannhe' else concat('s', cast(journeynumber % 10 + 2 as string)) end as station, journeynumber as fromservice, journeynumber + 10 as toservice, journeynumber % 4 as possiblechange
 from {passes}
+""",
+    # a delivery with a violation of every kind: the ledger lacks a version, keys come twice, names are missing, rows name nothing
+    "c_version": """
+select distinct version, dataownercode, date '1992-01-01' as validfrom, concat('f', cast(version as string), '.zip') as filename, 1 as dataownerversion
+from {passes} where version = 1 or dataownercode <> 'GVB'
+""",
+    "c_dest": """
+select version, dataownercode, destcode, case when destcode % 70 = 0 then null else destnamefull end as destnamefull from {destinations} where destcode % 60 <> 10
+""",
+    "c_line": """
+select version, dataownercode, lineplanningnumber, linepublicnumber, linename, transporttype from {lines} where lineplanningnumber % 16 <> 5
+union all
+select version, dataownercode, lineplanningnumber, linepublicnumber, linename, transporttype from {lines} where lineplanningnumber % 8 = 3
+""",
+    "c_jopa": """
+select distinct version, dataownercode, lineplanningnumber, journeypatterncode, 1 + lineplanningnumber % 2 as direction from {passes} where journeypatterncode <> 6 or lineplanningnumber % 10 <> 4
+""",
+    "c_usrstop": """
+select version, dataownercode, userstopcode, name, getin, getout, userstopareacode from {stops} where userstopcode % 17 <> 3
+union all
+select version, dataownercode, userstopcode, name, getin, getout, userstopareacode from {stops} where userstopcode % 190 = 2
+""",
+    "c_jopatili": """
+select version, dataownercode, lineplanningnumber, journeypatterncode, timinglinkorder, userstopcodebegin, userstopcodeend,
+ case when timinglinkorder = 2 and lineplanningnumber % 9 = 1 then null else destcode end as destcode from {links}
+""",
+    "c_schedvers": """
+select distinct version, dataownercode, organizationalunitcode, schedulecode, scheduletypecode, date '1992-01-01' as validfrom from {passes} where schedulecode % 6 <> 5
 """,
     # operating days of 50 import versions, shifted so that they end in different years
     "version_days": """

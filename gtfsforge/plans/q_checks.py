@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..feeds import store_feed
 from ..operators import checks as K
+from ..operators import constraints as G
 from . import q_kv1
 from .fixtures import Fixtures, duckdb_with
 
@@ -75,7 +77,82 @@ select rule, violations from r where violations > 0
 """
 
 
+# ---- q_constraints, q_cascade_graph (B-2, B-3, B-4, B-6) ----------------------
+
+def delivery_tables(fx: Fixtures) -> dict[str, DataFrame]:
+    return {"version": fx.c_version, "dest": fx.c_dest, "line": fx.c_line, "jopa": fx.c_jopa, "usrstop": fx.c_usrstop, "jopatili": fx.c_jopatili,
+            "schedvers": fx.c_schedvers, "operday": fx.operday, "pujopass": fx.passes}
+
+
+def q_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.check(delivery_tables(Fixtures(spark, sf_dir)), G.kv1_constraints())
+
+
+_DELIVERY = {"version": "c_version", "dest": "c_dest", "line": "c_line", "jopa": "c_jopa", "usrstop": "c_usrstop", "jopatili": "c_jopatili",
+             "schedvers": "c_schedvers", "operday": "operday", "pujopass": "passes"}
+_VO = ["version", "dataownercode"]
+_SCHED5 = [*_VO, "organizationalunitcode", "schedulecode", "scheduletypecode"]
+_PATTERN4 = [*_VO, "lineplanningnumber", "journeypatterncode"]
+# what the delivery is held to: keys, further columns without NULL, references
+_HELD_KEYS = {
+    "version": _VO, "dest": [*_VO, "destcode"], "line": [*_VO, "lineplanningnumber"], "jopa": _PATTERN4, "usrstop": [*_VO, "userstopcode"],
+    "jopatili": [*_PATTERN4, "timinglinkorder"], "schedvers": _SCHED5, "operday": [*_SCHED5, "validdate"],
+    "pujopass": [*_SCHED5, "lineplanningnumber", "journeynumber", "stoporder"],
+}
+_HELD_COLUMNS = {
+    "version": ["validfrom", "filename", "dataownerversion"], "dest": ["destnamefull"], "line": ["linepublicnumber", "linename"], "jopa": ["direction"],
+    "usrstop": ["getin", "getout", "name"], "jopatili": ["userstopcodebegin", "userstopcodeend", "destcode"], "schedvers": ["validfrom"], "operday": [],
+    "pujopass": ["journeypatterncode", "userstopcode"],
+}
+_HELD_REFERENCES = [
+    ("jopa", [*_VO, "lineplanningnumber"], "line"), ("jopatili", [*_VO, "destcode"], "dest"), ("jopatili", _PATTERN4, "jopa"), ("operday", _SCHED5, "schedvers"),
+    ("pujopass", _SCHED5, "schedvers"), ("pujopass", [*_VO, "userstopcode"], "usrstop"), ("pujopass", _PATTERN4, "jopa"),
+    *[(t, _VO, "version") for t in ("dest", "line", "jopa", "usrstop", "jopatili", "schedvers", "operday", "pujopass")],
+]
+
+
+def _constraints_sql() -> str:
+    parts = []
+    for t, key in _HELD_KEYS.items():
+        k = ", ".join(key)
+        parts.append(f"select 'key' as kind, '{t}({k})' as \"constraint\", count(*) as violations from (select {k} from {_DELIVERY[t]} group by {k} having count(*) > 1) x")
+        parts += [f"select 'required', '{t}.{c}', count(*) from {_DELIVERY[t]} where {c} is null" for c in [*key, *_HELD_COLUMNS[t]]]
+    for child, cols, parent in _HELD_REFERENCES:
+        same = " and ".join(f"p.{c} = c.{c}" for c in cols)
+        named = " and ".join(f"c.{c} is not null" for c in cols)
+        parts.append(f"select 'reference', '{child}({', '.join(cols)}) -> {parent}', count(*) from {_DELIVERY[child]} c where {named} and not exists (select 1 from {_DELIVERY[parent]} p where {same})")
+    return duckdb_with(sorted(set(_DELIVERY.values())), "\n" + "\nunion all ".join(parts))
+
+
+SQL_CONSTRAINTS = _constraints_sql()
+
+
+def q_cascade_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table after version 1 of ARR is withdrawn (ledger cascade), and after lines are
+    withdrawn along all references."""
+    t = delivery_tables(Fixtures(spark, sf_dir))
+    g = G.kv1_constraints()
+    unpublished = t["version"].filter("version = 1 and dataownercode = 'ARR'").select("version", "dataownercode")
+    lines = t["line"].filter("lineplanningnumber % 8 = 3").select("version", "dataownercode", "lineplanningnumber")
+    out = None
+    for name, left in (("version", G.delete(t, g, {"version": unpublished})), ("lines", G.delete(t, g, {"line": lines}, follow_all=True))):
+        for table, df in left.items():
+            part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("deleted"), F.lit(table).alias("of_table"), "n")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+_GONE_LINE = "lineplanningnumber % 8 = 3 and (version, dataownercode, lineplanningnumber) in (select version, dataownercode, lineplanningnumber from c_line)"
+_GONE_PATTERN = f"(version, dataownercode, lineplanningnumber, journeypatterncode) in (select version, dataownercode, lineplanningnumber, journeypatterncode from c_jopa where {_GONE_LINE})"
+_GONE = {"line": _GONE_LINE, "jopa": _GONE_LINE, "jopatili": _GONE_PATTERN, "pujopass": _GONE_PATTERN}
+SQL_CASCADE_GRAPH = duckdb_with(sorted(set(_DELIVERY.values())), "\n" + "\nunion all ".join(
+    [f"select 'version' as deleted, '{t}' as of_table, count(*) as n from {src} where not (version = 1 and dataownercode = 'ARR')" for t, src in _DELIVERY.items()]
+    + [f"select 'lines', '{t}', count(*) from {src} where not ({_GONE.get(t, 'false')})" for t, src in _DELIVERY.items()]))
+
+
 QUERIES = {
+    "q_constraints": (q_constraints, SQL_CONSTRAINTS),
+    "q_cascade_graph": (q_cascade_graph, SQL_CASCADE_GRAPH),
     "q_pk": (q_pk, SQL_PK),
     "q_fk": (q_fk, SQL_FK),
     "q_not_null": (q_not_null, SQL_NOT_NULL),
