@@ -302,12 +302,13 @@ class Fixtures:
         self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
 
-    def _stored(self, name: str, build) -> DataFrame:
+    def stored(self, name: str, build, text: str = "") -> DataFrame:
+        """``build()``, written once per session under ``name``; ``text`` tells what it is made of."""
         import hashlib
 
         from ..session import scratch_path
 
-        tag = hashlib.sha1((self.sf_dir + "\0" + ADAPTERS[name]).encode()).hexdigest()[:16]
+        tag = hashlib.sha1((self.sf_dir + "\0" + text).encode()).hexdigest()[:16]
         path = scratch_path(self.spark, f"fixtures/{name}-{tag}")
         jvm = self.spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
@@ -335,7 +336,7 @@ class Fixtures:
             def build() -> DataFrame:
                 return self.spark.sql(render(text, "spark"), **{d: self.table(d) for d in _deps(text)})
 
-            df = self._stored(name, build) if self.materialize else build()
+            df = self.stored(name, build, "".join(ADAPTERS[d] for d in dependency_order([name]))) if self.materialize else build()
         self._cache[name] = df
         return df
 

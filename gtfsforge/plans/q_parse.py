@@ -9,15 +9,17 @@ times truncated to the file format's minutes.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import scratch_path, ship_package
 from ..sources import archives
 from ..sources import iff as IFF
 from ..sources import kv1 as KV1
 from ..sources import pas as PAS
-from .fixtures import Fixtures, duckdb_with
+from .fixtures import ADAPTERS, Fixtures, dependency_order, duckdb_with
 from .sqltext import clock
 
 
@@ -26,10 +28,6 @@ def _hhmm(s: Column) -> Column:
                     F.lpad(F.floor((s % 3600) / 60).cast("string"), 2, "0"))
 
 
-def _n(c: str, width: int) -> Column:
-    return F.lpad(F.col(c).cast("string"), width, "0")
-
-
 def _okey(kind: int, pos: Column | None = None) -> Column:
     """Sort key of a line inside its block: record kind, then position."""
     k = F.lit(kind).cast("long") * (1 << 40)
@@ -42,21 +40,30 @@ def _blocks(lines: DataFrame, key: str) -> DataFrame:
         F.col(key), F.transform("ls", lambda x: x["line"]).alias("body"))
 
 
+def _padded(c: str, width: int, zeros: bool = True) -> Column:
+    """A field of fixed width; blank where there is no value."""
+    text = F.col(c).cast("string")
+    return F.coalesce(F.lpad(text, width, "0") if zeros else F.rpad(text, width, " "), F.lit(" " * width))
+
+
+def _line(tag: str, *parts: Column) -> Column:
+    return F.concat(F.lit(tag), F.concat_ws(",", *parts))
+
+
 def iff_text_sections(fx: Fixtures) -> DataFrame:
-    """Service blocks of an IFF timetable file, as (head, body) records."""
-    svc = fx.iff_services.select("serviceid", _okey(0).alias("o"),
-                                 F.concat(F.lit("%"), F.col("companynumber").cast("string"), F.lit(","),
-                                          _n("servicenumber", 5), F.lit(",      ,"), _n("firststop", 3), F.lit(","),
-                                          _n("laststop", 3), F.lit(",")).alias("line"))
-    val = fx.iff_validity.select("serviceid", _okey(1).alias("o"),
-                                 F.concat(F.lit("-"), _n("footnote", 5), F.lit(","), _n("firststop", 3), F.lit(","),
-                                          _n("laststop", 3)).alias("line"))
-    tr = fx.iff_transport.select("serviceid", _okey(2).alias("o"),
-                                 F.concat(F.lit("&"), F.rpad("transmode", 4, " "), F.lit(","), _n("firststop", 3),
-                                          F.lit(","), _n("laststop", 3)).alias("line"))
-    at = fx.iff_attributes.select("serviceid", _okey(3).alias("o"),
-                                  F.concat(F.lit("*"), F.rpad("code", 4, " "), F.lit(","), _n("firststop", 3),
-                                           F.lit(","), _n("laststop", 3), F.lit(",00000")).alias("line"))
+    """Service blocks of an IFF timetable file, as (head, body) records, stored once."""
+    if not fx.materialize:
+        return _iff_text_sections(fx)
+    return fx.stored("iff_text", lambda: _iff_text_sections(fx), "".join(ADAPTERS[n] for n in dependency_order(["iff_services", "iff_validity", "iff_transport", "iff_attributes"])))
+
+
+def _iff_text_sections(fx: Fixtures) -> DataFrame:
+    span = [_padded("firststop", 3), _padded("laststop", 3)]
+    svc = fx.iff_services.select("serviceid", _okey(0).alias("o"), _line("%", F.col("companynumber").cast("string"), _padded("servicenumber", 5), _padded("variant", 6, False),
+                                                                         *span, _padded("servicename", 30, False)).alias("line"))
+    val = fx.iff_validity.select("serviceid", _okey(1).alias("o"), _line("-", _padded("footnote", 5), *span).alias("line"))
+    tr = fx.iff_transport.select("serviceid", _okey(2).alias("o"), _line("&", _padded("transmode", 4, False), *span).alias("line"))
+    at = fx.iff_attributes.select("serviceid", _okey(3).alias("o"), _line("*", _padded("code", 4, False), *span, F.lit("00000")).alias("line"))
     st = fx.iff_stops
     arr, dep = F.col("arr_s"), F.col("dep_s")
     stn = F.rpad("station", 7, " ")
@@ -86,13 +93,24 @@ select serviceid, cast(idx as integer) as idx, station, (arr_s // 60) * 60 as ar
 """)
 
 
-def q_iff_parse_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return IFF.parse_timetable_sections(iff_text_sections(Fixtures(spark, sf_dir)))["platform"]
+def _stored_table(kind: str):
+    """A table of the timetable after one pass has written all of them."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, f"iff/records-{uuid.uuid4().hex}")
+        return IFF.store_timetable(iff_text_sections(Fixtures(spark, sf_dir)), path)[kind]
+
+    q.__name__ = f"q_iff_parse_{kind}"
+    return q
 
 
 SQL_IFF_PARSE_PLATFORMS = duckdb_with(["iff_stops"], """
 select serviceid, cast(idx as integer) as idx, station, arrival, departure, 7 as footnote from iff_stops where departure is not null
 """)
+SQL_IFF_PARSE_SERVICES = duckdb_with(["iff_services"], "\nselect serviceid, companynumber, servicenumber, variant, firststop, laststop, servicename from iff_services")
+SQL_IFF_PARSE_VALIDITY = duckdb_with(["iff_validity"], "\nselect serviceid, footnote, firststop, laststop from iff_validity")
+SQL_IFF_PARSE_TRANSPORT = duckdb_with(["iff_transport"], "\nselect serviceid, transmode, firststop, laststop from iff_transport")
+SQL_IFF_PARSE_ATTRIBUTES = duckdb_with(["iff_attributes"], "\nselect serviceid, code, firststop, laststop, 0 as unknown from iff_attributes")
 
 
 def pas_text_sections(fx: Fixtures) -> DataFrame:
@@ -213,7 +231,11 @@ from stops
 
 QUERIES = {
     "q_iff_parse": (q_iff_parse, SQL_IFF_PARSE),
-    "q_iff_parse_platforms": (q_iff_parse_platforms, SQL_IFF_PARSE_PLATFORMS),
+    "q_iff_parse_platforms": (_stored_table("platform"), SQL_IFF_PARSE_PLATFORMS),
+    "q_iff_parse_services": (_stored_table("service"), SQL_IFF_PARSE_SERVICES),
+    "q_iff_parse_validity": (_stored_table("validity"), SQL_IFF_PARSE_VALIDITY),
+    "q_iff_parse_transport": (_stored_table("transport"), SQL_IFF_PARSE_TRANSPORT),
+    "q_iff_parse_attributes": (_stored_table("attribute"), SQL_IFF_PARSE_ATTRIBUTES),
     "q_pas_parse": (q_pas_parse, SQL_PAS_PARSE),
     "q_kv1_parse": (q_kv1_parse, SQL_KV1_PARSE),
     "q_kv1_parse_stops": (q_kv1_parse_stops, SQL_KV1_PARSE_STOPS),

@@ -12,10 +12,13 @@ and no global ordering, and the input stays splittable.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import hhmm_to_seconds, parse_ddmmyyyy
+from ..session import scratch_path
 from .text import CRLF, SECTION, after_tag, field, fields, int_field, read_records, section_lines
 
 CHARSET = "cp1252"
@@ -164,12 +167,17 @@ def read_changes(spark, base, charset=CHARSET) -> DataFrame:
 # timetable (A-9)
 # --------------------------------------------------------------------------
 
-def parse_timetable_sections(sections: DataFrame) -> dict[str, DataFrame]:
-    """Six tables from service blocks (``head`` = service id, ``body`` = lines).
+#: Record tag -> table of a service block.
+TAGS = {"%": "service", "-": "validity", "&": "transport", "*": "attribute", "?": "platform", **dict.fromkeys(STOP_TAGS, "stop")}
+RECORD_SCHEMA = "serviceid int, idx int, stop_station string, tag string, p array<string>"
+
+
+def timetable_records(sections: DataFrame) -> DataFrame:
+    """(kind, serviceid, idx, stop_station, tag, p): the lines of service blocks (``head`` = service id,
+    ``body`` = lines), with their fields ``p`` and the table ``kind`` that they belong to.
 
     The stop index of a line is the number of stop records up to it; a
-    platform line (``?``) belongs to the most recent stop.  A passing record
-    (``;``) is a stop without times (§8-D2).  Zeros stay zeros (§8-D1).
+    platform line (``?``) belongs to the most recent stop.
 
     A block is cut before each stop line, so the n-th cut is the n-th stop with
     the lines that follow it (cut 0: the lines before the first stop); every
@@ -180,45 +188,55 @@ def parse_timetable_sections(sections: DataFrame) -> dict[str, DataFrame]:
     station = F.trim(F.get(F.split(after_tag(F.get(F.split("cut", CRLF), F.lit(0))), ","), 0))
     e = e.select("serviceid", "idx", F.when(F.col("idx") > 0, station).alias("stop_station"), F.explode(F.split("cut", CRLF)).alias("line")) \
         .filter(F.length("line") > 0)
+    kinds = F.create_map(*[F.lit(x) for pair in TAGS.items() for x in pair])
     tag = F.substring("line", 1, 1)
-    p = fields(after_tag(F.col("line")))
-    e = e.select("serviceid", "idx", "stop_station", tag.alias("tag"), p.alias("p"))
-    P = F.col("p")
-    out = {
-        "service": e.filter(F.col("tag") == "%").select(
-            "serviceid", int_field(P, 0).alias("companynumber"), int_field(P, 1).alias("servicenumber"),
-            field(P, 2).alias("variant"), int_field(P, 3).alias("firststop"), int_field(P, 4).alias("laststop"),
-            field(P, 5).alias("servicename")),
-        "validity": e.filter(F.col("tag") == "-").select(
-            "serviceid", int_field(P, 0).alias("footnote"), int_field(P, 1).alias("firststop"),
-            int_field(P, 2).alias("laststop")),
-        "transport": e.filter(F.col("tag") == "&").select(
-            "serviceid", field(P, 0).alias("transmode"), int_field(P, 1).alias("firststop"),
-            int_field(P, 2).alias("laststop")),
-        "attribute": e.filter(F.col("tag") == "*").select(
-            "serviceid", field(P, 0).alias("code"), int_field(P, 1).alias("firststop"),
-            int_field(P, 2).alias("laststop"), int_field(P, 3).alias("unknown")),
-        "platform": e.filter(F.col("tag") == "?").select(
-            "serviceid", "idx", F.col("stop_station").alias("station"), field(P, 0).alias("arrival"),
-            field(P, 1).alias("departure"), int_field(P, 2).alias("footnote")),
+    return e.select(kinds[tag].alias("kind"), "serviceid", "idx", "stop_station", tag.alias("tag"), fields(after_tag(F.col("line"))).alias("p")) \
+        .filter("kind is not null")
+
+
+def timetable_table(records: DataFrame, kind: str) -> DataFrame:
+    """One of the six timetable tables from its records.  A passing record (``;``) is a stop
+    without times (§8-D2).  Zeros stay zeros (§8-D1)."""
+    P, t = F.col("p"), F.col("tag")
+    first_last = [int_field(P, 1).alias("firststop"), int_field(P, 2).alias("laststop")]
+    columns = {
+        "service": ["serviceid", int_field(P, 0).alias("companynumber"), int_field(P, 1).alias("servicenumber"), field(P, 2).alias("variant"),
+                    int_field(P, 3).alias("firststop"), int_field(P, 4).alias("laststop"), field(P, 5).alias("servicename")],
+        "validity": ["serviceid", int_field(P, 0).alias("footnote"), *first_last],
+        "transport": ["serviceid", field(P, 0).alias("transmode"), *first_last],
+        "attribute": ["serviceid", field(P, 0).alias("code"), *first_last, int_field(P, 3).alias("unknown")],
+        "platform": ["serviceid", "idx", F.col("stop_station").alias("station"), field(P, 0).alias("arrival"), field(P, 1).alias("departure"),
+                     int_field(P, 2).alias("footnote")],
+        "stop": ["serviceid", "idx", field(P, 0).alias("station"), F.when(t.isin(".", "+", "<"), hhmm_to_seconds(field(P, 1))).cast("long").alias("arr_s"),
+                 F.when(t.isin(">", "."), hhmm_to_seconds(field(P, 1))).when(t == "+", hhmm_to_seconds(field(P, 2))).cast("long").alias("dep_s")],
     }
-    t = F.col("tag")
-    arr = (F.when(t.isin(".", "+", "<"), hhmm_to_seconds(field(P, 1))))
-    dep = (F.when(t == ">", hhmm_to_seconds(field(P, 1))).when(t == ".", hhmm_to_seconds(field(P, 1)))
-           .when(t == "+", hhmm_to_seconds(field(P, 2))))
-    out["stop"] = e.filter(t.isin(*STOP_TAGS)).select(
-        "serviceid", "idx", field(P, 0).alias("station"), arr.cast("long").alias("arr_s"),
-        dep.cast("long").alias("dep_s"))
-    return out
+    return records.filter(F.col("kind") == kind).select(*columns[kind])
+
+
+def parse_timetable_sections(sections: DataFrame) -> dict[str, DataFrame]:
+    """Six lazy tables from service blocks; each parses the blocks again when it is read
+    (:func:`store_timetable` parses them once)."""
+    records = timetable_records(sections)
+    return {k: timetable_table(records, k) for k in dict.fromkeys(TAGS.values())}
+
+
+def store_timetable(sections: DataFrame, path: str) -> dict[str, DataFrame]:
+    """Six tables from service blocks that are read and parsed once: one pass writes all records to
+    ``path``, in a folder per table, and each table reads its own folder only."""
+    timetable_records(sections).write.mode("overwrite").partitionBy("kind").parquet(path)
+    records = sections.sparkSession.read.schema(f"{RECORD_SCHEMA}, kind string").parquet(path)
+    return {k: timetable_table(records, k) for k in dict.fromkeys(TAGS.values())}
 
 
-def read_timetables(spark: SparkSession, base: str, charset: str = CHARSET) -> dict[str, DataFrame]:
-    return parse_timetable_sections(_sections(spark, base, "timetbls", charset))
+def read_timetables(spark: SparkSession, base: str, charset: str = CHARSET, store: str | None = None) -> dict[str, DataFrame]:
+    """The timetable file, parsed once into ``store`` (default: a folder of the session's shared scratch)."""
+    return store_timetable(_sections(spark, base, "timetbls", charset), store or scratch_path(spark, f"iff/timetable-{uuid.uuid4().hex}"))
 
 
-def read_iff(spark: SparkSession, base: str, charset: str = CHARSET) -> dict[str, DataFrame]:
-    """Every table of one IFF delivery directory (lazy DataFrames)."""
-    t = read_timetables(spark, base, charset)
+def read_iff(spark: SparkSession, base: str, charset: str = CHARSET, store: str | None = None) -> dict[str, DataFrame]:
+    """Every table of one IFF delivery directory; the timetable is parsed here, once for its six
+    tables, the small files are lazy."""
+    t = read_timetables(spark, base, charset, store)
     t.update({
         "delivery": read_delivery(spark, base, charset), "country": read_countries(spark, base, charset),
         "company": read_companies(spark, base, charset), "trnsmode": read_transport_modes(spark, base, charset),

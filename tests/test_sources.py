@@ -284,3 +284,17 @@ def test_a_malformed_byte_is_null_and_counted(spark):
     assert rows == {"D1": "Århus", "D2": None}
     raw = kv1.raw_lines(df, "dest")
     assert [tuple(r) for r in kv1.count_undecodable(raw, "dest").collect()] == [("dest", "destnamefull", 1)]
+
+
+def test_the_timetable_is_read_once_for_its_six_tables(spark, tmp_path):
+    import os
+
+    base = _iff_dir(tmp_path)
+    t = iff.read_iff(spark, base, store=str(tmp_path / "records"))
+    os.remove(f"{base}/timetbls.dat")  # nothing reads the text again
+    want = {"service": 2, "validity": 2, "transport": 2, "attribute": 1, "platform": 2, "stop": 6}
+    assert {k: t[k].count() for k in want} == want
+    plan = t["platform"]._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(kind" in plan and "kind#" in plan and "timetbls" not in plan
+    lazy = iff.parse_timetable_sections(spark.createDataFrame([("00000003", ["%100,00007,      ,001,002,", ">aaa    ,0100", "!unknown", "<bbb    ,0110"])], "head string, body array<string>"))
+    assert {k: v.count() for k, v in lazy.items()} == {"service": 1, "validity": 0, "transport": 0, "attribute": 0, "platform": 0, "stop": 2}
