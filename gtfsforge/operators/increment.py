@@ -12,7 +12,7 @@ by the size of one delivery's calendar, not by its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rank import grouped_rank
@@ -157,6 +157,63 @@ def merge_operday(
     return kept.select(*base.columns).unionByName(delta.select(*base.columns))
 
 
+def merge_many(days: DataFrame, deliveries: DataFrame, schedvers: DataFrame | None = None, ledger: DataFrame | None = None) -> DataFrame:
+    """What merging deliveries one after the other (:func:`merge_operday`) leaves, in one job.
+
+    ``days``: the operating days of all deliveries with their number ``delivery`` (merged in ascending
+    order; the days there before have a number below all others); ``deliveries``: (delivery,
+    policy), one row each; ``schedvers`` with ``delivery``; ``ledger``: (version, unitcode) of all versions.
+
+    A day stays if no later delivery removes it, that is, if the last delivery that removes days like it
+    is not later than its own.  Deliveries remove single days (same_day, range,
+    range_unit), of which the last per unit, owner and date is a grouped maximum, or all days
+    from a first one on (from_min), of which the last is a running maximum over the dates of
+    one unit and owner: a sweep over as many rows as there are dates and deliveries.
+    Returns ``days`` without the removed ones.
+    """
+    unit = ["organizationalunitcode", "dataownercode"]
+    how = deliveries.select(F.col("delivery").alias("of"), "policy").distinct()
+    clips = how.filter(F.col("policy").startswith("clip"))
+    columns = days.columns
+    if schedvers is not None:
+        sk = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode", "delivery"]
+        starts = schedvers.join(clips, F.col("delivery") == F.col("of"), "left_semi").select(*[F.col(c).alias(f"s_{c}") for c in sk], F.col("validfrom").alias("s_from"))
+        same = F.lit(True)
+        for c in sk:
+            same = same & (F.col(c) == F.col(f"s_{c}"))
+        days = days.join(starts, same, "left").filter(~F.coalesce(F.col("validdate") < F.col("s_from"), F.lit(False))).select(*columns)
+    by = days.join(how, F.col("delivery") == F.col("of")).select(*unit, "validdate", "delivery", "policy")
+    single = by.filter(F.col("policy").isin("same_day", "clip_delta")).select(*unit, "validdate", "delivery")
+    exact = None
+    if schedvers is not None:
+        spans = schedvers.join(how, F.col("delivery") == F.col("of")).filter(F.col("policy").isin("range", "range_unit"))
+        single = single.unionByName(spans.filter("policy = 'range'").select(*unit, F.explode(date_range("validfrom", "validthru")).alias("validdate"), "delivery"))
+        if ledger is not None:
+            units = ledger.select(F.col("version").alias("v"), "unitcode").distinct()
+            exact = spans.filter("policy = 'range_unit'").join(units, F.col("version") == F.col("v")) \
+                .select(*unit, "unitcode", F.explode(date_range("validfrom", "validthru")).alias("validdate"), "delivery") \
+                .groupBy(*[F.col(c).alias(f"u_{c}") for c in (*unit, "unitcode", "validdate")]).agg(F.max("delivery").alias("last_unit"))
+    onward = by.filter(F.col("policy").isin("from_min", "clip_full")).groupBy(*unit, "delivery").agg(F.min("validdate").alias("validdate"))
+    dates = days.select(*unit, "validdate").distinct().withColumn("delivery", F.lit(None).cast(days.schema["delivery"].dataType))
+    sweep = Window.partitionBy(*unit).orderBy("validdate").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = dates.unionByName(onward.select(*dates.columns)).withColumn("last", F.max("delivery").over(sweep)).filter("delivery is null and last is not null") \
+        .select(*unit, "validdate", F.col("last").alias("delivery"))
+    last = single.unionByName(swept.select(*single.columns)).groupBy(*[F.col(c).alias(f"l_{c}") for c in (*unit, "validdate")]).agg(F.max("delivery").alias("last_any"))
+
+    def like(prefix: str, names: list[str]) -> Column:
+        out = F.lit(True)
+        for c in names:
+            out = out & (F.col(c) == F.col(f"{prefix}_{c}"))
+        return out
+
+    out = days.join(last, like("l", [*unit, "validdate"]), "left")
+    later = F.coalesce(F.col("last_any") > F.col("delivery"), F.lit(False))
+    if exact is not None:
+        out = out.join(units, F.col("version") == F.col("v"), "left").join(exact, like("u", [*unit, "unitcode", "validdate"]), "left")
+        later = later | F.coalesce(F.col("last_unit") > F.col("delivery"), F.lit(False))
+    return out.filter(~later).select(*columns)
+
+
 # ---- N-8 -------------------------------------------------------------------
 
 def purge_expired(ledger: DataFrame, operday: DataFrame, as_of) -> DataFrame:

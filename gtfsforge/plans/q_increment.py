@@ -83,6 +83,50 @@ def _merge_query(policy: str):
     return q
 
 
+# ---- q_merge_sequence (N-4, L-2) ---------------------------------------------
+
+# delivery -> policy; delivery 0 is what was there before
+SEQUENCE = [(0, "append"), (1, "same_day"), (2, "range"), (3, "clip_delta"), (4, "range_unit"), (5, "from_min"), (6, "append"), (7, "clip_full")]
+
+
+def sequence_inputs(fx: Fixtures) -> dict[str, DataFrame]:
+    """Each delivery takes every third schedule and 600 days of the calendar, 250 days after the one before."""
+    n = F.explode(F.array(*[F.lit(k) for k, _ in SEQUENCE])).alias("delivery")
+    start = F.date_add(F.lit("1992-01-01").cast("date"), 250 * F.col("delivery"))
+    days = fx.operday.select("*", n).filter(((F.col("schedulecode") + F.col("delivery")) % 3 == 0) & (F.col("validdate") >= start) & (F.col("validdate") < F.date_add(start, 600)))
+    days = days.withColumn("version", F.col("version") + 2 * F.col("delivery")).select(*_OD, "delivery")
+    sv = days.groupBy(*_SK, "delivery").agg(F.date_add(F.min("validdate"), 30).alias("validfrom"), F.date_sub(F.max("validdate"), 30).alias("validthru"))
+    ledger = days.select("version", F.when(F.col("version") % 4 < 2, "SGHR").otherwise("SGHB").alias("unitcode")).distinct()
+    return {"days": days, "deliveries": fx.spark.createDataFrame(SEQUENCE, "delivery int, policy string"), "schedvers": sv, "ledger": ledger}
+
+
+def q_merge_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = sequence_inputs(Fixtures(spark, sf_dir))
+    return I.merge_many(m["days"], m["deliveries"], m["schedvers"], m["ledger"])
+
+
+def _merge_sequence_sql() -> str:
+    """A day stays unless there is a later delivery whose rule names it."""
+    same_unit = "x.organizationalunitcode = b.organizationalunitcode and x.dataownercode = b.dataownercode and x.delivery > b.delivery"
+    return duckdb_with(["operday"], f"""
+, how(delivery, policy) as (values {", ".join(f"({k}, '{p}')" for k, p in SEQUENCE)}),
+taken as (select o.version + 2 * delivery as version, {", ".join(_OD[1:])}, delivery, policy from operday o, how
+   where (schedulecode + delivery) % 3 = 0 and validdate >= date '1992-01-01' + 250 * delivery and validdate < date '1992-01-01' + 250 * delivery + 600),
+sv as (select {", ".join(_SK)}, delivery, policy, min(validdate) + 30 as validfrom, max(validdate) - 30 as validthru from taken group by all),
+d as (select t.* from taken t join sv using ({", ".join(_SK)}, delivery) where not starts_with(t.policy, 'clip') or t.validdate >= sv.validfrom),
+one as (select distinct organizationalunitcode, dataownercode, delivery, validdate from d where policy in ('same_day', 'clip_delta')),
+first as (select organizationalunitcode, dataownercode, delivery, min(validdate) as validdate from d where policy in ('from_min', 'clip_full') group by all)
+select {", ".join(_OD)}, delivery from d b
+where not exists (select 1 from one x where {same_unit} and x.validdate = b.validdate)
+ and not exists (select 1 from first x where {same_unit} and b.validdate >= x.validdate)
+ and not exists (select 1 from sv x where {same_unit} and b.validdate between x.validfrom and x.validthru
+   and (x.policy = 'range' or x.policy = 'range_unit' and (x.version % 4 < 2) = (b.version % 4 < 2)))
+""")
+
+
+SQL_MERGE_SEQUENCE = _merge_sequence_sql()
+
+
 # ---- q_purge (N-8) ----------------------------------------------------------
 
 def q_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +211,7 @@ from operday group by dataownercode
 
 
 QUERIES = {f"q_merge_{p}": (_merge_query(p), _merge_sql(p)) for p in I.POLICIES}
+QUERIES["q_merge_sequence"] = (q_merge_sequence, SQL_MERGE_SEQUENCE)
 QUERIES.update({
     "q_purge": (q_purge, SQL_PURGE),
     "q_plan_imports": (q_plan_imports, SQL_PLAN_IMPORTS),

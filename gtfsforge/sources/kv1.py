@@ -34,8 +34,8 @@ def _raw_schema(table: str, dialect: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n, _ in schemas.columns(table, dialect)])
 
 
-def parse_fields(raw: DataFrame, table: str, dialect: str = "standard", charset: str = "UTF-8") -> DataFrame:
-    """Typed KV1 table from string columns read as Latin-1."""
+def parse_fields(raw: DataFrame, table: str, dialect: str = "standard", charset: str = "UTF-8", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed KV1 table from string columns read as Latin-1; columns ``keep`` come along as they are."""
     cols = schemas.columns(table, dialect)
     df = raw.filter(~F.coalesce(F.col("version").isin(*VERSION_HEADERS), F.lit(False)))
     out = []
@@ -43,7 +43,7 @@ def parse_fields(raw: DataFrame, table: str, dialect: str = "standard", charset:
         v = F.rtrim(decode_latin1_text(F.col(name), charset))
         v = F.when(v == "", F.lit(None)).otherwise(v)
         out.append((v if typ == "string" else v.try_cast(typ)).alias(name))
-    df = df.select(*out)
+    df = df.select(*out, *keep)
     df = ensure_columns(df, {n: t for n, t in schemas.full_columns(table)})
     for text_col, sec_col in TIME_COLUMNS.get(table, {}).items():
         df = df.withColumn(sec_col, to_seconds(text_col))
@@ -72,16 +72,16 @@ def read_kv1(spark: SparkSession, path: str, table: str, dialect: str = "standar
 
 
 def parse_lines(lines: DataFrame, table: str, dialect: str = "standard", charset: str = "UTF-8",
-                value_col: str = "line") -> DataFrame:
+                value_col: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
     """KV1 table from a DataFrame of text lines (as produced by
-    :func:`sources.archives.expand_archives`), parsed with ``from_csv``."""
-    return parse_fields(raw_lines(lines, table, dialect, value_col), table, dialect, charset)
+    :func:`sources.archives.expand_archives`), parsed with ``from_csv``; columns ``keep`` come along."""
+    return parse_fields(raw_lines(lines, table, dialect, value_col, keep), table, dialect, charset, keep)
 
 
-def raw_lines(lines: DataFrame, table: str, dialect: str = "standard", value_col: str = "line") -> DataFrame:
+def raw_lines(lines: DataFrame, table: str, dialect: str = "standard", value_col: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
     """The fields of text lines as strings, not yet decoded or cast."""
     ddl = ", ".join(f"`{f.name}` string" for f in _raw_schema(table, dialect).fields)
-    return lines.select(F.from_csv(F.col(value_col), ddl, {"sep": "|", "quote": '"', "escape": '"', "multiLine": "true"}).alias("r")).select("r.*")
+    return lines.select(F.from_csv(F.col(value_col), ddl, {"sep": "|", "quote": '"', "escape": '"', "multiLine": "true"}).alias("r"), *keep).select("r.*", *keep)
 
 
 def table_name(member: str) -> str:
