@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rank import grouped_rank
+from ..functions.rank import nested_rank
 from .calendars import date_range
 
 OPERDAY_KEYS = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode", "validdate"]
@@ -256,9 +256,10 @@ def plan_imports(index: DataFrame, ledger: DataFrame, force_baseline_keys: tuple
 
 
 def import_positions(plan: DataFrame, publish_col: str = "publishorder") -> DataFrame:
-    """The plan with ``position`` (int, from 1), numbered by ranges of the order."""
-    order = [~F.col("isbaseline"), F.col("idx"), F.col(publish_col), F.col("feedkey")]
-    return grouped_rank(plan.withColumn("__all", F.lit(0)), ["__all"], order, "position", "row_number").drop("__all")
+    """The plan with ``position`` (int, from 1): numbered within (baseline, index), plus the
+    deliveries of earlier ones.  Nothing runs until the result is read."""
+    parts = plan.withColumn("__all", F.lit(0)).withColumn("__part", F.struct((~F.col("isbaseline")).alias("later"), "idx"))
+    return nested_rank(parts, ["__all"], "__part", [publish_col, "feedkey"], "position", "row_number").drop("__all", "__part")
 
 
 def unpublished_keys(index: DataFrame) -> DataFrame:

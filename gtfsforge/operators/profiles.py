@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rank import grouped_rank
+from ..functions.rank import nested_rank
 
 JOURNEY = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode",
            "lineplanningnumber", "journeynumber"]
@@ -65,15 +65,17 @@ def compress_journeys(pujopass: DataFrame) -> dict[str, DataFrame]:
     pattern) in the order in which the profile first appears in journey-key
     order.  Grouping is on the profile array itself (exact, no hash
     collisions); the code ranking runs over distinct profiles, never
-    over journeys, and is itself spread over tasks (``grouped_rank``).
+    over journeys, and is numbered per schedule (``nested_rank``): no window over a whole pattern, no job while planning.
     """
     jp = journey_profiles(pujopass)
     first_key = F.struct("organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber")
     profiles = jp.groupBy(*GROUP, "profile").agg(F.min(first_key).alias("first_key"))
-    # first keys are distinct per profile, so the dense rank is a row number;
-    # grouped_rank spreads a pattern with very many profiles over many tasks
-    codes = grouped_rank(profiles, GROUP, ["first_key"], "code1", method="row_number") \
-        .withColumn("timedemandgroupcode", F.col("code1") - 1).drop("first_key", "code1")
+    # first keys are distinct per profile, so the dense rank is a row number: that within
+    # the first key's schedule plus the profiles of the pattern's earlier schedules
+    parts = profiles.withColumn("first_schedule", F.struct("first_key.organizationalunitcode", "first_key.schedulecode", "first_key.scheduletypecode")) \
+        .withColumn("first_journey", F.col("first_key.journeynumber"))
+    codes = nested_rank(parts, GROUP, "first_schedule", ["first_journey"], "code1", method="row_number") \
+        .withColumn("timedemandgroupcode", F.col("code1") - 1).drop("first_key", "first_schedule", "first_journey", "code1")
     coded = codes.select(*[F.col(k).alias(f"__{k}") for k in GROUP], F.col("profile").alias("__profile"), "timedemandgroupcode")
     same = F.col("profile") == F.col("__profile")
     for k in GROUP:

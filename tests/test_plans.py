@@ -67,3 +67,31 @@ def test_a_stored_feed_is_validated_from_its_files(spark):
     feed = {"stop_times": E.queries()["q_stop_times"](spark, SF_SMALL), "trips": E.queries()["q_trips"](spark, SF_SMALL)}
     plan = _plan(checks.validate_gtfs(feeds.store_feed(feed)))
     assert plan.count("Window [") == plan.count("Window [lag") and "fixtures" not in plan
+
+
+def test_ranks_plan_without_running_a_job(spark):
+    """Import positions and profile codes are numbered when they are read, and never over a whole group."""
+    from gtfsforge.operators import increment as I
+    from gtfsforge.operators import profiles
+    from gtfsforge.plans.fixtures import Fixtures
+
+    fx = Fixtures(spark, SF_SMALL)
+    passes, manifest, ledger = fx.passes, fx.manifest, fx.ledger
+    sc = spark.sparkContext
+    sc.setJobGroup("ranks", "plan only")
+    try:
+        plans = [_plan(I.import_positions(I.plan_imports(manifest, I.drop_unpublished(ledger, manifest)))), _plan(profiles.compress_journeys(passes)["timdemgrp"])]
+        assert not sc.statusTracker().getJobIdsForGroup("ranks")
+    finally:
+        sc.setJobGroup("", "")
+    assert "__part" in plans[0] and "first_schedule" in plans[1]
+    for plan in plans:
+        numbered = [line for line in plan.splitlines() if "row_number" in line and "Window" in line]
+        assert numbered and all("__part" in line or "first_schedule" in line for line in numbered)
+
+
+def test_both_ends_of_a_connection_read_the_same_calls(spark):
+    """The calls of trains are shuffled once for the two joins with the change records."""
+    df = E.queries()["q_iff_connections_v3"](spark, SF_SMALL)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
