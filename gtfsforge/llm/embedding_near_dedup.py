@@ -211,26 +211,29 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     own id is the component's.  Defined results: a vector that is null, empty, zero or
     holds a null or non-finite component, or has a null label, links with nothing, as do
     vectors of different lengths with each other; a row with a null id takes no part (0
-    links, null component, not kept); repeated rows are vectors of their own; rows that
-    share an id but not the vector are one node; an empty table gives an empty table;
+    links, null component, not kept); repeated rows are vectors of their own, and so are rows that
+    share an id but not the vector or label; an empty table gives an empty table;
     other columns are ignored.
     """
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("embedding"), F.col(f"`{label}`").alias("label"))
     inf = F.lit(float("inf"))
     sound = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < inf)) & F.exists("embedding", lambda v: v != 0)
     usable = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(sound, F.lit(False)))
-    classes = stored(usable.groupBy("label", "embedding").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-                     .withColumn("dim", F.size("embedding")), "vectors")
+    # a class is one label and vector; its number ``rep`` is not an id, which rows of several classes may share
+    classes = stored(usable.groupBy("label", "embedding").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("weight"))
+                     .withColumn("dim", F.size("embedding")).withColumn("rep", F.monotonically_increasing_id()), "vectors")
     keys = ["label", "dim", "tab", "bucket"]
     dealt = list_blocks(_postings(classes), keys, "rep", block)
-    dealt = dealt.join(classes.select(F.col("rep").alias("r"), "embedding", "weight", F.col("label").alias("l"), F.col("dim").alias("m")),
-                       (F.col("rep") == F.col("r")) & (F.col("label") == F.col("l")) & (F.col("dim") == F.col("m"))).drop("r", "l", "m")
+    dealt = dealt.join(classes.select(F.col("rep").alias("r"), "embedding", "weight"), F.col("rep") == F.col("r")).drop("r")
     found = stored(_compare(together(dealt, keys), threshold), "links")
-    comp = components(found.where("v is not null").select("u", "v"))
+    comp = stored(components(found.where("v is not null").select("u", "v")).join(classes.select("rep", "low"), F.col("node") == F.col("rep"))
+                  .select("node", "component", "low"), "components")
+    least = comp.groupBy(F.col("component").alias("c")).agg(F.min("low").alias("least"))
+    comp = comp.join(least, F.col("component") == F.col("c")).select("node", "least")
     links = found.where("v is null").groupBy("u").agg(F.sum("n").alias("n"))
     of = classes.join(comp, F.col("rep") == F.col("node"), "left").join(links, F.col("rep") == F.col("u"), "left") \
         .select(F.col("label").alias("l"), F.col("embedding").alias("e"),
-                (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+                (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("least", "low").alias("component_id"))
     usable = usable.join(of, (F.col("label") == F.col("l")) & (F.col("embedding") == F.col("e"))).select("id", "n_links", "component_id")
     rest = rows.where(F.col("id").isNull() | F.col("label").isNull() | ~F.coalesce(sound, F.lit(False))) \
         .select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

@@ -91,13 +91,15 @@ def append_columns(df: DataFrame, fields: Sequence[T.StructField], text: str,
 
     ``make()`` runs once per task and returns a function from a list of whole
     texts (null: the empty text) to one list or array per field.  Input columns
-    that bear the name of a new column are replaced.
+    that bear the name of a new column are replaced, also the text itself.
     """
     ensure_importable(df.sparkSession)
     taken = {f.name.lower() for f in fields}
     keep = [c for c in df.columns if c.lower() not in taken or c.lower() == text.lower()]
     base = df.select(*[f"`{c}`" for c in keep])
-    schema = T.StructType([*base.schema.fields, *fields])
+    stay = [f for f in base.schema.fields if f.name.lower() not in taken]
+    schema = T.StructType([*stay, *fields])
+    names = [f.name for f in stay]
     types = {f.name: _arrow(f.dataType) for f in fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +108,7 @@ def append_columns(df: DataFrame, fields: Sequence[T.StructField], text: str,
             for part in slices(batch, next(x for x in batch.schema.names if x.lower() == text.lower())):
                 made = work([t or "" for t in column(part, text).to_pylist()])
                 arrays = [pa.array(made[name], type=kind) for name, kind in types.items()]
-                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=[*part.schema.names, *types])
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(n)) for n in names], *arrays], names=[*names, *types])
 
     return base.mapInArrow(run, schema)
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -64,34 +65,76 @@ _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\s ]+")
 
 
+class _Open(NamedTuple):
+    """An open element: its number, whether its text is read (0), dropped by a name (1) or
+    dropped (2), the named element around or at it (0: none), and the one around the outermost
+    article that it is in (None: it is in none)."""
+
+    tag: str
+    number: int
+    away: int
+    named: int
+    article: int | None
+
+
 class _Lines(HTMLParser):
-    """Lines (text, link characters, tags, containers) of one page."""
+    """Lines (text, link characters, tags, innermost block) of one page.
+
+    Elements are numbered in order of their start tags.  Whatever is asked about the open elements is
+    kept with each of them or counted as they come and go, so that the
+    work grows with the page, not with its depth."""
 
     def __init__(self, wrappers: frozenset = frozenset()):
         super().__init__(convert_charrefs=True)
         self.wrappers = wrappers  # numbers of elements that are read in spite of their names
         self.named: dict[int, set] = {}  # elements with such names: the words that begin a name
-        self.held: Counter = Counter()  # characters outside links by (named elements around them, how many of these are around an article)
+        self.outer: dict[int, int] = {}  # and the named element around each
+        self.held: Counter = Counter()  # characters outside links by (named element, named element around the article)
         self.cards: set[int] = set()  # articles with names that begin with such a word
-        self.lines: list[tuple[str, int, int, tuple]] = []
-        self.stack: list[tuple[str, int, int]] = []  # element, number, from here on: 0 read, 1 dropped by a name, 2 dropped
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.stack: list[_Open] = []
+        self.at: dict[str, list[int]] = {}  # places on the stack by element
+        self.blocks: list[int] = []  # places of the blocks
+        self.block = [("", 0, 0)]  # (tag, number, index of the block around) of all blocks so far; 0: the page
+        self.inside = [0]  # indexes of the open blocks
+        self.last: dict[int, int] = {}  # by index of a block: the number of its last element
         self.number = 0
         self.parts: list[str] = []
-        self.linked = self.tags = self.links = 0
+        self.linked = self.tags = 0
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...`` of any kind is skipped as a comment up to the next ``>``, as browsers do."""
+        return self.parse_bogus_comment(i)
 
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            path = tuple((tag, n) for tag, n, _ in self.stack if tag in BLOCK)
-            self.lines.append((text, self.linked, self.tags, path))
+            self.lines.append((text, self.linked, self.tags, self.inside[-1]))
             self.tags = 0
         self.parts, self.linked = [], 0
 
-    def _inside(self) -> bool:
-        return bool(self.stack) and self.stack[-1][2] > 0
+    def _push(self, e: _Open) -> None:
+        self.at.setdefault(e.tag, []).append(len(self.stack))
+        if e.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+            self.block.append((e.tag, e.number, self.inside[-1]))
+            self.inside.append(len(self.block) - 1)
+        self.stack.append(e)
+
+    def _close(self, place: int) -> None:
+        """Close the element at a place of the stack and all in it."""
+        while len(self.stack) > place:
+            e = self.stack.pop()
+            self.at[e.tag].pop()
+            if e.tag in BLOCK:
+                self.blocks.pop()
+                self.last[self.inside.pop()] = self.number
+
+    def _open(self, tag: str) -> bool:
+        return bool(self.at.get(tag))
 
     def _in_article(self) -> bool:
-        return any(x[0] in ("article", "main") for x in self.stack)
+        return self._open("article") or self._open("main")
 
     def _hidden(self, tag: str, attrs: list) -> bool:
         return tag not in ROOTS and (tag in BLOCK or tag in INLINE) and any(
@@ -115,23 +158,18 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self._flush()
-            while self.stack and self.stack[-1][0] in CLOSES and tag in CLOSES[self.stack[-1][0]]:
-                self.stack.pop()
+            while self.stack and tag in CLOSES.get(self.stack[-1].tag, ()):
+                self._close(len(self.stack) - 1)
             # a paragraph left open behind inline elements
-            if self.stack and tag in BLOCK and self.stack[-1][0] not in BLOCK:
-                for k in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[k][0] in BLOCK:
-                        if self.stack[k][0] == "p":
-                            del self.stack[k:]
-                        break
+            if self.stack and self.stack[-1].tag not in BLOCK and self.blocks and self.stack[self.blocks[-1]].tag == "p":
+                self._close(self.blocks[-1])
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        page_header = tag == "header" and not self._in_article()
         self.number += 1
-        away = self.stack[-1][2] if self.stack else 0
-        if tag in DROPPED or page_header or self._hidden(tag, attrs):
+        away, named, article = self.stack[-1][2:] if self.stack else (0, 0, None)
+        if tag in DROPPED or tag == "header" and not self._in_article() or self._hidden(tag, attrs):
             away = 2
         elif attrs and away < 2:
             ends, first = self._called(tag, attrs)
@@ -139,11 +177,13 @@ class _Lines(HTMLParser):
                 if tag == "article" and first:
                     self.cards.add(self.number)
             elif ends:
-                self.named[self.number] = first
+                self.named[self.number], self.outer[self.number] = first, named
+                named = self.number
                 if self.number not in self.wrappers:
                     away = 1
-        self.stack.append((tag, self.number, away))
-        self.links += tag == "a"
+        if article is None and (tag == "main" or tag == "article" and self.number not in self.cards):
+            article = named
+        self._push(_Open(tag, self.number, away, named, article))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -152,34 +192,28 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self._flush()
-        for k in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[k][0]
-            if name == tag:
-                self.links -= sum(x[0] == "a" for x in self.stack[k:])
-                del self.stack[k:]
-                return
-            if name in BLOCK and tag not in BLOCK:
-                return  # an inline end tag does not close the block around it
-
-    def _weigh(self, size: int) -> None:
-        around, article = [], None
-        for tag, n, _ in self.stack:
-            if n in self.named:
-                around.append(n)
-            elif article is None and (tag == "main" or tag == "article" and n not in self.cards):
-                article = len(around)
-        self.held[tuple(around), article] += size
+        if self._open(tag):
+            place = self.at[tag][-1]
+            if tag in BLOCK or not self.blocks or place > self.blocks[-1]:  # an inline end tag does not close the block around it
+                self._close(place)
 
     def handle_data(self, data: str) -> None:
-        if not self.links and not data.isspace() and (not self.stack or self.stack[-1][2] < 2):
-            self._weigh(len(data.strip()))
-        if not self._inside():
+        e = self.stack[-1] if self.stack else _Open("", 0, 0, 0, None)
+        link = self._open("a")
+        if not link and e.away < 2 and not data.isspace():
+            self.held[e.named, e.article] += len(data.strip())
+        if not e.away:
             self.parts.append(data)
-            if self.links:
+            if link:
                 self.linked += len(data.strip())
 
+    def finish(self) -> None:
+        self._flush()
+        self._close(0)
+        self.last[0] = self.number
+
 
-def _wrappers(named: dict[int, set], held: Counter) -> frozenset:
+def _wrappers(page: _Lines) -> frozenset:
     """The named containers that are layout around the article.
 
     One that holds an article or main is, if its name only ends with such a word
@@ -187,17 +221,23 @@ def _wrappers(named: dict[int, set], held: Counter) -> frozenset:
     article outside of such containers.  Without articles to go by, and for names that only
     end so, one with over half of the page's text outside links is; one called after
     comments, adverts or notices must have all of it."""
-    around = [path[:k] for path, k in held if k is not None]  # named elements around each article
-    free = {n for path in around for n in path if not named[n]}
-    while around and not any(free.issuperset(path) for path in around):
-        free |= {next(n for n in path if n not in free) for path in around}
-    size = Counter()
-    for (path, _), n in held.items():
-        for x in path:
-            size[x] += n
-    total = sum(held.values())
+    named, outer = page.named, page.outer
+    ends = {article for _, article in page.held if article is not None}  # the named element around each article (0: none)
+    above, size, strict = set(ends), Counter(), {0: 0}
+    for n, first in named.items():  # outer ones come first
+        strict[n] = strict[outer[n]] + bool(first)
+    for (n, _), chars in page.held.items():
+        size[n] += chars
+    for n in reversed(named):  # sums of what is inside
+        size[outer[n]] += size[n]
+        if n in above:
+            above.add(outer[n])
+    # of the names that begin with such a word, as many from the outermost one on as it takes to reach one article
+    reach = min((strict[n] for n in ends), default=0)
+    free = {n for n in above if n and (not named[n] or strict[n] <= reach)}
+    total = sum(page.held.values())
     for n, first in named.items():
-        if size[n] and not (first and around):
+        if size[n] and not (first and ends):
             if size[n] == total if first & APART else 2 * size[n] > total:
                 free.add(n)
     return frozenset(free)
@@ -213,15 +253,16 @@ def _read(html: str, wrappers: frozenset = frozenset()) -> _Lines:
     parser = _Lines(wrappers)
     parser.feed(html)
     parser.close()
-    parser._flush()
+    parser.finish()
     return parser
 
 
 def blocks_of(html: str) -> list[str]:
     """The text blocks of a page's main text, in page order."""
     parser = _read(html)
-    wrappers = _wrappers(parser.named, parser.held) if parser.named else None
-    lines = _read(html, wrappers).lines if wrappers else parser.lines
+    if parser.named and (wrappers := _wrappers(parser)):
+        parser = _read(html, wrappers)
+    lines = parser.lines
     if not lines:
         return []
     ratio = np.array([max(0, len(text) - linked) / max(1, tags) for text, linked, tags, _ in lines])
@@ -232,12 +273,24 @@ def blocks_of(html: str) -> list[str]:
     if not len(content):
         return []
     # the article around the regions: the innermost container of all content lines
-    around = set(lines[content[0]][3]).intersection(*(lines[k][3] for k in content))
-    wide = [n for n in around if n[0] in ("article", "main")] or [n for n in around if n[0] not in ("p", "li", "td", "th", "tr", "blockquote", "pre")]
-    if not wide:
+    numbers = [parser.block[lines[k][3]][1] for k in content]
+    low, high = min(numbers), max(numbers)
+    narrow = root = None
+    at = lines[content[0]][3]
+    while at:
+        tag, number, up = parser.block[at]
+        if number <= low and high <= parser.last[at]:
+            if tag in ("article", "main"):
+                root = at
+                break
+            if narrow is None and tag not in ("p", "li", "td", "th", "tr", "blockquote", "pre"):
+                narrow = at
+        at = up
+    root = root or narrow
+    if not root:
         return [text for text, *_ in lines]
-    root = max(wide, key=lambda n: n[1])
-    return [text for text, _, _, path in lines if root in path]
+    first, end = parser.block[root][1], parser.last[root]
+    return [text for text, _, _, block in lines if first <= parser.block[block][1] <= end]
 
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
@@ -245,7 +298,8 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFram
     (its code points).
 
     Defined results: null and empty pages and pages without text give the empty text; broken
-    or cut markup is read as far as it goes; repeated rows give equal texts; input columns
+    or cut markup is read as far as it goes; declarations that are none (``<![...``) are skipped up
+    to the next ``>``; elements may be nested to any depth; repeated rows give equal texts; input columns
     named like the new ones are replaced.
     """
 

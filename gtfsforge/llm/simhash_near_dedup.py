@@ -189,10 +189,10 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", s
     whole = F.md5(F.concat(digest, F.to_json(F.struct(body.isNull().alias("none"), F.struct(*others).alias("row")))).cast("binary"))
     marked = fingerprints(docs.select(F.col(f"`{id_col}`").alias("id"), body.alias("body"), digest.alias("digest"), whole.alias("whole")), "body", shingle)
     marked = stored(marked.select(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "digest", "whole").alias("first"), "fp"), "simhash")
-    kept = _members(marked, max_distance).groupBy("c").agg(F.min("low").alias("low")).select(F.col("low.whole").alias("__kept"))
+    kept = _members(marked, max_distance).groupBy("c").agg(F.min("low").alias("low")).select(F.col("low.whole").alias("kept"))
     # equal rows collapse before the exchange, so that no row, however often repeated, fills a task
-    rows = docs.withColumn("__whole", whole).dropDuplicates(["__whole"])
-    return rows.join(kept, F.col("__whole") == F.col("__kept"), "left_semi").drop("__whole")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), whole.alias("whole")).dropDuplicates(["whole"])
+    return rows.join(kept, F.col("whole") == F.col("kept"), "left_semi").select("row.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

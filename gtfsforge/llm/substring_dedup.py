@@ -10,16 +10,18 @@ covers it has a word sequence that also starts in a document with a smaller id.
 2. Documents with equal texts collapse to the one with the smallest id (a pre-aggregated
    group): a later copy goes wholly, if it has a window.
 3. A minimiser that occurs in one document only can have no repeated window, and is
-   dropped.  The other super-k-mers travel as one packed string each to the bucket of
+   dropped.  Equal super-k-mers collapse to the smallest document that has them, by the digest of
+   their words: all windows of the others are repeats.  So a passage that any number of
+   documents hold is one entry wherever a super-k-mer lies inside it.
+4. The remaining super-k-mers travel as one packed string each to the bucket of
    their minimiser; there the windows are sorted, by a 128-bit digest and document, so
    that each run of equal windows tells its smallest document.
-4. Minimisers with over ``HOT`` windows (a passage that very many documents hold; more than
-   one task should sort in memory) do not meet in a bucket: their windows are counted as
-   single digests, aggregated before the shuffle, and joined back in a join that adaptive
-   execution may split.
-5. The windows found are cut out of the whole texts.
-
-Texts are shuffled once by id for steps 3 to 5 (the exchanges are the same).
+5. A bucket of over ``LONG`` windows (different texts around one frequent passage) is not sorted:
+   its super-k-mers are cut again by the minimisers of another hash order and dealt by
+   both, with steps 3 and 4, up to ``ORDERS`` times.  Windows that differ in next to nothing
+   share all of these; what is still long then is dealt by the digests of single windows, of which
+   only the smallest document is kept, aggregated before the shuffle.
+6. The windows found are cut out of the whole texts.
 """
 
 from __future__ import annotations
@@ -38,9 +40,10 @@ from .frames import append_columns, column, ensure_importable, slices, stored
 #: Production parameters.
 WINDOW = 50
 GRAM = 8
-#: Windows of a minimiser (about 150 bytes each while they are sorted) beyond which they are
-#: counted one by one, and those that a task sorts at once.
-HOT = 1_000_000
+#: Windows of a bucket (about 150 bytes each while they are sorted) beyond which it is dealt by a
+#: further minimiser, hash orders in all, and windows that a task sorts at once.
+LONG = 20_000
+ORDERS = 3
 AT_ONCE = 250_000
 #: Word hashes that a worker remembers.
 CACHE_WORDS = 250_000
@@ -85,8 +88,8 @@ def sliding_min(a: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(a[:-rest], a[rest:]) if rest else a
 
 
-def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(minimisers, first windows) of the super-k-mers of one document, in order."""
+def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM, order: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(minimisers, first windows) of the super-k-mers of one document, in order; ``order`` chooses the hash order."""
     n = len(words)
     if n < window:
         return np.empty(0, np.int64), np.empty(0, np.int32)
@@ -94,6 +97,7 @@ def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> t
     g = np.zeros(n - gram + 1, np.uint64)
     for j in range(gram):
         g = g * _MIX + h[j:n - gram + 1 + j]
+    g += np.uint64(order * int(_MIX) % (1 << 64))
     g ^= g >> np.uint64(32)
     g *= np.uint64(0xD6E8FEB86659FD93)
     g ^= g >> np.uint64(29)
@@ -113,47 +117,79 @@ def window_digests(words: list[bytes], window: int) -> np.ndarray:
     return np.frombuffer(b"".join([of(line[a:b]) for a, b in zip(first, ends[window - 1:].tolist())]), "<i8").reshape(-1, 2)
 
 
+def _strings(words: list[bytes], starts: list[int], stops: list[int], window: int) -> list[tuple[int, int]]:
+    """Digests of the words of super-k-mers."""
+    return [digest(b" ".join(words[a:b + window - 1])) for a, b in zip(starts, stops)]
+
+
 def _survey(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(id, h1, h2, n_windows, mins, starts) of the documents that have a window."""
+    """(id, h1, h2, cuts) of the documents that have a window; cuts: their super-k-mers (key,
+    first, n, s1, s2), the last two a digest of the words."""
     fields = [T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("n_windows", T.IntegerType()),
-              T.StructField("mins", T.ArrayType(T.LongType())), T.StructField("starts", T.ArrayType(T.IntegerType()))]
+              T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("firsts", T.ArrayType(T.IntegerType())),
+              T.StructField("d1", T.ArrayType(T.LongType())), T.StructField("d2", T.ArrayType(T.LongType()))]
 
     def make():
         def one(text: str) -> tuple:
             words = split(text)
             mins, starts = super_kmers(words, window, gram)
-            return (*digest(text.encode("utf-8", "surrogatepass")), max(0, len(words) - window + 1), mins, starts)
+            n = max(0, len(words) - window + 1)
+            d1, d2 = zip(*_strings(words, starts.tolist(), [*starts[1:].tolist(), n], window)) if n else ((), ())
+            return (*digest(text.encode("utf-8", "surrogatepass")), n, mins, starts, d1, d2)
 
-        return lambda texts: dict(zip(("h1", "h2", "n_windows", "mins", "starts"), zip(*map(one, texts))))
+        return lambda texts: dict(zip(("h1", "h2", "n_windows", "keys", "firsts", "d1", "d2"), zip(*map(one, texts))))
 
     return append_columns(docs.select("id", "body"), fields, "body", make).drop("body").where("n_windows > 0")
 
 
-def _pieces(held: DataFrame, window: int, hot: bool) -> DataFrame:
-    """From documents with their repeated super-k-mers (``hits``): packed strings, or, of hot
-    minimisers, the digest of each window."""
-    schema = "a long, b long, id long, h1 long, h2 long, pos int" if hot else "min long, id long, h1 long, h2 long, pos int, n int, packed binary"
+def _pieces(held: DataFrame, window: int, single: bool) -> DataFrame:
+    """From documents with super-k-mers (``hits``): packed strings, or (``single``) the digest of each window."""
+    schema = "a long, b long, id long, h1 long, h2 long, pos int" if single else "min long, id long, h1 long, h2 long, pos int, n int, packed binary"
     names = [f.split()[0] for f in schema.split(", ")]
+    kinds = [pa.int64()] * (5 if single else 4) + [pa.int32()] + ([] if single else [pa.int32(), pa.binary()])
+
+    def make(words: list[bytes], doc: int, h1: int, h2: int, hits: list) -> Iterator[tuple]:
+        for x in hits:
+            at = words[x["first"]:x["first"] + x["n"] + window - 1]
+            if single:
+                yield from ((a, b, doc, h1, h2, x["first"] + k) for k, (a, b) in enumerate(window_digests(at, window).tolist()))
+            else:
+                yield x["key"], doc, h1, h2, x["first"], x["n"], b" ".join(at)
+
+    return _from_texts(held, make, schema, names, kinds)
+
+
+def _cut_again(held: DataFrame, window: int, gram: int, order: int) -> DataFrame:
+    """Super-k-mers by the minimisers of a further hash order inside those in ``hits``; their key
+    tells both minimisers."""
+    schema = "rep long, h1 long, h2 long, key long, first int, n int, s1 long, s2 long"
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 2
+
+    def make(words: list[bytes], doc: int, h1: int, h2: int, hits: list) -> Iterator[tuple]:
+        for x in hits:
+            at = words[x["first"]:x["first"] + x["n"] + window - 1]
+            mins, starts = super_kmers(at, window, gram, order)
+            keys = ((mins.view(np.uint64) ^ np.uint64(x["key"] % (1 << 64))) * _MIX).view(np.int64).tolist()
+            starts = starts.tolist()
+            stops = [*starts[1:], x["n"]]
+            for key, a, b, (s1, s2) in zip(keys, starts, stops, _strings(at, starts, stops, window)):
+                yield doc, h1, h2, key, x["first"] + a, b - a, s1, s2
+
+    return _from_texts(held, make, schema, names, kinds)
+
+
+def _from_texts(held: DataFrame, make, schema: str, names: list[str], kinds: list) -> DataFrame:
+    """Rows that ``make`` derives from each document's words and hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "body"):
                 out = []
                 for doc, h1, h2, body, hits in zip(*(column(part, c).to_pylist() for c in ("id", "h1", "h2", "body", "hits"))):
-                    if (h1, h2) != digest((body or "").encode("utf-8", "surrogatepass")):
-                        continue  # another row of that id
-                    words = split(body or "")
-                    for x in hits:
-                        if x["hot"] != hot:
-                            continue
-                        at = words[x["first"]:x["first"] + x["n"] + window - 1]
-                        if hot:
-                            d = window_digests(at, window)
-                            out += [(a, b, doc, h1, h2, x["first"] + k) for k, (a, b) in enumerate(d.tolist())]
-                        else:
-                            out.append((x["min"], doc, h1, h2, x["first"], x["n"], b" ".join(at)))
+                    if (h1, h2) == digest((body or "").encode("utf-8", "surrogatepass")):  # else another row of that id
+                        out += make(split(body or ""), doc, h1, h2, hits)
                 if out:
-                    kinds = [pa.int64()] * (5 if hot else 4) + [pa.int32()] + ([] if hot else [pa.int32(), pa.binary()])
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     return held.mapInArrow(run, schema)
@@ -234,11 +270,40 @@ def _cut(docs: DataFrame, window: int) -> DataFrame:
     return docs.select(*[f.name for f in base], "marks").mapInArrow(run, T.StructType([*base, *new]))
 
 
+def _repeats(each: DataFrame, usable: DataFrame, window: int, gram: int, long: int, order: int) -> DataFrame:
+    """(id, h1, h2, pos, n): stretches of windows that also start in a smaller document, from the
+    super-k-mers ``each`` (rep, h1, h2, key, first, n, s1, s2) of distinct texts; equal windows have equal keys."""
+    strings = each.groupBy("key", "s1", "s2").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.first("n").alias("n"))
+    shared = strings.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b"), F.count(F.lit(1)).alias("strings"), F.sum("n").alias("many")) \
+        .where("a < b").select(F.col("key").alias("k"), (F.col("strings") > 1).alias("differ"), (F.col("many") > long).alias("long"))
+    of = strings.where("low < high").select(F.col("key").alias("k2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "low")
+    hits = each.join(shared, F.col("key") == F.col("k")).join(of, (F.col("key") == F.col("k2")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left") \
+        .select("rep", "h1", "h2", "key", "first", "n", "differ", "long", F.coalesce(F.col("low") < F.col("rep"), F.lit(False)).alias("copy"))
+    hits = stored(hits.where("copy or differ"), "hits")
+    found = hits.where("copy").select(F.col("rep").alias("id"), "h1", "h2", F.col("first").alias("pos"), "n")
+
+    def held(some: DataFrame) -> DataFrame:
+        by_doc = some.groupBy(F.col("rep").alias("doc"), "h1", "h2").agg(F.collect_list(F.struct("key", "first", "n")).alias("hits"))
+        return usable.join(by_doc, F.col("id") == F.col("doc")).drop("doc")
+
+    found = found.unionAll(_sorted_windows(_pieces(held(hits.where("not copy and not long")), window, False), window))
+    rest = hits.where("not copy and long")
+    if not rest.head(1):
+        return found
+    if order + 1 < ORDERS:
+        again = stored(_cut_again(held(rest), window, gram, order + 1), "superkmers")
+        return found.unionAll(_repeats(again, usable, window, gram, long, order + 1))
+    loose = stored(_pieces(held(rest), window, True), "windows")
+    least = loose.groupBy("a", "b").agg(F.min("id").alias("low")).select(F.col("a").alias("a2"), F.col("b").alias("b2"), "low")
+    return found.unionAll(loose.join(least, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2"))).where("low < id")
+                          .select("id", "h1", "h2", "pos", F.lit(1).alias("n")))
+
+
 MARKS = "array<struct<h1:bigint,h2:bigint,whole:boolean,spans:array<struct<pos:int,n:int>>>>"
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,
-                   hot: int = HOT) -> DataFrame:
+                   long: int = LONG) -> DataFrame:
     """(id, row, kept, n_words, n_removed) per input row; ``row`` is the whole input row as
     a struct, ``kept`` the words that stay, joined by one space.
 
@@ -255,25 +320,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("body"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
     usable = rows.where("id is not null")
     seen = stored(_survey(usable, window, gram), "superkmers")
-    classes = seen.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("n_windows").alias("n_windows"),
-                                           F.first("mins").alias("mins"), F.first("starts").alias("starts"))
-    each = classes.select("rep", "h1", "h2", F.posexplode(F.arrays_zip(
-        "mins", "starts", F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array("n_windows")).alias("stops"))).alias("k", "x"))
-    each = each.select("rep", "h1", "h2", F.col("x.mins").alias("min"), F.col("x.starts").alias("first"), (F.col("x.stops") - F.col("x.starts")).alias("n"))
-    shared = each.groupBy("min").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.sum("n").alias("many")) \
-        .where("low < high").select(F.col("min").alias("m"), (F.col("many") > hot).alias("hot"))
-    hits = each.join(shared, F.col("min") == F.col("m")).groupBy("rep", "h1", "h2") \
-        .agg(F.collect_list(F.struct("min", "first", "n", "hot")).alias("hits")).withColumnRenamed("rep", "doc")
-
-    def held(some: DataFrame) -> DataFrame:
-        return usable.join(some, F.col("id") == F.col("doc")).drop("doc")
-
-    cold = _sorted_windows(_pieces(held(hits.where(F.exists("hits", lambda x: ~x.hot))), window, False), window)
-    loose = _pieces(held(hits.where(F.exists("hits", lambda x: x.hot))), window, True)
-    least = loose.groupBy("a", "b").agg(F.min("id").alias("low")).select(F.col("a").alias("a2"), F.col("b").alias("b2"), "low")
-    warm = loose.join(least, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2"))).where("low < id") \
-        .select("id", "h1", "h2", "pos", F.lit(1).alias("n"))
-    spans = cold.unionAll(warm).groupBy("id", "h1", "h2").agg(F.collect_list(F.struct("pos", "n")).alias("spans")) \
+    classes = seen.groupBy("h1", "h2").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n_windows", "keys", "firsts", "d1", "d2")])
+    each = classes.select("rep", "h1", "h2", F.explode(F.arrays_zip(
+        "keys", "firsts", F.concat(F.slice("firsts", F.lit(2), F.size("firsts")), F.array("n_windows")).alias("stops"), "d1", "d2")).alias("x"))
+    each = each.select("rep", "h1", "h2", F.col("x.keys").alias("key"), F.col("x.firsts").alias("first"), (F.col("x.stops") - F.col("x.firsts")).alias("n"),
+                       F.col("x.d1").alias("s1"), F.col("x.d2").alias("s2"))
+    found = _repeats(each, usable, window, gram, long, 0)
+    spans = found.groupBy("id", "h1", "h2").agg(F.collect_list(F.struct("pos", "n")).alias("spans")) \
         .select("id", "h1", "h2", F.lit(False).alias("whole"), "spans")
     low = seen.groupBy("h1", "h2").agg(F.min("id").alias("rep")).select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "rep")
     copies = seen.select("id", "h1", "h2").join(low, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where("id > rep") \

@@ -249,3 +249,79 @@ def test_extraction_columns(spark):
 def test_smoothing():
     x = np.array([0.0, 0, 10, 0, 0])
     assert html.smooth(x).argmax() == 2 and html.smooth(np.ones(3)).tolist() == pytest.approx([1, 1, 1])
+
+
+@pytest.mark.parametrize("text", ["<![foo[ x ]]>", "<p>x</p><![%foo;[", "<![CDATA[ a ]]>", "<!", "<![", "<!DOCTYPE", "<!-- never closed", "<p title='never closed", "</", "</>", "<>", "&#x110000;&#xD800;", "<a<b<p>"])
+def test_malformed_markup_is_read(text):
+    assert "Kept words here" in " ".join(html.blocks_of(f"<div><p>Kept words here</p></div>{text}"))
+    html.blocks_of(text)
+
+
+def test_markup_of_any_kind_does_not_raise():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    bits = st.sampled_from(["<p>", "</p>", "<div class='ad x'>", "</div>", "<![", "]]>", "<!", "<!--", "-->", "<a href=x>", "</a>", "<article>", "</article>", "text here ", "&amp;", "&#0;", "<", ">", "'", '"',
+                            "<script>", "</script>", "<li>", "<table><tr><td>", "</main>", "<main>", "<br/>", "<b>", "</i>", "<i>", "%", "[if IE]"])
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(bits, max_size=40))
+    def run(parts):
+        assert all(x == " ".join(x.split()) for x in html.blocks_of("".join(parts)))
+
+    run()
+
+
+def test_a_link_ends_with_its_paragraph():
+    assert html.blocks_of(f"<div><p><a href='/x'>left open<p>{P1}<p>{LONG[1]}</div>") == ["left open", P1, LONG[1].strip()]
+
+
+@pytest.mark.parametrize("make", [lambda n: "".join(f"<div>t{k}" for k in range(n)), lambda n: "<div class='ad'>x" * n, lambda n: "<i><p>" + "<b>" * n + "x" + "</i>" * n,
+                                  lambda n: "<section>" * n + "</div>x" * n, lambda n: "<article><p>x" * n])
+def test_time_is_linear_in_depth(make):
+    import time
+
+    def seconds(n):
+        page = make(n)
+        t = time.perf_counter()
+        html.blocks_of(page)
+        return time.perf_counter() - t
+
+    seconds(100)
+    assert seconds(40_000) < 25 * max(0.02, seconds(4_000))
+
+
+def brute_content(ratio):
+    """Ratio, smoothing and threshold spelled out: indexes of the content lines."""
+    import math
+
+    kernel = {d: math.exp(-d * d / (2 * html.SIGMA ** 2)) for d in range(-html.RADIUS, html.RADIUS + 1)}
+    smoothed = []
+    for i in range(len(ratio)):
+        near = [(kernel[j - i], ratio[j]) for j in range(len(ratio)) if j - i in kernel]
+        smoothed.append(sum(k * r for k, r in near) / sum(k for k, _ in near))
+    mean = sum(smoothed) / len(smoothed)
+    deviation = math.sqrt(sum((x - mean) ** 2 for x in smoothed) / len(smoothed))
+    return [i for i, x in enumerate(smoothed) if x >= deviation and ratio[i] > 0]
+
+
+def test_regions_against_brute_force():
+    """Pages of unnamed blocks only: the clustering decides which of them are content."""
+    rng = np.random.default_rng(13)
+    decided = 0
+    for _ in range(60):
+        groups = [[(bool(rng.random() < 0.5), int(rng.integers(1, 60))) for _ in range(int(rng.integers(1, 6)))] for _ in range(int(rng.integers(2, 6)))]
+        texts = [[f"g{g}l{k} " + "word " * n for k, (_, n) in enumerate(lines)] for g, lines in enumerate(groups)]
+        page = "".join("<div>" + "".join(f"<p><a href='/'>{t}</a></p>" if link else f"<p>{t}</p>" for (link, _), t in zip(lines, ts)) + "</div>" for lines, ts in zip(groups, texts))
+        flat = [(g, t.strip(), link) for g, (lines, ts) in enumerate(zip(groups, texts)) for (link, _), t in zip(lines, ts)]
+        # tags before a line's end: its own, those that close the line before, and the group's
+        tags, ratio = [], []
+        for i, (g, t, link) in enumerate(flat):
+            n = (1 + 2 * link) + (1 if i else 0) + (0 if i and flat[i - 1][0] == g else 1 + (1 if i else 0))
+            ratio.append(0 if link else len(t) / n)
+        content = brute_content(ratio) or [i for i, r in enumerate(ratio) if r > 0]
+        inside = {flat[i][0] for i in content}
+        want = [t for g, t, _ in flat if not inside or len(inside) > 1 or g in inside] if inside else []
+        assert html.blocks_of(page) == want
+        decided += bool(inside) and want != [t for _, t, _ in flat]
+    assert decided > 5  # the clustering left lines out on these

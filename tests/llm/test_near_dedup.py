@@ -155,3 +155,27 @@ def test_hashing_misses_next_to_nothing():
     met = (a == b[:, :, :1]).any(axis=2) | (b == a[:, :, :1]).any(axis=2)
     assert met.mean() > 0.94  # one table
     assert met.any(axis=1).all()  # all tables
+
+
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark):
+    """Counted and linked by label and vector, as a comparison of all rows does."""
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(3, 16))
+    near = lambda k: (base[k] + rng.normal(size=16) * 0.01).tolist()
+    rows = [(1, near(0), 0), (1, near(0), 0), (2, near(0), 0), (5, near(1), 0), (5, near(1), 1), (6, near(1), 0), (7, near(1), 1), (3, near(1), 1), (9, near(2), 0), (9, near(2), 0)]
+    rows += [rows[0], (4, rows[0][1], 0), (None, near(0), 0), (8, near(2), None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    unit = [np.array(e) / np.linalg.norm(e) for _, e, _ in rows]
+    ok = [i is not None and lab is not None for i, _, lab in rows]
+    link = [[a != b and ok[a] and ok[b] and rows[a][2] == rows[b][2] and unit[a] @ unit[b] >= 0.98 for b in range(len(rows))] for a in range(len(rows))]
+    want = []
+    for a, (i, _, _) in enumerate(rows):
+        seen, todo = {a}, [a]
+        while todo:
+            x = todo.pop()
+            todo += [b for b in range(len(rows)) if link[x][b] and b not in seen]
+            seen |= set(todo)
+        want.append((str(i), sum(link[a]), min((rows[x][0] for x in seen if rows[x][0] is not None), default=None)))
+    got = emb.near_duplicates(df).collect()
+    assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in got) == sorted(want)
+    assert [w[1] for w in want[:3]] == [4, 4, 4]

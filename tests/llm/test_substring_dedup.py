@@ -24,10 +24,10 @@ def test_against_all_windows(docs_of):
     want = sorted((str(i), n, k, t) for i, n, k, t in brute_repeats(rows))
     assert sum(k > 0 for _, _, k, _ in want) > 20
     assert _got(sub.remove_repeats(docs_of(rows))) == want
-    # every shared minimiser counted window by window
-    assert _got(sub.remove_repeats(docs_of(rows), hot=0)) == want
+    # every bucket of more than one string cut again by further minimisers, then window by window
+    assert _got(sub.remove_repeats(docs_of(rows), long=0)) == want
     # some of them
-    assert _got(sub.remove_repeats(docs_of(rows), hot=60)) == want
+    assert _got(sub.remove_repeats(docs_of(rows), long=60)) == want
 
 
 def test_short_windows_and_empty_tables(docs_of):
@@ -79,3 +79,22 @@ def test_sorting_in_parts_gives_the_same(spark, monkeypatch):
     assert sorted(got) == [(d, p) for d, p, gone in want if gone]
     for at_once in (1, 10, 60):
         assert sorted(map(tuple, sub._sorted_windows(df, 50, at_once).collect())) == whole
+
+
+def test_a_frequent_passage_is_spread_by_further_minimisers(spark, docs_of):
+    """Buckets around one passage of many documents shrink with every order; equal strings travel once."""
+    rng = np.random.default_rng(8)
+    passage = prose(rng, 90)
+    rows = [(i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for i in range(120)]
+    want = sorted((str(i), n, k, t) for i, n, k, t in brute_repeats(rows))
+    assert _got(sub.remove_repeats(docs_of(rows), long=50)) == want
+    words = [words_of(t) for _, t in rows]
+    sizes = []
+    for order in range(3):  # windows of the largest bucket under one, two and three minimisers
+        keys = [tuple(np.repeat(m, np.diff([*f, len(w) - 49])) for m, f in (sub.super_kmers(w, order=o) for o in range(order + 1))) for w in words]
+        counts = {}
+        for w, k in zip(words, keys):
+            for p, key in enumerate(zip(*(x.tolist() for x in k))):
+                counts.setdefault(key, set()).add(b" ".join(w[p:p + 50]))
+        sizes.append(max(map(len, counts.values())))
+    assert sizes[0] > sizes[1] > sizes[2]
