@@ -290,10 +290,11 @@ def _repeats(each: DataFrame, usable: DataFrame, window: int, gram: int, long: i
     rest = hits.where("not copy and long")
     if not rest.head(1):
         return found
+    texts = held(rest).select("id", "body", "h1", "h2", "hits")  # a job of its own: no need of the whole rows
     if order + 1 < ORDERS:
-        again = stored(_cut_again(held(rest), window, gram, order + 1), "superkmers")
+        again = stored(_cut_again(texts, window, gram, order + 1), "superkmers")
         return found.unionAll(_repeats(again, usable, window, gram, long, order + 1))
-    loose = stored(_pieces(held(rest), window, True), "windows")
+    loose = stored(_pieces(texts, window, True), "windows")
     least = loose.groupBy("a", "b").agg(F.min("id").alias("low")).select(F.col("a").alias("a2"), F.col("b").alias("b2"), "low")
     return found.unionAll(loose.join(least, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2"))).where("low < id")
                           .select("id", "h1", "h2", "pos", F.lit(1).alias("n")))
