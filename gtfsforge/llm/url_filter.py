@@ -1,19 +1,21 @@
-"""URL verdicts: host and path rules, and a Bloom filter cascade over listed hosts.
+"""URL verdicts: host and path rules, and a Bloom filter cascade over listed domains.
 
 The cascade gives exact membership in a list without joining it to the urls.  Its keys
-are hosts; a host is listed if it or a parent domain is on the block list, which is settled
-once per distinct host.  Level 1 is a Bloom filter of the listed keys; level 2 one of those keys of the
-corpus's complete key universe that are not listed but pass level 1; level 3 one of the
+are domains; the universe is every domain that occurs, that is, the hosts of all urls with their
+parent domains, and the list.  Level 1 is a Bloom filter of the listed keys; level 2 one of those keys
+of the universe that are not listed but pass level 1; level 3 one of the
 listed keys that pass level 2; and so on, until a level lets no wrong key pass.  For a key
 of the universe the first level that it does not pass then tells exactly whether it is
 listed: an odd level says no, an even one yes; a key that passes all levels belongs to
-what the last one encodes.
+what the last one encodes.  A url asks for those of its host and parent domains that have as many
+labels as some listed domain.
 
 Everything is DataFrame and SQL functions: a level is an aggregate that sets bits
-(``bit_or`` by 64-bit word), written as one array of longs, and a lookup reads bits of
-that array through a scalar subquery.  A level's size follows from the number of keys it
-encodes.  It is sent to every task, so it has a checked bound, ``max_bits``; a list that
-needs more is joined to the urls by host instead (the same verdicts, no filter).
+(``bit_or`` by 64-bit word), written as arrays of longs, and a lookup reads bits of
+them through a scalar subquery.  Keys are dealt to shards by their hash, as many as it takes for the
+listed keys of a shard to fit ``max_bits``, and every shard has filters of its own; ``GROUP`` shards
+are sent to the tasks at a time (32 MB a level at most), so a list of any length is
+looked up the same way, in as many passes as it needs.
 """
 
 from __future__ import annotations
@@ -26,10 +28,13 @@ from pyspark.sql import functions as F
 
 from .frames import stored
 
-#: Bits per encoded key, hash functions, and the most bits of one filter (512 KB).
+#: Bits per encoded key, hash functions, bits of a shard's filter on average (512 KB), and shards looked up at a time.
 BITS_PER_KEY = 10
 HASHES = 5
 MAX_BITS = 1 << 22
+GROUP = 64
+#: A name of more labels is no domain.
+LABELS = 127
 
 
 class Rule(NamedTuple):
@@ -47,9 +52,8 @@ class Rule(NamedTuple):
 #: The rules of the registered query.
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
          Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
-#: The block list of the registered query: domains, each with its subdomains.
-LISTED = ("adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net",
-          "free-bets.example.net", "spam-farm.example.org")
+#: The registered query lists every domain of the corpus that is named so, under whatever parents.
+NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
 def host_of(url: Column) -> Column:
@@ -76,6 +80,11 @@ def suffixes(host: Column) -> Column:
         F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), ".")))
 
 
+def labels(domain: Column) -> Column:
+    """The number of a domain's labels."""
+    return F.length(domain) - F.length(F.replace(domain, F.lit("."), F.lit(""))) + 1
+
+
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
     """(name, verdict) of the longest rule that fits, or nulls."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -85,91 +94,122 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def _bit(key: Column, level: int, i: int, bits: int) -> Column:
-    """The i-th bit position of a key in a level."""
-    return F.pmod(F.xxhash64(F.lit(level * HASHES + i), key), F.lit(bits).cast("long"))
+def domains(pages: DataFrame, url: str = "url") -> DataFrame:
+    """(key): the hosts of all urls and their parent domains."""
+    hosts = pages.select(host_of(F.col(f"`{url}`")).alias("host")).where("host != ''").distinct()
+    return hosts.select(F.explode(suffixes(F.col("host"))).alias("key")).distinct()
 
 
-def _passes(key: Column, words: Column, level: int, bits: int) -> Column:
-    ok = F.lit(True)
-    for i in range(HASHES):
-        p = _bit(key, level, i, bits)
-        word = F.element_at(words, (F.shiftright(p, 6) + 1).cast("int"))
-        ok = ok & (F.getbit(word, p.bitwiseAND(F.lit(63)).cast("int")) == 1)
-    return ok
+def named(keys: DataFrame, names: Sequence[str] = NAMES) -> DataFrame:
+    """The domains that bear one of the names themselves (not only below them)."""
+    return keys.where(F.substring_index("key", ".", 1).isin(*names))
 
 
-def _filter(keys: DataFrame, level: int, bits: int) -> DataFrame:
-    """One row: the level's words."""
-    spots = keys.select(F.explode(F.array(*[_bit(F.col("key"), level, i, bits) for i in range(HASHES)])).alias("p")) \
-        .select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("x"))
-    blank = keys.sparkSession.range(bits // 64).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("x"))
-    words = spots.groupBy("w").agg(F.bit_or("x").alias("x")).unionAll(blank).groupBy("w").agg(F.bit_or("x").alias("x"))
-    return words.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "x"))), lambda s: s.x).alias("words"))
+def _bit(key: Column, level: int, i: int, bits: int) -> Column:
+    """The i-th bit position of a key in a level."""
+    return F.pmod(F.xxhash64(F.lit(level * HASHES + i), key), F.lit(bits).cast("long"))
 
 
 class Cascade:
-    """Levels over a universe (``key``, ``listed``); ``fits`` is false if one would pass the bound."""
+    """Levels over a universe (``key``, ``listed``; keys distinct)."""
 
-    def __init__(self, universe: DataFrame, max_bits: int = MAX_BITS):
-        self.levels: list[tuple[DataFrame, int]] = []
-        self.fits = True
+    def __init__(self, universe: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP):
+        self.group = group
+        self.levels: list[tuple[DataFrame, int]] = []  # (shard, words), bits of each shard
         encoded, other = universe.where("listed").select("key"), universe.where(~F.col("listed")).select("key")
         n = encoded.count()
+        self.shards = max(1, -(-n * BITS_PER_KEY // max_bits))
         while n:
             level = len(self.levels)
-            bits = max(64, -(-n * BITS_PER_KEY // 64) * 64)
-            if bits > max_bits:
-                self.fits = False
-                return
-            words = stored(_filter(encoded, level, bits), "bloom")
-            self.levels.append((words, bits))
-            wrong = stored(other.where(self._level(F.col("key"), level)), "passed")
+            most = encoded.groupBy(self._shard(F.col("key")).alias("s")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).head()[0]
+            bits = -(-most * BITS_PER_KEY // 64) * 64
+            self.levels.append((stored(self._filter(encoded, level, bits), "bloom"), bits))
+            wrong = None
+            for g in self.groups():
+                part = other.where(self._of_group(F.col("key"), g) & self._passes(F.col("key"), self._words(level, g).scalar(), level, g))
+                wrong = part if wrong is None else wrong.unionAll(part)
+            wrong = stored(wrong, "passed")
             encoded, other = wrong, encoded
             n = encoded.count()
 
-    def _level(self, key: Column, level: int) -> Column:
-        words, bits = self.levels[level]
-        return _passes(key, words.scalar(), level, bits)
-
-    def listed(self, key: Column) -> Column:
-        """Whether a key of the universe is listed."""
+    def groups(self) -> range:
+        return range(-(-self.shards // self.group))
+
+    def _shard(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(self.shards).cast("long"))
+
+    def _of_group(self, key: Column, g: int) -> Column:
+        return F.floor(self._shard(key) / self.group) == g
+
+    def _filter(self, keys: DataFrame, level: int, bits: int) -> DataFrame:
+        """(shard, words) of every shard."""
+        spots = keys.select(self._shard(F.col("key")).alias("s"), F.explode(F.array(*[_bit(F.col("key"), level, i, bits) for i in range(HASHES)])).alias("p")) \
+            .select("s", F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("x"))
+        blank = keys.sparkSession.range(self.shards).select(F.col("id").alias("s"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bits // 64 - 1).cast("long"))).alias("w"), F.lit(0).cast("long").alias("x"))
+        words = spots.unionAll(blank).groupBy("s", "w").agg(F.bit_or("x").alias("x"))
+        return words.groupBy(F.col("s").alias("shard")).agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "x"))), lambda s: s.x).alias("words"))
+
+    def _words(self, level: int, g: int) -> DataFrame:
+        """One row: the words of a group's shards, in their order."""
+        table = self.levels[level][0].where(F.floor(F.col("shard") / self.group) == g)
+        return table.agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "words"))), lambda s: s.words).alias("words"))
+
+    def _passes(self, key: Column, words: Column, level: int, g: int) -> Column:
+        own = F.get(words, (self._shard(key) - g * self.group).cast("int"))
+        ok = F.lit(True)
+        for i in range(HASHES):
+            p = _bit(key, level, i, self.levels[level][1])
+            ok = ok & (F.getbit(F.get(own, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1)
+        return ok
+
+    def tables(self, g: int = 0) -> list[Column]:
+        """The levels of a group of shards, to be looked up by :meth:`listed`."""
+        return [self._words(k, g).scalar() for k in range(len(self.levels))]
+
+    def listed(self, key: Column, tables: Sequence[Column], g: int = 0) -> Column:
+        """Whether a key of the universe is listed; false for keys of other groups."""
         answer = F.lit(len(self.levels) % 2 == 1)
         for k in range(len(self.levels) - 1, -1, -1):
-            answer = F.when(self._level(key, k), answer).otherwise(F.lit(k % 2 == 1))
-        return answer
+            answer = F.when(self._passes(key, tables[k], k, g), answer).otherwise(F.lit(k % 2 == 1))
+        answer = key.isNotNull() & answer
+        return answer if self.shards <= self.group else F.when(self._of_group(key, g), answer).otherwise(F.lit(False))
 
 
 def verdicts(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url: str = "url", rules: Sequence[Rule] = RULES,
-             max_bits: int = MAX_BITS) -> DataFrame:
+             max_bits: int = MAX_BITS, group: int = GROUP) -> DataFrame:
     """(id, host, path, rule, verdict) per input row.
 
-    ``listed``: one column of blocked domains (a domain blocks its subdomains; nulls and
-    the case of letters don't matter).  The longest rule that fits decides; without one a url is
+    ``listed``: one column of blocked domains (a domain blocks its subdomains; nulls, names of over
+    127 labels and the case of letters don't matter).  The longest rule that fits decides; without one a url is
     blocked if its host or a parent domain is listed, else allowed.  Defined results: a
     null url, or one without ``://``, has an empty host and path, no rule, and is allowed; repeated
     rows each get a row; an empty table stays empty; other columns are ignored.
     """
     base = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url}`").alias("u")).select("id", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
-    block = listed.select(F.lower(F.col(f"`{listed.columns[0]}`")).alias("k")).where("k is not null").distinct()
-    hosts = base.select("host").distinct()
-    bad = hosts.select("host", F.explode(suffixes(F.col("host"))).alias("key")).join(block, F.col("key") == F.col("k"), "left_semi") \
-        .select(F.col("host").alias("h")).distinct()
-    universe = stored(hosts.join(bad, F.col("host") == F.col("h"), "left").select(F.col("host").alias("key"), F.col("h").isNotNull().alias("listed")), "universe")
-    cascade = Cascade(universe, max_bits)
-    if cascade.fits:
-        judged = base.withColumn("bad", cascade.listed(F.col("host")))
-    else:
-        found = universe.where("listed").select(F.col("key").alias("h"))
-        judged = base.join(found, F.col("host") == F.col("h"), "left").withColumn("bad", F.col("h").isNotNull()).drop("h")
+    block = listed.select(F.lower(F.col(f"`{listed.columns[0]}`")).alias("key"), F.lit(True).alias("listed")).where(labels(F.col("key")) <= LABELS)
+    # a host asks only for its suffixes of as many labels as listed domains have
+    lengths = sorted(r[0] for r in block.select(labels(F.col("key"))).distinct().collect())
+    asked = [F.when(labels(F.col("host")) >= n, F.substring_index("host", ".", -n)) for n in lengths]
+    hosts = base.select("host").where("host != ''").distinct()
+    keys = hosts.select(F.explode(F.array(*asked, F.lit(None).cast("string"))).alias("key")).where("key is not null").distinct()
+    keys = keys.withColumn("listed", F.lit(False)).unionByName(block)
+    cascade = Cascade(stored(keys.groupBy("key").agg(F.bool_or("listed").alias("listed")), "universe"), max_bits, group)
+    judged = base.withColumn("bad", F.lit(False))
+    for g in cascade.groups():
+        tables = cascade.tables(g)
+        judged = judged if not g else stored(judged, "judged")
+        hit = F.lit(False)
+        for key in asked:
+            hit = hit | cascade.listed(key, tables, g)
+        judged = judged.withColumn("bad", F.col("bad") | hit)
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return judged.select(F.col("id").alias(id_col), "host", "path", name.alias("rule"),
                          F.coalesce(verdict, F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = spark.createDataFrame([(d,) for d in LISTED], "domain string")
-    return verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"), listed)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return verdicts(pages, named(domains(pages)))
 
 
 ORACLE = r"""
@@ -179,10 +219,8 @@ hp AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJ
 rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
                                 ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 hit AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
-        FROM hp JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
-bad(d) AS (VALUES ('adult-x.example.com'), ('ads-track.example.com'), ('casino-win.example.net'), ('cheap-pills.example.net'),
-                  ('free-bets.example.net'), ('spam-farm.example.org'))
-SELECT hp.page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN EXISTS (SELECT 1 FROM bad WHERE host = d OR ends_with(host, '.' || d)) THEN 'block' ELSE 'allow' END) AS verdict
+        FROM hp JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT hp.page_id, host, path, rule, coalesce(verdict, CASE WHEN list_has_any(string_split(host, '.'),
+  ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block' ELSE 'allow' END) AS verdict
 FROM hp LEFT JOIN hit USING (page_id)
 """

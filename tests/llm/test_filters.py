@@ -143,25 +143,41 @@ def _verdict(u, listed):
     return host, path, None, "block" if bad else "allow"
 
 
-@pytest.mark.parametrize("max_bits", [1 << 22, 64])
-def test_verdicts(spark, max_bits):
+@pytest.mark.parametrize("max_bits,group", [(1 << 22, 64), (64, 64), (64, 4)])
+def test_verdicts(spark, max_bits, group):
     listed = ["spam.net", *(f"d{k}.net" for k in range(0, 200, 3))]
     urls = URLS + [f"http://s{k % 5}.d{k}.net/p" for k in range(200)] + URLS[:3]
     pages = spark.createDataFrame([(k, u, "x", "y") for k, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
     block = spark.createDataFrame([(d,) for d in [*listed, None, "SPAM.net", "elsewhere.net"]], "domain string")
-    got = url.verdicts(pages, block, max_bits=max_bits).collect()
+    got = url.verdicts(pages, block, max_bits=max_bits, group=group).collect()
     assert sorted((r.page_id, r.host, r.path, str(r.rule), r.verdict) for r in got) == sorted((k, *(str(x) if i == 2 else x for i, x in enumerate(_verdict(u, listed)))) for k, u in enumerate(urls))
     assert url.verdicts(pages.limit(0), block).count() == 0
     assert {r.verdict for r in url.verdicts(pages, block.limit(0), rules=()).collect()} == {"allow"}
 
 
-def test_cascade_is_exact_with_weak_levels(spark, monkeypatch):
+@pytest.mark.parametrize("max_bits", [1 << 22, 256])
+def test_cascade_is_exact_with_weak_levels(spark, monkeypatch, max_bits):
     monkeypatch.setattr(url, "BITS_PER_KEY", 2)
     universe = spark.createDataFrame([(f"k{k}", k % 4 == 0) for k in range(1500)], "key string, listed boolean")
-    cascade = url.Cascade(universe)
-    assert len(cascade.levels) > 4
+    cascade = url.Cascade(universe, max_bits)
+    assert len(cascade.levels) > 4 and cascade.shards == (1 if max_bits > 256 else 3)
     from pyspark.sql import functions as F
-    assert universe.where(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
+    assert universe.where(cascade.listed(F.col("key"), cascade.tables()) != F.col("listed")).count() == 0
+
+
+def test_listed_domains_come_from_the_whole_corpus(spark):
+    """Keys, listed and not, grow with the hosts; the plan has no join and no Python."""
+    pages = spark.createDataFrame([(k, f"http://{'www.' * (k % 2)}{'spam-farm' if k % 10 == 0 else 'site'}.h{k // 10}.example.net/") for k in range(4000)], "page_id long, url string")
+    found = {}
+    for n in (400, 4000):
+        part = pages.where(f"page_id < {n}")
+        keys = url.domains(part)
+        found[n] = (keys.count(), url.named(keys).count())
+        out = url.verdicts(part, url.named(keys), rules=())
+        assert out.where("verdict = 'block'").count() == n // 10
+    assert found[4000][0] > 9 * found[400][0] and found[4000][1] == 10 * found[400][1] == 400
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Python" not in plan and "Arrow" not in plan
 
 
 PAGE = "<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a='</p>';</script></head><body>%s</body></html>"
