@@ -142,57 +142,72 @@ def _survey(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return append_columns(docs.select("id", "body"), fields, "body", make).drop("body").where("n_windows > 0")
 
 
-def _pieces(held: DataFrame, window: int, single: bool) -> DataFrame:
-    """From documents with super-k-mers (``hits``): packed strings, or (``single``) the digest of each window."""
-    schema = "a long, b long, id long, h1 long, h2 long, pos int" if single else "min long, id long, h1 long, h2 long, pos int, n int, packed binary"
-    names = [f.split()[0] for f in schema.split(", ")]
-    kinds = [pa.int64()] * (5 if single else 4) + [pa.int32()] + ([] if single else [pa.int32(), pa.binary()])
+PIECE = "min long, id long, h1 long, h2 long, pos int, n int, packed binary"
 
-    def make(words: list[bytes], doc: int, h1: int, h2: int, hits: list) -> Iterator[tuple]:
-        for x in hits:
-            at = words[x["first"]:x["first"] + x["n"] + window - 1]
-            if single:
-                yield from ((a, b, doc, h1, h2, x["first"] + k) for k, (a, b) in enumerate(window_digests(at, window).tolist()))
-            else:
-                yield x["key"], doc, h1, h2, x["first"], x["n"], b" ".join(at)
 
-    return _from_texts(held, make, schema, names, kinds)
+def _rows(out: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*out), fields)], names=[n for n, _ in fields])
 
 
-def _cut_again(held: DataFrame, window: int, gram: int, order: int) -> DataFrame:
-    """Super-k-mers by the minimisers of a further hash order inside those in ``hits``; their key
-    tells both minimisers."""
-    schema = "rep long, h1 long, h2 long, key long, first int, n int, s1 long, s2 long"
-    names = [f.split()[0] for f in schema.split(", ")]
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()] * 2
+def _pieces(held: DataFrame, window: int) -> DataFrame:
+    """From documents (id, body) with super-k-mers (``hits``): one packed string each."""
+    schema = PIECE + ", long boolean"
 
-    def make(words: list[bytes], doc: int, h1: int, h2: int, hits: list) -> Iterator[tuple]:
-        for x in hits:
-            at = words[x["first"]:x["first"] + x["n"] + window - 1]
-            mins, starts = super_kmers(at, window, gram, order)
-            keys = ((mins.view(np.uint64) ^ np.uint64(x["key"] % (1 << 64))) * _MIX).view(np.int64).tolist()
-            starts = starts.tolist()
-            stops = [*starts[1:], x["n"]]
-            for key, a, b, (s1, s2) in zip(keys, starts, stops, _strings(at, starts, stops, window)):
-                yield doc, h1, h2, key, x["first"] + a, b - a, s1, s2
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "body"):
+                out = []
+                for doc, h1, h2, body, hits in zip(*(column(part, c).to_pylist() for c in ("id", "h1", "h2", "body", "hits"))):
+                    if (h1, h2) != digest((body or "").encode("utf-8", "surrogatepass")):
+                        continue  # another row of that id
+                    words = split(body or "")
+                    out += [(x["key"], doc, h1, h2, x["first"], x["n"], b" ".join(words[x["first"]:x["first"] + x["n"] + window - 1]), x["long"]) for x in hits]
+                if out:
+                    yield _rows(out, schema)
 
-    return _from_texts(held, make, schema, names, kinds)
+    return held.select("id", "body", "h1", "h2", "hits").mapInArrow(run, schema)
 
 
-def _from_texts(held: DataFrame, make, schema: str, names: list[str], kinds: list) -> DataFrame:
-    """Rows that ``make`` derives from each document's words and hits."""
+def _from_pieces(pieces: DataFrame, make, schema: str) -> DataFrame:
+    """Rows that ``make`` derives from packed strings, a bounded number of strings at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "body"):
+            for at in range(0, batch.num_rows, 1024):
                 out = []
-                for doc, h1, h2, body, hits in zip(*(column(part, c).to_pylist() for c in ("id", "h1", "h2", "body", "hits"))):
-                    if (h1, h2) == digest((body or "").encode("utf-8", "surrogatepass")):  # else another row of that id
-                        out += make(split(body or ""), doc, h1, h2, hits)
+                for row in zip(*(column(batch.slice(at, 1024), c).to_pylist() for c in ("min", "id", "h1", "h2", "pos", "n", "packed"))):
+                    out += make(*row)
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+                    yield _rows(out, schema)
+
+    return pieces.mapInArrow(run, schema)
 
-    return held.mapInArrow(run, schema)
+
+def _cut_again(pieces: DataFrame, window: int, gram: int, order: int) -> DataFrame:
+    """Super-k-mers by the minimisers of a further hash order inside packed strings; their key
+    tells both minimisers."""
+
+    def make(key: int, doc: int, h1: int, h2: int, pos: int, n: int, packed: bytes) -> Iterator[tuple]:
+        words = packed.split(b" ")
+        mins, starts = super_kmers(words, window, gram, order)
+        keys = ((mins.view(np.uint64) ^ np.uint64(key % (1 << 64))) * _MIX).view(np.int64).tolist()
+        starts = starts.tolist()
+        for k, a, b in zip(keys, starts, [*starts[1:], n]):
+            part = b" ".join(words[a:b + window - 1])
+            yield doc, h1, h2, k, pos + a, b - a, *digest(part), part
+
+    return _from_pieces(pieces, make, "rep long, h1 long, h2 long, key long, first int, n int, s1 long, s2 long, packed binary")
+
+
+def _single(pieces: DataFrame, window: int) -> DataFrame:
+    """One row per window of packed strings, by its digest."""
+
+    def make(key: int, doc: int, h1: int, h2: int, pos: int, n: int, packed: bytes) -> Iterator[tuple]:
+        return ((a, b, doc, h1, h2, pos + k) for k, (a, b) in enumerate(window_digests(packed.split(b" "), window).tolist()))
+
+    return _from_pieces(pieces, make, "a long, b long, id long, h1 long, h2 long, pos int")
 
 
 def _sorted_windows(pieces: DataFrame, window: int, at_once: int = AT_ONCE) -> DataFrame:
@@ -270,31 +285,33 @@ def _cut(docs: DataFrame, window: int) -> DataFrame:
     return docs.select(*[f.name for f in base], "marks").mapInArrow(run, T.StructType([*base, *new]))
 
 
-def _repeats(each: DataFrame, usable: DataFrame, window: int, gram: int, long: int, order: int) -> DataFrame:
+def _repeats(each: DataFrame, texts: DataFrame, window: int, gram: int, long: int, order: int = 0) -> DataFrame:
     """(id, h1, h2, pos, n): stretches of windows that also start in a smaller document, from the
-    super-k-mers ``each`` (rep, h1, h2, key, first, n, s1, s2) of distinct texts; equal windows have equal keys."""
+    super-k-mers ``each`` (rep, h1, h2, key, first, n, s1, s2, and packed after the first order) of distinct
+    texts (``texts``: id, body); equal windows have equal keys."""
     strings = each.groupBy("key", "s1", "s2").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.first("n").alias("n"))
     shared = strings.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b"), F.count(F.lit(1)).alias("strings"), F.sum("n").alias("many")) \
         .where("a < b").select(F.col("key").alias("k"), (F.col("strings") > 1).alias("differ"), (F.col("many") > long).alias("long"))
     of = strings.where("low < high").select(F.col("key").alias("k2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "low")
-    hits = each.join(shared, F.col("key") == F.col("k")).join(of, (F.col("key") == F.col("k2")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left") \
-        .select("rep", "h1", "h2", "key", "first", "n", "differ", "long", F.coalesce(F.col("low") < F.col("rep"), F.lit(False)).alias("copy"))
+    hits = each.join(shared, F.col("key") == F.col("k")).join(of, (F.col("key") == F.col("k2")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
+    copy = F.coalesce(F.col("low") < F.col("rep"), F.lit(False))
+    packed = [F.when(~copy, F.col("packed")).alias("packed")] if order else []
+    hits = hits.select("rep", "h1", "h2", "key", "first", "n", "differ", "long", copy.alias("copy"), *packed)
     hits = stored(hits.where("copy or differ"), "hits")
     found = hits.where("copy").select(F.col("rep").alias("id"), "h1", "h2", F.col("first").alias("pos"), "n")
-
-    def held(some: DataFrame) -> DataFrame:
-        by_doc = some.groupBy(F.col("rep").alias("doc"), "h1", "h2").agg(F.collect_list(F.struct("key", "first", "n")).alias("hits"))
-        return usable.join(by_doc, F.col("id") == F.col("doc")).drop("doc")
-
-    found = found.unionAll(_sorted_windows(_pieces(held(hits.where("not copy and not long")), window, False), window))
-    rest = hits.where("not copy and long")
+    live = hits.where("not copy")
+    if order:
+        pieces = live.select(F.col("key").alias("min"), F.col("rep").alias("id"), "h1", "h2", F.col("first").alias("pos"), "n", "packed", "long")
+    else:  # the texts travel once; further orders cut the packed strings
+        by_doc = live.groupBy(F.col("rep").alias("doc"), "h1", "h2").agg(F.collect_list(F.struct("key", "first", "n", "long")).alias("hits"))
+        pieces = stored(_pieces(texts.join(by_doc, F.col("id") == F.col("doc")), window), "pieces")
+    found = found.unionAll(_sorted_windows(pieces.where("not long").drop("long"), window))
+    rest = pieces.where("long").drop("long")
     if not rest.head(1):
         return found
-    texts = held(rest).select("id", "body", "h1", "h2", "hits")  # a job of its own: no need of the whole rows
     if order + 1 < ORDERS:
-        again = stored(_cut_again(texts, window, gram, order + 1), "superkmers")
-        return found.unionAll(_repeats(again, usable, window, gram, long, order + 1))
-    loose = stored(_pieces(texts, window, True), "windows")
+        return found.unionAll(_repeats(stored(_cut_again(rest, window, gram, order + 1), "superkmers"), texts, window, gram, long, order + 1))
+    loose = stored(_single(rest, window), "windows")
     least = loose.groupBy("a", "b").agg(F.min("id").alias("low")).select(F.col("a").alias("a2"), F.col("b").alias("b2"), "low")
     return found.unionAll(loose.join(least, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2"))).where("low < id")
                           .select("id", "h1", "h2", "pos", F.lit(1).alias("n")))
@@ -318,15 +335,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         raise ValueError("gram must be 1 to window")
     spark = docs.sparkSession
     ensure_importable(spark)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("body"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    body = F.col("row").getField(docs.select(F.col(f"`{text}`")).columns[0])
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
     usable = rows.where("id is not null")
-    seen = stored(_survey(usable, window, gram), "superkmers")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("body")).where("id is not null")
+    seen = stored(_survey(texts, window, gram), "superkmers")
     classes = seen.groupBy("h1", "h2").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n_windows", "keys", "firsts", "d1", "d2")])
     each = classes.select("rep", "h1", "h2", F.explode(F.arrays_zip(
         "keys", "firsts", F.concat(F.slice("firsts", F.lit(2), F.size("firsts")), F.array("n_windows")).alias("stops"), "d1", "d2")).alias("x"))
     each = each.select("rep", "h1", "h2", F.col("x.keys").alias("key"), F.col("x.firsts").alias("first"), (F.col("x.stops") - F.col("x.firsts")).alias("n"),
                        F.col("x.d1").alias("s1"), F.col("x.d2").alias("s2"))
-    found = _repeats(each, usable, window, gram, long, 0)
+    found = _repeats(each, texts, window, gram, long)
     spans = found.groupBy("id", "h1", "h2").agg(F.collect_list(F.struct("pos", "n")).alias("spans")) \
         .select("id", "h1", "h2", F.lit(False).alias("whole"), "spans")
     low = seen.groupBy("h1", "h2").agg(F.min("id").alias("rep")).select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "rep")
@@ -336,7 +355,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         .select(F.col("id").alias("doc"), F.col("marks").cast(MARKS).alias("marks"))
     judged = usable.join(marks, F.col("id") == F.col("doc"), "left").drop("doc")
     rest = rows.where("id is null").withColumn("marks", F.lit(None).cast(MARKS))
-    return _cut(judged.unionAll(rest), window).drop("body")
+    return _cut(judged.unionAll(rest).withColumn("body", body), window).drop("body")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
