@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +50,11 @@ FEED_OWNERS = ("GVB", "ARR", "QBUZZ", "VTN", "EBS", "HTM", "SYNTUS")
 
 
 def store_feed(feed: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every table of a built feed written once to the shared folder and read back."""
-    return {name: _store(df, name) for name, df in feed.items()}
+    """Every table of a built feed written once to the shared folder and read back.  The tables
+    are written side by side: a small one does not wait for a large one's last tasks."""
+    with ThreadPoolExecutor(max_workers=len(feed) or 1) as pool:
+        done = {name: pool.submit(_store, df, name) for name, df in feed.items()}
+        return {name: job.result() for name, job in done.items()}
 
 
 def of_owner(t: dict[str, DataFrame], owner: str) -> dict[str, DataFrame]:

@@ -74,6 +74,25 @@ def rd_lon(x, y, precision: int = 7, scale: int = 5) -> Column:
     return rd_to_wgs84(x, y)["lon"].cast(f"decimal({precision},{scale})")
 
 
+#: Mean earth radius in metres.
+EARTH = 6371008.8
+
+
+def great_circle_m(lat1, lon1, lat2, lon2) -> Column:
+    """Metres between two points in degrees (haversine; NULL in -> NULL out)."""
+    a, b, c, d = (F.radians(as_col(x).cast("double")) for x in (lat1, lon1, lat2, lon2))
+    h = F.pow(F.sin((c - a) / 2), F.lit(2)) + F.cos(a) * F.cos(c) * F.pow(F.sin((d - b) / 2), F.lit(2))
+    return F.lit(2 * EARTH) * F.asin(F.sqrt(F.when(h > 1, F.lit(1.0)).otherwise(h)))  # least() would pass over a NULL
+
+
+def grid_cell(lat, lon, metres: float) -> Column:
+    """struct<x, y, z long>: the cube of that edge around the earth's centre that a point on the sphere lies in.
+    Points within ``metres`` of each other lie in the same or neighbouring cubes, at any latitude."""
+    a, b = (F.radians(as_col(v).cast("double")) for v in (lat, lon))
+    side = F.lit(EARTH / metres)
+    return F.struct(*[F.floor(v * side).cast("long").alias(n) for n, v in (("x", F.cos(a) * F.cos(b)), ("y", F.cos(a) * F.sin(b)), ("z", F.sin(a)))])
+
+
 def sql_rd_expr(x: str, y: str, which: str) -> str:
     """The same polynomial as SQL text (used by the DuckDB oracle)."""
     dx = f"(({x}) - {RD_X0}) * 1e-5"

@@ -10,10 +10,12 @@ per-trip window) and report counts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geo import great_circle_m, grid_cell
 from ..functions.times import to_seconds
 
 # Netherlands bounding box used by the stop-location rule (degrees)
@@ -130,6 +132,49 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
         .filter(F.col("violations") > 0)
 
 
+def stops_too_close(stops: DataFrame, metres: float) -> DataFrame:
+    """(stop_id, n_close) of the stops that have others within ``metres`` (N-39).
+
+    Stops at one position count as one entry in a grid of cubes of that edge; every position meets those of
+    its own and the 26 neighbouring cubes in an equi-join.  Stops without a position have no neighbours."""
+    at = stops.filter(F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull()) \
+        .select("stop_id", F.col("stop_lat").cast("double").alias("lat"), F.col("stop_lon").cast("double").alias("lon"))
+    places = at.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n")).withColumn("cell", grid_cell("lat", "lon", metres))
+    near = F.array(*[F.struct(*[(F.col(f"cell.{a}") + k).alias(a) for a, k in zip("xyz", shift)]) for shift in product((-1, 0, 1), repeat=3)])
+    other = places.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.col("n").alias("n2"), F.explode(near).alias("cell2"))
+    pairs = places.join(other, F.col("cell") == F.col("cell2")).filter(great_circle_m("lat", "lon", "lat2", "lon2") <= metres)
+    found = pairs.groupBy("lat", "lon").agg((F.sum("n2") - 1).alias("n_close")).filter("n_close > 0")
+    return at.join(found.toDF("lat3", "lon3", "n_close"), (F.col("lat") == F.col("lat3")) & (F.col("lon") == F.col("lon3"))).select("stop_id", "n_close")
+
+
+def fast_travel(stop_times: DataFrame, stops: DataFrame, kmh: float) -> DataFrame:
+    """(trip_id, stop_sequence, metres, seconds): legs between consecutive stops of a trip that
+    are faster than ``kmh`` as the crow flies (N-39); a leg of no time counts as one second."""
+    where = stops.select("stop_id", F.col("stop_lat").cast("double").alias("lat"), F.col("stop_lon").cast("double").alias("lon")).dropDuplicates(["stop_id"])
+    t = stop_times.filter(F.col("trip_id").isNotNull()).select("trip_id", "stop_sequence", "stop_id", to_seconds("arrival_time").alias("a"), to_seconds("departure_time").alias("d")).join(where, "stop_id")
+    w = Window.partitionBy("trip_id").orderBy("stop_sequence", "a", "d", "stop_id")
+    prev = {c: F.lag(c).over(w) for c in ("lat", "lon", "d")}
+    legs = t.select("trip_id", "stop_sequence", "lat", "lon", "a", *[v.alias(f"p_{c}") for c, v in prev.items()])
+    legs = legs.select("trip_id", "stop_sequence", great_circle_m("p_lat", "p_lon", "lat", "lon").alias("metres"), (F.col("a") - F.col("p_d")).alias("seconds"))
+    return legs.filter(F.col("metres") * 3.6 > F.greatest("seconds", F.lit(1)) * kmh)
+
+
+def block_overlaps(trips: DataFrame, stop_times: DataFrame, calendar_dates: DataFrame) -> DataFrame:
+    """(block_id, date, trip_id, start_s, busy_until_s): trips that start while an earlier trip of their
+    block is still under way that day (N-39).
+
+    A sweep over the trips of a block and day in order of their start (then end, then id) with the running
+    maximum of the ends so far: no trip meets more than its predecessor's maximum."""
+    times = stop_times.filter(F.col("trip_id").isNotNull()).groupBy("trip_id").agg(
+        F.min(to_seconds("departure_time")).alias("start_s"), F.max(to_seconds("arrival_time")).alias("end_s"))
+    days = calendar_dates.select("service_id", "date").distinct()
+    own = trips.filter(F.col("block_id").isNotNull()).select("block_id", "service_id", "trip_id").distinct()
+    t = own.join(times, "trip_id").join(days, "service_id")
+    before = Window.partitionBy("block_id", "date").orderBy("start_s", "end_s", "trip_id").rowsBetween(Window.unboundedPreceding, -1)
+    return t.withColumn("busy_until_s", F.max("end_s").over(before)).filter(F.col("start_s") < F.col("busy_until_s")) \
+        .select("block_id", "date", "trip_id", "start_s", "busy_until_s")
+
+
 def feed_orphans(feed: dict[str, DataFrame]) -> DataFrame:
     """(rule, violations) of a feed whose trips, stop times and transfers must name each other; every
     rule is listed, also with 0.  Transfers between platforms (type 2) name no trips."""

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..feeds import store_feed
 from ..operators import checks as K
 from ..operators import constraints as G
-from . import q_kv1
+from ..operators import gtfs_iff as I
+from . import q_iff, q_kv1
 from .fixtures import Fixtures, duckdb_with
 
 
@@ -43,25 +44,82 @@ SQL_NOT_NULL = duckdb_with(["passes"], "\n" + "\nunion all\n".join(
     f"select '{c}' as column, cast(count(*) - count({c}) as bigint) as nulls from passes" for c in _PASS_COLS))
 
 
-def q_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = store_feed({
+def kv1_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The feed of the passing-time queries."""
+    return {
         "stop_times": q_kv1.q_stop_times(spark, sf_dir), "trips": q_kv1.q_trips(spark, sf_dir),
         "stops": q_kv1.q_stops(spark, sf_dir), "routes": q_kv1.q_routes(spark, sf_dir),
         "calendar_dates": q_kv1.q_calendar_dates(spark, sf_dir), "agency": q_kv1.q_agency(spark, sf_dir),
-    })
-    return K.validate_gtfs(feed)
+    }
+
+
+# Violations planted into the feed, one text for both engines: rows twice, times that run backwards, unknown trips
+# and stops, unknown routes and services, days twice, a stop abroad.  Routes without agency are there already.
+PLANTED = {
+    "stop_times": """
+select trip_id, case when trip_id like '%7' and stop_sequence = 3 then '00:00:01' else arrival_time end as arrival_time, departure_time, stop_id, stop_sequence from {stop_times}
+union all select trip_id, arrival_time, departure_time, stop_id, stop_sequence from {stop_times} where trip_id like '%3' and stop_sequence = 2
+union all select concat('lost|', trip_id), arrival_time, departure_time, stop_id, stop_sequence from {stop_times} where trip_id like '%11'
+union all select concat(trip_id, ''), arrival_time, departure_time, 'nowhere', stop_sequence + 100 from {stop_times} where trip_id like '%13' and stop_sequence = 1""",
+    "trips": """
+select route_id, service_id, trip_id from {trips}
+union all select concat(route_id, '|gone'), service_id, concat(trip_id, '|a') from {trips} where trip_id like '%17'
+union all select route_id, concat(service_id, '|gone'), concat(trip_id, '|b') from {trips} where trip_id like '%19'""",
+    "calendar_dates": """
+select service_id, date from {calendar_dates} union all select service_id, date from {calendar_dates} where date like '%05'""",
+    "stops": """
+select stop_id, stop_lat, stop_lon from {stops}
+union all select concat(stop_id, '|abroad'), stop_lat, stop_lon + 20 from {stops} where stop_id like '%1'""",
+}
+
+
+def q_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = kv1_feed(spark, sf_dir)
+    for t, text in PLANTED.items():
+        feed[t] = spark.sql(text, **{t: feed[t]})
+    return K.validate_gtfs(store_feed(feed))
+
+
+# ---- q_stops_too_close, q_fast_travel, q_block_overlaps (N-39) ----------------
+
+CLOSE_M = 400.0
+FAST_KMH = 120.0
+
+
+def q_stops_too_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.stops_too_close(q_kv1.q_stops(spark, sf_dir), CLOSE_M)
+
 
+def q_fast_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.fast_travel(q_kv1.q_stop_times(spark, sf_dir), q_kv1.q_stops(spark, sf_dir), FAST_KMH).select("trip_id", "stop_sequence", F.round("metres").cast("long").alias("metres"), "seconds")
+
+
+def q_block_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rail trips; a vehicle (block) runs every 50th service."""
+    feed = I.exports(q_iff.iff_tables(Fixtures(spark, sf_dir)))
+    trips = feed["trips"].withColumn("block_id", F.col("block_id") % 50)
+    return K.block_overlaps(trips, feed["stop_times"], q_iff.q_bitmap(spark, sf_dir))
+
+
+_METRES = "2 * 6371008.8 * asin(sqrt(pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)))"
+_POINTS = f"""with sp as ({q_kv1.SQL_STOPS}), pt as (select stop_id, cast(stop_lat as double) as lat, cast(stop_lon as double) as lon from sp)"""
+
+SQL_STOPS_TOO_CLOSE = f"""{_POINTS}
+select a.stop_id, count(*) as n_close from pt a join pt b on a.stop_id <> b.stop_id and {_METRES.format(a='a.lat', b='a.lon', c='b.lat', d='b.lon')} <= {CLOSE_M} group by a.stop_id
+"""
 
 def _to_s(col: str) -> str:
     return (f"(cast(split_part({col}, ':', 1) as integer) * 3600 + cast(split_part({col}, ':', 2) as integer) * 60 "
             f"+ cast(split_part({col}, ':', 3) as integer))")
 
 
+_PLANTED = {t: text.format(**{t: f"{t}_0"}) for t, text in PLANTED.items()}
 SQL_VALIDATE = f"""
-with st as ({q_kv1.SQL_STOP_TIMES}), tr as ({q_kv1.SQL_TRIPS}), sp as ({q_kv1.SQL_STOPS}),
-rt as ({q_kv1.SQL_ROUTES}), cd as ({q_kv1.SQL_CALENDAR_DATES}), ag as ({q_kv1.SQL_AGENCY}),
+with stop_times_0 as ({q_kv1.SQL_STOP_TIMES}), trips_0 as ({q_kv1.SQL_TRIPS}), stops_0 as ({q_kv1.SQL_STOPS}),
+rt as ({q_kv1.SQL_ROUTES}), calendar_dates_0 as ({q_kv1.SQL_CALENDAR_DATES}), ag as ({q_kv1.SQL_AGENCY}),
+st as ({_PLANTED["stop_times"]}), tr as ({_PLANTED["trips"]}), sp as ({_PLANTED["stops"]}), cd as ({_PLANTED["calendar_dates"]}),
 tm as (select trip_id, {_to_s('arrival_time')} as a, {_to_s('departure_time')} as d,
-   lag({_to_s('departure_time')}) over (partition by trip_id order by stop_sequence) as prev_d from st),
+   lag({_to_s('departure_time')}) over (partition by trip_id order by stop_sequence, {_to_s('arrival_time')}, {_to_s('departure_time')}) as prev_d from st),
 r as (
  select 'stop_times_duplicate_key' as rule, count(*) as violations from (select trip_id, stop_sequence from st group by all having count(*) > 1)
  union all select 'stop_times_time_decreases', count(*) from tm where a < prev_d or d < a
@@ -76,6 +134,22 @@ r as (
 select rule, violations from r where violations > 0
 """
 
+SQL_FAST_TRAVEL = f"""{_POINTS}, st as ({q_kv1.SQL_STOP_TIMES}),
+t as (select trip_id, stop_sequence, lat, lon, {_to_s('arrival_time')} as a, {_to_s('departure_time')} as d from st join pt using (stop_id)),
+l as (select *, lag(lat) over w as p_lat, lag(lon) over w as p_lon, lag(d) over w as p_d from t window w as (partition by trip_id order by stop_sequence))
+select trip_id, stop_sequence, cast(round(m) as bigint) as metres, s as seconds
+from (select trip_id, stop_sequence, {_METRES.format(a='p_lat', b='p_lon', c='lat', d='lon')} as m, a - p_d as s from l) x where m is not null and m * 3.6 > greatest(s, 1) * {FAST_KMH}
+"""
+
+SQL_BLOCK_OVERLAPS = f"""
+with tr as ({q_iff.SQL_IFF_TRIPS}), st as ({q_iff.SQL_IFF_STOP_TIMES}), cd as ({q_iff.SQL_BITMAP}),
+tm as (select trip_id, min({_to_s('departure_time')}) as start_s, max({_to_s('arrival_time')}) as end_s from st where trip_id is not null group by trip_id),
+run as (select distinct block_id % 50 as block_id, date, trip_id, start_s, end_s from tr join tm using (trip_id) join cd using (service_id))
+select b.block_id, b.date, b.trip_id, b.start_s, max(a.end_s) as busy_until_s
+from run b join run a on a.block_id = b.block_id and a.date = b.date and (a.start_s, a.end_s, a.trip_id) < (b.start_s, b.end_s, b.trip_id)
+group by all having max(a.end_s) > b.start_s
+"""
+
 
 # ---- q_constraints, q_cascade_graph (B-2, B-3, B-4, B-6) ----------------------
 
@@ -151,6 +225,9 @@ SQL_CASCADE_GRAPH = duckdb_with(sorted(set(_DELIVERY.values())), "\n" + "\nunion
 
 
 QUERIES = {
+    "q_stops_too_close": (q_stops_too_close, SQL_STOPS_TOO_CLOSE),
+    "q_fast_travel": (q_fast_travel, SQL_FAST_TRAVEL),
+    "q_block_overlaps": (q_block_overlaps, SQL_BLOCK_OVERLAPS),
     "q_constraints": (q_constraints, SQL_CONSTRAINTS),
     "q_cascade_graph": (q_cascade_graph, SQL_CASCADE_GRAPH),
     "q_pk": (q_pk, SQL_PK),
