@@ -18,7 +18,7 @@ covers it has a word sequence that also starts in a document with a smaller id.
    that each run of equal windows tells its smallest document.
 5. A bucket of over ``LONG`` windows (different texts around one frequent passage) is not sorted:
    its super-k-mers are cut again by the minimisers of another hash order and dealt by
-   both, with steps 3 and 4, up to ``ORDERS`` times.  Windows that differ in next to nothing
+   both, with steps 3 and 4 (``ORDERS`` orders in all).  Windows that differ in next to nothing
    share all of these; what is still long then is dealt by the digests of single windows, of which
    only the smallest document is kept, aggregated before the shuffle.
 6. The windows found are cut out of the whole texts.
@@ -43,7 +43,7 @@ GRAM = 8
 #: Windows of a bucket (about 150 bytes each while they are sorted) beyond which it is dealt by a
 #: further minimiser, hash orders in all, and windows that a task sorts at once.
 LONG = 20_000
-ORDERS = 3
+ORDERS = 2
 AT_ONCE = 250_000
 #: Word hashes that a worker remembers.
 CACHE_WORDS = 250_000
@@ -297,7 +297,8 @@ def _repeats(each: DataFrame, texts: DataFrame, window: int, gram: int, long: in
     copy = F.coalesce(F.col("low") < F.col("rep"), F.lit(False))
     packed = [F.when(~copy, F.col("packed")).alias("packed")] if order else []
     hits = hits.select("rep", "h1", "h2", "key", "first", "n", "differ", "long", copy.alias("copy"), *packed)
-    hits = stored(hits.where("copy or differ"), "hits")
+    hits = hits.where("copy or differ")
+    hits = hits if order else stored(hits, "hits")
     found = hits.where("copy").select(F.col("rep").alias("id"), "h1", "h2", F.col("first").alias("pos"), "n")
     live = hits.where("not copy")
     if order:
