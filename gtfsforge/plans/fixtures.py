@@ -89,6 +89,16 @@ select distinct version, dataownercode, userstopcodebegin, userstopcodeend, k as
  case when userstopcodebegin % 4 = 0 and k = 2 then 40 else k * 40 end as distancesincestartoflink,
  13000 + (userstopcodebegin * 7919 + k * 150) % 265000 as locationx_ew, 306000 + (userstopcodebegin * 10007 + k * 90) % 310000 as locationy_ns
 from (select l.*, @EXPLODE(0, 1, 2)@ as k from {links} l) x
+""",
+    # POOL per mode, its points in a table of their own, some of which are missing
+    "points": """
+select distinct version, dataownercode, concat(cast(userstopcodebegin as string), '-', cast(pointno as string)) as pointcode, locationx_ew, locationy_ns
+from {pool} where (userstopcodebegin + pointno) % 31 <> 0
+""",
+    "pool_by_mode": """
+select version, dataownercode, userstopcodebegin, userstopcodeend, dataownercode as pointdataownercode, concat(cast(userstopcodebegin as string), '-', cast(pointno as string)) as pointcode,
+ distancesincestartoflink, transporttype
+from (select p.*, @EXPLODE('BUS', 'TRAM')@ as transporttype from {pool} p) x where transporttype = 'BUS' or userstopcodebegin % 2 = 0
 """,
     # TIVE x PEGRVAL; thru falls back when NULL
     "services": """

@@ -269,6 +269,26 @@ select distinct {pipe(*PATTERN)} as shape_id, {lat('locationx_ew', 'locationy_ns
 """).replace(",\n, ln", ",\nln")
 
 
+# ---- q_shapes_points (N-21: points joined, the line's mode matched) ----------
+
+def q_shapes_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixtures(spark, sf_dir)
+    return G.gtfs_shapes(fx.links, fx.pool_by_mode, fx.lines, point=fx.points, exclude_train=False, match_transport=True)
+
+
+SQL_SHAPES_POINTS = duckdb_with(["links", "pool_by_mode", "points", "lines"], f"""
+, drawn as (
+ select j.*, pt.locationx_ew, pt.locationy_ns, o.distancesincestartoflink
+ from links j join lines l using (version, dataownercode, lineplanningnumber)
+ join pool_by_mode o using (version, dataownercode, userstopcodebegin, userstopcodeend)
+ join points pt on pt.version = o.version and pt.dataownercode = o.pointdataownercode and pt.pointcode = o.pointcode
+ where o.transporttype = coalesce(l.transporttype, if(cast(l.linepublicnumber as varchar) = 'FF', 'BOAT', 'BUS')))
+select distinct {pipe(*PATTERN)} as shape_id, {lat('locationx_ew', 'locationy_ns')} as shape_pt_lat, {lon('locationx_ew', 'locationy_ns')} as shape_pt_lon,
+ cast(rank() over (partition by {", ".join(PATTERN)} order by timinglinkorder, distancesincestartoflink) as integer) as shape_pt_sequence
+from drawn
+""")
+
+
 SQL_SHAPES_RANK = _shapes_sql("rank")
 SQL_SHAPES_SEQ = _shapes_sql("row_number")
 
@@ -361,4 +381,5 @@ QUERIES = {
     "q_routes": (q_routes, SQL_ROUTES),
     "q_shapes_rank": (q_shapes_rank, SQL_SHAPES_RANK),
     "q_shapes_seq": (q_shapes_seq, SQL_SHAPES_SEQ),
+    "q_shapes_points": (q_shapes_points, SQL_SHAPES_POINTS),
 }
