@@ -9,7 +9,7 @@ import pytest
 
 from gtfsforge.llm import html_extraction as html, quality_classifier as qc, quality_rules as rules, url_filter as url
 
-from brute import SF_MID, docs_of, prose, words_of
+from brute import SF_MID, docs_of, prose, speech, words_of
 
 TEXTS = ["", " \n", "one", "a b c a b c d", "x\ny\nx\n\n\nx \nx", "#* $%& |<> ##", "é é\x85é\u00a0z", "same line\n" * 30, "a b " * 60,
          prose(np.random.default_rng(1), 400), "日本語 " * 80, "слово другое третье " * 30 + " ".join("слово%d" % k for k in range(90)), "a\x0bb\x0cc\rd\x1ce"]
@@ -63,6 +63,35 @@ def test_rules_reject_junk_and_keep_prose(spark):
     assert n[0, False] > n.get((0, True), 0)
 
 
+def test_each_measure_rejects_what_the_others_keep(docs_of):
+    """Texts that pass the base rule and leave one band each."""
+    import base64
+
+    import public_tokenizers
+
+    rng = np.random.default_rng(31)
+    few = ["ab", "cd", "ef", "gh", "ij", "kl", "mn", "op", "qr", "st", "uv", "wx"]
+    with open(public_tokenizers.path(rules.RANKS), "rb") as f:
+        tokens = [base64.b64decode(x.split()[0]) for x in f]
+    long = sorted({t[1:].decode() for t in tokens if len(t) > 13 and t[:1] == b" " and t[1:].isalpha() and t.isascii()})[:90]
+    known = rules.Fertility()._known
+    single = [x for x in (t.decode("utf-8", "ignore") for t in tokens if len(t) > 1) if len(x) == 1 and not x.isascii() and x not in known]
+    rows = {
+        "entropy": " ".join(few[k] for k in rng.integers(0, 12, 90)),
+        "fallback": " ".join(w + single[k % len(single)] for k, w in enumerate(long[:40] + speech(rng, 60).split())),
+        "few characters": " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)).upper() + str(rng.integers(10 ** 6, 10 ** 7)) for _ in range(90)),
+        "many characters": " ".join(long),
+        "none": speech(rng, 120),
+    }
+    got = {r["doc_id"]: r for r in rules.quality_rules(docs_of(list(enumerate(rows.values())))).collect()}
+    band = rules.BANDS["latin"]
+    for k, name in enumerate(rows):
+        r = got[k]
+        left = {"entropy": r["token_entropy"] < band.least_entropy, "fallback": r["fallback_share"] > band.most_fallback,
+                "few characters": r["chars_per_token"] < band.least_chars, "many characters": r["chars_per_token"] > band.most_chars}
+        assert not r["base_failed"] and {n for n, out in left.items() if out} == ({name} if name != "none" else set()) and r["kept"] == (name == "none"), (name, r)
+
+
 def test_random_indexing_sums(docs_of):
     rows = [(k, prose(np.random.default_rng(k), 40, 30)) for k in range(20)] + [(21, None), (22, "")]
     pos, sign = qc.index_vectors()
