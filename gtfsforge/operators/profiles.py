@@ -87,6 +87,50 @@ def compress_journeys(pujopass: DataFrame) -> dict[str, DataFrame]:
     return {"schedpujo": schedpujo, "timdemgrp": timdemgrp, "timdemrnt": timdemrnt}
 
 
+#: A pattern, whatever delivery describes it.
+LASTING = [k for k in GROUP if k != "version"]
+
+
+def _same(columns: list[str]) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return out
+
+
+def lasting_codes(pujopass: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Compression with codes that stay the same from delivery to delivery (N-5, L-1).
+
+    ``known`` is the dictionary so far: (owner, line, pattern, content, timedemandgroupcode), where ``content`` is a
+    SHA-256 of the profile.  A profile keeps the code that its content has; new ones follow the
+    largest code of their pattern, in order of first appearance.  So importing a
+    delivery again, or after others, changes no code.  Returns the dictionary with the new
+    entries, to be stored for the next delivery, and the tables of :func:`compress_journeys`."""
+    entry = [*LASTING, "content"]
+    jp = journey_profiles(pujopass).withColumn("content", F.sha2(F.to_json("profile"), 256))
+    first = F.struct("version", "organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber")
+    fresh = jp.groupBy(*entry).agg(F.min(first).alias("first"))
+    if known is not None:
+        old = known.select(*[F.col(c).alias(f"__{c}") for c in entry])
+        fresh = fresh.join(old, _same(entry), "left_anti")
+    fresh = fresh.withColumn("first_schedule", F.struct("first.version", "first.organizationalunitcode", "first.schedulecode", "first.scheduletypecode")) \
+        .withColumn("first_journey", F.col("first.journeynumber"))
+    fresh = nested_rank(fresh, LASTING, "first_schedule", ["first_journey"], "nth", method="row_number").withColumn("timedemandgroupcode", F.col("nth") - 1)
+    if known is not None:
+        top = known.groupBy(*[F.col(c).alias(f"__{c}") for c in LASTING]).agg(F.max("timedemandgroupcode").alias("top"))
+        fresh = fresh.join(top, _same(LASTING), "left").withColumn("timedemandgroupcode", F.coalesce(F.col("top") + 1, F.lit(0)) + F.col("nth") - 1)
+    dictionary = fresh.select(*entry, F.col("timedemandgroupcode").cast("int").alias("timedemandgroupcode"))
+    if known is not None:
+        dictionary = known.select(*dictionary.columns).unionByName(dictionary)
+    codes = dictionary.select(*[F.col(c).alias(f"__{c}") for c in entry], "timedemandgroupcode")
+    coded = jp.join(codes, _same(entry)).drop(*[f"__{c}" for c in entry], "content")
+    groups = coded.groupBy(*GROUP, "timedemandgroupcode").agg(F.first("profile").alias("profile"))
+    return dictionary, {
+        "schedpujo": coded.drop("profile"), "timdemgrp": groups.drop("profile"),
+        "timdemrnt": groups.select(*GROUP, "timedemandgroupcode", F.explode("profile").alias("r")).select(*GROUP, "timedemandgroupcode", "r.*"),
+    }
+
+
 # --------------------------------------------------------------------------
 # N-6
 # --------------------------------------------------------------------------

@@ -65,6 +65,31 @@ from ranked r join codes c on {on('r', 'c', PATTERN)} and r.profile = c.profile
 """)
 
 
+# ---- q_profile_codes (N-5, L-1) ----------------------------------------------
+
+def q_profile_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes after the delivery of version 1, then version 2, then version 1 once more."""
+    passes = Fixtures(spark, sf_dir).passes
+    known, _ = P.lasting_codes(passes.filter("version = 1"))
+    known, second = P.lasting_codes(passes.filter("version = 2"), known)
+    known, again = P.lasting_codes(passes.filter("version = 1"), known)
+    return second["schedpujo"].unionByName(again["schedpujo"]).select(*_J, "journeypatterncode", "timedemandgroupcode")
+
+
+def _profile_codes_sql() -> str:
+    """A profile's code is the number of its pattern's profiles that appeared before it, version 1 first."""
+    lasting = ", ".join(c for c in PATTERN if c != "version")
+    text = SQL_PROFILES[:SQL_PROFILES.index("ranked as (")]
+    return text + f"""
+ranked as (select *, row_number() over (partition by {lasting} order by version, organizationalunitcode, schedulecode, scheduletypecode, journeynumber) as jr from prof),
+codes as (select {lasting}, profile, cast(dense_rank() over (partition by {lasting} order by min(jr)) - 1 as integer) as timedemandgroupcode from ranked group by {lasting}, profile)
+select {", ".join(_J)}, journeypatterncode, timedemandgroupcode from ranked join codes using ({lasting}, profile)
+"""
+
+
+SQL_PROFILE_CODES = _profile_codes_sql()
+
+
 # ---- q_redistribute (N-6), q_timdempass (N-6 + N-7) -------------------------
 
 def stop_links(fx: Fixtures) -> DataFrame:
@@ -327,6 +352,7 @@ SQL_WEEKDAY_FLAGS = duckdb_with(["services", "journeys"], f", {_SCHEDVERS_CTE.st
 QUERIES = {
     "q_weekday_flags": (q_weekday_flags, SQL_WEEKDAY_FLAGS),
     "q_profiles": (q_profiles, SQL_PROFILES),
+    "q_profile_codes": (q_profile_codes, SQL_PROFILE_CODES),
     "q_redistribute": (q_redistribute, SQL_REDISTRIBUTE),
     "q_timdempass": (q_timdempass, SQL_TIMDEMPASS),
     "q_offsets": (q_offsets, SQL_OFFSETS),

@@ -115,3 +115,27 @@ def test_compress_round_trip(spark):
     orig = passes.select(*P.JOURNEY, "stoporder", F.coalesce("dep_s", "arr_s").alias("dep_next"))
     assert rebuilt.exceptAll(orig.join(rebuilt.select(*P.JOURNEY, "stoporder"), on=P.JOURNEY + ["stoporder"])
                              .select(*P.JOURNEY, "stoporder", "dep_next")).count() == 0
+
+
+def test_codes_last_from_delivery_to_delivery(spark):
+    """New profiles follow, known ones keep their codes, whatever is imported again."""
+    ddl = "version int, dataownercode string, organizationalunitcode string, schedulecode string, scheduletypecode string, lineplanningnumber string, journeynumber int, journeypatterncode string, stoporder int, userstopcode string, arr_s long, dep_s long"
+
+    def delivery(version, drives):
+        rows = []
+        for number, drive in enumerate(drives):
+            rows += [(version, "ARR", "U", "S", "WE", "1", number, "p", 1, "a", None, 100), (version, "ARR", "U", "S", "WE", "1", number, "p", 2, "b", 100 + drive, None)]
+        return spark.createDataFrame(rows, ddl)
+
+    def codes(tables):
+        return {r["journeynumber"]: r["timedemandgroupcode"] for r in tables["schedpujo"].collect()}
+
+    known, first = P.lasting_codes(delivery(1, [60, 90, 60]))
+    assert codes(first) == {0: 0, 1: 1, 2: 0}
+    known, second = P.lasting_codes(delivery(2, [120, 90, 30, 60, 120]), known)
+    assert codes(second) == {0: 2, 1: 1, 2: 3, 3: 0, 4: 2}
+    after, again = P.lasting_codes(delivery(1, [60, 90, 60]), known)
+    assert codes(again) == codes(first) and after.count() == known.count() == 4
+    assert sorted((r["timedemandgroupcode"], r["totaldrivetime"]) for r in second["timdemrnt"].collect()) == [(0, 60), (1, 90), (2, 120), (3, 30)]
+    empty, none = P.lasting_codes(delivery(3, []), known)
+    assert empty.count() == 4 and none["schedpujo"].count() == 0
