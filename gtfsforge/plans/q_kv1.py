@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cols import pipe_id
+from ..functions.geo import rd_to_wgs84
 from ..functions.times import format_clock
 from ..operators import gtfs_kv1 as G
+from ..operators import shape_match as S
 from ..operators.mappings import FEED_PUBLISHER as _PUB
 from .fixtures import Fixtures, duckdb_with
 from .sqltext import JOURNEY, PATTERN, SCHED, clock, lat, lon, on, pipe, ymd
@@ -289,8 +292,39 @@ from drawn
 """)
 
 
+# ---- q_shape_distances, q_stops_along_shapes (N-21, N-39) --------------------
+
+def q_shape_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.shape_distances(q_shapes_seq(spark, sf_dir)).withColumn("shape_dist_traveled", F.round("shape_dist_traveled", 1))
+
+
+SQL_SHAPE_DISTANCES = """
+with shapes as (SHAPES),
+legs as (select *, lag(shape_pt_lat) over w as p_lat, lag(shape_pt_lon) over w as p_lon from shapes window w as (partition by shape_id order by shape_pt_sequence, shape_pt_lat, shape_pt_lon)),
+metres as (select *, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(shape_pt_lat - p_lat) / 2), 2)
+  + cos(radians(shape_pt_lat)) * cos(radians(p_lat)) * pow(sin(radians(shape_pt_lon - p_lon) / 2), 2))) as m from legs)
+select shape_id, shape_pt_lat, shape_pt_lon, shape_pt_sequence,
+ round(sum(coalesce(m, 0)) over (partition by shape_id order by shape_pt_sequence, shape_pt_lat, shape_pt_lon rows unbounded preceding), 1) as shape_dist_traveled
+from metres
+"""
+
+
+def q_stops_along_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stops of every pattern (the beginnings of its links and the last end) along its shape."""
+    fx = Fixtures(spark, sf_dir)
+    links = fx.links.select(*G.PATTERN, "timinglinkorder", "userstopcodebegin", "userstopcodeend")
+    ends = links.groupBy(*G.PATTERN).agg(F.max_by(F.struct("timinglinkorder", "userstopcodeend"), "timinglinkorder").alias("e"))
+    calls = links.select(*G.PATTERN, F.col("timinglinkorder").alias("stop_sequence"), F.col("userstopcodebegin").alias("userstopcode")) \
+        .unionByName(ends.select(*G.PATTERN, (F.col("e.timinglinkorder") + 1).alias("stop_sequence"), F.col("e.userstopcodeend").alias("userstopcode")))
+    at = rd_to_wgs84("locationx_ew", "locationy_ns")
+    stops = fx.stops.select("version", "dataownercode", "userstopcode", at["lat"].alias("stop_lat"), at["lon"].alias("stop_lon")).dropDuplicates(["version", "dataownercode", "userstopcode"])
+    calls = calls.join(stops, ["version", "dataownercode", "userstopcode"], "left").select(pipe_id(*G.PATTERN).alias("shape_id"), "stop_sequence", "stop_lat", "stop_lon")
+    return S.stops_along_shapes(calls, q_shapes_seq(spark, sf_dir))
+
+
 SQL_SHAPES_RANK = _shapes_sql("rank")
 SQL_SHAPES_SEQ = _shapes_sql("row_number")
+SQL_SHAPE_DISTANCES = SQL_SHAPE_DISTANCES.replace("SHAPES", SQL_SHAPES_SEQ)
 
 
 # ---- q_stops_latest (N-15, newest version first, then filter) ---------------
@@ -382,4 +416,6 @@ QUERIES = {
     "q_shapes_rank": (q_shapes_rank, SQL_SHAPES_RANK),
     "q_shapes_seq": (q_shapes_seq, SQL_SHAPES_SEQ),
     "q_shapes_points": (q_shapes_points, SQL_SHAPES_POINTS),
+    "q_shape_distances": (q_shape_distances, SQL_SHAPE_DISTANCES),
+    "q_stops_along_shapes": (q_stops_along_shapes, None),
 }
