@@ -91,16 +91,3 @@ def grid_cell(lat, lon, metres: float) -> Column:
     a, b = (F.radians(as_col(v).cast("double")) for v in (lat, lon))
     side = F.lit(EARTH / metres)
     return F.struct(*[F.floor(v * side).cast("long").alias(n) for n, v in (("x", F.cos(a) * F.cos(b)), ("y", F.cos(a) * F.sin(b)), ("z", F.sin(a)))])
-
-
-def sql_rd_expr(x: str, y: str, which: str) -> str:
-    """The same polynomial as SQL text (used by the DuckDB oracle)."""
-    dx = f"(({x}) - {RD_X0}) * 1e-5"
-    dy = f"(({y}) - {RD_Y0}) * 1e-5"
-    terms = LAT_TERMS if which == "lat" else LON_TERMS
-    base = LAT0 if which == "lat" else LON0
-    parts = []
-    for p, q, k in terms:
-        factors = [repr(k)] + [f"({dx})"] * p + [f"({dy})"] * q
-        parts.append(" * ".join(factors))
-    return f"({base!r} + ({' + '.join(parts)}) / 3600.0)"

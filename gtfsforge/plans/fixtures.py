@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 BASE_TABLES = ("lineitem", "orders", "part", "customer")
 
 ADAPTERS: dict[str, str] = {
-    # PUJOPASS-shaped; a journey = one order; first arrival and last departure NULL
+    # PUJOPASS-shaped; a journey = one order; lines, their stops and patterns grow with the orders; first arrival and last departure NULL
     "passes": """
 select version, case line % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode, concat('U', cast(line % 2 as string)) as organizationalunitcode,
  journeynumber % 25 as schedulecode, 'WE' as scheduletypecode, case when line % 3 = 0 and line between 18 and 27 then 15000 + line else line end as lineplanningnumber, journeynumber, stoporder,
@@ -24,14 +24,14 @@ select version, case line % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end
  case when stoporder = 1 then null else start_s + (stoporder - 1) * step_s end as arr_s,
  case when stoporder = n_stops then null else start_s + (stoporder - 1) * step_s + (stoporder % 2) * 15 end as dep_s,
  case when journeynumber % 4 = 0 then null when journeynumber % 4 = 1 then 'ACCESSIBLE' else 'NOTACCESSIBLE' end as wheelchairaccessible
-from (select l_orderkey as journeynumber, l_orderkey % 40 as line, case when l_orderkey % 80 < 40 then 1 else 2 end as version,
+from (select l_orderkey as journeynumber, l_orderkey % 40 + 40 * cast(floor(l_orderkey / 4000) as int) as line, case when l_orderkey % 80 < 40 then 1 else 2 end as version,
   (l_orderkey % 1440) * 60 as start_s, 60 + (l_orderkey % 4) * 30 as step_s,
   cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as int) as stoporder,
   count(*) over (partition by l_orderkey) as n_stops from {lineitem}) x
 """,
     # OPERDAY: five of 25 schedule codes have no day (exercises pruning)
     "operday": """
-select distinct case when o_orderkey % 80 < 40 then 1 else 2 end as version, case (o_orderkey % 40) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
+select distinct case when o_orderkey % 80 < 40 then 1 else 2 end as version, case (o_orderkey % 40 + 40 * cast(floor(o_orderkey / 4000) as int)) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
  concat('U', cast((o_orderkey % 40) % 2 as string)) as organizationalunitcode, o_orderkey % 25 as schedulecode, 'WE' as scheduletypecode,
  cast(o_orderdate as date) as validdate
 from {orders} where o_orderkey % 25 < 20
@@ -102,12 +102,12 @@ from (select p.*, @EXPLODE('BUS', 'TRAM')@ as transporttype from {pool} p) x whe
 """,
     # TIVE x PEGRVAL; thru falls back when NULL
     "services": """
-select case when o_orderkey % 80 < 40 then 1 else 2 end as version, case (o_orderkey % 40) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
+select case when o_orderkey % 80 < 40 then 1 else 2 end as version, case (o_orderkey % 40 + 40 * cast(floor(o_orderkey / 4000) as int)) % 3 when 0 then 'ARR' when 1 then 'HTM' else 'GVB' end as dataownercode,
  concat('U', cast((o_orderkey % 40) % 2 as string)) as organizationalunitcode, o_orderkey % 3 + 3 * cast(floor(o_orderkey / 20000) as int) as timetableversioncode, o_orderkey % 5 as periodgroupcode, 1 as specificdaycode,
  cast(min(o_orderdate) as date) as tv_from, case when o_orderkey % 5 < 2 then null else cast(max(o_orderdate) as date) end as tv_thru,
  date '1998-01-15' as pv_from, date '1998-03-15' as pv_thru
 from {orders}
-group by case when o_orderkey % 80 < 40 then 1 else 2 end, (o_orderkey % 40) % 3, (o_orderkey % 40) % 2, o_orderkey % 3 + 3 * cast(floor(o_orderkey / 20000) as int), o_orderkey % 5
+group by case when o_orderkey % 80 < 40 then 1 else 2 end, (o_orderkey % 40 + 40 * cast(floor(o_orderkey / 4000) as int)) % 3, (o_orderkey % 40) % 2, o_orderkey % 3 + 3 * cast(floor(o_orderkey / 20000) as int), o_orderkey % 5
 """,
     # EXCOPDAY; digit of the day whose timetable applies (1 = Monday)
     "exceptions": """

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gtfs_pas as G
-from ..operators.mappings import FEED_PUBLISHER as _PUB
 from .fixtures import Fixtures, duckdb_with
 from .sqltext import clock, lat, lon
 
@@ -130,7 +129,7 @@ def q_pas_feed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_PAS_FEED_INFO = duckdb_with(["bitmaps"], _VTN + f"""
-select '{_PUB[0]}' as feed_publisher_name, '{_PUB[1]}' as feed_publisher_url, '{_PUB[2]}' as feed_lang,
+select 'feed publisher' as feed_publisher_name, 'http://example.org/' as feed_publisher_url, 'nl' as feed_lang,
  strftime(min(datum), '%Y%m%d') as feed_start_date, strftime(max(datum), '%Y%m%d') as feed_end_date, '1' as feed_version from vt
 """)
 

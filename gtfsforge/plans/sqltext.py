@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from ..functions.geo import sql_rd_expr
+import re
+
+# ---- fixed values: the published RD -> WGS84 approximation, arc seconds in p and q (100 km) ----
+RD_LAT = """52.15517440 + (3235.65389 * q - 32.58297 * p * p - 0.24750 * q * q - 0.84978 * p * p * q - 0.06550 * q * q * q - 0.01709 * p * p * q * q
+ - 0.00738 * p + 0.00530 * p * p * p * p - 0.00039 * p * p * q * q * q + 0.00033 * p * p * p * p * q - 0.00012 * p * q) / 3600"""
+RD_LON = """5.38720621 + (5260.52916 * p + 105.94684 * p * q + 2.45656 * p * q * q - 0.81885 * p * p * p + 0.05594 * p * q * q * q - 0.05607 * p * p * p * q
+ + 0.01199 * q - 0.00256 * p * p * p * q * q + 0.00128 * p * q * q * q * q + 0.00022 * q * q - 0.00022 * p * p + 0.00026 * p * p * p * p * p) / 3600"""
+# ---- end of fixed values ----
+
+
+def _rd(text: str, x: str, y: str) -> str:
+    p, q = f"((cast({x} as double) - 155000) * 1e-5)", f"((cast({y} as double) - 463000) * 1e-5)"
+    return "(" + re.sub(r"\b[pq]\b", lambda m: p if m[0] == "p" else q, text) + ")"
+
 
 SCHED = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode"]
 PATTERN = ["version", "dataownercode", "lineplanningnumber", "journeypatterncode"]
@@ -26,11 +39,11 @@ def ymd(expr: str) -> str:
 
 
 def lat(x: str, y: str, p: int = 8, s: int = 5) -> str:
-    return f"cast({sql_rd_expr(f'cast({x} as double)', f'cast({y} as double)', 'lat')} as decimal({p},{s}))"
+    return f"cast({_rd(RD_LAT, x, y)} as decimal({p},{s}))"
 
 
 def lon(x: str, y: str, p: int = 7, s: int = 5) -> str:
-    return f"cast({sql_rd_expr(f'cast({x} as double)', f'cast({y} as double)', 'lon')} as decimal({p},{s}))"
+    return f"cast({_rd(RD_LON, x, y)} as decimal({p},{s}))"
 
 
 def on(a: str, b: str, cols) -> str:
