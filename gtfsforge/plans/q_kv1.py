@@ -11,7 +11,7 @@ from ..functions.times import format_clock
 from ..operators import gtfs_kv1 as G
 from ..operators import shape_match as S
 from .fixtures import Fixtures, duckdb_with
-from .sqltext import JOURNEY, PATTERN, SCHED, clock, lat, lon, on, pipe, ymd
+from .sqltext import JOURNEY, PATTERN, SCHED, clock, lat, lon, on, pipe, rd_degrees, ymd
 
 FEED_VERSION = "1"
 
@@ -319,13 +319,49 @@ def q_stops_along_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = rd_to_wgs84("locationx_ew", "locationy_ns")
     stops = fx.stops.select("version", "dataownercode", "userstopcode", at["lat"].alias("stop_lat"), at["lon"].alias("stop_lon")).dropDuplicates(["version", "dataownercode", "userstopcode"])
     calls = calls.join(stops, ["version", "dataownercode", "userstopcode"], "left").select(pipe_id(*G.PATTERN).alias("shape_id"), "stop_sequence", "stop_lat", "stop_lon")
-    return S.stops_along_shapes(calls, q_shapes_seq(spark, sf_dir))
+    found = S.stops_along_shapes(calls, q_shapes_seq(spark, sf_dir))
+    return found.select("shape_id", "stop_sequence", F.round("shape_dist_traveled").alias("shape_dist_traveled"), F.round("off_m", 1).alias("off_m"), "off_line")
 
 
 SQL_SHAPES_RANK = _shapes_sql("rank")
 SQL_SHAPES_SEQ = _shapes_sql("row_number")
 SQL_SHAPE_DISTANCES = SQL_SHAPE_DISTANCES.replace("SHAPES", SQL_SHAPES_SEQ)
 
+# the cheapest ways stop by stop, forward over all segments, then back from the cheapest end
+_DISTANCES = SQL_SHAPE_DISTANCES.replace("round(sum(", "(sum(").replace(" rows unbounded preceding), 1) as", " rows unbounded preceding)) as")
+_CALLS = duckdb_with(["links", "stops"], f"""
+, calls as (select {", ".join(PATTERN)}, timinglinkorder as stop_sequence, userstopcodebegin as userstopcode from links
+  union all select {", ".join(PATTERN)}, max(timinglinkorder) + 1, arg_max(userstopcodeend, timinglinkorder) from links group by {", ".join(PATTERN)}),
+place as (select version, dataownercode, userstopcode, any_value(locationx_ew) as x, any_value(locationy_ns) as y from stops group by all)
+select {pipe(*PATTERN, prefix='c.')} as shape_id, stop_sequence, {rd_degrees('lat', 'x', 'y')} as lat, {rd_degrees('lon', 'x', 'y')} as lon
+from calls c left join place using (version, dataownercode, userstopcode)
+""")
+SQL_STOPS_ALONG_SHAPES = f"""
+with recursive line as materialized (select shape_id, shape_pt_lat as lat, shape_pt_lon as lon, shape_dist_traveled as dist,
+   row_number() over (partition by shape_id order by shape_pt_sequence, shape_pt_lat, shape_pt_lon) as k from ({_DISTANCES}) x),
+plane as (select *, 6371008.8 * radians(lat) as x, 6371008.8 * cos(radians(first(lat) over (partition by shape_id order by k))) * radians(lon) as y from line),
+seg as materialized (select a.shape_id, a.k, a.x as ax, a.y as ay, b.x - a.x as dx, b.y - a.y as dy, a.dist as da, b.dist - a.dist as dd
+   from plane a join plane b on b.shape_id = a.shape_id and b.k = a.k + 1),
+stop as materialized (select *, row_number() over (partition by shape_id order by stop_sequence) as i from ({_CALLS}) x where lat is not null),
+spot as (select t.shape_id, t.i, s.*, 6371008.8 * radians(t.lat) as x, 6371008.8 * cos(radians(o.lat)) * radians(t.lon) as y
+   from stop t join seg s on s.shape_id = t.shape_id join line o on o.shape_id = t.shape_id and o.k = 1),
+part as (select *, case when dx * dx + dy * dy > 0 then greatest(0, least(1, ((x - ax) * dx + (y - ay) * dy) / (dx * dx + dy * dy))) else 0 end as t from spot),
+off as materialized (select shape_id, i, k, sqrt(pow(ax + t * dx - x, 2) + pow(ay + t * dy - y, 2)) as m, da + t * dd as along from part),
+way(shape_id, i, k, cost, came) as (
+ select shape_id, i, k, m * m, 0 from off where i = 1
+ union all
+ select o.shape_id, o.i, o.k, p.best + o.m * o.m, p.came from off o join (
+   select shape_id, i, k, min(cost) over w as best, arg_min(k, cost) over w as came from way window w as (partition by shape_id order by k)) p
+ on p.shape_id = o.shape_id and p.i + 1 = o.i and p.k = o.k),
+ways as materialized (select * from way),
+back(shape_id, i, k) as (
+ select shape_id, i, arg_min(k, cost) from ways where (shape_id, i) in (select shape_id, max(i) from ways group by shape_id) group by shape_id, i
+ union all select b.shape_id, b.i - 1, w.came from back b join ways w on w.shape_id = b.shape_id and w.i = b.i and w.k = b.k where b.i > 1)
+select c.shape_id, c.stop_sequence, round(max(o.along) over (partition by c.shape_id order by s.i)) as shape_dist_traveled, round(o.m, 1) as off_m, o.m > 100 as off_line
+from ({_CALLS}) c left join stop s on s.shape_id = c.shape_id and s.stop_sequence = c.stop_sequence
+left join back b on b.shape_id = s.shape_id and b.i = s.i left join off o on o.shape_id = b.shape_id and o.i = b.i and o.k = b.k
+"""
+
 
 # ---- q_stops_latest (N-15, newest version first, then filter) ---------------
 
@@ -417,5 +453,5 @@ QUERIES = {
     "q_shapes_seq": (q_shapes_seq, SQL_SHAPES_SEQ),
     "q_shapes_points": (q_shapes_points, SQL_SHAPES_POINTS),
     "q_shape_distances": (q_shape_distances, SQL_SHAPE_DISTANCES),
-    "q_stops_along_shapes": (q_stops_along_shapes, None),
+    "q_stops_along_shapes": (q_stops_along_shapes, SQL_STOPS_ALONG_SHAPES),
 }

@@ -12,6 +12,11 @@ RD_LON = """5.38720621 + (5260.52916 * p + 105.94684 * p * q + 2.45656 * p * q *
 # ---- end of fixed values ----
 
 
+def rd_degrees(which: str, x: str, y: str) -> str:
+    """Degrees as a double, not rounded."""
+    return _rd(RD_LAT if which == "lat" else RD_LON, x, y)
+
+
 def _rd(text: str, x: str, y: str) -> str:
     p, q = f"((cast({x} as double) - 155000) * 1e-5)", f"((cast({y} as double) - 463000) * 1e-5)"
     return "(" + re.sub(r"\b[pq]\b", lambda m: p if m[0] == "p" else q, text) + ")"
