@@ -97,7 +97,7 @@ class Packer:
             self.count[level] -= 1
         else:
             window = []
-        window.append((key, whole, ids[whole:], n))
+        window.append((key, whole, ids[whole:].copy(), n))  # not a view that would hold the whole document
         if level + size == w:
             yield from self._out(window, w, True)
         else:
@@ -183,10 +183,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: in
 
         for batch in batches:
             kind = batch.schema.field("id").type
-            done: list[tuple] = []
-            for key, ids in zip(column(batch, "id").to_pylist(), column(batch, "ids").to_pylist()):
-                done += packer.add(key, np.frombuffer(ids, "<u4"))
-            yield from pieces(done)
+            for part in slices(batch, "ids"):
+                done: list[tuple] = []
+                for key, ids in zip(column(part, "id").to_pylist(), column(part, "ids").to_pylist()):
+                    done += packer.add(key, np.frombuffer(ids, "<u4"))
+                yield from pieces(done)
         yield from pieces(list(packer.finish()))
 
     tasks = max(1, -(-base.count() // rows))
