@@ -292,9 +292,11 @@ def _repeats(each: DataFrame, texts: DataFrame, window: int, gram: int, long: in
     strings = each.groupBy("key", "s1", "s2").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.first("n").alias("n"))
     shared = strings.groupBy("key").agg(F.min("low").alias("a"), F.max("high").alias("b"), F.count(F.lit(1)).alias("strings"), F.sum("n").alias("many")) \
         .where("a < b").select(F.col("key").alias("k"), (F.col("strings") > 1).alias("differ"), (F.col("many") > long).alias("long"))
-    of = strings.where("low < high").select(F.col("key").alias("k2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "low")
-    hits = each.join(shared, F.col("key") == F.col("k")).join(of, (F.col("key") == F.col("k2")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
-    copy = F.coalesce(F.col("low") < F.col("rep"), F.lit(False))
+    # first the distinct strings learn about their keys, then every super-k-mer about its string
+    marked = strings.join(shared, F.col("key") == F.col("k")).where("differ or low < high") \
+        .select(F.col("key").alias("k2"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), "low", "differ", "long")
+    hits = each.join(marked, (F.col("key") == F.col("k2")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")))
+    copy = F.col("low") < F.col("rep")
     packed = [F.when(~copy, F.col("packed")).alias("packed")] if order else []
     hits = hits.select("rep", "h1", "h2", "key", "first", "n", "differ", "long", copy.alias("copy"), *packed)
     hits = hits.where("copy or differ")
@@ -312,7 +314,7 @@ def _repeats(each: DataFrame, texts: DataFrame, window: int, gram: int, long: in
         return found
     if order + 1 < ORDERS:
         return found.unionAll(_repeats(stored(_cut_again(rest, window, gram, order + 1), "superkmers"), texts, window, gram, long, order + 1))
-    loose = stored(_single(rest, window), "windows")
+    loose = _single(rest, window)
     least = loose.groupBy("a", "b").agg(F.min("id").alias("low")).select(F.col("a").alias("a2"), F.col("b").alias("b2"), "low")
     return found.unionAll(loose.join(least, (F.col("a") == F.col("a2")) & (F.col("b") == F.col("b2"))).where("low < id")
                           .select("id", "h1", "h2", "pos", F.lit(1).alias("n")))
