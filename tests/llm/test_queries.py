@@ -14,7 +14,7 @@ from brute import SF_SMALL, docs_of, brute_components, brute_fingerprint, brute_
 
 def test_all_are_registered():
     names = set(E.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "quality rules", "SimHash near-dedup", "substring dedup", "packing"]
 
 
