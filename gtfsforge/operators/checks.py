@@ -169,7 +169,8 @@ def block_overlaps(trips: DataFrame, stop_times: DataFrame, calendar_dates: Data
         F.min(to_seconds("departure_time")).alias("start_s"), F.max(to_seconds("arrival_time")).alias("end_s"))
     days = calendar_dates.select("service_id", "date").distinct()
     own = trips.filter(F.col("block_id").isNotNull()).select("block_id", "service_id", "trip_id").distinct()
-    t = own.join(times, "trip_id").join(days, "service_id")
+    # both sides grow with the feed, and far beyond what their files tell (ids and days are made from a few columns)
+    t = own.join(times.hint("merge"), "trip_id").join(days.hint("merge"), "service_id")
     before = Window.partitionBy("block_id", "date").orderBy("start_s", "end_s", "trip_id").rowsBetween(Window.unboundedPreceding, -1)
     return t.withColumn("busy_until_s", F.max("end_s").over(before)).filter(F.col("start_s") < F.col("busy_until_s")) \
         .select("block_id", "date", "trip_id", "start_s", "busy_until_s")
@@ -179,18 +180,18 @@ def feed_orphans(feed: dict[str, DataFrame]) -> DataFrame:
     """(rule, violations) of a feed whose trips, stop times and transfers must name each other; every
     rule is listed, also with 0.  Transfers between platforms (type 2) name no trips."""
     trips, st, routes, transfers = feed["trips"], feed["stop_times"], feed["routes"], feed["transfers"]
-    named = trips.filter(F.col("trip_id").isNotNull())
-    rules = {
-        "trips_without_id": trips.filter(F.col("trip_id").isNull()),
-        "trips_without_route": trips.join(routes.select("route_id"), on="route_id", how="left_anti"),
-        "trips_without_stop_times": named.join(st.select("trip_id"), on="trip_id", how="left_anti"),
-        "stop_times_without_trip_id": st.filter(F.col("trip_id").isNull()),
-    }
+    there = F.lit(True)
+    # trips are read once for their three rules; stop times grow with the feed, so their ids are not collected to be broadcast
+    t = trips.select("trip_id", "route_id").join(routes.select("route_id").distinct().withColumn("__route", there), on="route_id", how="left") \
+        .join(st.select("trip_id").distinct().withColumn("__called", there).hint("merge"), on="trip_id", how="left")
+    no_id = F.col("trip_id").isNull()
+    out = _stack(t.agg(F.count_if(no_id).alias("trips_without_id"), F.count_if(F.col("__route").isNull()).alias("trips_without_route"),
+                       F.count_if(~no_id & F.col("__called").isNull()).alias("trips_without_stop_times")),
+                 ["trips_without_id", "trips_without_route", "trips_without_stop_times"])
+    rules = {"stop_times_without_trip_id": st.filter(F.col("trip_id").isNull())}
     if "from_trip_id" in transfers.columns:
         rules["transfers_without_trip_id"] = transfers.filter(
             (F.col("transfer_type") != 2) & (F.col("from_trip_id").isNull() | F.col("to_trip_id").isNull()))
-    out = None
     for rule, rows in rules.items():
-        part = rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(rule).alias("rule"), "violations")
-        out = part if out is None else out.unionByName(part)
+        out = out.unionByName(rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(rule).alias("rule"), "violations"))
     return out
