@@ -9,8 +9,11 @@ groups out, a few numpy lines match one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +61,25 @@ def match_in_order(points: np.ndarray, cum: np.ndarray, stops: np.ndarray) -> tu
     return np.maximum.accumulate(along), off[k, at]
 
 
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Patterns (shape_id, stops, points) -> a row per stop."""
+    for batch in batches:
+        ids, stops, points = batch.columns
+        s, p = stops.flatten(), points.flatten()
+        n_stops, n_points = (pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False) for c in (stops, points))
+        numbers = lambda rows, *names: np.column_stack([rows.field(c).to_numpy(zero_copy_only=False).astype(float) for c in names])
+        places, where, dist = numbers(s, "lat", "lon"), numbers(p, "lat", "lon"), numbers(p, "dist")[:, 0]
+        known, out = ~np.isnan(places).any(axis=1), np.full(places.shape, np.nan)
+        i = j = 0
+        for m, n in zip(n_stops, n_points):
+            at = i + np.flatnonzero(known[i:i + m])
+            if n and len(at):
+                out[at] = np.column_stack(match_in_order(where[j:j + n], dist[j:j + n], places[at]))
+            i, j = i + m, j + n
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(batch)), n_stops))), s.field("stop_sequence"),
+                                          *(pa.array(out[:, k], mask=np.isnan(out[:, k])) for k in (0, 1))], names=["shape_id", "stop_sequence", "shape_dist_traveled", "off_m"])
+
+
 def stops_along_shapes(pattern_stops: DataFrame, shapes: DataFrame, off_m: float = 100.0) -> DataFrame:
     """(shape_id, stop_sequence, shape_dist_traveled, off_m, off_line) per stop of a pattern.
 
@@ -69,16 +91,9 @@ def stops_along_shapes(pattern_stops: DataFrame, shapes: DataFrame, off_m: float
     line = shape_distances(shapes).select("shape_id", F.col("shape_pt_sequence").alias("seq"), F.col("shape_pt_lat").cast("double").alias("lat"),
                                           F.col("shape_pt_lon").cast("double").alias("lon"), F.col("shape_dist_traveled").alias("dist"))
 
-    def match(stops: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        stops = stops.sort_values("stop_sequence", kind="stable")
-        points = points.dropna().sort_values(["seq", "lat", "lon"])
-        out = stops[["shape_id", "stop_sequence"]].assign(shape_dist_traveled=np.nan, off_m=np.nan)
-        known = stops[["lat", "lon"]].notna().all(axis=1).to_numpy()
-        if len(points) and known.any():
-            along, off = match_in_order(points[["lat", "lon"]].to_numpy(), points["dist"].to_numpy(), stops.loc[known, ["lat", "lon"]].to_numpy())
-            out.loc[known, "shape_dist_traveled"], out.loc[known, "off_m"] = along, off
-        return out
-
-    made = own.groupBy("shape_id").cogroup(line.groupBy("shape_id")).applyInPandas(
-        match, own.select("shape_id", "stop_sequence", null_of("double").alias("shape_dist_traveled"), null_of("double").alias("off_m")).schema)
+    # a row per pattern, with its stops and its line as lists in order: a batch holds many patterns
+    calls = own.groupBy("shape_id").agg(F.array_sort(F.collect_list(F.struct(F.col("stop_sequence").isNull().alias("late"), "stop_sequence", "lat", "lon"))).alias("stops"))
+    points = line.dropna().groupBy("shape_id").agg(F.array_sort(F.collect_list(F.struct("seq", "lat", "lon", "dist"))).alias("points"))
+    made = calls.join(points.hint("merge"), "shape_id", "left").select("shape_id", "stops", "points").mapInArrow(
+        _matched, own.select("shape_id", "stop_sequence", null_of("double").alias("shape_dist_traveled"), null_of("double").alias("off_m")).schema)
     return made.withColumn("off_line", F.col("off_m") > off_m)
