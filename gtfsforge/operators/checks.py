@@ -63,9 +63,9 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
     decrease along a trip; stops inside ``bounds``.  Rules with 0 violations
     are not listed.
 
-    All stop_times rules come from one pass (two left joins to the id sets,
-    one window partitioned by trip) and one conditional aggregation; the trip
-    rules likewise.  Id sets and rules read a table separately, so pass stored
+    Stop times are shuffled once, by trip: one window per trip, whose sums meet
+    the trip ids.  The other references are counted per id before they meet the
+    ids that exist.  Every rule reads its columns separately, so pass stored
     tables (``feeds.store_feed``), not lazy derivations.
     """
     parts = []
@@ -73,49 +73,43 @@ def validate_gtfs(feed: dict[str, DataFrame], bounds=NL_BOUNDS) -> DataFrame:
     stops, routes, cal = feed.get("stops"), feed.get("routes"), feed.get("calendar_dates")
     agency = feed.get("agency")
 
-    def ids(df: DataFrame, col: str, flag: str) -> DataFrame:
-        return df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    def ids(df: DataFrame, col: str) -> DataFrame:
+        return df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn("__there", F.lit(True))
+
+    def unknown(rule: str, df: DataFrame, col: str, parent: DataFrame) -> DataFrame:
+        """Rows whose ``col`` is none of the parent's (NULL is none)."""
+        # no anti-join: the planner would move it below the counts, and all rows would meet the ids
+        n = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).join(ids(parent, col), on=col, how="left")
+        return _stack(n.agg(F.sum(F.when(F.col("__there").isNull(), F.col("n"))).alias(rule)), [rule])
 
     if st is not None:
-        t = st.select("trip_id", "stop_sequence", "stop_id", to_seconds("arrival_time").alias("a"),
-                      to_seconds("departure_time").alias("d"))
+        t = st.select("trip_id", "stop_sequence", to_seconds("arrival_time").alias("a"), to_seconds("departure_time").alias("d"))
         rules = ["stop_times_duplicate_key", "stop_times_time_decreases"]
-        if trips is not None:
-            t = t.join(ids(trips, "trip_id", "__trip"), on="trip_id", how="left")
-            rules.append("stop_times_unknown_trip")
-        if stops is not None:
-            t = t.join(ids(stops, "stop_id", "__stop"), on="stop_id", how="left")
-            rules.append("stop_times_unknown_stop")
         # one window: a duplicated key is counted at its second row
         trip_w = Window.partitionBy("trip_id").orderBy("stop_sequence", "a", "d")
         t = t.withColumn("__prev", F.lag("d").over(trip_w)).withColumn("__nth", F.row_number().over(trip_w)) \
             .withColumn("__seq1", F.lag("stop_sequence", 1).over(trip_w)).withColumn("__seq2", F.lag("stop_sequence", 2).over(trip_w))
         second = (F.col("__nth") > 1) & F.col("stop_sequence").eqNullSafe(F.col("__seq1")) \
             & ((F.col("__nth") == 2) | ~F.col("stop_sequence").eqNullSafe(F.col("__seq2")))
-        aggs = [F.sum(second.cast("long")).alias(rules[0]),
-                F.sum(F.coalesce((F.col("a") < F.col("__prev")) | (F.col("d") < F.col("a")), F.lit(False))
-                      .cast("long")).alias(rules[1])]
+        # sums per trip first (the rows are together already): trips, not stop times, meet the ids
+        t = t.groupBy("trip_id").agg(
+            F.sum(second.cast("long")).alias(rules[0]),
+            F.sum(F.coalesce((F.col("a") < F.col("__prev")) | (F.col("d") < F.col("a")), F.lit(False)).cast("long")).alias(rules[1]),
+            F.count(F.lit(1)).alias("__n"))
+        aggs = [F.sum(r).alias(r) for r in rules]
         if trips is not None:
-            aggs.append(F.sum(F.col("__trip").isNull().cast("long")).alias("stop_times_unknown_trip"))
-        if stops is not None:
-            aggs.append(F.sum(F.col("__stop").isNull().cast("long")).alias("stop_times_unknown_stop"))
-        parts.append(_stack(t.agg(*aggs), rules))
-    if trips is not None and (routes is not None or cal is not None):
-        t = trips.select("route_id", "service_id")
-        rules, aggs = [], []
-        if routes is not None:
-            t = t.join(ids(routes, "route_id", "__route"), on="route_id", how="left")
-            rules.append("trips_unknown_route")
-            aggs.append(F.sum(F.col("__route").isNull().cast("long")).alias("trips_unknown_route"))
-        if cal is not None:
-            t = t.join(ids(cal, "service_id", "__svc"), on="service_id", how="left")
-            rules.append("trips_unknown_service")
-            aggs.append(F.sum(F.col("__svc").isNull().cast("long")).alias("trips_unknown_service"))
+            t = t.join(ids(trips, "trip_id"), on="trip_id", how="left")
+            rules.append("stop_times_unknown_trip")
+            aggs.append(F.sum(F.when(F.col("__there").isNull(), F.col("__n"))).alias("stop_times_unknown_trip"))
         parts.append(_stack(t.agg(*aggs), rules))
+        if stops is not None:
+            parts.append(unknown("stop_times_unknown_stop", st, "stop_id", stops))
+    if trips is not None and routes is not None:
+        parts.append(unknown("trips_unknown_route", trips, "route_id", routes))
+    if trips is not None and cal is not None:
+        parts.append(unknown("trips_unknown_service", trips, "service_id", cal))
     if routes is not None and agency is not None:
-        r = routes.select("agency_id").join(ids(agency, "agency_id", "__ag"), on="agency_id", how="left")
-        parts.append(_stack(r.agg(F.sum(F.col("__ag").isNull().cast("long")).alias("routes_unknown_agency")),
-                            ["routes_unknown_agency"]))
+        parts.append(unknown("routes_unknown_agency", routes, "agency_id", agency))
     if cal is not None:
         dup = check_primary_key(cal, ["service_id", "date"]).agg(F.count(F.lit(1)).alias("calendar_dates_duplicate"))
         parts.append(_stack(dup, ["calendar_dates_duplicate"]))

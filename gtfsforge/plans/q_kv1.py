@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions.geo import rd_to_wgs84
 from ..functions.times import format_clock
 from ..operators import gtfs_kv1 as G
 from ..operators import shape_match as S
+from ..operators.gtfs_iff import Tables
 from .fixtures import Fixtures, duckdb_with
 from .sqltext import JOURNEY, PATTERN, SCHED, clock, lat, lon, on, pipe, rd_degrees, ymd
 
@@ -27,11 +30,12 @@ def kv1_tables(fx: Fixtures) -> dict[str, DataFrame]:
         on=["version", "dataownercode", "lineplanningnumber"])
     point = stops.select("version", "dataownercode", F.col("userstopcode").alias("pointcode"),
                          "locationx_ew", "locationy_ns")
-    pool = fx.pool.withColumnRenamed("pointno", "pointcode")
-    return {
+    made = {
         "pujopass": fx.passes, "operday": fx.operday, "jopatili": links, "dest": fx.destinations,
-        "line": lines, "jopa": jopa, "usrstop": stops, "point": point, "usrstar": fx.areas, "pool": pool,
+        "line": lines, "jopa": jopa, "usrstop": stops, "point": point, "usrstar": fx.areas,
     }
+    # the largest of the small tables, which only shapes read
+    return Tables({name: lambda df=df: df for name, df in made.items()} | {"pool": lambda: fx.pool.withColumnRenamed("pointno", "pointcode")})
 
 
 # DuckDB: the same pattern-level attributes as gtfs_kv1.pattern_info
@@ -60,8 +64,8 @@ def _with(adapters, ctes: str, body: str) -> str:
 
 # ---- q_stop_times (N-19 + N-22) ---------------------------------------------
 
-def q_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = kv1_tables(Fixtures(spark, sf_dir))
+def q_stop_times(spark: SparkSession, sf_dir: str, t: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    t = t or kv1_tables(Fixtures(spark, sf_dir))
     return G.gtfs_stop_times_kv1(t["pujopass"], t["usrstop"], t["jopatili"], t["dest"], t["line"], t["operday"])
 
 
@@ -87,8 +91,8 @@ where (u.getin or u.getout)
 
 # ---- q_trips (N-18) ---------------------------------------------------------
 
-def q_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = kv1_tables(Fixtures(spark, sf_dir))
+def q_trips(spark: SparkSession, sf_dir: str, t: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    t = t or kv1_tables(Fixtures(spark, sf_dir))
     return G.gtfs_trips_kv1(t["pujopass"], t["jopa"], t["jopatili"], t["dest"], t["line"], t["operday"])
 
 
