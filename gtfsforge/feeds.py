@@ -25,14 +25,15 @@ from .operators import gtfs_iff as I
 from .operators import gtfs_kv1 as G
 from .operators import gtfs_pas as P
 from .operators import profiles as R
-from .session import scratch_path
+from .session import scratch_path, shuffles_released
 from .sinks import empty_table
 
 
-def _store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several outputs read, and read it back."""
     path = scratch_path(df.sparkSession, f"feeds/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -49,11 +50,12 @@ FEED_OWNERS = ("GVB", "ARR", "QBUZZ", "VTN", "EBS", "HTM", "SYNTUS")
 # ---- end of fixed values ----
 
 
-def store_feed(feed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def store_feed(feed: dict[str, DataFrame], side_by_side: bool = True) -> dict[str, DataFrame]:
     """Every table of a built feed written once to the shared folder and read back.  The tables
-    are written side by side: a small one does not wait for a large one's last tasks."""
-    with ThreadPoolExecutor(max_workers=len(feed) or 1) as pool:
-        done = {name: pool.submit(_store, df, name) for name, df in feed.items()}
+    are written side by side: a small one does not wait for a large one's last tasks.  Written one
+    after the other, they need the disk for the shuffles of one table at a time."""
+    with ThreadPoolExecutor(max_workers=len(feed) or 1 if side_by_side else 1) as pool:
+        done = {name: pool.submit(store, df, name) for name, df in feed.items()}
         return {name: job.result() for name, job in done.items()}
 
 
@@ -78,7 +80,7 @@ def build_kv1(t: dict[str, DataFrame], agency_ids: DataFrame | None = None, feed
     jopatili = G.product_formula_fixes(t["jopatili"])
     passes = G.prune_unscheduled(t["pujopass"], t["operday"])
     if materialize:
-        passes = _store(passes, "pujopass")
+        passes = store(passes, "pujopass")
     return {
         "agency": G.gtfs_agency_kv1(routes, owner_col="agency_id") if agency_ids is None else G.gtfs_agency_kv1(agency_ids),
         "feed_info": G.gtfs_feed_info(t["operday"], "validdate", feed_version=feed_version),
@@ -101,7 +103,7 @@ def build_kv1_demand(t: dict[str, DataFrame], version: DataFrame, as_of: _dt.dat
     routes = G.gtfs_routes_kv1(t["line"], t["jopatili"], agency_rule="prefix")
     timdempass = R.pass_offsets(R.redistribute_drive_time(t["timdemrnt"], t.get("link")))
     if materialize:
-        timdempass = _store(timdempass, "timdempass")
+        timdempass = store(timdempass, "timdempass")
     return {
         "agency": G.gtfs_agency_kv1(routes, owner_col="agency_id"),
         "feed_info": G.gtfs_feed_info(version, "validfrom", "validthru", feed_version=feed_version),
