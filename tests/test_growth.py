@@ -252,6 +252,9 @@ def test_rail_exports_shuffle_by_service_alone(spark, rail):
     for name, n in (("trips", 7), ("routes", 8)):  # trains and buses alike: service, transport, stop, the trains of 960
         keys = [k for k in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", _plan(G.exports(rail, 3)[name])) if "," not in k]
         assert [k.split("#")[0] for k in keys] == ["serviceid"] * n, keys
+    trips = G.exports(rail, 3)["trips"]
+    trips.collect()
+    assert "ReusedExchange" in _plan(trips)  # the stops of the ends of a part
     mode = G.open_single_transport(rail["transport"])
     assert _plan(mode).count("Exchange") == 1
     odd = spark.createDataFrame([(1, "A", 1), (1, "B", 2), (2, "A", 3), (None, "A", 4), (None, "B", 5)], "serviceid int, transmode string, laststop int")
@@ -310,7 +313,7 @@ def test_orphans_of_stored_names_are_those_of_the_feed(spark, rail):
         return store(calls, "calls")
 
     feed, stored = G.exports(rail, 3), G.exports(rail, 3, keep)
-    assert len(made) == 1
+    assert len(made) == 2  # the platforms that are named, and their calls
     for name, df in feed.items():
         assert df.dtypes == stored[name].dtypes and df.exceptAll(stored[name]).isEmpty() and stored[name].exceptAll(df).isEmpty()
     names = {name: stored[name].select(*read) for name, read in q_iff._NAMES.items()}
